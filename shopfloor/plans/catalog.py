@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor.operators import dimensions as dims
+from shopfloor.operators import events as evt
+from shopfloor.operators import facts, silver
 from shopfloor.operators import reports as rep
-from shopfloor.sources import adapter
+from shopfloor.sources import adapter, streams
 from shopfloor.sources.tables import TableSet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +170,69 @@ def q_basket_size_overall(spark, sf_dir):
     )
 
 
+# ── events -> bronze -> silver -> fact ───────────────────────────────────────
+
+ORDER_EVENT_COLUMNS = [c for c in evt.ORDER_FIELDS if c != "ingestion_time"]
+SILVER_ORDER_COLUMNS = [
+    "kafka_key", "topic", "partition", "offset", "kafka_timestamp", *ORDER_EVENT_COLUMNS, "year", "month",
+]
+SILVER_CUSTOMER_COLUMNS = ["kafka_key", "topic", "kafka_timestamp", "event_type", "customer_id", "country",
+                           "first_seen_time"]
+
+
+def order_bronze(t: TableSet) -> DataFrame:
+    """Replay of the order topic built from the raw sales lines."""
+    records = evt.order_records(evt.order_events(adapter.raw_sales_lines(t)))
+    return streams.bronze_envelope(streams.replay_records(records, evt.ORDER_TOPIC))
+
+
+def customer_bronze(t: TableSet) -> DataFrame:
+    records = evt.customer_records(evt.customer_events(adapter.raw_sales_lines(t)))
+    return streams.bronze_envelope(streams.replay_records(records, evt.CUSTOMER_TOPIC))
+
+
+def q_order_events(spark, sf_dir):
+    return evt.order_events(adapter.raw_sales_lines(_tables(spark, sf_dir))).select(*ORDER_EVENT_COLUMNS)
+
+
+def q_customer_events(spark, sf_dir):
+    return evt.customer_events(adapter.raw_sales_lines(_tables(spark, sf_dir))).drop("ingestion_time")
+
+
+def q_order_event_records(spark, sf_dir):
+    """Events -> JSON records -> parsed back: the payload round-trips."""
+    from shopfloor.functions.json import parse
+    from shopfloor.schemas import ORDER_EVENT
+
+    records = evt.order_records(evt.order_events(adapter.raw_sales_lines(_tables(spark, sf_dir))))
+    return records.select(parse("value", ORDER_EVENT).alias("e")).select("e.*").drop("ingestion_time")
+
+
+def q_silver_orders(spark, sf_dir):
+    return silver.silver_orders(order_bronze(_tables(spark, sf_dir))).select(*SILVER_ORDER_COLUMNS)
+
+
+def q_silver_customers(spark, sf_dir):
+    return silver.silver_customers(customer_bronze(_tables(spark, sf_dir))).select(*SILVER_CUSTOMER_COLUMNS)
+
+
+def silver_fact(t: TableSet) -> DataFrame:
+    return facts.fact_order_items(silver.silver_orders(order_bronze(t)))
+
+
+def q_silver_fact_order_items(spark, sf_dir):
+    cols = [
+        "invoice_id", "stock_code", "customer_id", "country", "date_key", "year", "month",
+        "quantity", "unit_price", "total_amount", "is_cancelled", "event_time", "kafka_timestamp",
+    ]
+    return silver_fact(_tables(spark, sf_dir)).select(*cols)
+
+
+def q_revenue_monthly_from_events(spark, sf_dir):
+    """Round trip: raw lines -> events -> bronze -> silver -> fact -> report."""
+    return rep.revenue_monthly(rep.confirmed_sales(silver_fact(_tables(spark, sf_dir))))
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "dim_date": q_dim_date,
@@ -192,6 +257,13 @@ def queries() -> dict[str, Query]:
         "retention_rate": q_retention_rate,
         "basket_size_monthly": q_basket_size_monthly,
         "basket_size_overall": q_basket_size_overall,
+        "order_events": q_order_events,
+        "customer_events": q_customer_events,
+        "order_event_records": q_order_event_records,
+        "silver_orders": q_silver_orders,
+        "silver_customers": q_silver_customers,
+        "silver_fact_order_items": q_silver_fact_order_items,
+        "revenue_monthly_from_events": q_revenue_monthly_from_events,
     }
     return out
 

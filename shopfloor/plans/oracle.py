@@ -24,7 +24,8 @@ sales_lines AS (
          l.l_returnflag = '{CANCEL_FLAG}' AS is_cancelled,
          CAST(strftime(o.o_orderdate, '%Y%m%d') AS INTEGER) AS date_key,
          CAST(year(o.o_orderdate) AS INTEGER) AS year,
-         CAST(month(o.o_orderdate) AS INTEGER) AS month
+         CAST(month(o.o_orderdate) AS INTEGER) AS month,
+         l.l_linenumber AS line_number
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey
@@ -70,7 +71,7 @@ customers_first AS (
   SELECT customer_id, country, first_seen_time FROM (
     SELECT customer_id, country, event_time AS first_seen_time,
            row_number() OVER (PARTITION BY customer_id
-                              ORDER BY event_time IS NULL, event_time, country) AS rn
+                              ORDER BY event_time IS NULL, event_time, country NULLS FIRST) AS rn
     FROM sales_lines WHERE customer_id IS NOT NULL)
   WHERE rn = 1
 ),
@@ -247,5 +248,79 @@ SELECT year, month, {bagg}, {ym()} AS year_month FROM b GROUP BY year, month"""
     return q
 
 
+ORDER_EVENTS = """
+order_events AS (
+  SELECT CASE WHEN is_cancelled THEN 'order_item_cancelled' ELSE 'order_item_created' END AS event_type,
+         invoice_id, stock_code, description, quantity, unit_price, country,
+         CAST(customer_id AS BIGINT) AS customer_id,
+         strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time,
+         CAST(quantity AS DOUBLE) * unit_price AS total_amount,
+         line_number
+  FROM sales_lines WHERE quantity <> 0
+)"""
+
+# Silver orders: replayed envelope, typed, nulls filled, first arrival per
+# 4-key (arrival = time, partition, offset; then the remaining columns).
+SILVER_ORDERS = """
+silver_in AS (
+  SELECT invoice_id AS kafka_key, 'retail_order_events' AS topic, 0 AS partition,
+         CAST(line_number AS BIGINT) AS "offset", CAST(event_time AS TIMESTAMP) AS kafka_timestamp,
+         event_type, invoice_id, stock_code, description, coalesce(quantity, 0) AS quantity,
+         coalesce(unit_price, 0.0) AS unit_price, country, customer_id,
+         CAST(event_time AS TIMESTAMP) AS event_time, coalesce(total_amount, 0.0) AS total_amount
+  FROM order_events WHERE event_time IS NOT NULL
+),
+silver_orders AS (
+  SELECT * EXCLUDE (rn), CAST(year(event_time) AS INTEGER) AS year, CAST(month(event_time) AS INTEGER) AS month
+  FROM (SELECT *, row_number() OVER (
+          PARTITION BY invoice_id, stock_code, quantity, event_time
+          ORDER BY kafka_timestamp NULLS FIRST, partition NULLS FIRST, "offset" NULLS FIRST,
+                   kafka_key NULLS FIRST, topic NULLS FIRST, event_type NULLS FIRST, description NULLS FIRST,
+                   unit_price NULLS FIRST, country NULLS FIRST, customer_id NULLS FIRST,
+                   total_amount NULLS FIRST) AS rn
+        FROM silver_in)
+  WHERE rn = 1
+),
+silver_fact AS (
+  SELECT invoice_id, stock_code, CAST(customer_id AS VARCHAR) AS customer_id, country,
+         CAST(strftime(event_time, '%Y%m%d') AS INTEGER) AS date_key, year, month,
+         abs(quantity) AS quantity, unit_price, abs(total_amount) AS total_amount,
+         coalesce(event_type = 'order_item_cancelled', false) AS is_cancelled, event_time, kafka_timestamp
+  FROM silver_orders
+)"""
+
+CUSTOMER_EVENTS = """
+customer_events AS (
+  SELECT 'customer_activity' AS event_type, CAST(customer_id AS BIGINT) AS customer_id, country,
+         strftime(first_seen_time, '%Y-%m-%d %H:%M:%S') AS first_seen_time
+  FROM customers_first
+)"""
+
+
+def _events() -> dict[str, str]:
+    q: dict[str, str] = {}
+    ev_cols = ("event_type, invoice_id, stock_code, description, quantity, unit_price, country, customer_id, "
+               "event_time, total_amount")
+    q["order_events"] = with_(SALES_LINES, ORDER_EVENTS) + f" SELECT {ev_cols} FROM order_events"
+    q["order_event_records"] = q["order_events"]
+    q["customer_events"] = with_(SALES_LINES, dim_customer_cte(), CUSTOMER_EVENTS) + " SELECT * FROM customer_events"
+    q["silver_orders"] = with_(SALES_LINES, ORDER_EVENTS, SILVER_ORDERS) + " SELECT * FROM silver_orders"
+    q["silver_customers"] = with_(SALES_LINES, dim_customer_cte(), CUSTOMER_EVENTS) + """
+SELECT CAST(customer_id AS VARCHAR) AS kafka_key, 'retail_customer_events' AS topic,
+       CAST(first_seen_time AS TIMESTAMP) AS kafka_timestamp, event_type,
+       CAST(customer_id AS VARCHAR) AS customer_id, country, CAST(first_seen_time AS TIMESTAMP) AS first_seen_time
+FROM customer_events"""
+    q["silver_fact_order_items"] = with_(SALES_LINES, ORDER_EVENTS, SILVER_ORDERS) + " SELECT * FROM silver_fact"
+    q["revenue_monthly_from_events"] = with_(SALES_LINES, ORDER_EVENTS, SILVER_ORDERS) + f""",
+m AS (SELECT year, month, {msum('total_amount')} AS rev, count(invoice_id) AS total_line_items,
+             CAST(sum(quantity) AS BIGINT) AS total_units_sold
+      FROM silver_fact WHERE NOT is_cancelled GROUP BY year, month),
+l AS (SELECT *, lag(rev) OVER (ORDER BY year, month) AS prev FROM m)
+SELECT year, month, {dbl('rev')} AS total_revenue, total_line_items, total_units_sold, {ym()} AS year_month,
+       {dbl('prev')} AS prev_month_revenue, {pct_change('rev', 'prev', 2)} AS mom_change_pct
+FROM l"""
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
-    return _reports()
+    return {**_reports(), **_events()}

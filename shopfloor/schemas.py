@@ -18,8 +18,9 @@ RAW_SALES = T.StructType(
     ]
 )
 
-# Order event payload (11 fields).  customer_id is an int in the payload and
-# becomes a string from the fact table onward.
+# Order event payload (11 fields).  customer_id is a JSON number in the
+# payload (read as long: customer keys outgrow int at scale) and becomes a
+# string from the fact table onward.
 ORDER_EVENT = T.StructType(
     [
         T.StructField("event_type", T.StringType()),
@@ -29,7 +30,7 @@ ORDER_EVENT = T.StructType(
         T.StructField("quantity", T.IntegerType()),
         T.StructField("unit_price", T.DoubleType()),
         T.StructField("country", T.StringType()),
-        T.StructField("customer_id", T.IntegerType()),
+        T.StructField("customer_id", T.LongType()),
         T.StructField("event_time", T.StringType()),
         T.StructField("total_amount", T.DoubleType()),
         T.StructField("ingestion_time", T.StringType()),

@@ -45,6 +45,7 @@ SALES_COLUMNS = [
     "date_key",
     "year",
     "month",
+    "line_number",
 ]
 
 _PART_COLUMNS = {"stock_code", "description", "unit_price"}
@@ -78,7 +79,7 @@ def sales_lines(tables: TableSet, columns: Iterable[str] | None = None) -> DataF
     need = set(wanted)
 
     li = tables["lineitem"].select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"
     )
     orders = _orders_with_country(tables, bool(need & _COUNTRY_COLUMNS))
     df = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
@@ -102,6 +103,7 @@ def sales_lines(tables: TableSet, columns: Iterable[str] | None = None) -> DataF
         "date_key": date_key("o_orderdate"),
         "year": F.year("o_orderdate"),
         "month": F.month("o_orderdate"),
+        "line_number": F.col("l_linenumber"),
     }
     return df.select(*[exprs[c].alias(c) for c in wanted])
 
@@ -114,10 +116,9 @@ def sales(tables: TableSet, columns: Iterable[str] | None = None) -> DataFrame:
 
 
 def raw_sales_lines(tables: TableSet) -> DataFrame:
-    """The 8-column raw sales table (quantity negative for cancellations).
-
-    Together with ``line_seq`` (source order of the line within its
-    invoice) for a deterministic replay.
+    """The 8-column raw sales table (quantity negative for cancellations),
+    plus ``LineNumber``: the line's position in its invoice, which a replay
+    uses as the arrival order of the invoice's events.
     """
     df = sales_lines(tables, SALES_COLUMNS)
     return df.select(
@@ -129,4 +130,5 @@ def raw_sales_lines(tables: TableSet) -> DataFrame:
         F.col("unit_price").alias("Price"),
         F.col("customer_id").cast("long").alias("Customer ID"),
         F.col("country").alias("Country"),
+        F.col("line_number").alias("LineNumber"),
     )
