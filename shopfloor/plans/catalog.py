@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shopfloor.operators import dimensions as dims
 from shopfloor.operators import events as evt
 from shopfloor.operators import facts, silver
+from shopfloor.operators import quality as dq
 from shopfloor.operators import reports as rep
 from shopfloor.sources import adapter, streams
 from shopfloor.sources.tables import TableSet
@@ -233,6 +234,42 @@ def q_revenue_monthly_from_events(spark, sf_dir):
     return rep.revenue_monthly(rep.confirmed_sales(silver_fact(_tables(spark, sf_dir))))
 
 
+# ── data-quality checks ──────────────────────────────────────────────────────
+
+
+def _silver_pair(t: TableSet, pin: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(order bronze, customer bronze, silver orders, silver customers).
+    ``pin`` checkpoints the silver tables to the shared checkpoint folder so
+    the many consumers of a check suite read them instead of re-parsing."""
+    ob, cb = order_bronze(t), customer_bronze(t)
+    so, sc = silver.silver_orders(ob), silver.silver_customers(cb)
+    if pin:
+        from shopfloor.session import checkpoint_dir
+
+        checkpoint_dir(t.spark)
+        so, sc = so.checkpoint(eager=True), sc.checkpoint(eager=True)
+    return ob, cb, so, sc
+
+
+def q_dq_silver_checks(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    ob, cb, so, sc = _silver_pair(t)
+    return dq.silver_checks(ob, cb, so, sc, raw=adapter.raw_sales_lines(t))
+
+
+def q_dq_gold_checks(spark, sf_dir):
+    from shopfloor.plans.gold import gold_from_silver
+
+    t = _tables(spark, sf_dir)
+    _, _, so, sc = _silver_pair(t, pin=True)
+    g = gold_from_silver(so, sc, COHORT_YEARS)
+    return dq.gold_checks(
+        g["fact_order_items"], g["dim_product"], g["dim_customer"], g["dim_date"], g["revenue_yearly"],
+        g["revenue_monthly"], g["aov_monthly"], g["customer_lifetime_value"], g["retention_rate"],
+        g["basket_size_monthly"], g["new_vs_returning"], silver_orders=so,
+    )
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "dim_date": q_dim_date,
@@ -264,6 +301,8 @@ def queries() -> dict[str, Query]:
         "silver_customers": q_silver_customers,
         "silver_fact_order_items": q_silver_fact_order_items,
         "revenue_monthly_from_events": q_revenue_monthly_from_events,
+        "dq_silver_checks": q_dq_silver_checks,
+        "dq_gold_checks": q_dq_gold_checks,
     }
     return out
 

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from shopfloor.sources.adapter import CANCEL_FLAG, GUEST_MODULUS, MISSING_DESCRIPTION_MODULUS
 
-SALES_LINES = f"""
-sales_lines AS (
+ADAPTER_SELECT = f"""
   SELECT CAST(l.l_orderkey AS VARCHAR) AS invoice_id,
          p.p_brand AS stock_code,
          CASE WHEN l.l_partkey % {MISSING_DESCRIPTION_MODULUS} = 0 THEN NULL ELSE p.p_name END AS description,
@@ -30,7 +29,10 @@ sales_lines AS (
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+
+SALES_LINES = f"""
+sales_lines AS ({ADAPTER_SELECT}
 ),
 sales AS (SELECT * FROM sales_lines WHERE NOT is_cancelled)"""
 
@@ -126,18 +128,18 @@ RLU = (
 )
 
 
-def _reports() -> dict[str, str]:
-    base = with_(SALES_LINES)
+def _reports(lines: str = SALES_LINES) -> dict[str, str]:
+    base = with_(lines)
     q: dict[str, str] = {}
-    q["dim_date"] = with_(SALES_LINES, DIM_DATE) + " SELECT * FROM dim_date"
-    q["dim_product"] = with_(SALES_LINES, DIM_PRODUCT) + " SELECT * FROM dim_product"
-    q["dim_customer"] = with_(SALES_LINES, dim_customer_cte()) + " SELECT * FROM dim_customer"
+    q["dim_date"] = with_(lines, DIM_DATE) + " SELECT * FROM dim_date"
+    q["dim_product"] = with_(lines, DIM_PRODUCT) + " SELECT * FROM dim_product"
+    q["dim_customer"] = with_(lines, dim_customer_cte()) + " SELECT * FROM dim_customer"
     q["dim_geography"] = base + " SELECT DISTINCT country FROM sales_lines WHERE country IS NOT NULL"
     q["fact_order_items"] = base + (
         " SELECT invoice_id, stock_code, customer_id, country, date_key, year, month, quantity,"
         " unit_price, total_amount, is_cancelled, event_time FROM sales_lines"
     )
-    q["revenue_daily"] = with_(SALES_LINES, DIM_DATE) + f"""
+    q["revenue_daily"] = with_(lines, DIM_DATE) + f"""
 SELECT d.full_date, s.year, s.month, d.day, d.day_of_week, d.is_weekend, {RLU}
 FROM sales s JOIN dim_date d ON s.date_key = d.date_key
 GROUP BY d.full_date, s.year, s.month, d.day, d.day_of_week, d.is_weekend"""
@@ -154,12 +156,12 @@ SELECT {{keys}}, p.description, {dbl('rev')} AS total_revenue, total_units_sold,
 FROM (SELECT {{keys}}, {msum('total_amount')} AS rev, CAST(sum(quantity) AS BIGINT) AS total_units_sold,
              count(invoice_id) AS total_line_items FROM sales GROUP BY {{keys}}) a
 LEFT JOIN dim_product p USING (stock_code)"""
-    q["top_products_by_country"] = with_(SALES_LINES, DIM_PRODUCT) + """
+    q["top_products_by_country"] = with_(lines, DIM_PRODUCT) + """
 SELECT * FROM (""" + prod.format(
         keys="country, stock_code",
         extra=", CAST(dense_rank() OVER (PARTITION BY country ORDER BY rev DESC) AS INTEGER) AS country_rank",
     ) + ") WHERE country_rank <= 20"
-    q["top_products_global"] = with_(SALES_LINES, DIM_PRODUCT) + prod.format(
+    q["top_products_global"] = with_(lines, DIM_PRODUCT) + prod.format(
         keys="stock_code",
         extra=", CAST(dense_rank() OVER (ORDER BY rev DESC) AS INTEGER) AS revenue_rank"
         ", CAST(dense_rank() OVER (ORDER BY total_units_sold DESC) AS INTEGER) AS units_rank",
@@ -177,7 +179,7 @@ SELECT {aov} FROM (SELECT invoice_id, {msum('total_amount')} AS invoice_revenue
     q["revenue_by_country_month"] = base + f"""
 SELECT country, year, month, {RLU}, {ym()} AS year_month FROM sales GROUP BY country, year, month"""
     q["revenue_by_country_year"] = base + f" SELECT country, year, {RLU} FROM sales GROUP BY country, year"
-    q["product_demand_trends"] = with_(SALES_LINES, DIM_PRODUCT) + f""",
+    q["product_demand_trends"] = with_(lines, DIM_PRODUCT) + f""",
 a AS (SELECT stock_code, year, month, CAST(sum(quantity) AS BIGINT) AS units_sold,
              {msum('total_amount')} AS rev, count(invoice_id) AS order_line_count
       FROM sales GROUP BY stock_code, year, month),
@@ -191,7 +193,7 @@ FROM l"""
     active = """
 active AS (SELECT DISTINCT customer_id, year, month, year * 12 + month AS period
            FROM sales WHERE customer_id IS NOT NULL)"""
-    q["new_vs_returning"] = with_(SALES_LINES, active) + f""",
+    q["new_vs_returning"] = with_(lines, active) + f""",
 firsts AS (SELECT customer_id, min(period) AS first_period FROM active GROUP BY customer_id)
 SELECT year, month, customer_type, count(customer_id) AS customer_count, {ym()} AS year_month
 FROM (SELECT a.year, a.month, a.customer_id,
@@ -210,13 +212,13 @@ SELECT customer_id_clean, {dbl('rev')} AS lifetime_revenue, total_orders, avg_li
        {money_ratio('rev', 'total_orders')} AS avg_order_value,
        CAST(dense_rank() OVER (ORDER BY rev DESC) AS INTEGER) AS clv_rank
 FROM c"""
-    q["customers_per_country"] = with_(SALES_LINES, dim_customer_cte()) + f""",
+    q["customers_per_country"] = with_(lines, dim_customer_cte()) + f""",
 h AS (SELECT country, count(customer_id) AS total_customers FROM dim_customer GROUP BY country),
 r AS (SELECT country, {msum('total_amount')} AS rev FROM sales WHERE customer_id IS NOT NULL GROUP BY country)
 SELECT h.country, h.total_customers, {dbl('r.rev')} AS total_revenue,
        {money_ratio('r.rev', 'h.total_customers')} AS revenue_per_customer
 FROM h LEFT JOIN r ON h.country = r.country"""
-    q["top_customers_by_orders"] = with_(SALES_LINES, dim_customer_cte()) + f""",
+    q["top_customers_by_orders"] = with_(lines, dim_customer_cte()) + f""",
 a AS (SELECT customer_id, count(DISTINCT invoice_id) AS total_orders,
              {dbl(msum('total_amount'))} AS total_revenue,
              min(event_time) AS first_order_date, max(event_time) AS last_order_date
@@ -224,7 +226,7 @@ a AS (SELECT customer_id, count(DISTINCT invoice_id) AS total_orders,
 SELECT a.customer_id, total_orders, total_revenue, first_order_date, last_order_date, d.country, d.cohort,
        CAST(dense_rank() OVER (ORDER BY total_orders DESC) AS INTEGER) AS order_rank
 FROM a LEFT JOIN dim_customer d ON a.customer_id = d.customer_id"""
-    q["retention_rate"] = with_(SALES_LINES, active) + f""",
+    q["retention_rate"] = with_(lines, active) + f""",
 r AS (SELECT c.year, c.month, count(c.customer_id) AS active_customers,
              count(n.customer_id) AS retained_next_month
       FROM active c LEFT JOIN active n ON c.customer_id = n.customer_id AND n.period = c.period + 1
@@ -242,13 +244,14 @@ b AS (SELECT invoice_id, year, month, count(stock_code) AS line_item_count,
         f"{money_ratio('sum(basket_value)', 'count(basket_value)')} AS avg_basket_value, "
         "count(invoice_id) AS total_invoices"
     )
-    q["basket_size_monthly"] = with_(SALES_LINES, basket) + f"""
+    q["basket_size_monthly"] = with_(lines, basket) + f"""
 SELECT year, month, {bagg}, {ym()} AS year_month FROM b GROUP BY year, month"""
-    q["basket_size_overall"] = with_(SALES_LINES, basket) + f" SELECT {bagg} FROM b"
+    q["basket_size_overall"] = with_(lines, basket) + f" SELECT {bagg} FROM b"
     return q
 
 
-ORDER_EVENTS = """
+def order_events_cte(src: str = "sales_lines") -> str:
+    return f"""
 order_events AS (
   SELECT CASE WHEN is_cancelled THEN 'order_item_cancelled' ELSE 'order_item_created' END AS event_type,
          invoice_id, stock_code, description, quantity, unit_price, country,
@@ -256,9 +259,12 @@ order_events AS (
          strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time,
          CAST(quantity AS DOUBLE) * unit_price AS total_amount,
          line_number
-  FROM sales_lines WHERE quantity <> 0
+  FROM {src} WHERE quantity <> 0
 )"""
 
+
+ORDER_EVENTS = order_events_cte()
+
 # Silver orders: replayed envelope, typed, nulls filled, first arrival per
 # 4-key (arrival = time, partition, offset; then the remaining columns).
 SILVER_ORDERS = """
@@ -297,6 +303,21 @@ customer_events AS (
 )"""
 
 
+# Gold built from silver: the report SQL runs over lines derived from the
+# de-duplicated silver orders (amount = quantity * price, as the events say).
+GOLD_LINES = f"""
+src_lines AS ({ADAPTER_SELECT}
+),""" + order_events_cte("src_lines") + "," + SILVER_ORDERS + """,
+sales_lines AS (
+  SELECT invoice_id, stock_code, description, quantity, unit_price, total_amount, country,
+         CAST(customer_id AS VARCHAR) AS customer_id, event_time,
+         coalesce(event_type = 'order_item_cancelled', false) AS is_cancelled,
+         CAST(strftime(event_time, '%Y%m%d') AS INTEGER) AS date_key, year, month
+  FROM silver_orders
+),
+sales AS (SELECT * FROM sales_lines WHERE NOT is_cancelled)"""
+
+
 def _events() -> dict[str, str]:
     q: dict[str, str] = {}
     ev_cols = ("event_type, invoice_id, stock_code, description, quantity, unit_price, country, customer_id, "
@@ -323,4 +344,6 @@ FROM l"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_reports(), **_events()}
+    from shopfloor.plans.oracle_quality import quality_sql
+
+    return {**_reports(), **_events(), **quality_sql()}
