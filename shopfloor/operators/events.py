@@ -100,3 +100,15 @@ def customer_records(events: DataFrame) -> DataFrame:
         to_json_record(*CUSTOMER_FIELDS).alias("value"),
         F.to_timestamp("first_seen_time", EVENT_TIME_FORMAT).alias("event_ts"),
     )
+
+
+# Fields a pandas-based producer writes as a bare ``NaN`` when missing
+# (``json.dumps`` of a float NaN), which is invalid JSON.
+NAN_FIELDS = ("description", "unit_price", "total_amount")
+
+
+def with_bare_nan(value: Column | str, fields=NAN_FIELDS) -> Column:
+    """Re-serialise missing ``fields`` as bare ``NaN`` the way the original
+    producer did, so the NaN repair can be exercised on derived data."""
+    v = F.col(value) if isinstance(value, str) else value
+    return F.regexp_replace(v, '"(' + "|".join(fields) + ')":null', '"$1":NaN')

@@ -304,6 +304,9 @@ def queries() -> dict[str, Query]:
         "dq_silver_checks": q_dq_silver_checks,
         "dq_gold_checks": q_dq_gold_checks,
     }
+    from shopfloor.plans import catalog_profile
+
+    out.update(catalog_profile.queries())
     return out
 
 

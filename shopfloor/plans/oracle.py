@@ -344,6 +344,7 @@ FROM l"""
 
 
 def oracle_sql() -> dict[str, str]:
+    from shopfloor.plans.oracle_profile import profile_sql
     from shopfloor.plans.oracle_quality import quality_sql
 
-    return {**_reports(), **_events(), **quality_sql()}
+    return {**_reports(), **_events(), **quality_sql(), **profile_sql()}

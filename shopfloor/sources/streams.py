@@ -85,3 +85,19 @@ def replay_records(
         offset.cast("long").alias("offset"),
         F.col("event_ts").alias("timestamp"),
     )
+
+
+def events_topic(events: DataFrame, partitions: int = 4) -> DataFrame:
+    """The ``events`` table as a keyed topic: key = user, value = the event as
+    JSON, partition = user modulo ``partitions``, offset = event id, timestamp
+    = event time."""
+    from shopfloor.functions.json import to_json_record
+
+    return events.select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        to_json_record("event_id", "ts", "user_id", "event_type", "value", "props").cast("binary").alias("value"),
+        F.lit("web_events").alias("topic"),
+        F.pmod(F.col("user_id"), F.lit(partitions)).cast("int").alias("partition"),
+        F.col("event_id").cast("long").alias("offset"),
+        F.col("ts").alias("timestamp"),
+    )
