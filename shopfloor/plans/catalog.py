@@ -307,6 +307,9 @@ def queries() -> dict[str, Query]:
     from shopfloor.plans import catalog_profile
 
     out.update(catalog_profile.queries())
+    from shopfloor.plans import catalog_serving
+
+    out.update(catalog_serving.queries())
     return out
 
 

@@ -347,4 +347,6 @@ def oracle_sql() -> dict[str, str]:
     from shopfloor.plans.oracle_profile import profile_sql
     from shopfloor.plans.oracle_quality import quality_sql
 
-    return {**_reports(), **_events(), **quality_sql(), **profile_sql()}
+    from shopfloor.plans.oracle_serving import serving_sql
+
+    return {**_reports(), **_events(), **quality_sql(), **profile_sql(), **serving_sql()}
