@@ -1,0 +1,197 @@
+"""End-to-end run: events -> bronze (streaming) -> silver -> checks -> gold ->
+checks -> serving.
+
+Every hand-off between stages is a table in shared storage, so each stage
+reads what the previous one wrote (pruned and pushed-down scans), a lost
+executor only recomputes from the last written table, and no stage keeps a
+long lineage.  Stage order follows the original schedule; checks never stop
+the run unless ``fail_on`` asks for it.
+"""
+
+from __future__ import annotations
+
+import logging
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shopfloor.operators import dimensions as dims
+from shopfloor.operators import events as evt
+from shopfloor.operators import quality as dq
+from shopfloor.operators import serving
+from shopfloor.operators import silver
+from shopfloor.plans import gold
+from shopfloor.sinks import files, jdbc
+from shopfloor.sources import streams
+from shopfloor.streaming import bronze as bronze_stream
+
+log = logging.getLogger(__name__)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Where each table lives under one root folder (shared storage)."""
+
+    root: str
+
+    def p(self, *parts: str) -> str:
+        return "/".join([self.root.rstrip("/"), *parts])
+
+    @property
+    def order_topic(self) -> str:
+        return self.p("topics", evt.ORDER_TOPIC)
+
+    @property
+    def customer_topic(self) -> str:
+        return self.p("topics", evt.CUSTOMER_TOPIC)
+
+    @property
+    def bronze_orders(self) -> str:
+        return self.p("bronze", "orders")
+
+    @property
+    def bronze_customers(self) -> str:
+        return self.p("bronze", "customers")
+
+    def checkpoint(self, name: str) -> str:
+        return self.p("checkpoints", name)
+
+    @property
+    def silver_orders(self) -> str:
+        return self.p("silver", "orders")
+
+    @property
+    def silver_customers(self) -> str:
+        return self.p("silver", "customers")
+
+    def dimension(self, name: str) -> str:
+        return self.p("gold", "dimensions", name)
+
+    @property
+    def fact(self) -> str:
+        return self.p("gold", "facts", "fact_order_items")
+
+    def report(self, name: str) -> str:
+        return self.p("gold", gold.REPORT_GROUPS[name], name)
+
+    @property
+    def metrics(self) -> str:
+        return self.p("gold", "data_quality_metrics")
+
+    @property
+    def orphan_orders(self) -> str:
+        return self.p("gold", "data_quality_issues", "orphan_orders")
+
+
+def publish_events(raw: DataFrame, layout: Layout, partitions: int = 8) -> None:
+    """Producer stand-in: write order and customer events as Kafka-shaped
+    records into the topic folders the bronze streams read."""
+    orders = streams.replay_records(evt.order_records(evt.order_events(raw)), evt.ORDER_TOPIC, partitions)
+    customers = streams.replay_records(
+        evt.customer_records(evt.customer_events(raw)), evt.CUSTOMER_TOPIC, partitions
+    )
+    orders.write.mode("append").parquet(layout.order_topic)
+    customers.write.mode("append").parquet(layout.customer_topic)
+
+
+def ingest_bronze(spark: SparkSession, layout: Layout, trigger: Mapping[str, object] | None = None,
+                  max_files_per_trigger: int | None = None) -> dict[str, int]:
+    """Both bronze streams in one session; waits for both; returns ingested
+    rows per stream."""
+    trigger = trigger or bronze_stream.AVAILABLE_NOW
+    queries = [
+        bronze_stream.start_bronze(
+            streams.record_file_stream(spark, topic, max_files_per_trigger=max_files_per_trigger),
+            sink, layout.checkpoint(name), trigger, query_name=f"bronze_{name}",
+        )
+        for name, topic, sink in (
+            ("orders", layout.order_topic, layout.bronze_orders),
+            ("customers", layout.customer_topic, layout.bronze_customers),
+        )
+    ]
+    bronze_stream.await_all(spark, queries)
+    return {q.name: bronze_stream.ingested_rows(q) for q in queries}
+
+
+def build_silver(spark: SparkSession, layout: Layout, silver_partitions: int | None = None) -> None:
+    orders = silver.silver_orders(spark.read.parquet(layout.bronze_orders))
+    files.write_partitioned(orders, layout.silver_orders, files_per_partition=silver_partitions)
+    files.write_table(silver.silver_customers(spark.read.parquet(layout.bronze_customers)), layout.silver_customers)
+
+
+def silver_quality(spark: SparkSession, layout: Layout, run_id: str, raw: DataFrame | None = None) -> DataFrame:
+    so, sc = spark.read.parquet(layout.silver_orders), spark.read.parquet(layout.silver_customers)
+    checks = dq.silver_checks(
+        spark.read.parquet(layout.bronze_orders), spark.read.parquet(layout.bronze_customers), so, sc, raw=raw
+    )
+    metrics = dq.with_run(checks, run_id)
+    files.append_metrics(metrics, layout.metrics)
+    orphans = dq.orphan_orders(so, sc)
+    if not orphans.isEmpty():
+        path = files.quarantine(orphans, layout.orphan_orders, run_id)
+        log.warning("orphan orders quarantined at %s", path)
+    return spark.read.parquet(layout.metrics).filter((F.col("run_id") == run_id) & (F.col("layer") != "gold"))
+
+
+def build_gold(spark: SparkSession, layout: Layout, cohort_years: Sequence[int] | None) -> None:
+    so, sc = spark.read.parquet(layout.silver_orders), spark.read.parquet(layout.silver_customers)
+    d = gold.dimensions(so, sc, cohort_years)
+    for name, df in d.items():
+        files.write_table(df, layout.dimension(name))
+    from shopfloor.operators import facts
+
+    files.write_partitioned(facts.fact_order_items(so), layout.fact)
+    fact = spark.read.parquet(layout.fact)
+    stored = {name: spark.read.parquet(layout.dimension(name)) for name in gold.DIMENSIONS}
+    for name, df in gold.reports(fact, stored).items():
+        files.write_table(df, layout.report(name))
+
+
+def gold_quality(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
+    r = lambda n: spark.read.parquet(layout.report(n))
+    d = lambda n: spark.read.parquet(layout.dimension(n))
+    checks = dq.gold_checks(
+        spark.read.parquet(layout.fact), d("dim_product"), d("dim_customer"), d("dim_date"), r("revenue_yearly"),
+        r("revenue_monthly"), r("aov_monthly"), r("customer_lifetime_value"), r("retention_rate"),
+        r("basket_size_monthly"), r("new_vs_returning"), silver_orders=spark.read.parquet(layout.silver_orders),
+    )
+    files.append_metrics(dq.with_run(checks, run_id), layout.metrics)
+    return spark.read.parquet(layout.metrics).filter((F.col("run_id") == run_id) & (F.col("layer") == "gold"))
+
+
+def publish_serving(spark: SparkSession, layout: Layout, url: str, properties: Mapping[str, str] | None = None,
+                    num_partitions: int | None = 4) -> dict[str, int]:
+    tables = {name: spark.read.parquet(layout.report(name)) for name in serving.SERVING_TABLES}
+    return jdbc.publish(tables, url, properties, num_partitions=num_partitions)
+
+
+def run(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    run_id: str | None = None,
+    cohort_years: Sequence[int] | None = dims.REFERENCE_COHORT_YEARS,
+    jdbc_url: str | None = None,
+    jdbc_properties: Mapping[str, str] | None = None,
+    fail_on: str | None = None,
+    publish: bool = True,
+) -> dict[str, object]:
+    """Run every stage; returns ingest counts, check totals by status and
+    serving row counts.  ``fail_on="FAIL"`` raises after the checks if any
+    check failed (off by default, as in the original schedule)."""
+    layout = Layout(root)
+    run_id = run_id or dq.new_run_id()
+    if publish:
+        publish_events(raw, layout)
+    ingested = ingest_bronze(spark, layout)
+    build_silver(spark, layout)
+    silver_metrics = silver_quality(spark, layout, run_id, raw=raw)
+    build_gold(spark, layout, cohort_years)
+    gold_metrics = gold_quality(spark, layout, run_id)
+    totals = {r["status"]: r["checks"] for r in dq.summary(silver_metrics.unionByName(gold_metrics)).collect()}
+    served = publish_serving(spark, layout, jdbc_url, jdbc_properties) if jdbc_url else {}
+    if fail_on and totals.get(fail_on, 0):
+        raise RuntimeError(f"{totals[fail_on]} checks ended {fail_on} in run {run_id}")
+    return {"run_id": run_id, "ingested": ingested, "checks": totals, "served": served, "layout": layout}
