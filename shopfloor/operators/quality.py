@@ -413,9 +413,9 @@ def new_run_id(now: _dt.datetime | None = None) -> str:
 
 def with_run(checks: DataFrame, run_id: str) -> DataFrame:
     """Metric rows in the unified schema (run id and time added)."""
-    return checks.select(
-        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("run_timestamp"), *CHECK_COLUMNS
-    ).to(METRICS)
+    required = {"pipeline": "", "layer": "", "check_name": "", "status": WARN}
+    cols = [F.coalesce(F.col(c), F.lit(required[c])).alias(c) if c in required else F.col(c) for c in CHECK_COLUMNS]
+    return checks.select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("run_timestamp"), *cols).to(METRICS)
 
 
 def summary(metrics: DataFrame) -> DataFrame:

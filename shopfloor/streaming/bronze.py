@@ -53,8 +53,19 @@ def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: f
     """STR-03: wait until every query has stopped; the first failure of any
     query is raised at once (a dead second stream is not left unnoticed)."""
     pending = list(queries)
+
+    def fail(msg: str) -> None:
+        for other in pending:
+            if other.isActive:
+                other.stop()
+        spark.streams.resetTerminated()
+        raise RuntimeError(msg)
+
     while pending:
-        finished = spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
+        try:
+            finished = spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
+        except Exception as exc:  # a query ended with an error
+            fail(f"stream failed: {exc}")
         if timeout and not finished:
             raise TimeoutError("streams still running: " + ", ".join(q.name or q.id for q in pending))
         spark.streams.resetTerminated()
@@ -62,13 +73,8 @@ def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: f
         for q in pending:
             if q.isActive:
                 still.append(q)
-                continue
-            exc = q.exception()
-            if exc is not None:
-                for other in pending:
-                    if other.isActive:
-                        other.stop()
-                raise RuntimeError(f"stream {q.name or q.id} failed: {exc}")
+            elif q.exception() is not None:
+                fail(f"stream {q.name or q.id} failed: {q.exception()}")
         pending = still
 
 
