@@ -43,3 +43,17 @@ def json_field(raw: Column | str, path: str) -> Column:
 def to_json_record(*cols: Column | str) -> Column:
     """Serialise columns as one JSON object, keeping null fields as ``null``."""
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+
+def expand_once(df, keep: list[str], struct: Column) -> "DataFrame":  # noqa: F821
+    """Columns ``keep`` plus the fields of ``struct``, computed exactly once.
+
+    A filter on a parsed field (``event_time IS NOT NULL``) would otherwise be
+    pushed below the projection and the whole parse evaluated twice, once in
+    the filter and once in the projection.  Expanding through a one-element
+    ``inline`` generator keeps the parse in one place: predicates on the
+    generated fields stay above it.  Pass the parsed struct itself (one
+    ``from_json``), not a struct of its fields: generator inputs get no
+    common-subexpression elimination.
+    """
+    return df.select(*keep, F.inline(F.array(struct)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopfloor.functions.json import parse, repair_nan
+from shopfloor.functions.json import expand_once, parse, repair_nan
 from shopfloor.operators.dedup import keep_first
 from shopfloor.schemas import CUSTOMER_EVENT, ENVELOPE_COLUMNS, ORDER_EVENT
 
@@ -16,11 +16,15 @@ ORDER_FILLS = {"quantity": 0, "unit_price": 0.0, "total_amount": 0.0}
 CUSTOMER_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def parse_orders(bronze: DataFrame, strict_nan: bool = False) -> DataFrame:
+def parse_orders(bronze: DataFrame, strict_nan: bool = False, typed: bool = False) -> DataFrame:
     """Repair bare NaN, parse the payload and flatten it next to the
-    envelope.  Unreadable JSON gives null fields."""
-    parsed = parse(repair_nan("raw_json", strict=strict_nan), ORDER_EVENT).alias("p")
-    return bronze.select(*ENVELOPE_COLUMNS, parsed).select(*ENVELOPE_COLUMNS, "p.*")
+    envelope.  Unreadable JSON gives null fields.  ``typed`` turns the two
+    time fields into timestamps (null when unreadable).  The parse runs once
+    per row even under later filters (``expand_once``)."""
+    flat = expand_once(bronze, ENVELOPE_COLUMNS, parse(repair_nan("raw_json", strict=strict_nan), ORDER_EVENT))
+    if typed:
+        flat = flat.withColumns({c: F.try_to_timestamp(c) for c in ("event_time", "ingestion_time")})
+    return flat
 
 
 def silver_orders(
@@ -35,12 +39,7 @@ def silver_orders(
     too); missing quantity and amounts become 0; the first arrival per
     (invoice, stock code, quantity, event time) is kept.
     """
-    flat = parse_orders(bronze, strict_nan).withColumns(
-        {
-            "event_time": F.try_to_timestamp("event_time"),
-            "ingestion_time": F.try_to_timestamp("ingestion_time"),
-        }
-    )
+    flat = parse_orders(bronze, strict_nan, typed=True)
     clean = flat.filter(F.col("event_time").isNotNull()).fillna(ORDER_FILLS)
     if dedup:
         clean = keep_first(clean, ORDER_KEYS, ARRIVAL_ORDER)
@@ -57,8 +56,7 @@ def silver_customers(bronze: DataFrame, now: Column | None = None) -> DataFrame:
     """Bronze customer envelopes -> silver customers (no NaN repair; rows
     without a customer id dropped; first arrival per (customer, first seen)
     kept; a row with an unreadable first-seen time is kept with a null)."""
-    parsed = parse("raw_json", CUSTOMER_EVENT).alias("p")
-    flat = bronze.select(*ENVELOPE_COLUMNS, parsed).select(*ENVELOPE_COLUMNS, "p.*")
+    flat = expand_once(bronze, ENVELOPE_COLUMNS, parse("raw_json", CUSTOMER_EVENT))
     typed = flat.withColumn(
         "first_seen_time", F.try_to_timestamp("first_seen_time", F.lit(CUSTOMER_TIME_FORMAT))
     ).filter(F.col("customer_id").isNotNull())

@@ -34,7 +34,7 @@ def nan_order_bronze(t: TableSet) -> DataFrame:
 
 
 def _parsed_orders(bronze: DataFrame) -> DataFrame:
-    return silver.parse_orders(bronze).withColumn("event_time", F.try_to_timestamp("event_time"))
+    return silver.parse_orders(bronze, typed=True)
 
 
 def q_null_counts(spark, sf_dir):
