@@ -6,8 +6,8 @@ is fine for a few hundred month rows, not for one row per customer at
 
 1. the distinct values of ``x`` (map-side pre-aggregated shuffle);
 2. range-partition them into ``buckets`` ordered ranges and pin that
-   assignment by checkpointing to the shared checkpoint folder (so a retried
-   task cannot see different range bounds);
+   assignment as a table in the shared checkpoint folder (so a retried task
+   cannot see different range bounds);
 3. rank within each range (a window per bucket) and add the number of
    values in all earlier ranges (one small row per bucket, broadcast – its
    size is bounded by the bucket count);
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopfloor.session import checkpoint_dir
+from shopfloor.session import pin
 
 _V, _B, _R, _N, _OFF = "__rank_value", "__rank_bucket", "__rank_local", "__rank_n", "__rank_offset"
 
@@ -37,17 +37,12 @@ def global_dense_rank(
     ascending order (Spark's default null ordering).
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     v = F.col(_V)
     order = v.desc_nulls_last() if descending else v.asc_nulls_first()
 
     values = df.select(F.col(order_col).alias(_V)).distinct()
-    ranged = (
-        values.repartitionByRange(n, order)
-        .withColumn(_B, F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    ranged = pin(values.repartitionByRange(n, order).withColumn(_B, F.spark_partition_id()), "rank_ranges")
     local = ranged.withColumn(_R, F.row_number().over(Window.partitionBy(_B).orderBy(order)))
     per_bucket = local.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
     offsets = per_bucket.select(

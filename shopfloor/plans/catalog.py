@@ -239,21 +239,20 @@ def q_revenue_monthly_from_events(spark, sf_dir):
 
 def _silver_pair(t: TableSet, pin: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(order bronze, customer bronze, silver orders, silver customers).
-    ``pin`` checkpoints the silver tables to the shared checkpoint folder so
-    the many consumers of a check suite read them instead of re-parsing."""
+    ``pin`` writes the silver tables to the shared checkpoint folder so the
+    many consumers of a check suite read them instead of re-parsing."""
     ob, cb = order_bronze(t), customer_bronze(t)
     so, sc = silver.silver_orders(ob), silver.silver_customers(cb)
     if pin:
-        from shopfloor.session import checkpoint_dir
+        from shopfloor.session import pin as pin_table
 
-        checkpoint_dir(t.spark)
-        so, sc = so.checkpoint(eager=True), sc.checkpoint(eager=True)
+        so, sc = pin_table(so, "silver_orders"), pin_table(sc, "silver_customers")
     return ob, cb, so, sc
 
 
 def q_dq_silver_checks(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    ob, cb, so, sc = _silver_pair(t)
+    ob, cb, so, sc = _silver_pair(t, pin=True)
     return dq.silver_checks(ob, cb, so, sc, raw=adapter.raw_sales_lines(t))
 
 
