@@ -57,9 +57,9 @@ def revenue_daily(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
 def revenue_monthly(sales: DataFrame) -> DataFrame:
     """Monthly revenue with the previous *present* month's revenue and the
     change in percent."""
-    monthly = sales.groupBy("year", "month").agg(*_rev_lines_units())
     w = Window.orderBy("year", "month")  # one row per month: bounded
-    prev = F.lag(REV, 1).over(w)
+    monthly = sales.groupBy("year", "month").agg(*_rev_lines_units()).withColumn("__prev", F.lag(REV, 1).over(w))
+    prev = F.col("__prev")  # one window evaluation, referenced twice below
     return monthly.select(
         "year", "month", as_double(REV).alias(REV), LINES, UNITS,
         year_month().alias("year_month"),
@@ -151,7 +151,8 @@ def product_demand_trends(sales: DataFrame, dim_product: DataFrame) -> DataFrame
         F.count("invoice_id").alias("order_line_count"),
     ).join(dim_product.select("stock_code", "description"), "stock_code", "left")
     w = Window.partitionBy("stock_code").orderBy("year", "month")  # rows: months of one product
-    prev = F.lag("units_sold", 1).over(w)
+    agg = agg.withColumn("__prev", F.lag("units_sold", 1).over(w))
+    prev = F.col("__prev")
     return agg.select(
         "stock_code", "description", "year", "month", "units_sold", as_double("revenue").alias("revenue"),
         "order_line_count", year_month().alias("year_month"),

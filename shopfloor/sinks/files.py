@@ -28,17 +28,20 @@ def write_partitioned(
     """SNK-03 / SNK-08: Parquet partitioned by ``partition_cols``.
 
     Rows are clustered by the partition columns first (SNK-08), so each task
-    writes few directories.  With ``files_per_partition`` a random salt
-    spreads every output directory over that many tasks: a month with a third
-    of all rows is written by several tasks instead of one.  ``dynamic``
+    writes few directories.  By default the clustering is a ``rebalance``:
+    AQE splits a month that holds a third of all rows into advisory-size
+    chunks written by many tasks, and merges small months, instead of one
+    task per month as a plain hash repartition would do.  With
+    ``files_per_partition`` a fixed, deterministic salt (a hash of the whole
+    row) spreads every directory over exactly that many tasks.  ``dynamic``
     replaces only the partitions present in ``df`` (incremental rebuilds).
     """
     cols = list(partition_cols)
     if files_per_partition and files_per_partition > 1:
-        salt = (F.rand(seed=17) * files_per_partition).cast("int")
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
         df = df.repartition(*[F.col(c) for c in cols], salt)
     else:
-        df = df.repartition(*[F.col(c) for c in cols])
+        df = df.hint("rebalance", *cols)
     writer = df.write.mode(mode).partitionBy(*cols)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")

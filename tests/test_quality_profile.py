@@ -118,3 +118,15 @@ def test_nan_recovery_and_funnel(spark):
 def test_null_or_empty_on_int_column(spark):
     df = spark.createDataFrame([(1,), (None,)], "customer_id int")
     assert df.filter(pro.null_or_empty("customer_id")).count() == 1  # no ANSI cast error
+
+
+def test_partitioned_write_layout(spark, scratch):
+    import os
+
+    df = spark.range(0, 2000).select((F.col("id") % 3).cast("int").alias("year"), F.lit(1).alias("month"), "id")
+    files.write_partitioned(df, f"{scratch}/p")
+    files.write_partitioned(df, f"{scratch}/q", files_per_partition=4)
+    back = spark.read.parquet(f"{scratch}/p")
+    assert back.count() == 2000 and {"year", "month"} <= set(back.columns)
+    n = [f for f in os.listdir(f"{scratch}/q/year=0/month=1") if f.endswith(".parquet")]
+    assert 1 <= len(n) <= 4
