@@ -29,7 +29,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
 
 def keep_first_window(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The same result with a ``row_number`` window; for small inputs and as
-    the reference in tests."""
+    the baseline in tests."""
     from pyspark.sql import Window
 
     keys = list(keys)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shopfloor.functions.periods import date_key, is_weekend
 
 # The cohort years of the original customer dimension.
-REFERENCE_COHORT_YEARS = (2009, 2010)
+DEFAULT_COHORT_YEARS = (2009, 2010)
 
 
 def dim_date(orders: DataFrame, time_col: str = "event_time") -> DataFrame:
@@ -67,7 +67,7 @@ def cohort_label(year_col: F.Column, cohort_years: Sequence[int] | None) -> F.Co
     return label
 
 
-def dim_customer(customers: DataFrame, cohort_years: Sequence[int] | None = REFERENCE_COHORT_YEARS) -> DataFrame:
+def dim_customer(customers: DataFrame, cohort_years: Sequence[int] | None = DEFAULT_COHORT_YEARS) -> DataFrame:
     """Customers with first-seen time, year and cohort label."""
     fy = F.year("first_seen_time")
     return customers.select(

@@ -23,7 +23,7 @@ from shopfloor.sources.tables import TableSet
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Cohort labels for the supplied data: every first-seen year is its own
-# cohort (the original fixed list is ``dims.REFERENCE_COHORT_YEARS``).
+# cohort (the original fixed list is ``dims.DEFAULT_COHORT_YEARS``).
 COHORT_YEARS = None
 
 

@@ -26,7 +26,7 @@ REPORT_GROUPS = {
 
 
 def dimensions(silver_orders: DataFrame, silver_customers: DataFrame,
-               cohort_years: Sequence[int] | None = dims.REFERENCE_COHORT_YEARS) -> dict[str, DataFrame]:
+               cohort_years: Sequence[int] | None = dims.DEFAULT_COHORT_YEARS) -> dict[str, DataFrame]:
     return {
         "dim_date": dims.dim_date(silver_orders),
         "dim_product": dims.dim_product(silver_orders),
@@ -61,7 +61,7 @@ def reports(fact: DataFrame, d: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def gold_from_silver(silver_orders: DataFrame, silver_customers: DataFrame,
-                     cohort_years: Sequence[int] | None = dims.REFERENCE_COHORT_YEARS) -> dict[str, DataFrame]:
+                     cohort_years: Sequence[int] | None = dims.DEFAULT_COHORT_YEARS) -> dict[str, DataFrame]:
     d = dimensions(silver_orders, silver_customers, cohort_years)
     fact = facts.fact_order_items(silver_orders)
     return {**d, "fact_order_items": fact, **reports(fact, d)}

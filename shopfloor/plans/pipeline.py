@@ -172,7 +172,7 @@ def run(
     raw: DataFrame,
     root: str,
     run_id: str | None = None,
-    cohort_years: Sequence[int] | None = dims.REFERENCE_COHORT_YEARS,
+    cohort_years: Sequence[int] | None = dims.DEFAULT_COHORT_YEARS,
     jdbc_url: str | None = None,
     jdbc_properties: Mapping[str, str] | None = None,
     fail_on: str | None = None,
