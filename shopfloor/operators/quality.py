@@ -47,6 +47,11 @@ CUSTOMER_NULL_THRESHOLDS = (("customer_id", 0.0), ("first_seen_time", 0.0))
 FACT_KEY_COLUMNS = ("invoice_id", "stock_code", "date_key", "country")
 ANOMALY_DEVIATION = (3, 10)  # 30 % of the mean, as a fraction
 MOM_UPPER, MOM_LOWER = 200, -80
+# Reports read by the gold checks.
+GOLD_CHECK_REPORTS = (
+    "revenue_yearly", "revenue_monthly", "aov_monthly", "customer_lifetime_value", "retention_rate",
+    "basket_size_monthly", "new_vs_returning",
+)
 
 
 # ── building blocks ──────────────────────────────────────────────────────────

@@ -261,7 +261,7 @@ def q_dq_gold_checks(spark, sf_dir):
 
     t = _tables(spark, sf_dir)
     _, _, so, sc = _silver_pair(t, pin=True)
-    g = gold_from_silver(so, sc, COHORT_YEARS)
+    g = gold_from_silver(so, sc, COHORT_YEARS, report_names=dq.GOLD_CHECK_REPORTS)
     return dq.gold_checks(
         g["fact_order_items"], g["dim_product"], g["dim_customer"], g["dim_date"], g["revenue_yearly"],
         g["revenue_monthly"], g["aov_monthly"], g["customer_lifetime_value"], g["retention_rate"],
@@ -269,6 +269,12 @@ def q_dq_gold_checks(spark, sf_dir):
     )
 
 
+def q_dq_summary(spark, sf_dir):
+    """DQ-32: totals by status over both check suites of one run."""
+    both = q_dq_silver_checks(spark, sf_dir).unionByName(q_dq_gold_checks(spark, sf_dir))
+    return dq.summary(both)
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "dim_date": q_dim_date,
@@ -302,6 +308,7 @@ def queries() -> dict[str, Query]:
         "revenue_monthly_from_events": q_revenue_monthly_from_events,
         "dq_silver_checks": q_dq_silver_checks,
         "dq_gold_checks": q_dq_gold_checks,
+        "dq_summary": q_dq_summary,
     }
     from shopfloor.plans import catalog_profile
 

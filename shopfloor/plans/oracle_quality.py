@@ -44,7 +44,8 @@ silver_customers AS (SELECT CAST(customer_id AS VARCHAR) AS customer_id, country
 monthly AS (SELECT year, month, """ + msum("total_amount") + """ AS rev FROM silver_orders
             WHERE event_type = 'order_item_created' GROUP BY year, month),
 mstats AS (SELECT sum(rev) AS s_rev, count(rev) AS n_rev FROM monthly),
-mflag AS (SELECT m.*, 10 * abs(m.rev * t.n_rev - t.s_rev) > 3 * t.s_rev AS anom FROM monthly m, mstats t),
+mflag AS (SELECT *, 10 * abs(rev * count(rev) OVER () - sum(rev) OVER ()) > 3 * sum(rev) OVER () AS anom
+          FROM monthly),
 s AS (SELECT
   (SELECT count(*) FROM sales_lines) AS raw_orders,
   (SELECT count(DISTINCT customer_id) FROM sales_lines) AS raw_customers,
@@ -238,4 +239,9 @@ s AS (SELECT
 
 
 def quality_sql() -> dict[str, str]:
-    return {"dq_silver_checks": silver_checks_sql(), "dq_gold_checks": gold_checks_sql()}
+    silver, gold = silver_checks_sql(), gold_checks_sql()
+    summary = (
+        f"SELECT status, count(*) AS checks FROM (SELECT status FROM ({silver}) "
+        f"UNION ALL SELECT status FROM ({gold})) GROUP BY status"
+    )
+    return {"dq_silver_checks": silver, "dq_gold_checks": gold, "dq_summary": summary}
