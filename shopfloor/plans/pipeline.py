@@ -11,7 +11,8 @@ the run unless ``fail_on`` asks for it.
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,17 @@ class Layout:
         return self.p("gold", "data_quality_issues", "orphan_orders")
 
 
+def run_concurrently(tasks: Sequence[Callable[[], object]], parallel: int = 4) -> list[object]:
+    """Submit independent Spark jobs from a few driver threads.  Spark runs
+    jobs of different threads at the same time, so small jobs (dimension and
+    report writes) share the executors instead of queueing one by one.
+    Any failure is raised."""
+    if parallel <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
+
+
 def publish_events(raw: DataFrame, layout: Layout, partitions: int = 8) -> None:
     """Producer stand-in: write order and customer events as Kafka-shaped
     records into the topic folders the bronze streams read."""
@@ -115,10 +127,16 @@ def ingest_bronze(spark: SparkSession, layout: Layout, trigger: Mapping[str, obj
     return {q.name: bronze_stream.ingested_rows(q) for q in queries}
 
 
-def build_silver(spark: SparkSession, layout: Layout, silver_partitions: int | None = None) -> None:
+def build_silver(spark: SparkSession, layout: Layout, silver_partitions: int | None = None, parallel: int = 2) -> None:
     orders = silver.silver_orders(spark.read.parquet(layout.bronze_orders))
-    files.write_partitioned(orders, layout.silver_orders, files_per_partition=silver_partitions)
-    files.write_table(silver.silver_customers(spark.read.parquet(layout.bronze_customers)), layout.silver_customers)
+    customers = silver.silver_customers(spark.read.parquet(layout.bronze_customers))
+    run_concurrently(
+        [
+            lambda: files.write_partitioned(orders, layout.silver_orders, files_per_partition=silver_partitions),
+            lambda: files.write_table(customers, layout.silver_customers),
+        ],
+        parallel,
+    )
 
 
 def silver_quality(spark: SparkSession, layout: Layout, run_id: str, raw: DataFrame | None = None) -> DataFrame:
@@ -135,18 +153,23 @@ def silver_quality(spark: SparkSession, layout: Layout, run_id: str, raw: DataFr
     return spark.read.parquet(layout.metrics).filter((F.col("run_id") == run_id) & (F.col("layer") != "gold"))
 
 
-def build_gold(spark: SparkSession, layout: Layout, cohort_years: Sequence[int] | None) -> None:
-    so, sc = spark.read.parquet(layout.silver_orders), spark.read.parquet(layout.silver_customers)
-    d = gold.dimensions(so, sc, cohort_years)
-    for name, df in d.items():
-        files.write_table(df, layout.dimension(name))
+def build_gold(spark: SparkSession, layout: Layout, cohort_years: Sequence[int] | None, parallel: int = 8) -> None:
+    """Dimensions and fact from silver, then every report from the stored
+    fact and dimensions (pruned, partition-aware scans)."""
     from shopfloor.operators import facts
 
-    files.write_partitioned(facts.fact_order_items(so), layout.fact)
+    so, sc = spark.read.parquet(layout.silver_orders), spark.read.parquet(layout.silver_customers)
+    d = gold.dimensions(so, sc, cohort_years)
+    writes = [lambda n=n, df=df: files.write_table(df, layout.dimension(n)) for n, df in d.items()]
+    writes.append(lambda: files.write_partitioned(facts.fact_order_items(so), layout.fact))
+    run_concurrently(writes, parallel)
     fact = spark.read.parquet(layout.fact)
     stored = {name: spark.read.parquet(layout.dimension(name)) for name in gold.DIMENSIONS}
-    for name, df in gold.reports(fact, stored).items():
-        files.write_table(df, layout.report(name))
+
+    def write_report(name: str) -> None:
+        files.write_table(gold.reports(fact, stored, [name])[name], layout.report(name))
+
+    run_concurrently([lambda n=n: write_report(n) for n in gold.REPORTS], parallel)
 
 
 def gold_quality(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
