@@ -136,6 +136,11 @@ def rows_per_spark_partition(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("spark_partition")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def file_count(df: DataFrame) -> int:
+    """PRO-09: number of files behind a file-based DataFrame (small-file check)."""
+    return len(df.inputFiles())
+
+
 def descriptions_per_code(df: DataFrame, key: str = "stock_code", value: str = "description") -> DataFrame:
     """PRO-10: distinct non-null descriptions per stock code."""
     return df.groupBy(key).agg(F.countDistinct(value).alias("n_descriptions"))

@@ -127,9 +127,14 @@ def ingest_bronze(spark: SparkSession, layout: Layout, trigger: Mapping[str, obj
     return {q.name: bronze_stream.ingested_rows(q) for q in queries}
 
 
-def build_silver(spark: SparkSession, layout: Layout, silver_partitions: int | None = None, parallel: int = 2) -> None:
-    orders = silver.silver_orders(spark.read.parquet(layout.bronze_orders))
-    customers = silver.silver_customers(spark.read.parquet(layout.bronze_customers))
+def build_silver(spark: SparkSession, layout: Layout, silver_partitions: int | None = None,
+                 parallel: int = 2) -> dict[str, int]:
+    """Silver orders (partitioned by year, month) and customers; returns the
+    rows written per table, observed during the write."""
+    orders, o_obs = files.counted(silver.silver_orders(spark.read.parquet(layout.bronze_orders)), "silver_orders")
+    customers, c_obs = files.counted(
+        silver.silver_customers(spark.read.parquet(layout.bronze_customers)), "silver_customers"
+    )
     run_concurrently(
         [
             lambda: files.write_partitioned(orders, layout.silver_orders, files_per_partition=silver_partitions),
@@ -137,6 +142,9 @@ def build_silver(spark: SparkSession, layout: Layout, silver_partitions: int | N
         ],
         parallel,
     )
+    written = {"silver_orders": int(o_obs.get["rows"]), "silver_customers": int(c_obs.get["rows"])}
+    log.info("silver written: %s", written)
+    return written
 
 
 def silver_quality(spark: SparkSession, layout: Layout, run_id: str, raw: DataFrame | None = None) -> DataFrame:
@@ -209,7 +217,7 @@ def run(
     if publish:
         publish_events(raw, layout)
     ingested = ingest_bronze(spark, layout)
-    build_silver(spark, layout)
+    written = build_silver(spark, layout)
     silver_metrics = silver_quality(spark, layout, run_id, raw=raw)
     build_gold(spark, layout, cohort_years)
     gold_metrics = gold_quality(spark, layout, run_id)
@@ -217,4 +225,5 @@ def run(
     served = publish_serving(spark, layout, jdbc_url, jdbc_properties) if jdbc_url else {}
     if fail_on and totals.get(fail_on, 0):
         raise RuntimeError(f"{totals[fail_on]} checks ended {fail_on} in run {run_id}")
-    return {"run_id": run_id, "ingested": ingested, "checks": totals, "served": served, "layout": layout}
+    return {"run_id": run_id, "ingested": ingested, "written": written, "checks": totals, "served": served,
+            "layout": layout}

@@ -8,10 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` instrumented to count the rows that flow through it; read
+    ``obs.get["rows"]`` after the write (one pass, no second ``count()``)."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK-02: (over)write an unpartitioned Parquet table."""
     df.write.mode(mode).parquet(path)

@@ -130,3 +130,17 @@ def test_partitioned_write_layout(spark, scratch):
     assert back.count() == 2000 and {"year", "month"} <= set(back.columns)
     n = [f for f in os.listdir(f"{scratch}/q/year=0/month=1") if f.endswith(".parquet")]
     assert 1 <= len(n) <= 4
+
+
+def test_partition_profile(spark, scratch):
+    df = spark.range(0, 100).repartition(5)
+    counts = {r.spark_partition: r.rows for r in pro.rows_per_spark_partition(df).collect()}
+    assert sum(counts.values()) == 100 and len(counts) == 5
+    df.write.parquet(f"{scratch}/f")
+    assert pro.file_count(spark.read.parquet(f"{scratch}/f")) == 5
+
+
+def test_counted_write(spark, scratch):
+    df, obs = files.counted(spark.range(0, 42), "n")
+    files.write_table(df, f"{scratch}/c")
+    assert obs.get["rows"] == 42

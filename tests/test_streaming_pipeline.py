@@ -51,6 +51,7 @@ def test_pipeline_end_to_end(spark, scratch):
     out = pipeline.run(spark, raw, f"{scratch}/lake", run_id="r1", jdbc_url=derby, jdbc_properties=props)
     assert out["ingested"]["bronze_orders"] == raw.filter("Quantity != 0").count()
     assert sum(out["checks"].values()) == 45
+    assert out["written"]["silver_orders"] == spark.read.parquet(out["layout"].silver_orders).count()
     assert out["served"]["revenue_monthly"] == spark.read.parquet(out["layout"].report("revenue_monthly")).count()
     silver = spark.read.parquet(out["layout"].silver_orders)
     assert {"year", "month"} <= set(silver.columns)
