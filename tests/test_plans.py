@@ -52,3 +52,12 @@ def test_window_guard_catches_whole_table_window(spark):
     assert cols == {"id"} and not cols <= BOUNDED_ORDER
     ok = re.findall(r"windowspecdefinition\(([^)]*)\)", _plan(QUERIES["revenue_monthly"](spark, SF)))
     assert ok and all("year" in s and "month" in s for s in ok)
+
+
+def test_skew_sensitive_steps_pre_aggregate(spark):
+    silver_plan = _plan(QUERIES["silver_orders"](spark, SF))
+    assert "partial_min(" in silver_plan  # dedup: one row per key leaves each task
+    clv_plan = _plan(QUERIES["customer_lifetime_value"](spark, SF))
+    assert "partial_count(distinct" in clv_plan or "partial_count(" in clv_plan
+    first_seen = _plan(QUERIES["customer_events"](spark, SF))
+    assert "partial_min(" in first_seen

@@ -61,3 +61,14 @@ def test_pipeline_end_to_end(spark, scratch):
     fact = spark.read.parquet(out["layout"].fact).select("invoice_id", "stock_code", "quantity", "total_amount")
     q = catalog.q_silver_fact_order_items(spark, SF).select("invoice_id", "stock_code", "quantity", "total_amount")
     assert fact.exceptAll(q).count() == 0 and q.exceptAll(fact).count() == 0
+
+
+def test_bounded_micro_batches(spark, scratch):
+    topic = f"{scratch}/topic"
+    for i in range(3):
+        _topic(spark, topic, 2, start=10 * i)
+    q = bs.start_bronze(streams.record_file_stream(spark, topic, max_files_per_trigger=1), f"{scratch}/b",
+                        f"{scratch}/c", bs.AVAILABLE_NOW, "bounded")
+    bs.await_all(spark, [q])
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) >= 3 and bs.ingested_rows(q) == 6
