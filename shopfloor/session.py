@@ -69,3 +69,22 @@ def pin(df, name: str):
     path = f"{checkpoint_dir(spark).rstrip('/')}/pinned/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 256 * 1024**2,
+               max_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Suggested settings for a job that shuffles about ``shuffle_bytes``.
+
+    The initial shuffle partition count is sized so each partition holds
+    about ``target_partition_bytes`` (AQE then coalesces small ones and splits
+    skewed ones to the same advisory size); scans read splits of
+    ``max_partition_bytes``.  E.g. 20 TB shuffled -> ~80,000 partitions.
+    """
+    partitions = max(200, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+    }

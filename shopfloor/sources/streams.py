@@ -73,10 +73,16 @@ def replay_records(
 
     Records of one key share a partition (keyed topic).  ``offset`` defaults
     to the record's ``line_number`` when present (its position in the
-    source), else a unique increasing id.
+    source), else a hash of the record: a replay has no broker order, and a
+    value computed from the row itself is the same when a task is retried
+    (an id drawn from task-local row order would not be).
     """
     if offset is None:
-        offset = F.col("line_number") if "line_number" in records.columns else F.monotonically_increasing_id()
+        offset = (
+            F.col("line_number")
+            if "line_number" in records.columns
+            else F.abs(F.xxhash64("key", "value", "event_ts"))
+        )
     return records.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),

@@ -72,3 +72,41 @@ def test_bounded_micro_batches(spark, scratch):
     bs.await_all(spark, [q])
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) >= 3 and bs.ingested_rows(q) == 6
+
+
+def test_ingest_counter_listener(spark, scratch):
+    import time
+
+    topic = f"{scratch}/topic"
+    _topic(spark, topic, 5)
+    counter = bs.IngestCounter()
+    spark.streams.addListener(counter)
+    try:
+        q = bs.start_bronze(streams.record_file_stream(spark, topic), f"{scratch}/b", f"{scratch}/c",
+                            bs.AVAILABLE_NOW, "counted")
+        bs.await_all(spark, [q])
+        for _ in range(50):  # listener events arrive asynchronously
+            if counter.rows.get("counted") == 5:
+                break
+            time.sleep(0.1)
+        assert counter.rows.get("counted") == 5
+    finally:
+        spark.streams.removeListener(counter)
+
+
+def test_replay_offsets_are_deterministic(spark):
+    from shopfloor.operators import events as evt
+
+    raw = adapter.raw_sales_lines(TableSet(spark, SF))
+    fixed = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")
+    recs = evt.customer_records(evt.customer_events(raw, ingestion_time=fixed))
+    a = {r.key: r.offset for r in streams.replay_records(recs, "c").collect()}
+    b = {r.key: r.offset for r in streams.replay_records(recs.repartition(3), "c").collect()}
+    assert a == b
+
+
+def test_scale_conf():
+    from shopfloor.session import scale_conf
+
+    conf = scale_conf(20 * 1024**4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 81920
