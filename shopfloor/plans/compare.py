@@ -26,13 +26,16 @@ def duckdb_connection(sf_dir: str):
     return con
 
 
+EXACT = True  # doubles must agree bit for bit (money is exact by construction)
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, Decimal):
         return float(f"{float(v):.9g}")
     if isinstance(v, _dt.datetime):
