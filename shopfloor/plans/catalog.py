@@ -250,17 +250,15 @@ def _silver_pair(t: TableSet, pin: bool = False) -> tuple[DataFrame, DataFrame,
     return ob, cb, so, sc
 
 
-def q_dq_silver_checks(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    ob, cb, so, sc = _silver_pair(t, pin=True)
+def _silver_checks(t: TableSet, pinned) -> DataFrame:
+    ob, cb, so, sc = pinned
     return dq.silver_checks(ob, cb, so, sc, raw=adapter.raw_sales_lines(t))
 
 
-def q_dq_gold_checks(spark, sf_dir):
+def _gold_checks(pinned) -> DataFrame:
     from shopfloor.plans.gold import gold_from_silver
 
-    t = _tables(spark, sf_dir)
-    _, _, so, sc = _silver_pair(t, pin=True)
+    _, _, so, sc = pinned
     g = gold_from_silver(so, sc, COHORT_YEARS, report_names=dq.GOLD_CHECK_REPORTS)
     return dq.gold_checks(
         g["fact_order_items"], g["dim_product"], g["dim_customer"], g["dim_date"], g["revenue_yearly"],
@@ -269,10 +267,22 @@ def q_dq_gold_checks(spark, sf_dir):
     )
 
 
+def q_dq_silver_checks(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return _silver_checks(t, _silver_pair(t, pin=True))
+
+
+def q_dq_gold_checks(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return _gold_checks(_silver_pair(t, pin=True))
+
+
 def q_dq_summary(spark, sf_dir):
-    """DQ-32: totals by status over both check suites of one run."""
-    both = q_dq_silver_checks(spark, sf_dir).unionByName(q_dq_gold_checks(spark, sf_dir))
-    return dq.summary(both)
+    """DQ-32: totals by status over both check suites of one run (silver is
+    pinned once and shared by both suites)."""
+    t = _tables(spark, sf_dir)
+    pinned = _silver_pair(t, pin=True)
+    return dq.summary(_silver_checks(t, pinned).unionByName(_gold_checks(pinned)))
 
 
 def queries() -> dict[str, Query]:
