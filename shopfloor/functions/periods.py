@@ -28,3 +28,20 @@ def period_index(year: Column | str = "year", month: Column | str = "month") ->
 def is_weekend(d: Column | str) -> Column:
     # dayofweek: Sunday = 1 ... Saturday = 7
     return F.dayofweek(_col(d)).isin(1, 7)
+
+
+def in_months(start: str | None = None, end: str | None = None,
+              year: Column | str = "year", month: Column | str = "month") -> Column:
+    """Rows whose (year, month) lies in ``[start, end]`` (``"YYYY-MM"``,
+    either side open).  On a table stored partitioned by year and month the
+    predicate only touches partition columns, so Spark prunes whole
+    directories before reading any file."""
+    key = _col(year) * 100 + _col(month)
+    cond = F.lit(True)
+    if start:
+        y, m = (int(x) for x in start.split("-"))
+        cond = cond & (key >= y * 100 + m)
+    if end:
+        y, m = (int(x) for x in end.split("-"))
+        cond = cond & (key <= y * 100 + m)
+    return cond

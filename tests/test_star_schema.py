@@ -113,3 +113,16 @@ def test_global_dense_rank_equals_window(spark, values, buckets):
         order = F.col("v").desc() if desc else F.col("v").asc()
         want = {r.id: r.rk for r in df.withColumn("rk", F.dense_rank().over(Window.orderBy(order))).collect()}
         assert got == want
+
+
+def test_month_range_prunes_partitions(spark, scratch):
+    from shopfloor.functions.periods import in_months
+    from shopfloor.sinks import files
+
+    f = _fact(spark, [("1", "A", "c", 2010, m, 1, 1.0, False) for m in range(1, 13)])
+    files.write_partitioned(f, f"{scratch}/fact")
+    stored = spark.read.parquet(f"{scratch}/fact").filter(in_months("2010-03", "2010-05"))
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    got = rep.revenue_monthly(rep.confirmed_sales(stored)).collect()
+    assert sorted(r.month for r in got) == [3, 4, 5]
