@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopfloor.functions.json import json_field, parse, repair_nan
+from shopfloor.functions.json import json_field, repair_nan
 from shopfloor.functions.money import ratio
 from shopfloor.schemas import ORDER_EVENT
 
@@ -244,6 +244,3 @@ def parse_probe(bronze: DataFrame) -> DataFrame:
     """Payload fields as strings via single-path extracts (no schema)."""
     fields = [f.name for f in ORDER_EVENT.fields]
     return bronze.select(*[json_field("raw_json", f"$.{f}").alias(f) for f in fields])
-
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["parse"]

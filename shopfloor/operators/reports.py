@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopfloor.functions.money import as_double, money, money_ratio, money_sum, pct_change, ratio
+from shopfloor.functions.money import as_double, money_ratio, money_sum, pct_change, ratio
 from shopfloor.functions.periods import period_index, year_month
 from shopfloor.operators.ranking import global_dense_rank
 
@@ -294,7 +294,3 @@ def basket_size_monthly(sales: DataFrame) -> DataFrame:
 
 def basket_size_overall(sales: DataFrame) -> DataFrame:
     return _baskets(sales).agg(*_basket_aggs())
-
-
-# money() is re-exported for callers composing their own report columns
-__all__ = [name for name in dir() if not name.startswith("_")] + ["money"]

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shopfloor.operators import dimensions as dims
 from shopfloor.operators import events as evt
@@ -327,6 +326,3 @@ def queries() -> dict[str, Query]:
 
     out.update(catalog_serving.queries())
     return out
-
-
-__all__ = ["queries", "customers_first_seen", "F"]
