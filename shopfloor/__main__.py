@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
 
-    from shopfloor.plans import pipeline
+    from shopfloor.plans import flow
     from shopfloor.session import BASE_CONF, build_session
 
     if args.master:
@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
         raw = read_raw_sales(spark, args.raw_csv)
     props = {k: v for k, v in (("driver", args.jdbc_driver), ("user", args.jdbc_user),
                                ("password", args.jdbc_password)) if v}
-    out = pipeline.run(spark, raw, args.root, run_id=args.run_id, jdbc_url=args.jdbc_url,
+    out = flow.run(spark, raw, args.root, run_id=args.run_id, jdbc_url=args.jdbc_url,
                        jdbc_properties=props, fail_on=args.fail_on)
     out.pop("layout", None)
     print(json.dumps(out))

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from shopfloor.plans import pipeline
+from shopfloor.plans import flow
 from shopfloor.sources import adapter, streams
 from shopfloor.sources.tables import TableSet
 from shopfloor.streaming import bronze as bs
@@ -44,11 +44,11 @@ def test_failed_stream_is_reported(spark, scratch):
         bs.await_all(spark, [q])
 
 
-def test_pipeline_end_to_end(spark, scratch):
+def test_end_to_end_run(spark, scratch):
     raw = adapter.raw_sales_lines(TableSet(spark, SF))
     derby = "jdbc:derby:memory:shopfloor_test;create=true"
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    out = pipeline.run(spark, raw, f"{scratch}/lake", run_id="r1", jdbc_url=derby, jdbc_properties=props)
+    out = flow.run(spark, raw, f"{scratch}/lake", run_id="r1", jdbc_url=derby, jdbc_properties=props)
     assert out["ingested"]["bronze_orders"] == raw.filter("Quantity != 0").count()
     assert sum(out["checks"].values()) == 45
     assert out["written"]["silver_orders"] == spark.read.parquet(out["layout"].silver_orders).count()
