@@ -18,6 +18,7 @@ check is WARN (or FAIL where the rule says so), never an error.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -47,6 +48,77 @@ CUSTOMER_NULL_THRESHOLDS = (("customer_id", 0.0), ("first_seen_time", 0.0))
 FACT_KEY_COLUMNS = ("invoice_id", "stock_code", "date_key", "country")
 ANOMALY_DEVIATION = (3, 10)  # 30 % of the mean, as a fraction
 MOM_UPPER, MOM_LOWER = 200, -80
+
+# The texts recorded for each check (expected / actual /
+# details), in check order.  ``{name}`` marks a value filled in from the data.
+TEXTS = {
+    "zero.expected": "0",
+    "row_count_vs_raw.details": "Drop: {pct}%",
+    "row_count_vs_bronze.details.orders": "Drop: {pct}% (expected: dedup only)",
+    "row_count_vs_bronze.details.customers": "Drop: {pct}%",
+    "null_check.expected": "<={limit}%",
+    "null_check.actual": "{pct}%",
+    "null_check.details": "{n} nulls out of {total}",
+    "duplicate_check.details.orders": "Duplicates remaining after dedup on (invoice_id, stock_code, event_time, quantity)",
+    "duplicate_check.details.customers": "Duplicate customer_ids in silver",
+    "business_rule_zero_quantity.details": "Rows where quantity = 0",
+    "business_rule_negative_price.details": "Rows where unit_price < 0",
+    "business_rule_event_type_values.details": "Rows with unexpected event_type values",
+    "referential_integrity_customer_id.details": "{n} orders have customer_id not found in customers silver",
+    "anomaly_zero_revenue_months.details": "Months with zero revenue",
+    "anomaly_monthly_revenue_deviation.expected": "within 30% of mean (£{mean})",
+    "anomaly_monthly_revenue_deviation.month": "{year_month}: £{revenue}",
+    "anomaly_monthly_revenue_deviation.details": "Anomalous months: {months}",
+    "anomaly_monthly_revenue_deviation.details.none": "None",
+    "row_count_vs_silver.details": "Difference: {n} rows",
+    "null_check_key.details": "{n} nulls in {column}",
+    "event_split.expected": ">0",
+    "event_split_created.details": "order_item_created count in fact",
+    "event_split_cancelled.details": "order_item_cancelled count in fact",
+    "no_negative_total_amount.details": "Rows with negative total_amount (should be 0 — absolute values stored)",
+    "no_negative_quantity.details": "Rows with negative quantity (should be 0 — absolute values stored)",
+    "referential_integrity_date_key.details": "{n} date_keys in fact not found in dim_date",
+    "referential_integrity_stock_code.details": "{n} stock_codes in fact not found in dim_product",
+    "duplicate_stock_codes.details": "Duplicate stock_codes in dim_product",
+    "null_descriptions.details": "{n} products with null description",
+    "duplicate_customer_ids.details": "Duplicate customer_ids in dim_customer",
+    "date_range_min.details": "Earliest date in dim_date",
+    "date_range_max.details": "Latest date in dim_date",
+    "revenue_reconciliation_vs_fact.details": "Difference: £{diff}",
+    "no_zero_revenue_months.details": "{n} months with zero or negative revenue",
+    "extreme_mom_change.details": "{n} months with extreme MoM revenue change (>200% or <-80%)",
+    "aov_positive.expected": ">0",
+    "aov_positive.details": "Min AOV across months: £{min}",
+    "no_negative_clv.details": "{n} customers with negative lifetime revenue",
+    "clv_customer_count.details": "Expected dim_customer ({n}) + 1 guest = {expected}",
+    "retention_rate_bounds.expected": "0-100%",
+    "retention_rate_bounds.actual": "{n} violations",
+    "retention_rate_bounds.details": "Retention rate must be between 0 and 100",
+    "basket_size_min.expected": ">=1",
+    "basket_size_min.details": "Minimum avg basket size across months: {min}",
+    "new_customers_every_month.details": "Months missing 'new' customer records: {n}",
+}
+
+_SLOT = re.compile(r"\{(\w+)\}")
+
+
+def template_parts(key: str) -> list[tuple[str, str]]:
+    """``TEXTS[key]`` split into ("lit", text) and ("slot", name) parts."""
+    t, parts, pos = TEXTS[key], [], 0
+    for m in _SLOT.finditer(t):
+        if m.start() > pos:
+            parts.append(("lit", t[pos:m.start()]))
+        parts.append(("slot", m.group(1)))
+        pos = m.end()
+    if pos < len(t):
+        parts.append(("lit", t[pos:]))
+    return parts
+
+
+def text(key: str, **values: Column) -> Column:
+    """Render ``TEXTS[key]`` with column values in its slots."""
+    cols = [F.lit(v) if kind == "lit" else values[v] for kind, v in template_parts(key)]
+    return cols[0] if len(cols) == 1 else F.concat(*cols)
 # Reports read by the gold checks.
 GOLD_CHECK_REPORTS = (
     "revenue_yearly", "revenue_monthly", "aov_monthly", "customer_lifetime_value", "retention_rate",
@@ -131,7 +203,8 @@ def _monthly_revenue_stats(orders_silver: DataFrame) -> DataFrame:
         {
             "__mean": money_ratio(s, n),
             "__anom": F.abs(F.col("rev") * n - s) * den > s * num,
-            "__label": F.concat(year_month(), F.lit(": £"), num_text(F.col("rev"))),
+            "__label": text("anomaly_monthly_revenue_deviation.month", year_month=year_month(),
+                            revenue=num_text(F.col("rev"))),
         }
     )
     return flagged.agg(
@@ -201,6 +274,7 @@ def silver_checks(
         ]
     )
     c = F.col
+    zero = text("zero.expected")
     rows: list[Column] = []
     for pipeline, raw_c, bronze_c in (
         ("retail_orders", "raw_orders", "bronze_orders"),
@@ -208,15 +282,15 @@ def silver_checks(
     ):
         p = pct(c(raw_c) - c(bronze_c), c(raw_c))
         rows.append(check(pipeline, "bronze", "row_count_vs_raw", int_text(c(raw_c)), int_text(c(bronze_c)),
-                          F.when(p < 1, PASS).otherwise(WARN), F.concat(F.lit("Drop: "), num_text(p), F.lit("%"))))
-    for pipeline, bronze_c, silver_c, limit, note in (
-        ("retail_orders", "bronze_orders", "silver_orders", 5, " (expected: dedup only)"),
-        ("retail_customers", "bronze_customers", "silver_customers", 1, ""),
+                          F.when(p < 1, PASS).otherwise(WARN), text("row_count_vs_raw.details", pct=num_text(p))))
+    for pipeline, bronze_c, silver_c, limit, which in (
+        ("retail_orders", "bronze_orders", "silver_orders", 5, "orders"),
+        ("retail_customers", "bronze_customers", "silver_customers", 1, "customers"),
     ):
         p = pct(c(bronze_c) - c(silver_c), c(bronze_c))
         rows.append(check(pipeline, "silver", "row_count_vs_bronze", int_text(c(bronze_c)), int_text(c(silver_c)),
                           F.when(p < limit, PASS).otherwise(WARN),
-                          F.concat(F.lit("Drop: "), num_text(p), F.lit("%" + note))))
+                          text(f"row_count_vs_bronze.details.{which}", pct=num_text(p))))
     for pipeline, total_c, prefix, thresholds in (
         ("retail_orders", "silver_orders", "null_o_", ORDER_NULL_THRESHOLDS),
         ("retail_customers", "silver_customers", "null_c_", CUSTOMER_NULL_THRESHOLDS),
@@ -224,31 +298,32 @@ def silver_checks(
         for col_name, limit in thresholds:
             n = c(prefix + col_name)
             p = pct(n, c(total_c))
-            rows.append(check(pipeline, "silver", f"null_check_{col_name}", f"<={_float_text(limit)}%",
-                              F.concat(num_text(p), F.lit("%")), F.when(p <= limit, PASS).otherwise(WARN),
-                              F.concat(int_text(n), F.lit(" nulls out of "), int_text(c(total_c)))))
+            rows.append(check(pipeline, "silver", f"null_check_{col_name}",
+                              text("null_check.expected", limit=F.lit(_float_text(limit))),
+                              text("null_check.actual", pct=num_text(p)), F.when(p <= limit, PASS).otherwise(WARN),
+                              text("null_check.details", n=int_text(n), total=int_text(c(total_c)))))
     rows += [
-        check("retail_orders", "silver", "duplicate_check", "0", int_text(c("order_dupes")),
-              zero_rule(c("order_dupes"), FAIL),
-              "Duplicates remaining after dedup on (invoice_id, stock_code, event_time, quantity)"),
-        check("retail_customers", "silver", "duplicate_check", "0", int_text(c("customer_dupes")),
-              zero_rule(c("customer_dupes"), FAIL), "Duplicate customer_ids in silver"),
-        check("retail_orders", "silver", "business_rule_zero_quantity", "0", int_text(c("zero_qty")),
-              zero_rule(c("zero_qty"), FAIL), "Rows where quantity = 0"),
-        check("retail_orders", "silver", "business_rule_negative_price", "0", int_text(c("neg_price")),
-              zero_rule(c("neg_price"), WARN), "Rows where unit_price < 0"),
-        check("retail_orders", "silver", "business_rule_event_type_values", "0", int_text(c("bad_event_type")),
-              zero_rule(c("bad_event_type"), FAIL), "Rows with unexpected event_type values"),
-        check("retail_orders", "silver", "referential_integrity_customer_id", "0", int_text(c("orphans")),
-              F.when(c("orphans") == 0, PASS).otherwise(WARN),
-              F.concat(int_text(c("orphans")), F.lit(" orders have customer_id not found in customers silver"))),
-        check("retail_orders", "silver", "anomaly_zero_revenue_months", "0", int_text(c("zero_rev_months")),
-              zero_rule(c("zero_rev_months"), FAIL), "Months with zero revenue"),
+        check("retail_orders", "silver", "duplicate_check", zero, int_text(c("order_dupes")),
+              zero_rule(c("order_dupes"), FAIL), text("duplicate_check.details.orders")),
+        check("retail_customers", "silver", "duplicate_check", zero, int_text(c("customer_dupes")),
+              zero_rule(c("customer_dupes"), FAIL), text("duplicate_check.details.customers")),
+        check("retail_orders", "silver", "business_rule_zero_quantity", zero, int_text(c("zero_qty")),
+              zero_rule(c("zero_qty"), FAIL), text("business_rule_zero_quantity.details")),
+        check("retail_orders", "silver", "business_rule_negative_price", zero, int_text(c("neg_price")),
+              zero_rule(c("neg_price"), WARN), text("business_rule_negative_price.details")),
+        check("retail_orders", "silver", "business_rule_event_type_values", zero, int_text(c("bad_event_type")),
+              zero_rule(c("bad_event_type"), FAIL), text("business_rule_event_type_values.details")),
+        check("retail_orders", "silver", "referential_integrity_customer_id", zero, int_text(c("orphans")),
+              zero_rule(c("orphans"), WARN),
+              text("referential_integrity_customer_id.details", n=int_text(c("orphans")))),
+        check("retail_orders", "silver", "anomaly_zero_revenue_months", zero, int_text(c("zero_rev_months")),
+              zero_rule(c("zero_rev_months"), FAIL), text("anomaly_zero_revenue_months.details")),
         check("retail_orders", "silver", "anomaly_monthly_revenue_deviation",
-              F.concat(F.lit("within 30% of mean (£"), num_text(c("mean_revenue")), F.lit(")")),
+              text("anomaly_monthly_revenue_deviation.expected", mean=num_text(c("mean_revenue"))),
               int_text(c("anomalous_months")), zero_rule(c("anomalous_months"), WARN),
-              F.when(c("anomalous_months") > 0, F.concat(F.lit("Anomalous months: "), c("anomalous_list")))
-              .otherwise(F.lit("None"))),
+              F.when(c("anomalous_months") > 0,
+                     text("anomaly_monthly_revenue_deviation.details", months=c("anomalous_list")))
+              .otherwise(text("anomaly_monthly_revenue_deviation.details.none"))),
     ]
     return check_rows(s, rows)
 
@@ -334,75 +409,66 @@ def gold_checks(
     ]
     s = scalar_row(parts)
     c = F.col
+    zero = text("zero.expected")
+    fo = "fact_order_items"
+
+    def count_check(table: str, name: str, scalar: str, bad: str, **slots: Column) -> Column:
+        v = c(scalar)
+        return check(table, "gold", name, zero, int_text(v), zero_rule(v, bad), text(f"{name}.details", **slots))
+
     rows: list[Column] = [
-        check("fact_order_items", "gold", "row_count_vs_silver", int_text(c("silver_count")),
-              int_text(c("fact_count")), F.when(c("fact_count") == c("silver_count"), PASS).otherwise(FAIL),
-              F.concat(F.lit("Difference: "), int_text(F.abs(c("fact_count") - c("silver_count"))), F.lit(" rows"))),
+        check(fo, "gold", "row_count_vs_silver", int_text(c("silver_count")), int_text(c("fact_count")),
+              F.when(c("fact_count") == c("silver_count"), PASS).otherwise(FAIL),
+              text("row_count_vs_silver.details", n=int_text(F.abs(c("fact_count") - c("silver_count"))))),
     ]
     for k in FACT_KEY_COLUMNS:
         n = c(f"null_f_{k}")
-        rows.append(check("fact_order_items", "gold", f"null_check_{k}", "0", int_text(n), zero_rule(n, FAIL),
-                          F.concat(int_text(n), F.lit(f" nulls in {k}"))))
+        rows.append(check(fo, "gold", f"null_check_{k}", zero, int_text(n), zero_rule(n, FAIL),
+                          text("null_check_key.details", n=int_text(n), column=F.lit(k))))
     rows += [
-        check("fact_order_items", "gold", "event_split_created", ">0", int_text(c("created_count")),
-              F.when(c("created_count") > 0, PASS).otherwise(FAIL), "order_item_created count in fact"),
-        check("fact_order_items", "gold", "event_split_cancelled", ">0", int_text(c("cancelled_count")),
-              F.when(c("cancelled_count") > 0, PASS).otherwise(FAIL), "order_item_cancelled count in fact"),
-        check("fact_order_items", "gold", "no_negative_total_amount", "0", int_text(c("neg_amount")),
-              zero_rule(c("neg_amount"), FAIL),
-              "Rows with negative total_amount (should be 0 — absolute values stored)"),
-        check("fact_order_items", "gold", "no_negative_quantity", "0", int_text(c("neg_qty")),
-              zero_rule(c("neg_qty"), FAIL), "Rows with negative quantity (should be 0 — absolute values stored)"),
-        check("fact_order_items", "gold", "referential_integrity_date_key", "0", int_text(c("orphan_dates")),
-              zero_rule(c("orphan_dates"), FAIL),
-              F.concat(int_text(c("orphan_dates")), F.lit(" date_keys in fact not found in dim_date"))),
-        check("fact_order_items", "gold", "referential_integrity_stock_code", "0", int_text(c("orphan_products")),
-              zero_rule(c("orphan_products"), FAIL),
-              F.concat(int_text(c("orphan_products")), F.lit(" stock_codes in fact not found in dim_product"))),
-        check("dim_product", "gold", "duplicate_stock_codes", "0", int_text(c("product_dupes")),
-              zero_rule(c("product_dupes"), FAIL), "Duplicate stock_codes in dim_product"),
-        check("dim_product", "gold", "null_descriptions", "0", int_text(c("null_desc")),
-              zero_rule(c("null_desc"), WARN),
-              F.concat(int_text(c("null_desc")), F.lit(" products with null description"))),
-        check("dim_customer", "gold", "duplicate_customer_ids", "0", int_text(c("customer_dupes")),
-              zero_rule(c("customer_dupes"), FAIL), "Duplicate customer_ids in dim_customer"),
+        check(fo, "gold", "event_split_created", text("event_split.expected"), int_text(c("created_count")),
+              F.when(c("created_count") > 0, PASS).otherwise(FAIL), text("event_split_created.details")),
+        check(fo, "gold", "event_split_cancelled", text("event_split.expected"), int_text(c("cancelled_count")),
+              F.when(c("cancelled_count") > 0, PASS).otherwise(FAIL), text("event_split_cancelled.details")),
+        count_check(fo, "no_negative_total_amount", "neg_amount", FAIL),
+        count_check(fo, "no_negative_quantity", "neg_qty", FAIL),
+        count_check(fo, "referential_integrity_date_key", "orphan_dates", FAIL, n=int_text(c("orphan_dates"))),
+        count_check(fo, "referential_integrity_stock_code", "orphan_products", FAIL,
+                    n=int_text(c("orphan_products"))),
+        count_check("dim_product", "duplicate_stock_codes", "product_dupes", FAIL),
+        count_check("dim_product", "null_descriptions", "null_desc", WARN, n=int_text(c("null_desc"))),
+        count_check("dim_customer", "duplicate_customer_ids", "customer_dupes", FAIL),
         check("dim_date", "gold", "date_range_min", date_min, int_text(c("min_date")),
-              F.when(c("min_date").cast("string") <= date_min, PASS).otherwise(WARN), "Earliest date in dim_date"),
+              F.when(c("min_date").cast("string") <= date_min, PASS).otherwise(WARN), text("date_range_min.details")),
         check("dim_date", "gold", "date_range_max", date_max_expected, int_text(c("max_date")),
               F.when(c("max_date").cast("string") >= date_max_required, PASS).otherwise(WARN),
-              "Latest date in dim_date"),
+              text("date_range_max.details")),
         check("revenue_yearly", "gold", "revenue_reconciliation_vs_fact", num_text(c("fact_revenue")),
               num_text(c("yearly_revenue")),
               F.when(F.abs(c("fact_revenue") - c("yearly_revenue")) < 1, PASS).otherwise(FAIL),
-              F.concat(F.lit("Difference: £"),
-                       F.abs(c("fact_revenue") - c("yearly_revenue")).cast("decimal(38,2)").cast("string"))),
-        check("revenue_monthly", "gold", "no_zero_revenue_months", "0", int_text(c("zero_rev_months")),
-              zero_rule(c("zero_rev_months"), FAIL),
-              F.concat(int_text(c("zero_rev_months")), F.lit(" months with zero or negative revenue"))),
-        check("revenue_monthly", "gold", "extreme_mom_change", "0", int_text(c("extreme_mom")),
+              text("revenue_reconciliation_vs_fact.details",
+                   diff=F.abs(c("fact_revenue") - c("yearly_revenue")).cast("decimal(38,2)").cast("string"))),
+        count_check("revenue_monthly", "no_zero_revenue_months", "zero_rev_months", FAIL,
+                    n=int_text(c("zero_rev_months"))),
+        check("revenue_monthly", "gold", "extreme_mom_change", zero, int_text(c("extreme_mom")),
               F.when(c("extreme_mom") > 0, WARN).otherwise(PASS),
-              F.concat(int_text(c("extreme_mom")),
-                       F.lit(" months with extreme MoM revenue change (>200% or <-80%)"))),
-        check("aov_monthly", "gold", "aov_positive", ">0", num_text(c("min_aov")),
-              F.when(c("min_aov") > 0, PASS).otherwise(FAIL),
-              F.concat(F.lit("Min AOV across months: £"), num_text(c("min_aov")))),
-        check("customer_lifetime_value", "gold", "no_negative_clv", "0", int_text(c("neg_clv")),
-              zero_rule(c("neg_clv"), FAIL),
-              F.concat(int_text(c("neg_clv")), F.lit(" customers with negative lifetime revenue"))),
+              text("extreme_mom_change.details", n=int_text(c("extreme_mom")))),
+        check("aov_monthly", "gold", "aov_positive", text("aov_positive.expected"), num_text(c("min_aov")),
+              F.when(c("min_aov") > 0, PASS).otherwise(FAIL), text("aov_positive.details", min=num_text(c("min_aov")))),
+        count_check("customer_lifetime_value", "no_negative_clv", "neg_clv", FAIL, n=int_text(c("neg_clv"))),
         check("customer_lifetime_value", "gold", "clv_customer_count", int_text(c("dim_customer_count") + 1),
               int_text(c("clv_count")), F.when(c("clv_count") == c("dim_customer_count") + 1, PASS).otherwise(WARN),
-              F.concat(F.lit("Expected dim_customer ("), int_text(c("dim_customer_count")), F.lit(") + 1 guest = "),
-                       int_text(c("dim_customer_count") + 1))),
-        check("retention_rate", "gold", "retention_rate_bounds", "0-100%",
-              F.concat(int_text(c("bad_retention")), F.lit(" violations")), zero_rule(c("bad_retention"), FAIL),
-              "Retention rate must be between 0 and 100"),
-        check("basket_size_monthly", "gold", "basket_size_min", ">=1", num_text(c("min_basket")),
-              F.when(c("min_basket") >= 1, PASS).otherwise(FAIL),
-              F.concat(F.lit("Minimum avg basket size across months: "), num_text(c("min_basket")))),
+              text("clv_customer_count.details", n=int_text(c("dim_customer_count")),
+                   expected=int_text(c("dim_customer_count") + 1))),
+        check("retention_rate", "gold", "retention_rate_bounds", text("retention_rate_bounds.expected"),
+              text("retention_rate_bounds.actual", n=int_text(c("bad_retention"))),
+              zero_rule(c("bad_retention"), FAIL), text("retention_rate_bounds.details")),
+        check("basket_size_monthly", "gold", "basket_size_min", text("basket_size_min.expected"),
+              num_text(c("min_basket")), F.when(c("min_basket") >= 1, PASS).otherwise(FAIL),
+              text("basket_size_min.details", min=num_text(c("min_basket")))),
         check("new_vs_returning", "gold", "new_customers_every_month", int_text(c("months_total")),
               int_text(c("months_with_new")), F.when(c("months_total") == c("months_with_new"), PASS).otherwise(WARN),
-              F.concat(F.lit("Months missing 'new' customer records: "),
-                       int_text(c("months_total") - c("months_with_new")))),
+              text("new_customers_every_month.details", n=int_text(c("months_total") - c("months_with_new")))),
     ]
     return check_rows(s, rows)
 

@@ -21,6 +21,12 @@ def lit(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
+def text_sql(key: str, **values: str) -> str:
+    """Render ``quality.TEXTS[key]`` as a SQL string expression."""
+    parts = [lit(v) if kind == "lit" else f"({values[v]})" for kind, v in dq.template_parts(key)]
+    return " || ".join(parts)
+
+
 def pct(num: str, den: str) -> str:
     return ratio(num, den, factor=100)
 
@@ -72,10 +78,12 @@ s AS (SELECT
   (SELECT count(*) FROM monthly WHERE rev = 0) AS zero_rev_months,
   (SELECT count(*) FROM mflag WHERE anom) AS anomalous_months,
   (SELECT """ + money_ratio("s_rev", "n_rev") + """ FROM mstats) AS mean_revenue,
-  (SELECT string_agg(""" + ym() + " || ': £' || " + num_text("rev") + """, ', ' ORDER BY year, month)
+  (SELECT string_agg(""" + text_sql("anomaly_monthly_revenue_deviation.month", year_month=ym(),
+                                    revenue=num_text("rev")) + """, ', ' ORDER BY year, month)
      FROM mflag WHERE anom) AS anomalous_list
 )
 """
+    zero = text_sql("zero.expected")
     rows = []
     for pipeline, raw_c, bronze_c in (
         ("retail_orders", "raw_orders", "bronze_orders"),
@@ -83,15 +91,16 @@ s AS (SELECT
     ):
         p = pct(f"{raw_c} - {bronze_c}", raw_c)
         rows.append(row(pipeline, "bronze", "row_count_vs_raw", int_text(raw_c), int_text(bronze_c),
-                        f"CASE WHEN {p} < 1 THEN 'PASS' ELSE 'WARN' END", f"'Drop: ' || {num_text(p)} || '%'"))
-    for pipeline, bronze_c, silver_c, limit, note in (
-        ("retail_orders", "bronze_orders", "silver_orders", 5, " (expected: dedup only)"),
-        ("retail_customers", "bronze_customers", "silver_customers", 1, ""),
+                        f"CASE WHEN {p} < 1 THEN 'PASS' ELSE 'WARN' END",
+                        text_sql("row_count_vs_raw.details", pct=num_text(p))))
+    for pipeline, bronze_c, silver_c, limit, which in (
+        ("retail_orders", "bronze_orders", "silver_orders", 5, "orders"),
+        ("retail_customers", "bronze_customers", "silver_customers", 1, "customers"),
     ):
         p = pct(f"{bronze_c} - {silver_c}", bronze_c)
         rows.append(row(pipeline, "silver", "row_count_vs_bronze", int_text(bronze_c), int_text(silver_c),
                         f"CASE WHEN {p} < {limit} THEN 'PASS' ELSE 'WARN' END",
-                        f"'Drop: ' || {num_text(p)} || {lit('%' + note)}"))
+                        text_sql(f"row_count_vs_bronze.details.{which}", pct=num_text(p))))
     for pipeline, total_c, prefix, thresholds in (
         ("retail_orders", "silver_orders", "null_o_", dq.ORDER_NULL_THRESHOLDS),
         ("retail_customers", "silver_customers", "null_c_", dq.CUSTOMER_NULL_THRESHOLDS),
@@ -99,30 +108,32 @@ s AS (SELECT
         for col, limit in thresholds:
             n = prefix + col
             p = pct(n, total_c)
-            rows.append(row(pipeline, "silver", f"null_check_{col}", lit(f"<={float(limit)}%"),
-                            f"{num_text(p)} || '%'", f"CASE WHEN {p} <= {limit} THEN 'PASS' ELSE 'WARN' END",
-                            f"{int_text(n)} || ' nulls out of ' || {int_text(total_c)}"))
+            rows.append(row(pipeline, "silver", f"null_check_{col}",
+                            text_sql("null_check.expected", limit=lit(str(float(limit)))),
+                            text_sql("null_check.actual", pct=num_text(p)),
+                            f"CASE WHEN {p} <= {limit} THEN 'PASS' ELSE 'WARN' END",
+                            text_sql("null_check.details", n=int_text(n), total=int_text(total_c))))
     rows += [
-        row("retail_orders", "silver", "duplicate_check", "'0'", int_text("order_dupes"),
-            zero_rule("order_dupes", "FAIL"),
-            lit("Duplicates remaining after dedup on (invoice_id, stock_code, event_time, quantity)")),
-        row("retail_customers", "silver", "duplicate_check", "'0'", int_text("customer_dupes"),
-            zero_rule("customer_dupes", "FAIL"), lit("Duplicate customer_ids in silver")),
-        row("retail_orders", "silver", "business_rule_zero_quantity", "'0'", int_text("zero_qty"),
-            zero_rule("zero_qty", "FAIL"), lit("Rows where quantity = 0")),
-        row("retail_orders", "silver", "business_rule_negative_price", "'0'", int_text("neg_price"),
-            zero_rule("neg_price", "WARN"), lit("Rows where unit_price < 0")),
-        row("retail_orders", "silver", "business_rule_event_type_values", "'0'", int_text("bad_event_type"),
-            zero_rule("bad_event_type", "FAIL"), lit("Rows with unexpected event_type values")),
-        row("retail_orders", "silver", "referential_integrity_customer_id", "'0'", int_text("orphans"),
-            zero_rule("orphans", "WARN"),
-            f"{int_text('orphans')} || ' orders have customer_id not found in customers silver'"),
-        row("retail_orders", "silver", "anomaly_zero_revenue_months", "'0'", int_text("zero_rev_months"),
-            zero_rule("zero_rev_months", "FAIL"), lit("Months with zero revenue")),
+        row("retail_orders", "silver", "duplicate_check", zero, int_text("order_dupes"),
+            zero_rule("order_dupes", "FAIL"), text_sql("duplicate_check.details.orders")),
+        row("retail_customers", "silver", "duplicate_check", zero, int_text("customer_dupes"),
+            zero_rule("customer_dupes", "FAIL"), text_sql("duplicate_check.details.customers")),
+        row("retail_orders", "silver", "business_rule_zero_quantity", zero, int_text("zero_qty"),
+            zero_rule("zero_qty", "FAIL"), text_sql("business_rule_zero_quantity.details")),
+        row("retail_orders", "silver", "business_rule_negative_price", zero, int_text("neg_price"),
+            zero_rule("neg_price", "WARN"), text_sql("business_rule_negative_price.details")),
+        row("retail_orders", "silver", "business_rule_event_type_values", zero, int_text("bad_event_type"),
+            zero_rule("bad_event_type", "FAIL"), text_sql("business_rule_event_type_values.details")),
+        row("retail_orders", "silver", "referential_integrity_customer_id", zero, int_text("orphans"),
+            zero_rule("orphans", "WARN"), text_sql("referential_integrity_customer_id.details", n=int_text("orphans"))),
+        row("retail_orders", "silver", "anomaly_zero_revenue_months", zero, int_text("zero_rev_months"),
+            zero_rule("zero_rev_months", "FAIL"), text_sql("anomaly_zero_revenue_months.details")),
         row("retail_orders", "silver", "anomaly_monthly_revenue_deviation",
-            f"'within 30% of mean (£' || {num_text('mean_revenue')} || ')'", int_text("anomalous_months"),
-            zero_rule("anomalous_months", "WARN"),
-            "CASE WHEN anomalous_months > 0 THEN 'Anomalous months: ' || anomalous_list ELSE 'None' END"),
+            text_sql("anomaly_monthly_revenue_deviation.expected", mean=num_text("mean_revenue")),
+            int_text("anomalous_months"), zero_rule("anomalous_months", "WARN"),
+            f"CASE WHEN anomalous_months > 0 THEN "
+            f"{text_sql('anomaly_monthly_revenue_deviation.details', months='anomalous_list')} "
+            f"ELSE {text_sql('anomaly_monthly_revenue_deviation.details.none')} END"),
     ]
     return ctes + "\nUNION ALL\n".join(rows)
 
@@ -174,66 +185,66 @@ s AS (SELECT
 )
 """
     fo = "fact_order_items"
+    zero = text_sql("zero.expected")
+
+    def count_row(table: str, name: str, scalar: str, bad: str, **slots: str) -> str:
+        return row(table, "gold", name, zero, int_text(scalar), zero_rule(scalar, bad),
+                   text_sql(f"{name}.details", **slots))
+
     rows = [
         row(fo, "gold", "row_count_vs_silver", int_text("silver_count"), int_text("fact_count"),
             "CASE WHEN fact_count = silver_count THEN 'PASS' ELSE 'FAIL' END",
-            f"'Difference: ' || {int_text('abs(fact_count - silver_count)')} || ' rows'"),
+            text_sql("row_count_vs_silver.details", n=int_text("abs(fact_count - silver_count)"))),
     ]
     for k in dq.FACT_KEY_COLUMNS:
         n = f"null_f_{k}"
-        rows.append(row(fo, "gold", f"null_check_{k}", "'0'", int_text(n), zero_rule(n, "FAIL"),
-                        f"{int_text(n)} || {lit(' nulls in ' + k)}"))
+        rows.append(row(fo, "gold", f"null_check_{k}", zero, int_text(n), zero_rule(n, "FAIL"),
+                        text_sql("null_check_key.details", n=int_text(n), column=lit(k))))
     rows += [
-        row(fo, "gold", "event_split_created", "'>0'", int_text("created_count"),
-            "CASE WHEN created_count > 0 THEN 'PASS' ELSE 'FAIL' END", lit("order_item_created count in fact")),
-        row(fo, "gold", "event_split_cancelled", "'>0'", int_text("cancelled_count"),
-            "CASE WHEN cancelled_count > 0 THEN 'PASS' ELSE 'FAIL' END", lit("order_item_cancelled count in fact")),
-        row(fo, "gold", "no_negative_total_amount", "'0'", int_text("neg_amount"), zero_rule("neg_amount", "FAIL"),
-            lit("Rows with negative total_amount (should be 0 — absolute values stored)")),
-        row(fo, "gold", "no_negative_quantity", "'0'", int_text("neg_qty"), zero_rule("neg_qty", "FAIL"),
-            lit("Rows with negative quantity (should be 0 — absolute values stored)")),
-        row(fo, "gold", "referential_integrity_date_key", "'0'", int_text("orphan_dates"),
-            zero_rule("orphan_dates", "FAIL"), f"{int_text('orphan_dates')} || ' date_keys in fact not found in dim_date'"),
-        row(fo, "gold", "referential_integrity_stock_code", "'0'", int_text("orphan_products"),
-            zero_rule("orphan_products", "FAIL"),
-            f"{int_text('orphan_products')} || ' stock_codes in fact not found in dim_product'"),
-        row("dim_product", "gold", "duplicate_stock_codes", "'0'", int_text("product_dupes"),
-            zero_rule("product_dupes", "FAIL"), lit("Duplicate stock_codes in dim_product")),
-        row("dim_product", "gold", "null_descriptions", "'0'", int_text("null_desc"), zero_rule("null_desc", "WARN"),
-            f"{int_text('null_desc')} || ' products with null description'"),
-        row("dim_customer", "gold", "duplicate_customer_ids", "'0'", int_text("customer_dupes"),
-            zero_rule("customer_dupes", "FAIL"), lit("Duplicate customer_ids in dim_customer")),
+        row(fo, "gold", "event_split_created", text_sql("event_split.expected"), int_text("created_count"),
+            "CASE WHEN created_count > 0 THEN 'PASS' ELSE 'FAIL' END", text_sql("event_split_created.details")),
+        row(fo, "gold", "event_split_cancelled", text_sql("event_split.expected"), int_text("cancelled_count"),
+            "CASE WHEN cancelled_count > 0 THEN 'PASS' ELSE 'FAIL' END", text_sql("event_split_cancelled.details")),
+        count_row(fo, "no_negative_total_amount", "neg_amount", "FAIL"),
+        count_row(fo, "no_negative_quantity", "neg_qty", "FAIL"),
+        count_row(fo, "referential_integrity_date_key", "orphan_dates", "FAIL", n=int_text("orphan_dates")),
+        count_row(fo, "referential_integrity_stock_code", "orphan_products", "FAIL", n=int_text("orphan_products")),
+        count_row("dim_product", "duplicate_stock_codes", "product_dupes", "FAIL"),
+        count_row("dim_product", "null_descriptions", "null_desc", "WARN", n=int_text("null_desc")),
+        count_row("dim_customer", "duplicate_customer_ids", "customer_dupes", "FAIL"),
         row("dim_date", "gold", "date_range_min", lit(dq.DATE_RANGE_MIN), int_text("min_date"),
             f"CASE WHEN CAST(min_date AS VARCHAR) <= {lit(dq.DATE_RANGE_MIN)} THEN 'PASS' ELSE 'WARN' END",
-            lit("Earliest date in dim_date")),
+            text_sql("date_range_min.details")),
         row("dim_date", "gold", "date_range_max", lit(dq.DATE_RANGE_MAX_EXPECTED), int_text("max_date"),
             f"CASE WHEN CAST(max_date AS VARCHAR) >= {lit(dq.DATE_RANGE_MAX_REQUIRED)} THEN 'PASS' ELSE 'WARN' END",
-            lit("Latest date in dim_date")),
+            text_sql("date_range_max.details")),
         row("revenue_yearly", "gold", "revenue_reconciliation_vs_fact", num_text("fact_revenue"),
             num_text("yearly_revenue"),
             "CASE WHEN abs(fact_revenue - yearly_revenue) < 1 THEN 'PASS' ELSE 'FAIL' END",
-            "'Difference: £' || CAST(CAST(abs(fact_revenue - yearly_revenue) AS DECIMAL(38,2)) AS VARCHAR)"),
-        row("revenue_monthly", "gold", "no_zero_revenue_months", "'0'", int_text("zero_rev_months"),
-            zero_rule("zero_rev_months", "FAIL"), f"{int_text('zero_rev_months')} || ' months with zero or negative revenue'"),
-        row("revenue_monthly", "gold", "extreme_mom_change", "'0'", int_text("extreme_mom"),
+            text_sql("revenue_reconciliation_vs_fact.details",
+                     diff="CAST(CAST(abs(fact_revenue - yearly_revenue) AS DECIMAL(38,2)) AS VARCHAR)")),
+        count_row("revenue_monthly", "no_zero_revenue_months", "zero_rev_months", "FAIL",
+                  n=int_text("zero_rev_months")),
+        row("revenue_monthly", "gold", "extreme_mom_change", zero, int_text("extreme_mom"),
             "CASE WHEN extreme_mom > 0 THEN 'WARN' ELSE 'PASS' END",
-            f"{int_text('extreme_mom')} || ' months with extreme MoM revenue change (>200% or <-80%)'"),
-        row("aov_monthly", "gold", "aov_positive", "'>0'", num_text("min_aov"),
-            "CASE WHEN min_aov > 0 THEN 'PASS' ELSE 'FAIL' END", f"'Min AOV across months: £' || {num_text('min_aov')}"),
-        row("customer_lifetime_value", "gold", "no_negative_clv", "'0'", int_text("neg_clv"), zero_rule("neg_clv", "FAIL"),
-            f"{int_text('neg_clv')} || ' customers with negative lifetime revenue'"),
+            text_sql("extreme_mom_change.details", n=int_text("extreme_mom"))),
+        row("aov_monthly", "gold", "aov_positive", text_sql("aov_positive.expected"), num_text("min_aov"),
+            "CASE WHEN min_aov > 0 THEN 'PASS' ELSE 'FAIL' END",
+            text_sql("aov_positive.details", min=num_text("min_aov"))),
+        count_row("customer_lifetime_value", "no_negative_clv", "neg_clv", "FAIL", n=int_text("neg_clv")),
         row("customer_lifetime_value", "gold", "clv_customer_count", int_text("dim_customer_count + 1"),
             int_text("clv_count"), "CASE WHEN clv_count = dim_customer_count + 1 THEN 'PASS' ELSE 'WARN' END",
-            f"'Expected dim_customer (' || {int_text('dim_customer_count')} || ') + 1 guest = ' || "
-            f"{int_text('dim_customer_count + 1')}"),
-        row("retention_rate", "gold", "retention_rate_bounds", "'0-100%'", f"{int_text('bad_retention')} || ' violations'",
-            zero_rule("bad_retention", "FAIL"), lit("Retention rate must be between 0 and 100")),
-        row("basket_size_monthly", "gold", "basket_size_min", "'>=1'", num_text("min_basket"),
-            "CASE WHEN min_basket >= 1 THEN 'PASS' ELSE 'FAIL' END",
-            f"'Minimum avg basket size across months: ' || {num_text('min_basket')}"),
+            text_sql("clv_customer_count.details", n=int_text("dim_customer_count"),
+                     expected=int_text("dim_customer_count + 1"))),
+        row("retention_rate", "gold", "retention_rate_bounds", text_sql("retention_rate_bounds.expected"),
+            text_sql("retention_rate_bounds.actual", n=int_text("bad_retention")),
+            zero_rule("bad_retention", "FAIL"), text_sql("retention_rate_bounds.details")),
+        row("basket_size_monthly", "gold", "basket_size_min", text_sql("basket_size_min.expected"),
+            num_text("min_basket"), "CASE WHEN min_basket >= 1 THEN 'PASS' ELSE 'FAIL' END",
+            text_sql("basket_size_min.details", min=num_text("min_basket"))),
         row("new_vs_returning", "gold", "new_customers_every_month", int_text("months_total"),
             int_text("months_with_new"), "CASE WHEN months_total = months_with_new THEN 'PASS' ELSE 'WARN' END",
-            f"'Months missing ''new'' customer records: ' || {int_text('months_total - months_with_new')}"),
+            text_sql("new_customers_every_month.details", n=int_text("months_total - months_with_new"))),
     ]
     return ctes + "\nUNION ALL\n".join(rows)
 
