@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions.periods import date_key, is_weekend
 
-# The cohort years of the original customer dimension.
+# The cohort years, label prefix and fallback label of the
+# original customer dimension.
 DEFAULT_COHORT_YEARS = (2009, 2010)
+COHORT_PREFIX = "cohort_"
+UNKNOWN_COHORT = "unknown"
 
 
 def dim_date(orders: DataFrame, time_col: str = "event_time") -> DataFrame:
@@ -58,12 +61,12 @@ def cohort_label(year_col: F.Column, cohort_years: Sequence[int] | None) -> F.Co
     """``cohort_<year>`` for the listed years (every year when ``None``),
     ``unknown`` otherwise."""
     if cohort_years is None:
-        return F.when(year_col.isNotNull(), F.concat(F.lit("cohort_"), year_col.cast("string"))).otherwise(
-            F.lit("unknown")
+        return F.when(year_col.isNotNull(), F.concat(F.lit(COHORT_PREFIX), year_col.cast("string"))).otherwise(
+            F.lit(UNKNOWN_COHORT)
         )
-    label = F.lit("unknown")
+    label = F.lit(UNKNOWN_COHORT)
     for y in reversed(list(cohort_years)):
-        label = F.when(year_col == y, F.lit(f"cohort_{y}")).otherwise(label)
+        label = F.when(year_col == y, F.lit(f"{COHORT_PREFIX}{y}")).otherwise(label)
     return label
 
 

@@ -26,6 +26,11 @@ from shopfloor.operators.ranking import global_dense_rank
 
 REV, LINES, UNITS = "total_revenue", "total_line_items", "total_units_sold"
 
+# Labels and cut-offs of the original reports.
+GUEST = "guest"
+NEW, RETURNING = "new", "returning"
+TOP_PER_COUNTRY = 20
+
 
 def confirmed_sales(fact: DataFrame) -> DataFrame:
     """Fact rows that are sales (cancellations and null flags removed)."""
@@ -85,7 +90,7 @@ def _product_totals(sales: DataFrame, dim_product: DataFrame, keys: list[str]) -
     return agg.join(dim_product.select("stock_code", "description"), "stock_code", "left")
 
 
-def top_products_by_country(sales: DataFrame, dim_product: DataFrame, top_n: int = 20) -> DataFrame:
+def top_products_by_country(sales: DataFrame, dim_product: DataFrame, top_n: int = TOP_PER_COUNTRY) -> DataFrame:
     """Per country, products by revenue; dense rank on rounded revenue, ranks
     up to ``top_n`` kept (ties share a rank)."""
     totals = _product_totals(sales, dim_product, ["country", "stock_code"])
@@ -175,7 +180,7 @@ def new_vs_returning(sales: DataFrame) -> DataFrame:
     active = _monthly_active(sales).withColumn("period", period_index())
     first = F.min("period").over(Window.partitionBy("customer_id"))  # rows: months of one customer
     tagged = active.withColumn(
-        "customer_type", F.when(F.col("period") == first, F.lit("new")).otherwise(F.lit("returning"))
+        "customer_type", F.when(F.col("period") == first, F.lit(NEW)).otherwise(F.lit(RETURNING))
     )
     return tagged.groupBy("year", "month", "customer_type").agg(
         F.count("customer_id").alias("customer_count")
@@ -185,7 +190,7 @@ def new_vs_returning(sales: DataFrame) -> DataFrame:
 def customer_lifetime_value(sales: DataFrame) -> DataFrame:
     """Per customer (all guests as one ``guest`` row): revenue, orders, mean
     line value, units, first/last order time, order value and rank."""
-    per = sales.withColumn("customer_id_clean", F.coalesce(F.col("customer_id"), F.lit("guest"))).groupBy(
+    per = sales.withColumn("customer_id_clean", F.coalesce(F.col("customer_id"), F.lit(GUEST))).groupBy(
         "customer_id_clean"
     ).agg(
         money_sum("total_amount").alias("__rev"),

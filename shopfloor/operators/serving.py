@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions.money import as_double, money_sum
 from shopfloor.functions.periods import year_month
+from shopfloor.operators.reports import GUEST
+
+# Tile sizes named by the original dashboards.
+TOP_PRODUCTS, TOP_CUSTOMERS, TOP_DEMAND_PRODUCTS = 10, 10, 5
 
 
 def monthly_revenue_trend(revenue_monthly: DataFrame) -> DataFrame:
@@ -29,7 +33,7 @@ def aov_over_time(aov_monthly: DataFrame) -> DataFrame:
     )
 
 
-def top_products(top_products_global: DataFrame, n: int = 10) -> DataFrame:
+def top_products(top_products_global: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
     """SRV-03: the ``n`` best products by revenue (ties by stock code)."""
     return top_products_global.orderBy("revenue_rank", "stock_code").limit(n)
 
@@ -65,9 +69,9 @@ def customers_by_country(customers_per_country: DataFrame) -> DataFrame:
     return customers_per_country.orderBy(F.col("total_customers").desc(), F.col("country"))
 
 
-def top_customers_by_value(clv: DataFrame, n: int = 10, include_guest: bool = False) -> DataFrame:
+def top_customers_by_value(clv: DataFrame, n: int = TOP_CUSTOMERS, include_guest: bool = False) -> DataFrame:
     """SRV-08: the ``n`` customers with the highest lifetime revenue."""
-    src = clv if include_guest else clv.filter(F.col("customer_id_clean") != "guest")
+    src = clv if include_guest else clv.filter(F.col("customer_id_clean") != GUEST)
     return src.orderBy("clv_rank", "customer_id_clean").limit(n)
 
 
@@ -78,7 +82,8 @@ def basket_size_trend(basket_size_monthly: DataFrame) -> DataFrame:
     ).orderBy("year", "month")
 
 
-def top_product_demand(product_demand_trends: DataFrame, top_products_global: DataFrame, n: int = 5) -> DataFrame:
+def top_product_demand(product_demand_trends: DataFrame, top_products_global: DataFrame,
+                       n: int = TOP_DEMAND_PRODUCTS) -> DataFrame:
     """SRV-10: monthly demand of the ``n`` products with the most units."""
     best = top_products_global.orderBy("units_rank", "stock_code").limit(n).select("stock_code")
     return product_demand_trends.join(best, "stock_code", "left_semi")
