@@ -97,15 +97,22 @@ def run_concurrently(tasks: Sequence[Callable[[], object]], parallel: int = 4) -
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
-def publish_events(raw: DataFrame, layout: Layout, partitions: int = 8) -> None:
+def publish_events(raw: DataFrame, layout: Layout, partitions: int = 8) -> tuple[int, int]:
     """Producer stand-in: write order and customer events as Kafka-shaped
-    records into the topic folders the bronze streams read."""
-    orders = streams.replay_records(evt.order_records(evt.order_events(raw)), evt.ORDER_TOPIC, partitions)
-    customers = streams.replay_records(
-        evt.customer_records(evt.customer_events(raw)), evt.CUSTOMER_TOPIC, partitions
+    records into the topic folders the bronze streams read.
+
+    Returns (raw lines, distinct identified customers), observed while the
+    events are written, so the checks need not scan the raw input again.
+    """
+    raw_seen, raw_obs = files.counted(raw, "raw_lines")
+    orders = streams.replay_records(evt.order_records(evt.order_events(raw_seen)), evt.ORDER_TOPIC, partitions)
+    customers, cust_obs = files.counted(
+        streams.replay_records(evt.customer_records(evt.customer_events(raw)), evt.CUSTOMER_TOPIC, partitions),
+        "customer_events",
     )
     orders.write.mode("append").parquet(layout.order_topic)
     customers.write.mode("append").parquet(layout.customer_topic)
+    return int(raw_obs.get["rows"]), int(cust_obs.get["rows"])
 
 
 def ingest_bronze(spark: SparkSession, layout: Layout, trigger: Mapping[str, object] | None = None,
@@ -147,10 +154,12 @@ def build_silver(spark: SparkSession, layout: Layout, silver_partitions: int | N
     return written
 
 
-def silver_quality(spark: SparkSession, layout: Layout, run_id: str, raw: DataFrame | None = None) -> DataFrame:
+def silver_quality(spark: SparkSession, layout: Layout, run_id: str, raw: DataFrame | None = None,
+                   raw_counts: tuple[int, int] | None = None) -> DataFrame:
     so, sc = spark.read.parquet(layout.silver_orders), spark.read.parquet(layout.silver_customers)
     checks = dq.silver_checks(
-        spark.read.parquet(layout.bronze_orders), spark.read.parquet(layout.bronze_customers), so, sc, raw=raw
+        spark.read.parquet(layout.bronze_orders), spark.read.parquet(layout.bronze_customers), so, sc,
+        raw=None if raw_counts else raw, raw_counts=raw_counts,
     )
     metrics = dq.with_run(checks, run_id)
     files.append_metrics(metrics, layout.metrics)
@@ -214,11 +223,10 @@ def run(
     check failed (off by default, as in the original schedule)."""
     layout = Layout(root)
     run_id = run_id or dq.new_run_id()
-    if publish:
-        publish_events(raw, layout)
+    raw_counts = publish_events(raw, layout) if publish else None
     ingested = ingest_bronze(spark, layout)
     written = build_silver(spark, layout)
-    silver_metrics = silver_quality(spark, layout, run_id, raw=raw)
+    silver_metrics = silver_quality(spark, layout, run_id, raw=raw, raw_counts=raw_counts)
     build_gold(spark, layout, cohort_years)
     gold_metrics = gold_quality(spark, layout, run_id)
     totals = {r["status"]: r["checks"] for r in dq.summary(silver_metrics.unionByName(gold_metrics)).collect()}
