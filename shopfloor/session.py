@@ -51,12 +51,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="shopfloor-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        current = _LOCAL_FALLBACK.get(id(spark)) or tempfile.mkdtemp(prefix="shopfloor-ckpt-")
+        _LOCAL_FALLBACK[id(spark)] = current
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # some deployments refuse runtime changes of core settings
+            pass
+    try:  # RDD checkpoints (classic sessions only; Spark Connect has no SparkContext)
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:
+        pass
     return current
 
 
+_LOCAL_FALLBACK: dict[int, str] = {}
+
+
 def pin(df, name: str):
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder
     and return a DataFrame reading it.
