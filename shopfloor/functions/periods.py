@@ -11,8 +11,10 @@ def _col(c: Column | str) -> Column:
 
 
 def date_key(ts: Column | str) -> Column:
-    """``yyyyMMdd`` of the event date as an int surrogate key."""
-    return F.date_format(F.to_date(_col(ts)), "yyyyMMdd").cast("int")
+    """``yyyyMMdd`` of the event date as an int surrogate key, computed with
+    integer arithmetic (no per-row string formatting and parsing)."""
+    d = F.to_date(_col(ts))
+    return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
 def year_month(year: Column | str = "year", month: Column | str = "month") -> Column:
