@@ -23,10 +23,21 @@ def parse_orders(bronze: DataFrame, strict_nan: bool = False, typed: bool = Fals
     per row even under later filters (``expand_once``)."""
     flat = expand_once(bronze, ENVELOPE_COLUMNS, parse(repair_nan("raw_json", strict=strict_nan), ORDER_EVENT))
     if typed:
-        flat = flat.withColumns({c: F.try_to_timestamp(c) for c in ("event_time", "ingestion_time")})
+        flat = flat.withColumns({c: wall_clock(c) for c in ("event_time", "ingestion_time")})
     return flat
 
 
+def wall_clock(text: Column | str, fmt: str | None = None) -> Column:
+    """Event-time text -> ``timestamp_ntz`` (a wall-clock time, as written by
+    the producer), null when unreadable.  Unlike a zone-bound timestamp, the
+    value, its date key and its month do not depend on the session time
+    zone."""
+    c = F.col(text) if isinstance(text, str) else text
+    if fmt is None:
+        return c.try_cast("timestamp_ntz")
+    return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
+
+
 def silver_orders(
     bronze: DataFrame,
     strict_nan: bool = False,
@@ -57,9 +68,9 @@ def silver_customers(bronze: DataFrame, now: Column | None = None) -> DataFrame:
     without a customer id dropped; first arrival per (customer, first seen)
     kept; a row with an unreadable first-seen time is kept with a null)."""
     flat = expand_once(bronze, ENVELOPE_COLUMNS, parse("raw_json", CUSTOMER_EVENT))
-    typed = flat.withColumn(
-        "first_seen_time", F.try_to_timestamp("first_seen_time", F.lit(CUSTOMER_TIME_FORMAT))
-    ).filter(F.col("customer_id").isNotNull())
+    typed = flat.withColumn("first_seen_time", wall_clock("first_seen_time", CUSTOMER_TIME_FORMAT)).filter(
+        F.col("customer_id").isNotNull()
+    )
     return keep_first(typed, CUSTOMER_KEYS, ARRIVAL_ORDER).withColumn(
         "silver_ingestion_time", F.current_timestamp() if now is None else now
     )

@@ -277,7 +277,8 @@ silver_in AS (
   FROM order_events WHERE event_time IS NOT NULL
 ),
 silver_orders AS (
-  SELECT * EXCLUDE (rn), CAST(year(event_time) AS INTEGER) AS year, CAST(month(event_time) AS INTEGER) AS month
+  SELECT * EXCLUDE (rn, kafka_timestamp), CAST(year(event_time) AS INTEGER) AS year,
+         CAST(month(event_time) AS INTEGER) AS month
   FROM (SELECT *, row_number() OVER (
           PARTITION BY invoice_id, stock_code, quantity, event_time
           ORDER BY kafka_timestamp NULLS FIRST, partition NULLS FIRST, "offset" NULLS FIRST,
@@ -291,7 +292,7 @@ silver_fact AS (
   SELECT invoice_id, stock_code, CAST(customer_id AS VARCHAR) AS customer_id, country,
          CAST(strftime(event_time, '%Y%m%d') AS INTEGER) AS date_key, year, month,
          abs(quantity) AS quantity, unit_price, abs(total_amount) AS total_amount,
-         coalesce(event_type = 'order_item_cancelled', false) AS is_cancelled, event_time, kafka_timestamp
+         coalesce(event_type = 'order_item_cancelled', false) AS is_cancelled, event_time
   FROM silver_orders
 )"""
 
@@ -327,8 +328,7 @@ def _events() -> dict[str, str]:
     q["customer_events"] = with_(SALES_LINES, dim_customer_cte(), CUSTOMER_EVENTS) + " SELECT * FROM customer_events"
     q["silver_orders"] = with_(SALES_LINES, ORDER_EVENTS, SILVER_ORDERS) + " SELECT * FROM silver_orders"
     q["silver_customers"] = with_(SALES_LINES, dim_customer_cte(), CUSTOMER_EVENTS) + """
-SELECT CAST(customer_id AS VARCHAR) AS kafka_key, 'retail_customer_events' AS topic,
-       CAST(first_seen_time AS TIMESTAMP) AS kafka_timestamp, event_type,
+SELECT CAST(customer_id AS VARCHAR) AS kafka_key, 'retail_customer_events' AS topic, event_type,
        CAST(customer_id AS VARCHAR) AS customer_id, country, CAST(first_seen_time AS TIMESTAMP) AS first_seen_time
 FROM customer_events"""
     q["silver_fact_order_items"] = with_(SALES_LINES, ORDER_EVENTS, SILVER_ORDERS) + " SELECT * FROM silver_fact"

@@ -29,3 +29,16 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(QUERIES[name](spark, SF), con, ORACLE[name])
     assert ok, msg
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, con):
+    """Event times are wall-clock values: a reader in another zone gets the
+    same silver rows and monthly figures."""
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        for name in ("silver_fact_order_items", "revenue_monthly_from_events", "silver_customers"):
+            ok, msg = compare(QUERIES[name](spark, SF), con, ORACLE[name])
+            assert ok, f"{name}: {msg}"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
