@@ -4,9 +4,10 @@ Instead of rewriting all of silver every run, each bronze micro-batch is
 folded into the (year, month) partitions it touches:
 
 1. parse, type and fill the batch (no dedup yet) and pin it;
-2. read only the touched months of stored silver (partition pruning via a
-   semi-join on the batch's months; the month list is bounded by the
-   calendar, so it is broadcast);
+2. read only the touched months of stored silver: the batch's distinct
+   (year, month) list is bounded by the calendar, so it is brought to the
+   driver and applied as a static partition filter that Spark prunes at
+   planning time (a join would not prune: it scans every month);
 3. union, keep the first arrival per (invoice, stock code, quantity, event
    time) exactly as the full build does, pin the result (a job may not
    overwrite the folders it reads), and replace just those partitions with
@@ -41,6 +42,11 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def touched_months(year_months: list[int]):
+    """Partition predicate for ``year * 100 + month`` in the given list."""
+    return (F.col("year") * 100 + F.col("month")).isin(sorted(set(year_months)))
+
+
 def merge_orders_batch(batch: DataFrame, silver_path: str, strict_nan: bool = False) -> None:
     """Fold one batch of bronze order envelopes into stored silver orders."""
     spark = batch.sparkSession
@@ -49,8 +55,8 @@ def merge_orders_batch(batch: DataFrame, silver_path: str, strict_nan: bool = Fa
         return
     stored = _stored(spark, silver_path)
     if stored is not None:
-        months = fresh.select("year", "month").distinct()
-        touched = stored.join(F.broadcast(months), ["year", "month"], "left_semi")
+        months = [r["ym"] for r in fresh.select((F.col("year") * 100 + F.col("month")).alias("ym")).distinct().collect()]
+        touched = stored.filter(touched_months(months))
         combined = touched.unionByName(fresh)
     else:
         combined = fresh

@@ -144,3 +144,15 @@ def test_incremental_silver_matches_full_build(spark, scratch):
     inc = sorted(map(tuple, spark.read.parquet(f"{scratch}/silver").select(cols).collect()))
     full = sorted(map(tuple, silver.silver_orders(spark.read.parquet(bronze)).select(cols).collect()))
     assert inc == full and len(inc) == 5
+
+
+def test_incremental_read_prunes_partitions(spark, scratch):
+    from shopfloor.sinks import files
+    from shopfloor.streaming.silver_incremental import touched_months
+
+    df = spark.range(0, 1200).select(F.lit(2010).alias("year"), (F.col("id") % 12 + 1).cast("int").alias("month"), "id")
+    files.write_partitioned(df, f"{scratch}/s")
+    stored = spark.read.parquet(f"{scratch}/s").filter(touched_months([201003, 201004]))
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    part_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "month" in part_filters and stored.count() == 200
