@@ -36,23 +36,28 @@ def value_counts(df: DataFrame, col: Column | str, name: str = "value") -> DataF
     return df.groupBy(c.alias(name)).agg(F.count(F.lit(1)).alias("count"))
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str], scale: int = 4, quartiles: bool = False,
+                     accuracy: int = 10_000) -> DataFrame:
     """PRO-03: count, mean, sample stddev, min, max per numeric column, one
     row per column.  Mean is exact (decimal sum / count); stddev rounded to
-    ``scale`` places."""
+    ``scale`` places.  ``quartiles`` adds q1/median/q3 from
+    ``percentile_approx`` (memory bounded by ``accuracy``; an exact
+    percentile would hold every distinct value of the column in one task)."""
     parts = []
     for c in cols:
         x = F.col(c)
-        parts.append(
-            df.agg(
-                F.lit(c).alias("column"),
-                F.count(x).alias("count"),
-                ratio(F.sum(x.cast("decimal(38,4)")), F.count(x), scale=scale, num_scale=4).alias("mean"),
-                F.round(F.stddev_samp(x.cast("double")), scale).alias("stddev"),
-                F.min(x).cast("double").alias("min"),
-                F.max(x).cast("double").alias("max"),
-            )
-        )
+        aggs = [
+            F.lit(c).alias("column"),
+            F.count(x).alias("count"),
+            ratio(F.sum(x.cast("decimal(38,4)")), F.count(x), scale=scale, num_scale=4).alias("mean"),
+            F.round(F.stddev_samp(x.cast("double")), scale).alias("stddev"),
+            F.min(x).cast("double").alias("min"),
+            F.max(x).cast("double").alias("max"),
+        ]
+        if quartiles:
+            q = F.percentile_approx(x.cast("double"), [0.25, 0.5, 0.75], accuracy)
+            aggs += [q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")]
+        parts.append(df.agg(*aggs))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -144,3 +144,15 @@ def test_counted_write(spark, scratch):
     df, obs = files.counted(spark.range(0, 42), "n")
     files.write_table(df, f"{scratch}/c")
     assert obs.get["rows"] == 42
+
+
+def test_describe_with_quartiles(spark):
+    import numpy as np
+
+    vals = [float(v) for v in np.random.default_rng(5).integers(1, 1000, 5000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    r = pro.describe_numeric(df, ["x"], quartiles=True).first()
+    q1, med, q3 = np.percentile(vals, [25, 50, 75])
+    assert r["count"] == 5000 and abs(r["mean"] - round(float(np.mean(vals)), 4)) < 1e-9
+    for got, want in ((r["q1"], q1), (r["median"], med), (r["q3"], q3)):
+        assert abs(got - want) <= 2.0
