@@ -161,13 +161,15 @@ def silver_quality(spark: SparkSession, layout: Layout, run_id: str, raw: DataFr
         spark.read.parquet(layout.bronze_orders), spark.read.parquet(layout.bronze_customers), so, sc,
         raw=None if raw_counts else raw, raw_counts=raw_counts,
     )
-    metrics = dq.with_run(checks, run_id)
-    files.append_metrics(metrics, layout.metrics)
-    orphans = dq.orphan_orders(so, sc)
-    if not orphans.isEmpty():
-        path = files.quarantine(orphans, layout.orphan_orders, run_id)
+    files.append_metrics(dq.with_run(checks, run_id), layout.metrics)
+    recorded = spark.read.parquet(layout.metrics).filter((F.col("run_id") == run_id) & (F.col("layer") != "gold"))
+    # Quarantine only when the recorded check found orphans: the common clean
+    # run costs no second anti-join over silver.
+    orphan_check = recorded.filter(F.col("check_name") == "referential_integrity_customer_id").select("actual")
+    if orphan_check.filter(F.col("actual") != "0").limit(1).count():
+        path = files.quarantine(dq.orphan_orders(so, sc), layout.orphan_orders, run_id)
         log.warning("orphan orders quarantined at %s", path)
-    return spark.read.parquet(layout.metrics).filter((F.col("run_id") == run_id) & (F.col("layer") != "gold"))
+    return recorded
 
 
 def build_gold(spark: SparkSession, layout: Layout, cohort_years: Sequence[int] | None, parallel: int = 8) -> None:

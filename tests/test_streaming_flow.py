@@ -156,3 +156,27 @@ def test_incremental_read_prunes_partitions(spark, scratch):
     plan = stored._jdf.queryExecution().executedPlan().toString()
     part_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "month" in part_filters and stored.count() == 200
+
+
+def test_orphans_are_quarantined(spark, scratch):
+    import json
+
+    from shopfloor.plans import flow
+    from shopfloor.sinks import files
+
+    layout = flow.Layout(f"{scratch}/lake")
+    t = dt.datetime(2024, 1, 1)
+    order = json.dumps({"event_type": "order_item_created", "invoice_id": "1", "stock_code": "A", "description": "d",
+                        "quantity": 1, "unit_price": 1.0, "country": "UK", "customer_id": 99,
+                        "event_time": "2010-12-01 08:00:00", "total_amount": 1.0, "ingestion_time": None})
+    cust = json.dumps({"event_type": "customer_activity", "customer_id": 7, "country": "UK",
+                       "first_seen_time": "2010-12-01 08:00:00"})
+    schema = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
+    for path, payload in ((layout.order_topic, order), (layout.customer_topic, cust)):
+        spark.createDataFrame([(b"k", payload.encode(), "t", 0, 0, t)], schema).write.parquet(path)
+    flow.ingest_bronze(spark, layout)
+    flow.build_silver(spark, layout)
+    recorded = flow.silver_quality(spark, layout, "orph1")
+    assert recorded.count() == 20
+    back = files.read_quarantine(spark, layout.orphan_orders, "orph1")
+    assert [r.customer_id for r in back.collect()] == [99]
