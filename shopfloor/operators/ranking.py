@@ -4,6 +4,7 @@
 is fine for a few hundred month rows, not for one row per customer at
 100 TB.  ``global_dense_rank`` gives the same numbers with distributed work:
 
+0. the input (an aggregate) is pinned once, so it is computed once;
 1. the distinct values of ``x`` (map-side pre-aggregated shuffle);
 2. range-partition them into ``buckets`` ordered ranges and pin that
    assignment as a table in the shared checkpoint folder (so a retried task
@@ -36,12 +37,36 @@ def global_dense_rank(
     Null values share one rank, placed last for descending and first for
     ascending order (Spark's default null ordering).
     """
+    return global_dense_ranks(df, [(order_col, rank_col, descending)], buckets)
+
+
+def global_dense_ranks(
+    df: DataFrame,
+    specs: list[tuple[str, str, bool]],
+    buckets: int | None = None,
+) -> DataFrame:
+    """Several whole-table dense ranks ``(order_col, rank_col, descending)``.
+
+    The input (typically an aggregate: one row per customer or product) is
+    pinned once, so the aggregation behind it runs once however many ranks
+    are taken, instead of once for the values and once for the join back of
+    every rank.
+    """
     spark = df.sparkSession
     n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    base = pin(df, "rank_input")
+    out = base
+    for order_col, rank_col, descending in specs:
+        ranks = _value_ranks(base, order_col, rank_col, descending, n)
+        out = out.join(ranks, out[order_col].eqNullSafe(ranks[_V]), "inner").drop(_V)
+    return out
+
+
+def _value_ranks(base: DataFrame, order_col: str, rank_col: str, descending: bool, n: int) -> DataFrame:
+    """(value, dense rank) for every distinct value of ``order_col``."""
     v = F.col(_V)
     order = v.desc_nulls_last() if descending else v.asc_nulls_first()
-
-    values = df.select(F.col(order_col).alias(_V)).distinct()
+    values = base.select(F.col(order_col).alias(_V)).distinct()
     ranged = pin(values.repartitionByRange(n, order).withColumn(_B, F.spark_partition_id()), "rank_ranges")
     local = ranged.withColumn(_R, F.row_number().over(Window.partitionBy(_B).orderBy(order)))
     per_bucket = local.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
@@ -52,7 +77,4 @@ def global_dense_rank(
             F.lit(0),
         ).alias(_OFF),
     )
-    ranks = local.join(F.broadcast(offsets), _B).select(
-        _V, (F.col(_OFF) + F.col(_R)).cast("int").alias(rank_col)
-    )
-    return df.join(ranks, df[order_col].eqNullSafe(ranks[_V]), "inner").drop(_V)
+    return local.join(F.broadcast(offsets), _B).select(_V, (F.col(_OFF) + F.col(_R)).cast("int").alias(rank_col))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions.money import as_double, money_ratio, money_sum, pct_change, ratio
 from shopfloor.functions.periods import period_index, year_month
-from shopfloor.operators.ranking import global_dense_rank
+from shopfloor.operators.ranking import global_dense_rank, global_dense_ranks
 
 REV, LINES, UNITS = "total_revenue", "total_line_items", "total_units_sold"
 
@@ -104,8 +104,7 @@ def top_products_by_country(sales: DataFrame, dim_product: DataFrame, top_n: int
 def top_products_global(sales: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Every product with its revenue rank and units rank (no cut-off)."""
     totals = _product_totals(sales, dim_product, ["stock_code"])
-    ranked = global_dense_rank(totals, REV, "revenue_rank")
-    ranked = global_dense_rank(ranked, UNITS, "units_rank")
+    ranked = global_dense_ranks(totals, [(REV, "revenue_rank", True), (UNITS, "units_rank", True)])
     return ranked.select(
         "stock_code", "description", as_double(REV).alias(REV), UNITS, LINES, "revenue_rank", "units_rank"
     )

@@ -126,3 +126,17 @@ def test_month_range_prunes_partitions(spark, scratch):
     assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
     got = rep.revenue_monthly(rep.confirmed_sales(stored)).collect()
     assert sorted(r.month for r in got) == [3, 4, 5]
+
+
+def test_global_dense_ranks_two_orders(spark):
+    import random
+
+    from shopfloor.operators.ranking import global_dense_ranks
+
+    rnd = random.Random(9)
+    data = [(i, rnd.randint(0, 20), rnd.choice([None, 1, 2, 3])) for i in range(200)]
+    df = spark.createDataFrame(data, "id int, a int, b int")
+    got = {r.id: (r.ra, r.rb) for r in global_dense_ranks(df, [("a", "ra", True), ("b", "rb", False)], 4).collect()}
+    wa = {r.id: r.x for r in df.withColumn("x", F.dense_rank().over(Window.orderBy(F.col("a").desc()))).collect()}
+    wb = {r.id: r.x for r in df.withColumn("x", F.dense_rank().over(Window.orderBy(F.col("b").asc()))).collect()}
+    assert got == {i: (wa[i], wb[i]) for i in wa}
