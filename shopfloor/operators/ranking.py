@@ -52,22 +52,25 @@ def global_dense_ranks(
     are taken, instead of once for the values and once for the join back of
     every rank.
     """
-    spark = df.sparkSession
-    n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = pin(df, "rank_input")
     out = base
     for order_col, rank_col, descending in specs:
-        ranks = _value_ranks(base, order_col, rank_col, descending, n)
+        ranks = _value_ranks(base, order_col, rank_col, descending, buckets)
         out = out.join(ranks, out[order_col].eqNullSafe(ranks[_V]), "inner").drop(_V)
     return out
 
 
-def _value_ranks(base: DataFrame, order_col: str, rank_col: str, descending: bool, n: int) -> DataFrame:
-    """(value, dense rank) for every distinct value of ``order_col``."""
+def _value_ranks(base: DataFrame, order_col: str, rank_col: str, descending: bool,
+                 buckets: int | None) -> DataFrame:
+    """(value, dense rank) for every distinct value of ``order_col``.
+
+    Without ``buckets`` the range count is left to AQE, which merges small
+    neighbouring ranges (contiguous, so their order and the ranks hold)."""
     v = F.col(_V)
     order = v.desc_nulls_last() if descending else v.asc_nulls_first()
     values = base.select(F.col(order_col).alias(_V)).distinct()
-    ranged = pin(values.repartitionByRange(n, order).withColumn(_B, F.spark_partition_id()), "rank_ranges")
+    ranged = values.repartitionByRange(buckets, order) if buckets else values.repartitionByRange(order)
+    ranged = pin(ranged.withColumn(_B, F.spark_partition_id()), "rank_ranges")
     local = ranged.withColumn(_R, F.row_number().over(Window.partitionBy(_B).orderBy(order)))
     per_bucket = local.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
     offsets = per_bucket.select(

@@ -140,3 +140,18 @@ def test_global_dense_ranks_two_orders(spark):
     wa = {r.id: r.x for r in df.withColumn("x", F.dense_rank().over(Window.orderBy(F.col("a").desc()))).collect()}
     wb = {r.id: r.x for r in df.withColumn("x", F.dense_rank().over(Window.orderBy(F.col("b").asc()))).collect()}
     assert got == {i: (wa[i], wb[i]) for i in wa}
+
+
+def test_global_dense_rank_with_aqe_sized_ranges(spark):
+    import random
+
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")  # many ranges for AQE to merge
+    try:
+        rnd = random.Random(3)
+        df = spark.createDataFrame([(i, rnd.randint(0, 400)) for i in range(3000)], "id int, v int")
+        got = {r.id: r.rk for r in global_dense_rank(df, "v", "rk").collect()}
+        want = {r.id: r.rk for r in df.withColumn("rk", F.dense_rank().over(Window.orderBy(F.col("v").desc()))).collect()}
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
