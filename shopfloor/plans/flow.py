@@ -228,8 +228,15 @@ def run(
     raw_counts = publish_events(raw, layout) if publish else None
     ingested = ingest_bronze(spark, layout)
     written = build_silver(spark, layout)
-    silver_metrics = silver_quality(spark, layout, run_id, raw=raw, raw_counts=raw_counts)
-    build_gold(spark, layout, cohort_years)
+    # Silver checks and the gold build only read stored silver and do not
+    # depend on each other: run them side by side.
+    silver_metrics, _ = run_concurrently(
+        [
+            lambda: silver_quality(spark, layout, run_id, raw=raw, raw_counts=raw_counts),
+            lambda: build_gold(spark, layout, cohort_years),
+        ],
+        parallel=2,
+    )
     gold_metrics = gold_quality(spark, layout, run_id)
     totals = {r["status"]: r["checks"] for r in dq.summary(silver_metrics.unionByName(gold_metrics)).collect()}
     served = publish_serving(spark, layout, jdbc_url, jdbc_properties) if jdbc_url else {}
