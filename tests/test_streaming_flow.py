@@ -85,7 +85,7 @@ def test_ingest_counter_listener(spark, scratch):
         q = bs.start_bronze(streams.record_file_stream(spark, topic), f"{scratch}/b", f"{scratch}/c",
                             bs.AVAILABLE_NOW, "counted")
         bs.await_all(spark, [q])
-        for _ in range(50):  # listener events arrive asynchronously
+        for _ in range(200):  # listener events arrive asynchronously
             if counter.rows.get("counted") == 5:
                 break
             time.sleep(0.1)
