@@ -203,6 +203,19 @@ def gold_quality(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
     return spark.read.parquet(layout.metrics).filter((F.col("run_id") == run_id) & (F.col("layer") == "gold"))
 
 
+def register_views(spark: SparkSession, layout: Layout) -> list[str]:
+    """Expose every stored gold table (dimensions, fact, reports, metrics) as
+    a temporary view, so dashboard SQL can run on the lake with Spark SQL
+    (each view is a pruned, pushed-down Parquet scan)."""
+    tables = {name: layout.dimension(name) for name in gold.DIMENSIONS}
+    tables["fact_order_items"] = layout.fact
+    tables.update({name: layout.report(name) for name in gold.REPORTS})
+    tables["data_quality_metrics"] = layout.metrics
+    for name, path in tables.items():
+        spark.read.parquet(path).createOrReplaceTempView(name)
+    return list(tables)
+
+
 def publish_serving(spark: SparkSession, layout: Layout, url: str, properties: Mapping[str, str] | None = None,
                     num_partitions: int | None = 4) -> dict[str, int]:
     tables = {name: spark.read.parquet(layout.report(name)) for name in serving.SERVING_TABLES}

@@ -58,6 +58,10 @@ def test_end_to_end_run(spark, scratch):
     # the fact written by the pipeline equals the silver-derived fact of the query catalog
     from shopfloor.plans import catalog
 
+    views = flow.register_views(spark, out["layout"])
+    assert len(views) == 4 + 1 + 17 + 1
+    top = spark.sql("SELECT stock_code FROM top_products_global ORDER BY revenue_rank, stock_code LIMIT 3").collect()
+    assert len(top) == 3
     fact = spark.read.parquet(out["layout"].fact).select("invoice_id", "stock_code", "quantity", "total_amount")
     q = catalog.q_silver_fact_order_items(spark, SF).select("invoice_id", "stock_code", "quantity", "total_amount")
     assert fact.exceptAll(q).count() == 0 and q.exceptAll(fact).count() == 0
