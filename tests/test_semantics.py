@@ -82,3 +82,23 @@ def test_country_semantics_of_customers_per_country(spark):
                                   "invoice_id string, customer_id string, country string, total_amount double")
     got = {r.country: (r.total_customers, r.total_revenue) for r in rep.customers_per_country(sales, dc).collect()}
     assert got == {"UK": (2, None)}  # the FR sale has no registered-customer row; the guest sale is excluded
+
+
+def test_gold_layer_on_empty_silver(spark):
+    """SEM-19/20: an empty run produces empty reports and well-defined checks."""
+    from shopfloor.plans.gold import gold_from_silver
+
+    ob = _bronze(spark, [_order()]).limit(0)
+    cb = _bronze(spark, [_cust(1)]).limit(0)
+    so, sc = silver.silver_orders(ob), silver.silver_customers(cb)
+    g = gold_from_silver(so, sc)
+    for name, df in g.items():
+        if name in ("aov_overall", "basket_size_overall"):
+            assert df.count() == 1, name  # global aggregates: one row of nulls/zeros
+        else:
+            assert df.count() == 0, name
+    checks = dq.gold_checks(g["fact_order_items"], g["dim_product"], g["dim_customer"], g["dim_date"],
+                            g["revenue_yearly"], g["revenue_monthly"], g["aov_monthly"],
+                            g["customer_lifetime_value"], g["retention_rate"], g["basket_size_monthly"],
+                            g["new_vs_returning"], silver_orders=so).collect()
+    assert len(checks) == 25 and all(r.status in ("PASS", "WARN", "FAIL") for r in checks)
