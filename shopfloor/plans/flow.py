@@ -11,6 +11,7 @@ the run unless ``fail_on`` asks for it.
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -238,22 +239,31 @@ def run(
     check failed (off by default, as in the original schedule)."""
     layout = Layout(root)
     run_id = run_id or dq.new_run_id()
-    raw_counts = publish_events(raw, layout) if publish else None
-    ingested = ingest_bronze(spark, layout)
-    written = build_silver(spark, layout)
+    stages: dict[str, float] = {}
+
+    def timed(name: str, fn: Callable[[], object]) -> object:
+        t0 = time.perf_counter()
+        try:
+            return fn()
+        finally:
+            stages[name] = round(time.perf_counter() - t0, 3)
+
+    raw_counts = timed("publish_events", lambda: publish_events(raw, layout)) if publish else None
+    ingested = timed("bronze_streams", lambda: ingest_bronze(spark, layout))
+    written = timed("silver", lambda: build_silver(spark, layout))
     # Silver checks and the gold build only read stored silver and do not
     # depend on each other: run them side by side.
-    silver_metrics, _ = run_concurrently(
+    silver_metrics, _ = timed("silver_checks_and_gold", lambda: run_concurrently(
         [
             lambda: silver_quality(spark, layout, run_id, raw=raw, raw_counts=raw_counts),
             lambda: build_gold(spark, layout, cohort_years),
         ],
         parallel=2,
-    )
-    gold_metrics = gold_quality(spark, layout, run_id)
+    ))
+    gold_metrics = timed("gold_checks", lambda: gold_quality(spark, layout, run_id))
     totals = {r["status"]: r["checks"] for r in dq.summary(silver_metrics.unionByName(gold_metrics)).collect()}
-    served = publish_serving(spark, layout, jdbc_url, jdbc_properties) if jdbc_url else {}
+    served = timed("serving", lambda: publish_serving(spark, layout, jdbc_url, jdbc_properties)) if jdbc_url else {}
     if fail_on and totals.get(fail_on, 0):
         raise RuntimeError(f"{totals[fail_on]} checks ended {fail_on} in run {run_id}")
     return {"run_id": run_id, "ingested": ingested, "written": written, "checks": totals, "served": served,
-            "layout": layout}
+            "stages": stages, "layout": layout}
