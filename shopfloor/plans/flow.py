@@ -111,8 +111,13 @@ def publish_events(raw: DataFrame, layout: Layout, partitions: int = 8) -> tuple
         streams.replay_records(evt.customer_records(evt.customer_events(raw)), evt.CUSTOMER_TOPIC, partitions),
         "customer_events",
     )
-    orders.write.mode("append").parquet(layout.order_topic)
-    customers.write.mode("append").parquet(layout.customer_topic)
+    run_concurrently(
+        [
+            lambda: orders.write.mode("append").parquet(layout.order_topic),
+            lambda: customers.write.mode("append").parquet(layout.customer_topic),
+        ],
+        parallel=2,
+    )
     return int(raw_obs.get["rows"]), int(cust_obs.get["rows"])
 
 
