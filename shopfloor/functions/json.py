@@ -58,6 +58,8 @@ def expand_once(df, keep: list[str], struct: Column) -> "DataFrame":  # noqa: F8
     ``inline`` generator keeps the parse in one place: predicates on the
     generated fields stay above it.  Pass the parsed struct itself (one
     ``from_json``), not a struct of its fields: generator inputs get no
-    common-subexpression elimination.
+    common-subexpression elimination.  (The operator holding ``from_json``
+    runs outside whole-stage codegen either way, as ``from_json`` has no
+    generated code; the operators around it stay fused.)
     """
     return df.select(*keep, F.inline(F.array(struct)))
