@@ -275,6 +275,14 @@ def q_dq_gold_checks(spark, sf_dir):
     return _gold_checks(_silver_pair(t, pin=True))
 
 
+def q_dq_orphan_orders(spark, sf_dir):
+    """DQ-10 quarantine content: silver orders whose customer is not among
+    silver customers (anti-join on the string form of the id)."""
+    t = _tables(spark, sf_dir)
+    _, _, so, sc = _silver_pair(t)
+    return dq.orphan_orders(so, sc).select("invoice_id", "stock_code", "customer_id", "event_time", "quantity")
+
+
 def q_dq_summary(spark, sf_dir):
     """DQ-32: totals by status over both check suites of one run (silver is
     pinned once and shared by both suites)."""
@@ -317,6 +325,7 @@ def queries() -> dict[str, Query]:
         "dq_silver_checks": q_dq_silver_checks,
         "dq_gold_checks": q_dq_gold_checks,
         "dq_summary": q_dq_summary,
+        "dq_orphan_orders": q_dq_orphan_orders,
     }
     from shopfloor.plans import catalog_profile
 

@@ -255,4 +255,8 @@ def quality_sql() -> dict[str, str]:
         f"SELECT status, count(*) AS checks FROM (SELECT status FROM ({silver}) "
         f"UNION ALL SELECT status FROM ({gold})) GROUP BY status"
     )
-    return {"dq_silver_checks": silver, "dq_gold_checks": gold, "dq_summary": summary}
+    orphans = with_(SALES_LINES, ORDER_EVENTS, SILVER_ORDERS, dim_customer_cte(), CUSTOMER_EVENTS) + """
+SELECT invoice_id, stock_code, customer_id, event_time, quantity FROM silver_orders o
+WHERE customer_id IS NOT NULL AND NOT EXISTS
+  (SELECT 1 FROM customer_events c WHERE CAST(c.customer_id AS VARCHAR) = CAST(o.customer_id AS VARCHAR))"""
+    return {"dq_silver_checks": silver, "dq_gold_checks": gold, "dq_summary": summary, "dq_orphan_orders": orphans}
