@@ -1,4 +1,4 @@
-"""Incremental silver orders (an addition named, not built, by the original).
+"""Incremental silver (an addition named, not built, by the original).
 
 Instead of rewriting all of silver every run, each bronze micro-batch is
 folded into the (year, month) partitions it touches:
@@ -15,6 +15,12 @@ folded into the (year, month) partitions it touches:
 
 Re-running a batch (``foreachBatch`` is at-least-once) yields the same
 partitions: the merge is idempotent.
+
+Customers use the same merge: the dedup key (customer, first-seen time)
+fixes the first-seen month, so the incremental customers table is
+partitioned by first-seen year and month (rows without a readable time land
+in Spark's default partition) and a batch rewrites only the months it
+touches.
 """
 
 from __future__ import annotations
@@ -42,26 +48,45 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def touched_months(year_months: list[int]):
-    """Partition predicate for ``year * 100 + month`` in the given list."""
-    return (F.col("year") * 100 + F.col("month")).isin(sorted(set(year_months)))
+def touched_months(year_months: list[int | None]):
+    """Partition predicate for ``year * 100 + month`` in the given list (a
+    ``None`` entry selects the partition of rows without a month)."""
+    key = F.col("year") * 100 + F.col("month")
+    known = sorted({m for m in year_months if m is not None})
+    cond = key.isin(known) if known else F.lit(False)
+    if any(m is None for m in year_months):
+        cond = cond | F.col("year").isNull()
+    return cond
 
 
-def merge_orders_batch(batch: DataFrame, silver_path: str, strict_nan: bool = False) -> None:
-    """Fold one batch of bronze order envelopes into stored silver orders."""
-    spark = batch.sparkSession
-    fresh = pin(silver.silver_orders(batch, strict_nan, dedup=False), "silver_batch")
+def _merge_batch(fresh: DataFrame, path: str, keys, order) -> None:
+    """Merge pinned, month-tagged ``fresh`` rows into the months they touch."""
+    spark = fresh.sparkSession
     if fresh.isEmpty():
         return
-    stored = _stored(spark, silver_path)
+    stored = _stored(spark, path)
     if stored is not None:
         months = [r["ym"] for r in fresh.select((F.col("year") * 100 + F.col("month")).alias("ym")).distinct().collect()]
-        touched = stored.filter(touched_months(months))
-        combined = touched.unionByName(fresh)
+        combined = stored.filter(touched_months(months)).unionByName(fresh)
     else:
         combined = fresh
-    merged = keep_first(combined, silver.ORDER_KEYS, silver.ARRIVAL_ORDER)
-    files.write_partitioned(pin(merged, "silver_merged"), silver_path, mode="overwrite", dynamic=True)
+    merged = keep_first(combined, keys, order)
+    files.write_partitioned(pin(merged, "silver_merged"), path, mode="overwrite", dynamic=True)
+
+
+def merge_orders_batch(batch: DataFrame, silver_path: str, strict_nan: bool = False) -> None:
+    """Fold one batch of bronze order envelopes into stored silver orders."""
+    fresh = pin(silver.silver_orders(batch, strict_nan, dedup=False), "silver_batch")
+    _merge_batch(fresh, silver_path, silver.ORDER_KEYS, silver.ARRIVAL_ORDER)
+
+
+def merge_customers_batch(batch: DataFrame, customers_path: str) -> None:
+    """Fold one batch of bronze customer envelopes into incremental silver
+    customers (partitioned by first-seen year and month)."""
+    fresh = silver.silver_customers(batch).withColumns(
+        {"year": F.year("first_seen_time"), "month": F.month("first_seen_time")}
+    )
+    _merge_batch(pin(fresh, "customers_batch"), customers_path, silver.CUSTOMER_KEYS, silver.ARRIVAL_ORDER)
 
 
 def start_incremental_silver(
@@ -71,14 +96,17 @@ def start_incremental_silver(
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     max_files_per_trigger: int | None = None,
+    kind: str = "orders",
 ) -> StreamingQuery:
-    """Stream the bronze order folder into silver, batch by batch."""
+    """Stream a bronze folder (``kind`` = ``orders`` or ``customers``) into
+    its incremental silver table, batch by batch."""
+    merge = {"orders": merge_orders_batch, "customers": merge_customers_batch}[kind]
     reader = spark.readStream.schema(BRONZE_ENVELOPE).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     writer = (
         reader.load(bronze_path)
-        .writeStream.foreachBatch(lambda df, _batch_id: merge_orders_batch(df, silver_path))
+        .writeStream.foreachBatch(lambda df, _batch_id: merge(df, silver_path))
         .option("checkpointLocation", checkpoint)
     )
     if trigger:
