@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--jdbc-user", default=None)
     ap.add_argument("--jdbc-password", default=None)
     ap.add_argument("--fail-on", choices=["FAIL", "WARN"], default=None)
+    ap.add_argument("--incremental-silver", action="store_true",
+                    help="merge only new bronze into silver (months touched) instead of rebuilding it")
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
 
@@ -51,7 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     props = {k: v for k, v in (("driver", args.jdbc_driver), ("user", args.jdbc_user),
                                ("password", args.jdbc_password)) if v}
     out = flow.run(spark, raw, args.root, run_id=args.run_id, jdbc_url=args.jdbc_url,
-                       jdbc_properties=props, fail_on=args.fail_on)
+                   jdbc_properties=props, fail_on=args.fail_on, incremental_silver=args.incremental_silver)
     out.pop("layout", None)
     print(json.dumps(out))
     return 0
