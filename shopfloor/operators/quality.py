@@ -119,6 +119,8 @@ def text(key: str, **values: Column) -> Column:
     """Render ``TEXTS[key]`` with column values in its slots."""
     cols = [F.lit(v) if kind == "lit" else values[v] for kind, v in template_parts(key)]
     return cols[0] if len(cols) == 1 else F.concat(*cols)
+
+
 # Reports read by the gold checks.
 GOLD_CHECK_REPORTS = (
     "revenue_yearly", "revenue_monthly", "aov_monthly", "customer_lifetime_value", "retention_rate",
