@@ -11,7 +11,7 @@ RAW_SALES = T.StructType(
         T.StructField("StockCode", T.StringType()),
         T.StructField("Description", T.StringType()),
         T.StructField("Quantity", T.IntegerType()),
-        T.StructField("InvoiceDate", T.TimestampType()),
+        T.StructField("InvoiceDate", T.TimestampNTZType()),  # wall-clock time, no zone
         T.StructField("Price", T.DoubleType()),
         T.StructField("Customer ID", T.LongType()),
         T.StructField("Country", T.StringType()),

@@ -1,9 +1,10 @@
 """Raw sales lines from files (the spreadsheet export as CSV or Parquet).
 
 Reads with the declared schema (no inference); the invoice date is parsed
-with ``try_to_timestamp`` so a bad date becomes null instead of failing the
-job under ANSI mode.  Ordering by date is not done here: every consumer that
-needs "first" uses an aggregate over (date, tie-break) instead of a sort.
+as a wall-clock ``timestamp_ntz`` (independent of the session time zone),
+and a bad date becomes null instead of failing the job under ANSI mode.
+Ordering by date is not done here: every consumer that needs "first" uses
+an aggregate over (date, tie-break) instead of a sort.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopfloor.operators.silver import wall_clock
 from shopfloor.schemas import RAW_SALES
 
 RAW_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_SALES.fields])
@@ -24,8 +26,7 @@ def read_raw_sales(spark: SparkSession, path: str, fmt: str = "csv", date_format
         df = spark.read.schema(RAW_TEXT).option("header", "true").csv(path)
     else:
         df = spark.read.format(fmt).load(path)
-    date = F.col("InvoiceDate").cast("string")
-    parsed = F.try_to_timestamp(date, F.lit(date_format)) if date_format else F.try_to_timestamp(date)
+    parsed = wall_clock(F.col("InvoiceDate").cast("string"), date_format)
     return df.select(
         F.col("Invoice").cast("string").alias("Invoice"),
         F.col("StockCode").cast("string").alias("StockCode"),
