@@ -9,6 +9,11 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+import os
+import sys
+
+if __package__ in (None, ""):  # run as a script (e.g. by spark-submit): make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main(argv: list[str] | None = None) -> int:
