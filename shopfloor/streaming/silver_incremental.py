@@ -59,25 +59,33 @@ def touched_months(year_months: list[int | None]):
     return cond
 
 
-def _merge_batch(fresh: DataFrame, path: str, keys, order) -> None:
-    """Merge pinned, month-tagged ``fresh`` rows into the months they touch."""
+def _merge_batch(fresh: DataFrame, path: str, keys, order, time_col: str) -> None:
+    """Merge pinned, month-tagged ``fresh`` rows into the months they touch.
+
+    A stored table without month partitions (written by a full rebuild) is
+    migrated on the first batch: tagged with the month of ``time_col`` and
+    rewritten whole, partitioned; later batches touch only their months."""
     spark = fresh.sparkSession
     if fresh.isEmpty():
         return
     stored = _stored(spark, path)
-    if stored is not None:
+    dynamic = True
+    if stored is None:
+        combined = fresh
+    elif not {"year", "month"} <= set(stored.columns):
+        stored = stored.withColumns({"year": F.year(time_col), "month": F.month(time_col)})
+        combined, dynamic = stored.unionByName(fresh), False
+    else:
         months = [r["ym"] for r in fresh.select((F.col("year") * 100 + F.col("month")).alias("ym")).distinct().collect()]
         combined = stored.filter(touched_months(months)).unionByName(fresh)
-    else:
-        combined = fresh
     merged = keep_first(combined, keys, order)
-    files.write_partitioned(pin(merged, "silver_merged"), path, mode="overwrite", dynamic=True)
+    files.write_partitioned(pin(merged, "silver_merged"), path, mode="overwrite", dynamic=dynamic)
 
 
 def merge_orders_batch(batch: DataFrame, silver_path: str, strict_nan: bool = False) -> None:
     """Fold one batch of bronze order envelopes into stored silver orders."""
     fresh = pin(silver.silver_orders(batch, strict_nan, dedup=False), "silver_batch")
-    _merge_batch(fresh, silver_path, silver.ORDER_KEYS, silver.ARRIVAL_ORDER)
+    _merge_batch(fresh, silver_path, silver.ORDER_KEYS, silver.ARRIVAL_ORDER, "event_time")
 
 
 def merge_customers_batch(batch: DataFrame, customers_path: str) -> None:
@@ -86,7 +94,8 @@ def merge_customers_batch(batch: DataFrame, customers_path: str) -> None:
     fresh = silver.silver_customers(batch).withColumns(
         {"year": F.year("first_seen_time"), "month": F.month("first_seen_time")}
     )
-    _merge_batch(pin(fresh, "customers_batch"), customers_path, silver.CUSTOMER_KEYS, silver.ARRIVAL_ORDER)
+    _merge_batch(pin(fresh, "customers_batch"), customers_path, silver.CUSTOMER_KEYS, silver.ARRIVAL_ORDER,
+                 "first_seen_time")
 
 
 def start_incremental_silver(

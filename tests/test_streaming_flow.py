@@ -230,3 +230,15 @@ def test_incremental_run_matches_full_run(spark, scratch):
         a = spark.read.parquet(full["layout"].report(name))
         b = spark.read.parquet(inc["layout"].report(name))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_switch_root_from_full_to_incremental(spark, scratch):
+    from shopfloor.plans import flow
+
+    raw = adapter.raw_sales_lines(TableSet(spark, SF))
+    first = flow.run(spark, raw, f"{scratch}/lake", run_id="d1")
+    again = flow.run(spark, raw, f"{scratch}/lake", run_id="d2")  # every event replayed
+    inc = flow.run(spark, raw, f"{scratch}/lake", run_id="d3", incremental_silver=True)  # replayed once more
+    assert first["written"] == again["written"] == inc["written"]
+    a = spark.read.parquet(first["layout"].report("customer_lifetime_value"))
+    assert a.count() == first["written"]["silver_customers"] + 1
