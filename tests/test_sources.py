@@ -39,3 +39,16 @@ def test_adapter_column_pruning_skips_lookups(spark):
     assert "p_partkey" not in plan and "c_custkey" not in plan and "n_name" not in plan
     full = adapter.sales_lines(t)
     assert full.count() == t["lineitem"].count()  # every line kept
+
+
+def test_jdbc_write_replaces_table_and_counts_rows(spark):
+    from shopfloor.sinks import jdbc
+
+    url = "jdbc:derby:memory:sinktest;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    first = spark.createDataFrame([(2010, 1, 10.5), (2010, 2, 7.25)], "year int, month int, total_revenue double")
+    assert jdbc.write_table(first, url, "REVENUE_MONTHLY", props, num_partitions=2) == 2
+    second = first.filter("month = 2")
+    assert jdbc.publish({"REVENUE_MONTHLY": second}, url, props) == {"REVENUE_MONTHLY": 1}
+    back = jdbc.read_table(spark, url, "REVENUE_MONTHLY", props).collect()
+    assert [(r["year"], r["month"], r["total_revenue"]) for r in back] == [(2010, 2, 7.25)]
