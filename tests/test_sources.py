@@ -52,3 +52,12 @@ def test_jdbc_write_replaces_table_and_counts_rows(spark):
     assert jdbc.publish({"REVENUE_MONTHLY": second}, url, props) == {"REVENUE_MONTHLY": 1}
     back = jdbc.read_table(spark, url, "REVENUE_MONTHLY", props).collect()
     assert [(r["year"], r["month"], r["total_revenue"]) for r in back] == [(2010, 2, 7.25)]
+
+
+def test_read_raw_sales_parquet_round_trip(spark, scratch):
+    raw = adapter.raw_sales_lines(TableSet(spark, "/root/testdata/sf0.001")).drop("LineNumber")
+    raw.write.parquet(f"{scratch}/raw")
+    back = read_raw_sales(spark, f"{scratch}/raw", fmt="parquet")
+    assert [f.dataType.simpleString() for f in back.schema.fields] == \
+        [f.dataType.simpleString() for f in raw.schema.fields]
+    assert back.exceptAll(raw).count() == 0 and raw.exceptAll(back).count() == 0
