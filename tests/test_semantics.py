@@ -102,3 +102,26 @@ def test_gold_layer_on_empty_silver(spark):
                             g["customer_lifetime_value"], g["retention_rate"], g["basket_size_monthly"],
                             g["new_vs_returning"], silver_orders=so).collect()
     assert len(checks) == 25 and all(r.status in ("PASS", "WARN", "FAIL") for r in checks)
+
+
+def test_gold_checks_fail_on_seeded_defects(spark):
+    from shopfloor.plans.gold import gold_from_silver
+
+    so = silver.silver_orders(_bronze(spark, [_order(invoice_id=str(i), event_time=f"2010-0{m}-01 08:00:00")
+                                              for i, m in enumerate([1, 2, 3])]))
+    sc = silver.silver_customers(_bronze(spark, [_cust(7)]))
+    g = gold_from_silver(so, sc)
+    fact = g["fact_order_items"]
+    bad_fact = fact.unionByName(fact.limit(1).withColumn("total_amount", F.lit(-5.0))
+                                .withColumn("stock_code", F.lit("ZZZ")).withColumn("date_key", F.lit(19000101)))
+    bad_products = g["dim_product"].unionByName(g["dim_product"])  # duplicate stock codes
+    checks = {r.check_name: r.status for r in dq.gold_checks(
+        bad_fact, bad_products, g["dim_customer"], g["dim_date"], g["revenue_yearly"], g["revenue_monthly"],
+        g["aov_monthly"], g["customer_lifetime_value"], g["retention_rate"], g["basket_size_monthly"],
+        g["new_vs_returning"], silver_orders=so).collect()}
+    assert checks["row_count_vs_silver"] == "FAIL"          # one extra fact row
+    assert checks["no_negative_total_amount"] == "FAIL"
+    assert checks["referential_integrity_date_key"] == "FAIL"
+    assert checks["referential_integrity_stock_code"] == "FAIL"
+    assert checks["duplicate_stock_codes"] == "FAIL"
+    assert checks["no_negative_quantity"] == "PASS" and checks["event_split_created"] == "PASS"
