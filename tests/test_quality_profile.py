@@ -156,3 +156,12 @@ def test_describe_with_quartiles(spark):
     assert r["count"] == 5000 and abs(r["mean"] - round(float(np.mean(vals)), 4)) < 1e-9
     for got, want in ((r["q1"], q1), (r["median"], med), (r["q3"], q3)):
         assert abs(got - want) <= 2.0
+
+
+def test_dynamic_overwrite_replaces_only_given_months(spark, scratch):
+    base = spark.createDataFrame([(2010, m, f"old{m}") for m in (1, 2, 3)], "year int, month int, v string")
+    files.write_partitioned(base, f"{scratch}/t")
+    patch = spark.createDataFrame([(2010, 2, "new2")], "year int, month int, v string")
+    files.write_partitioned(patch, f"{scratch}/t", dynamic=True)
+    got = sorted((r.month, r.v) for r in spark.read.parquet(f"{scratch}/t").collect())
+    assert got == [(1, "old1"), (2, "new2"), (3, "old3")]
