@@ -61,3 +61,14 @@ def test_read_raw_sales_parquet_round_trip(spark, scratch):
     assert [f.dataType.simpleString() for f in back.schema.fields] == \
         [f.dataType.simpleString() for f in raw.schema.fields]
     assert back.exceptAll(raw).count() == 0 and raw.exceptAll(back).count() == 0
+
+
+def test_kafka_source_fails_clearly_without_connector(spark):
+    import pytest
+
+    from shopfloor.sources import streams
+
+    with pytest.raises(Exception) as err:
+        streams.kafka_stream(spark, "broker:9092", "retail_order_events", max_offsets_per_trigger=1000,
+                             options={"failOnDataLoss": "false"})
+    assert "kafka" in str(err.value).lower()
