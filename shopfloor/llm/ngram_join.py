@@ -20,8 +20,8 @@ the result.
    Under every posted n-gram, pairs of suspects of different components are
    tested by size and by a bound on their overlap from bitmaps of their sets
    (never too small, so nothing is lost), and what passes is verified on the
-   whole sets.  First the likeliest pair per two components, repeated while
-   that still unites some, then all remaining ones.
+   whole sets.  First the likeliest pair per two components, which unites
+   nearly all that belongs together, then all pairs that remain.
 
 Scale: groups of equal sets meet only in partial aggregates; blocks have at most
 about ``BLOCK_SETS`` sets and cells ``CELL_ROWS`` rows (a larger one is dealt to
@@ -52,34 +52,45 @@ ORDER_SAMPLE, FREQUENT, MOST_FREQUENT = 4000, 8, 100_000
 BLOCK_SETS = 4096
 CELL_ROWS = 2048
 BITS = 1024
-KEPT_WORDS = 500_000
 _K = np.uint64(0x9E3779B97F4A7C15)
-_words: dict[bytes, int] = {}
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 2**64))
+_BYTE = mix64(np.arange(256, dtype=np.uint64), 77)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32]).astype(np.int8)
+_power = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hash of every word (A-Z lowered), from running sums over the bytes:
+    a word's polynomial is a difference of two sums, moved to the origin."""
+    b = np.frombuffer(text.lower(), np.uint8)
+    n = len(b)
+    if n > len(_power[0]):
+        size = 1 << n.bit_length()
+        with np.errstate(over="ignore"):
+            _power[:] = [np.cumprod(np.r_[np.uint64(1), np.full(size, base)]) for base in (_BASE, _INVERSE)]
+    gap = np.ones(n + 2, np.int8)
+    gap[1:-1] = _SPACE[b]
+    step = np.diff(gap)
+    start, end = np.flatnonzero(step == -1), np.flatnonzero(step == 1)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTE[b] * _power[0][:n], out=sums[1:])
+        return mix64((sums[end] - sums[start]) * _power[1][start] + (end - start).astype(np.uint64))
 
 
 def shingles(text: bytes | None, n: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of a text's word n-grams (A-Z lowered)."""
-    import xxhash
-
-    found = (text or b"").lower().split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    if len(_words) > KEPT_WORDS:
-        _words.clear()
-    get = _words.get
-    ids = []
-    for w in found:
-        i = get(w)
-        if i is None:
-            i = _words[w] = xxhash.xxh3_64_intdigest(w)
-        ids.append(i)
-    a = np.array(ids, np.uint64)
+    a = word_hashes(text) if text else np.zeros(0, np.uint64)
+    if not len(a):
+        return a
     k = min(n, len(a))
     with np.errstate(over="ignore"):
         h = a[: len(a) - k + 1].copy()
         for j in range(1, k):
             h = h * _K + a[j : len(a) - k + 1 + j]
-        return np.unique(mix64(h, k))
+        h = np.sort(mix64(h, k))
+    return h[np.r_[True, h[1:] != h[:-1]]]
 
 
 def needed(n_a: int, n_b, percent: int):
@@ -377,20 +388,15 @@ def classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFram
 
     # 3. links between blocks
     info = nodes.join(suspects.select("node"), "node", "left_semi").select("node", "n", "bits")
-    all_pairs = False
-    for k in range(20):
+    for k, all_pairs in enumerate((False, True)):
         marked = info.join(components, "node", "left").select("node", "n", "bits", F.coalesce("component", "node").alias("comp"))
         under = shared.join(marked, "node")
         mixed = under.groupBy("t").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
         rows = under.join(mixed.select("t"), "t", "left_semi").select("t", "df", "node", "comp", "n", "bits")
         more = pin(_verified(_cell_pairs(rows, percent, all_pairs, parts), sets, percent), f"ngram-more{k}")
-        new = not more.isEmpty()
-        if new:
+        if not more.isEmpty():
             edges = edges.unionByName(more)
             components = connected_components(edges, f"ngram-again{k}")
-        if all_pairs:
-            break
-        all_pairs = not new or k >= 3
     found = heads.join(components, "node", "left").select("n", "f1", "f2", F.coalesce("component", "node").alias("component"))
     linked = slim.where("n > 0 and doc_id is not null").join(found, ["n", "f1", "f2"]).select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
     rest = slim.where("n = 0 or doc_id is null").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
