@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hnsw_dedup, language_id, lattice_lm, mixing, permutation_ann, secret_scan, sentencepiece_codec, toxicity
+from . import hnsw_dedup, language_id, lattice_lm, mixing, ngram_join, permutation_ann, secret_scan, sentencepiece_codec, toxicity
 from .common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def q_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def q_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def q_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -81,6 +85,7 @@ def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     plain = {
         "op1_sentencepiece": q_encode,
+        "op2_ngram_join": q_ngram_join,
         "op3_permutation_ann": q_ann,
         "op4_secret_scan": q_secrets,
         "op5_hnsw_dedup": q_embedding_dedup,
