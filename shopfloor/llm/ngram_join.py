@@ -16,12 +16,11 @@ the result.
    overlaps with every other set of the block, and a subtree is left with only
    those partners that its remaining lengths can still bring to the threshold.
    Its links, as a spanning forest, are united into components.
-3. *The rest.*  Linked sets of different blocks share another posted n-gram.
-   Under every posted n-gram, pairs of suspects of different components are
-   tested by size and by a bound on their overlap from bitmaps of their sets
-   (never too small, so nothing is lost), and what passes is verified on the
-   whole sets.  First the likeliest pair per two components, which unites
-   nearly all that belongs together, then all pairs that remain.
+3. *The rest.*  Linked sets of different blocks share posted n-grams all the
+   same.  Under every posted n-gram, pairs of suspects of different components
+   are tested by size and by a bound on their overlap from bitmaps of their sets
+   (never too small, so nothing is lost); pairs that meet under as many n-grams
+   as two linked prefixes must share are verified on the whole sets.
 
 Scale: groups of equal sets meet only in partial aggregates; blocks have at most
 about ``BLOCK_SETS`` sets and cells ``CELL_ROWS`` rows (a larger one is dealt to
@@ -38,6 +37,8 @@ Only ids and texts are read; other columns do not matter.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -262,8 +263,8 @@ def _block_links(sets: DataFrame, percent: int, frequent) -> DataFrame:
     return sets.groupBy("block", "chunk").applyInArrow(run, "a bigint, b bigint")
 
 
-def _cell_pairs(rows: DataFrame, percent: int, all_pairs: bool, n_parts: int) -> DataFrame:
-    """Candidate pairs of different components under one n-gram: (a, b).
+def _cell_pairs(rows: DataFrame, percent: int, n_parts: int) -> DataFrame:
+    """Candidate pairs of different components, which share as many posted n-grams as they must: (a, b).
 
     ``rows``: (t, df, node, comp, n, bits)."""
     chunked = rows.withColumn("c", F.expr(f"cast((df + {CELL_ROWS} - 1) div {CELL_ROWS} as int)")).withColumn("i", F.pmod(F.xxhash64("node"), F.col("c")).cast("int"))
@@ -277,7 +278,7 @@ def _cell_pairs(rows: DataFrame, percent: int, all_pairs: bool, n_parts: int) ->
         order = np.argsort(n, kind="stable")
         i, node, comp, n, bits = i[order], node[order], comp[order], n[order], bits[order]
         bits = np.stack([np.frombuffer(b, np.uint64) for b in bits])
-        a_all, b_all, bound = [], [], []
+        a_all, b_all = [], []
         top = np.searchsorted(n, 100 * n // percent, side="right")  # sizes that can still link
         for k in range(len(n) - 1):
             cand = np.arange(k + 1, top[k])
@@ -289,25 +290,17 @@ def _cell_pairs(rows: DataFrame, percent: int, all_pairs: bool, n_parts: int) ->
                 continue
             apart = np.bitwise_count(bits[cand] ^ bits[k]).sum(axis=1).astype(np.int64)
             most = (n[cand] + n[k] - apart) // 2
-            good = most >= needed(int(n[k]), n[cand], percent)
-            cand, most = cand[good], most[good]
+            cand = cand[most >= needed(int(n[k]), n[cand], percent)]
             a_all.append(np.full(len(cand), k))
             b_all.append(cand)
-            bound.append(2.0 * most / (n[cand] + n[k]))
         if not a_all:
             return None
-        a, b, s = np.concatenate(a_all), np.concatenate(b_all), np.concatenate(bound)
-        if not all_pairs and len(a):
-            ca, cb = np.minimum(comp[a], comp[b]), np.maximum(comp[a], comp[b])
-            order = np.lexsort((-s, cb, ca))
-            ca, cb = ca[order], cb[order]
-            head = np.r_[True, (ca[1:] != ca[:-1]) | (cb[1:] != cb[:-1])]
-            a, b = a[order[head]], b[order[head]]
-        return np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
+        a, b = np.concatenate(a_all), np.concatenate(b_all)
+        return np.minimum(node[a], node[b]), np.maximum(node[a], node[b]), margin(n[a])  # a is the smaller set
 
     def run(batches):
         held: list = []
-        seen: set = set()
+        seen: Counter = Counter()
 
         def close():
             t = pa.Table.from_batches(held) if held else None
@@ -317,12 +310,12 @@ def _cell_pairs(rows: DataFrame, percent: int, all_pairs: bool, n_parts: int) ->
             c = {k: t.column(k).to_numpy() for k in ("i", "node", "comp", "n")}
             got = judge(c["i"], t.column("lo")[0].as_py(), t.column("hi")[0].as_py(), c["node"], c["comp"], c["n"].astype(np.int64), np.array(t.column("bits").to_pylist(), object))
             if got:
-                seen.update(zip(got[0].tolist(), got[1].tolist(), strict=True))
+                seen.update(zip(*[g.tolist() for g in got], strict=True))
 
         def out():
-            flat = sorted(seen)
+            flat = list(seen.items())
             seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in flat], pa.int64()), pa.array([p[1] for p in flat], pa.int64())], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([*[pa.array([p[i] for p, _ in flat], pa.int64()) for i in range(3)], pa.array([k for _, k in flat], pa.int64())], names=["a", "b", "least", "k"])
 
         last = None
         for batch in batches:
@@ -340,7 +333,8 @@ def _cell_pairs(rows: DataFrame, percent: int, all_pairs: bool, n_parts: int) ->
         if seen:
             yield out()
 
-    return cells.repartition(n_parts, "t", "lo", "hi").sortWithinPartitions("t", "lo", "hi").mapInArrow(run, "a bigint, b bigint").distinct()
+    met = cells.repartition(n_parts, "t", "lo", "hi").sortWithinPartitions("t", "lo", "hi").mapInArrow(run, "a bigint, b bigint, least bigint, k bigint")
+    return met.groupBy("a", "b").agg(F.sum("k").alias("k"), F.min("least").alias("least")).where("k >= least").select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -382,21 +376,26 @@ def classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFram
     sets = pin(_sets_of(docs, suspects, n), "ngram-sets")
     chunks = F.greatest(F.lit(1), F.ceil(F.col("df") / BLOCK_SETS)).cast("int")
     alone = suspects.groupBy("block").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    blocks = suspects.join(alone.select("block"), "block", "left_semi").select("node", "block", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"))
-    edges = pin(_block_links(sets.join(blocks, "node"), percent, frequent), "ngram-edges")
+    blocks = suspects.join(alone.select("block"), "block", "left_semi").withColumn("chunks", chunks)
+    edges = None
+    for turn in range(2):  # blocks of several chunks are dealt anew once, so that their chunks meet
+        dealt = blocks.where("chunks > 1") if turn else blocks
+        dealt = dealt.select("node", "block", F.pmod(F.xxhash64("node", F.lit(turn)), "chunks").cast("int").alias("chunk"))
+        if turn and dealt.isEmpty():
+            break
+        links = pin(_block_links(sets.join(dealt, "node"), percent, frequent), f"ngram-edges{turn}")
+        edges = links if edges is None else edges.unionByName(links)
     components = connected_components(edges, "ngram")
 
     # 3. links between blocks
     info = nodes.join(suspects.select("node"), "node", "left_semi").select("node", "n", "bits")
-    for k, all_pairs in enumerate((False, True)):
-        marked = info.join(components, "node", "left").select("node", "n", "bits", F.coalesce("component", "node").alias("comp"))
-        under = shared.join(marked, "node")
-        mixed = under.groupBy("t").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-        rows = under.join(mixed.select("t"), "t", "left_semi").select("t", "df", "node", "comp", "n", "bits")
-        more = pin(_verified(_cell_pairs(rows, percent, all_pairs, parts), sets, percent), f"ngram-more{k}")
-        if not more.isEmpty():
-            edges = edges.unionByName(more)
-            components = connected_components(edges, f"ngram-again{k}")
+    comp = info.select("node").distinct().join(components, "node", "left").select("node", F.coalesce("component", "node").alias("comp"))
+    under = shared.join(comp, "node")
+    mixed = under.groupBy("t").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("t")
+    rows = under.join(mixed, "t", "left_semi").join(info, "node").select("t", "df", "node", "comp", "n", "bits")
+    more = pin(_verified(_cell_pairs(rows, percent, parts), sets, percent), "ngram-more")
+    if not more.isEmpty():
+        components = connected_components(edges.unionByName(more), "ngram-again")
     found = heads.join(components, "node", "left").select("n", "f1", "f2", F.coalesce("component", "node").alias("component"))
     linked = slim.where("n > 0 and doc_id is not null").join(found, ["n", "f1", "f2"]).select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
     rest = slim.where("n = 0 or doc_id is null").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
