@@ -19,8 +19,9 @@ the result.
 3. *The rest.*  Linked sets of different blocks share posted n-grams all the
    same.  Under every posted n-gram, pairs of suspects of different components
    are tested by size and by a bound on their overlap from bitmaps of their sets
-   (never too small, so nothing is lost); pairs that meet under as many n-grams
-   as two linked prefixes must share are verified on the whole sets.
+   (never too small, so nothing is lost) and verified on the whole sets: first
+   the likeliest pair of two components, which unites nearly all that belongs
+   together, then all that meet under as many n-grams as linked prefixes must.
 
 Scale: groups of equal sets meet only in partial aggregates; blocks have at most
 about ``BLOCK_SETS`` sets and cells ``CELL_ROWS`` rows (a larger one is dealt to
@@ -263,9 +264,11 @@ def _block_links(sets: DataFrame, percent: int, frequent) -> DataFrame:
     return sets.groupBy("block", "chunk").applyInArrow(run, "a bigint, b bigint")
 
 
-def _cell_pairs(rows: DataFrame, percent: int, n_parts: int) -> DataFrame:
+def _cell_pairs(rows: DataFrame, percent: int, n_parts: int, likeliest: bool) -> DataFrame:
     """Candidate pairs of different components, which share as many posted n-grams as they must: (a, b).
 
+    ``likeliest``: only the best pair of two components in a cell, without that count.
+
     ``rows``: (t, df, node, comp, n, bits)."""
     chunked = rows.withColumn("c", F.expr(f"cast((df + {CELL_ROWS} - 1) div {CELL_ROWS} as int)")).withColumn("i", F.pmod(F.xxhash64("node"), F.col("c")).cast("int"))
     cells = chunked.select("t", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("j"), "i", "node", "comp", "n", "bits")
@@ -278,7 +281,7 @@ def _cell_pairs(rows: DataFrame, percent: int, n_parts: int) -> DataFrame:
         order = np.argsort(n, kind="stable")
         i, node, comp, n, bits = i[order], node[order], comp[order], n[order], bits[order]
         bits = np.stack([np.frombuffer(b, np.uint64) for b in bits])
-        a_all, b_all = [], []
+        a_all, b_all, s_all = [], [], []
         top = np.searchsorted(n, 100 * n // percent, side="right")  # sizes that can still link
         for k in range(len(n) - 1):
             cand = np.arange(k + 1, top[k])
@@ -290,12 +293,21 @@ def _cell_pairs(rows: DataFrame, percent: int, n_parts: int) -> DataFrame:
                 continue
             apart = np.bitwise_count(bits[cand] ^ bits[k]).sum(axis=1).astype(np.int64)
             most = (n[cand] + n[k] - apart) // 2
-            cand = cand[most >= needed(int(n[k]), n[cand], percent)]
+            good = most >= needed(int(n[k]), n[cand], percent)
+            cand = cand[good]
+            s_all.append(most[good] / (n[cand] + n[k]))
             a_all.append(np.full(len(cand), k))
             b_all.append(cand)
         if not a_all:
             return None
         a, b = np.concatenate(a_all), np.concatenate(b_all)
+        if likeliest and len(a):
+            ca, cb = np.minimum(comp[a], comp[b]), np.maximum(comp[a], comp[b])
+            order = np.lexsort((-np.concatenate(s_all), cb, ca))
+            ca, cb = ca[order], cb[order]
+            head = order[np.r_[True, (ca[1:] != ca[:-1]) | (cb[1:] != cb[:-1])]]
+            a, b = a[head], b[head]
+            return np.minimum(node[a], node[b]), np.maximum(node[a], node[b]), np.zeros(len(a), np.int64)
         return np.minimum(node[a], node[b]), np.maximum(node[a], node[b]), margin(n[a])  # a is the smaller set
 
     def run(batches):
@@ -389,13 +401,18 @@ def classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFram
 
     # 3. links between blocks
     info = nodes.join(suspects.select("node"), "node", "left_semi").select("node", "n", "bits")
-    comp = info.select("node").distinct().join(components, "node", "left").select("node", F.coalesce("component", "node").alias("comp"))
-    under = shared.join(comp, "node")
-    mixed = under.groupBy("t").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("t")
-    rows = under.join(mixed, "t", "left_semi").join(info, "node").select("t", "df", "node", "comp", "n", "bits")
-    more = pin(_verified(_cell_pairs(rows, percent, parts), sets, percent), "ngram-more")
-    if not more.isEmpty():
-        components = connected_components(edges.unionByName(more), "ngram-again")
+    for likeliest in (True, False):
+        comp = info.select("node").distinct().join(components, "node", "left").select("node", F.coalesce("component", "node").alias("comp"))
+        under = shared.join(comp, "node")
+        mixed = under.groupBy("t").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("t")
+        rows = under.join(mixed, "t", "left_semi")
+        # a set can link outside its component only under enough n-grams that leave it
+        enough = rows.groupBy("node").agg(F.count(F.lit(1)).alias("k")).join(info.where(f"n <= {BITS}") if likeliest else info, "node").where(F.col("k") >= demand).select("node", "n", "bits")
+        rows = rows.join(enough, "node").select("t", "df", "node", "comp", "n", "bits")
+        more = pin(_verified(_cell_pairs(rows, percent, parts, likeliest), sets, percent), "ngram-more")
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            components = connected_components(edges, "ngram-again")
     found = heads.join(components, "node", "left").select("n", "f1", "f2", F.coalesce("component", "node").alias("component"))
     linked = slim.where("n > 0 and doc_id is not null").join(found, ["n", "f1", "f2"]).select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
     rest = slim.where("n = 0 or doc_id is null").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
