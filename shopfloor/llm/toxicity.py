@@ -161,6 +161,13 @@ class Trainer:
         return self.collapsed()
 
 
+def untrained() -> bytes:
+    """The model of an empty sample: one half for every text."""
+    out = io.BytesIO()
+    np.savez(out, values=np.zeros(BUCKETS, np.float32), bias=0.0)
+    return out.getvalue()
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> bytes:
     """The model (numpy archive bytes) learnt from ``docs`` (doc_id, text) and
     ``labels`` (doc_id, toxic), both already limited to the rows to learn from."""
@@ -182,7 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> bytes:
         np.savez(out, values=values, bias=bias)
         yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], names=["model"])
 
-    return bytes(sample.coalesce(1).mapInArrow(run, "model binary").first()["model"])
+    found = sample.coalesce(1).mapInArrow(run, "model binary").first()
+    return bytes(found["model"]) if found else untrained()
 
 
 class Scorer:
