@@ -47,10 +47,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the submitter sets it to shared storage and we only read it.
-    Where it is unset (local tests) a fresh scratch folder is taken.
+    Where it is unset a fresh scratch folder is taken on a local master; on a
+    cluster that would be a folder of the driver's machine alone, so it raises.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         current = _LOCAL_FALLBACK.get(id(spark)) or tempfile.mkdtemp(prefix="shopfloor-ckpt-")
         _LOCAL_FALLBACK[id(spark)] = current
         try:
