@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hnsw_dedup, language_id, lattice_lm, mixing, ngram_join, permutation_ann, secret_scan, sentencepiece_codec, toxicity
+from . import hnsw_dedup, language_id, lattice_lm, mixing, ngram_join, permutation_ann, secret_scan, sentencepiece_codec, suffix_dedup, toxicity
 from .common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,10 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(marked, model, ["doc_id", "held_out"])
 
 
+def q_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
 def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
@@ -91,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op5_hnsw_dedup": q_embedding_dedup,
         "op6_lattice_lm": q_lattice,
         "op7_toxicity": q_toxicity,
+        "op8_suffix_dedup": q_repeats,
         "op9_language_id": q_language,
         "op10_mixing": q_mixing,
     }
