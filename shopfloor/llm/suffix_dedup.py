@@ -221,38 +221,42 @@ def repeats(docs: DataFrame, passage: int = PASSAGE, seed: int = SEED) -> DataFr
     single = F.struct("offset", F.lit(1).alias("windows"), "first_id")
     runs = extended.groupBy("context").agg(F.collect_list(single).alias("runs")).unionByName(whole)
 
-    # back to the texts, then to all their rows
+    # back to the texts, then to their rows; a copy of an earlier text is later as a whole
     marks = places.select("same", "context", "at").join(runs, "context").groupBy("same").agg(F.collect_list(F.struct("at", "runs")).alias("marks"))
-    shared = texts.join(marks, "same", "left").where("n_rows > 1 or marks is not null")
-    return _spans(described.select("doc_id", "same", "n_words").join(shared, "same"), passage)
+    repeated = texts.join(_spans(marks.join(texts, "same"), passage), "same", "left").where("n_rows > 1 or spans is not null")
+    all_words, is_copy = F.concat(F.lit("0:"), F.col("n_words")), F.col("n_rows") > 1
+    out = described.select("doc_id", "same", "n_words").join(repeated, "same").withColumn("later", _order("doc_id") > F.col("text_first"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        F.when(is_copy, F.col("n_words")).otherwise(F.col("n_repeated")).alias("n_repeated"),
+        F.when(F.col("later"), F.col("n_words")).otherwise(F.coalesce("n_later", F.lit(0))).alias("n_later"),
+        F.when(is_copy, all_words).otherwise(F.col("spans")).alias("spans"),
+        F.when(F.col("later"), all_words).otherwise(F.coalesce("later_spans", F.lit(""))).alias("later_spans"),
+        F.col("same").alias("text_hash"),
+    )
 
 
-def _spans(rows: DataFrame, passage: int) -> DataFrame:
-    names = ["doc_id", "n_words", "n_repeated", "n_later", "spans", "later_spans", "text_hash"]
-    schema = "doc_id bigint, n_words bigint, n_repeated bigint, n_later bigint, spans string, later_spans string, text_hash bigint"
+def _spans(texts: DataFrame, passage: int) -> DataFrame:
+    """The stretches that a text shares with others, and those that a document before its earliest row holds."""
+    names = ["same", "n_repeated", "n_later", "spans", "later_spans"]
+    kinds = [pa.int64()] * 3 + [pa.string()] * 2
 
     def run(batches):
         for batch in batches:
             out = []
             for i in range(batch.num_rows):
-                doc_id, same, n, copies, text_first = (batch.column(c)[i].as_py() for c in range(5))
-                order = 2**63 - 1 if doc_id is None else doc_id
-                starts, firsts = _starts(batch.column(5)[i])
-                every = np.arange(n - passage + 1)
-                all_spans = spans_of(every if copies > 1 else starts, passage)
-                later = spans_of(every if text_first < order else starts[firsts < order], passage)
-                out.append((doc_id, n, sum(b - a for a, b in all_spans), sum(b - a for a, b in later), _joined(all_spans), _joined(later), same))
+                starts, firsts = _starts(batch.column(2)[i])
+                every, later = spans_of(starts, passage), spans_of(starts[firsts < batch.column(1)[i].as_py()], passage)
+                out.append((batch.column(0)[i].as_py(), sum(b - a for a, b in every), sum(b - a for a, b in later), _joined(every), _joined(later)))
             columns = list(zip(*out)) or [()] * len(names)
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return rows.select("doc_id", "same", "n_words", "n_rows", "text_first", "marks").mapInArrow(run, schema)
+    return texts.select("same", "text_first", "marks").mapInArrow(run, "same bigint, n_repeated bigint, n_later bigint, spans string, later_spans string")
 
 
 def _starts(marks: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
     """Starts of a text's repeated windows, and the earliest document that holds each."""
-    if not marks.is_valid:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     at, lists = marks.values.flatten()
     offset, count, first = (v.to_numpy() for v in lists.flatten().flatten())
     sizes = np.diff(lists.offsets.to_numpy())
