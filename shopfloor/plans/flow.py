@@ -126,18 +126,24 @@ def ingest_bronze(spark: SparkSession, layout: Layout, trigger: Mapping[str, obj
     """Both bronze streams in one session; waits for both; returns ingested
     rows per stream."""
     trigger = trigger or bronze_stream.AVAILABLE_NOW
-    queries = [
-        bronze_stream.start_bronze(
-            streams.record_file_stream(spark, topic, max_files_per_trigger=max_files_per_trigger),
-            sink, layout.checkpoint(name), trigger, query_name=f"bronze_{name}",
-        )
-        for name, topic, sink in (
-            ("orders", layout.order_topic, layout.bronze_orders),
-            ("customers", layout.customer_topic, layout.bronze_customers),
-        )
-    ]
-    bronze_stream.await_all(spark, queries)
-    return {q.name: bronze_stream.ingested_rows(q) for q in queries}
+    counter = bronze_stream.IngestCounter()
+    spark.streams.addListener(counter)
+    try:
+        queries = [
+            bronze_stream.start_bronze(
+                streams.record_file_stream(spark, topic, max_files_per_trigger=max_files_per_trigger),
+                sink, layout.checkpoint(name), trigger, query_name=f"bronze_{name}",
+            )
+            for name, topic, sink in (
+                ("orders", layout.order_topic, layout.bronze_orders),
+                ("customers", layout.customer_topic, layout.bronze_customers),
+            )
+        ]
+        bronze_stream.await_all(spark, queries)
+        counter.wait(queries)
+    finally:
+        spark.streams.removeListener(counter)
+    return {q.name: counter.rows.get(q.name, 0) for q in queries}
 
 
 def build_silver(spark: SparkSession, layout: Layout, silver_partitions: int | None = None,

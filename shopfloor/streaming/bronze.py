@@ -15,6 +15,7 @@ Ingest counts come from query progress (``numInputRows``), not from a
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,7 +80,8 @@ def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: f
 
 
 def ingested_rows(query: StreamingQuery) -> int:
-    """STR-04: rows ingested by a query, summed over its recent progress."""
+    """STR-04: rows in the progress updates Spark still keeps (the last 100 by
+    default); ``IngestCounter`` counts runs of any length."""
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
 
 
@@ -88,6 +90,15 @@ class IngestCounter(StreamingQueryListener):
 
     def __init__(self) -> None:
         self.rows: dict[str, int] = {}
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
+
+    def wait(self, queries: Sequence[StreamingQuery], timeout: float = 120) -> None:
+        """Events arrive after a query has ended; waits for the last of each."""
+        runs = {str(q.runId) for q in queries}
+        with self._change:
+            if not self._change.wait_for(lambda: runs <= self._ended, timeout):
+                raise TimeoutError(f"no end event from {len(runs - self._ended)} streams")
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
@@ -104,6 +115,9 @@ class IngestCounter(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         if event.exception:
             log.error("bronze query %s failed: %s", event.id, event.exception)
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
 
 
 def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:

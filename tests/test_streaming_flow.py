@@ -98,6 +98,20 @@ def test_ingest_counter_listener(spark, scratch):
         spark.streams.removeListener(counter)
 
 
+def test_ingest_count_outlasts_kept_progress(spark, scratch):
+    layout = flow.Layout(f"{scratch}/lake")
+    for i in range(5):
+        _topic(spark, layout.order_topic, 1, start=i)
+    _topic(spark, layout.customer_topic, 2)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        counts = flow.ingest_bronze(spark, layout, max_files_per_trigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    stored = spark.read.parquet(layout.bronze_orders).count(), spark.read.parquet(layout.bronze_customers).count()
+    assert (counts["bronze_orders"], counts["bronze_customers"]) == stored == (5, 2)
+
+
 def test_replay_offsets_are_deterministic(spark):
     from shopfloor.operators import events as evt
 
