@@ -6,6 +6,10 @@ dictionary gives the fewest bytes is chosen.  The margin is the share of bytes
 by which the runner-up is larger; a document is rejected when it has no letter
 or the margin is below ``min_margin``.
 
+A text is encoded in equal pieces of at most ``PIECE_BYTES``, each anew with
+every dictionary, and the sizes are summed per language: what a dictionary
+saves then grows with the text, so the margin does not depend on its length.
+
 Texts are lower-cased and everything but letters becomes one space, so tables,
 numbers and punctuation do not blur the sizes.  Lines that the samples of two
 languages share (licences, quotations) are left out of both dictionaries.
@@ -38,6 +42,8 @@ SAMPLE_DOCS = 300
 DICT_BYTES = 64_000
 MAX_LANGUAGES = 256
 LEVEL, MIN_MATCH = 6, 3
+#: Largest piece of a text that is encoded at once.
+PIECE_BYTES = 4096
 MIN_MARGIN = 0.01
 #: The margin at which a choice scores one half.
 HALF_MARGIN = 0.02
@@ -87,12 +93,19 @@ def _compressors(model: tuple[tuple[str, bytes], ...]):
     return out
 
 
+def pieces(data: bytes) -> list[bytes]:
+    """``data`` in as few pieces of at most ``PIECE_BYTES`` as possible, equal but for one byte."""
+    n = -(-len(data) // PIECE_BYTES)
+    return [data[k * len(data) // n : (k + 1) * len(data) // n] for k in range(n)]
+
+
 def classify(text: str | None, model: tuple[tuple[str, bytes], ...]) -> tuple[str, float, float]:
     """(language, score, margin) of one text."""
     data = letters(text).encode()
     if not data or not model:
         return UNKNOWN, 0.0, 0.0
-    sizes = [(len(c.compress(data)), k, lang) for k, (lang, c) in enumerate(_compressors(model))]
+    parts = pieces(data)
+    sizes = [(sum(len(c.compress(p)) for p in parts), k, lang) for k, (lang, c) in enumerate(_compressors(model))]
     best = min(sizes)
     others = [s[0] for s in sizes if s is not best]
     margin = (min(others) - best[0]) / min(others) if others else 1.0
