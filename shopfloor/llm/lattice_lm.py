@@ -44,8 +44,10 @@ from .sentencepiece_codec import MARK, codec
 
 #: Added to every piece's expected count.
 SMOOTH = 0.1
-#: Words longer than this are scored in stretches of it, so a lattice stays small.
-LONGEST = 200
+#: Columns of a lattice held at once; a longer word's recursions carry the last columns over to its next slice.
+SLICE = 256
+#: Characters of the words that are scored together, unless one word has more.
+CHUNK_CHARS = 4_000_000
 #: Text bytes of a block, on average; one document is never split.
 BLOCK_BYTES = 8_000_000
 LN10 = math.log(10.0)
@@ -92,24 +94,31 @@ class Lattice:
         return out
 
     def _chunks(self, words: list[str]):
-        """(owner, length, code points) of words cut into stretches, by length, in bounded chunks."""
-        marked, owner = [], []
-        for k, w in enumerate(words):
-            w = MARK + w
-            for i in range(0, len(w), LONGEST):
-                marked.append(w[i : i + LONGEST])
-                owner.append(k)
+        """(owner, length, marked words) by length, in bounded chunks; long words share
+        a chunk with words of at least half their length."""
+        marked = [MARK + w for w in words]
         size = np.array([len(m) for m in marked], np.int64)
         order = np.argsort(size, kind="stable")
         i = 0
         while i < len(order):
-            take = order[i : i + max(1, 150_000 // int(size[order[min(i + 4000, len(order) - 1)]]))]
-            width = int(size[take].max())
-            text = np.array([marked[k] for k in take], dtype=f"<U{width}").view(np.uint32).reshape(len(take), width).copy()
-            text[np.arange(width)[None, :] >= size[take][:, None]] = _PAD
-            yield np.array(owner, np.int64)[take], size[take], text
+            longest = int(size[order[min(i + 4000, len(order) - 1)]])
+            take = order[i : i + max(1, min(150_000 // min(longest, SLICE), CHUNK_CHARS // longest))]
+            take = take[size[take] <= max(SLICE, 2 * int(size[take[0]]))]
+            yield take, size[take], [marked[k] for k in take]
             i += len(take)
 
+    @staticmethod
+    def _window(marked: list[str], size: np.ndarray, start: int, stop: int) -> np.ndarray:
+        """Code points of columns start to stop of the words, padded."""
+        width = stop - start
+        text = np.array([m[start:stop] for m in marked], dtype=f"<U{width}").view(np.uint32).reshape(len(marked), width).copy()
+        text[np.arange(start, stop)[None, :] >= size[:, None]] = _PAD
+        return text
+
+    def _slices(self, width: int) -> list[tuple[int, int, int]]:
+        """(first, end, back): each slice's columns, and how many before it a piece that ends in it may start."""
+        return [(lo, min(lo + SLICE, width), min(lo, self.widest - 1)) for lo in range(0, width, SLICE)]
+
     def _edges(self, text: np.ndarray):
         """Per piece length n: (piece numbers, log probabilities) at every start."""
         width = text.shape[1]
@@ -129,52 +138,93 @@ class Lattice:
         return out
 
     @staticmethod
-    def _sum(terms: list[np.ndarray]) -> np.ndarray:
-        if len(terms) == 1:
-            return terms[0]
-        t = np.stack(terms)
+    def _sum(t: np.ndarray) -> np.ndarray:
         top = t.max(axis=0)
         base = np.where(np.isfinite(top), top, 0.0)
         with np.errstate(divide="ignore"):
             return base + np.log(np.exp(t - base).sum(axis=0))
 
-    def _forward(self, edges, rows: int, width: int) -> np.ndarray:
-        alpha = np.full((rows, width + 1), -np.inf)
-        alpha[:, 0] = 0.0
-        for j in range(1, width + 1):
-            alpha[:, j] = self._sum([alpha[:, j - n] + edges[n - 1][1][:, j - n] for n in range(1, min(j, len(edges)) + 1)])
+    def _forward(self, edges, known: np.ndarray, width: int) -> np.ndarray:
+        """The columns (one row each) up to ``width`` behind the ``known`` ones."""
+        ending = np.full((width + 1, len(edges), known.shape[1]), -np.inf)
+        for n, (_, logs) in enumerate(edges[:width], 1):
+            ending[n:, n - 1] = logs[:, : width - n + 1].T
+        alpha = np.full((width + 1, known.shape[1]), -np.inf)
+        alpha[: len(known)] = known
+        for j in range(len(known), width + 1):
+            k = min(j, len(edges))
+            alpha[j] = self._sum(ending[j, :k] + alpha[j - k : j][::-1])
         return alpha
 
+    def _walk(self, size: np.ndarray, marked: list[str]):
+        """Per slice (first, end, back, known columns, window, edges, alpha), from left to right."""
+        known = np.zeros((1, len(size)))
+        for lo, hi, back in self._slices(int(size.max())):
+            text = self._window(marked, size, lo - back, hi)
+            edges = self._edges(text)
+            alpha = self._forward(edges, known, text.shape[1])
+            yield lo, hi, back, known, text, edges, alpha
+            known = alpha[-min(hi + 1, self.widest) :]
+
+    @staticmethod
+    def _at_end(total: np.ndarray, size: np.ndarray, lo: int, hi: int, back: int, alpha: np.ndarray) -> None:
+        here = np.flatnonzero((size > lo) & (size <= hi))
+        total[here] = alpha[size[here] - lo + back, here]
+
     def scores(self, words: list[str]) -> np.ndarray:
         """Marginal log probability (natural) of each word, over all segmentations."""
         out = np.zeros(len(words))
-        for owner, size, text in self._chunks(words):
-            alpha = self._forward(self._edges(text), *text.shape)
-            np.add.at(out, owner, alpha[np.arange(len(size)), size])
+        for owner, size, marked in self._chunks(words):
+            total = np.zeros(len(size))
+            for lo, hi, back, _, _, _, alpha in self._walk(size, marked):
+                self._at_end(total, size, lo, hi, back, alpha)
+            out[owner] = total
         return out
 
     def expect(self, words: list[str], weights: np.ndarray) -> tuple[np.ndarray, float]:
-        """Expected counts of all pieces, and of single bytes, over the words' lattices."""
+        """Expected counts of all pieces, and of single bytes, over the words' lattices.
+
+        Of a long word only the carried columns of each slice are kept on the way
+        forward; on the way back each slice's own columns are computed again."""
         counts, in_bytes = np.zeros(len(self.pieces) + 1), 0.0
-        for owner, size, text in self._chunks(words):
-            rows, width = text.shape
-            edges = self._edges(text)
-            alpha = self._forward(edges, rows, width)
-            total = alpha[np.arange(rows), size]
-            beta = np.full((rows, width + 1), -np.inf)
-            beta[np.arange(rows), size] = 0.0
-            for i in range(width - 1, -1, -1):
-                inner = self._sum([edges[n - 1][1][:, i] + beta[:, i + n] for n in range(1, min(width - i, len(edges)) + 1)])
-                beta[:, i] = np.where(i < size, inner, beta[:, i])
-            for n, (number, logs) in enumerate(edges, 1):
-                share = alpha[:, : width - n + 1] + logs + beta[:, n:]
-                at = np.nonzero(np.isfinite(share))
-                p = np.exp(share[at] - total[at[0]]) * weights[owner[at[0]]]
-                which = number[at]
-                counts += np.bincount(which, weights=p, minlength=len(counts))
-                if n == 1 and (lone := which == len(self.pieces)).any():
-                    c = text[at][lone]
-                    in_bytes += float((p[lone] * (1 + (c >= 0x80).astype(int) + (c >= 0x800) + (c >= 0x10000))).sum())
+        for owner, size, marked in self._chunks(words):
+            rows, width = len(size), int(size.max())
+            total, slices = np.zeros(rows), []
+            for lo, hi, back, known, text, edges, alpha in self._walk(size, marked):
+                self._at_end(total, size, lo, hi, back, alpha)
+                slices.append((lo, hi, back, known.copy()))
+            # the last slice's window, edges and columns are still at hand
+            after = np.where(size == width, 0.0, -np.inf)[None, :]  # columns from the slice's end on
+            for lo, hi, back, known in reversed(slices):
+                ahead = min(self.widest - 1, width - hi)
+                if hi < width:
+                    text = self._window(marked, size, lo - back, hi + ahead)
+                    edges = self._edges(text)
+                    alpha = self._forward(edges, known, back + hi - lo)
+                own = hi - lo
+                starting = np.full((own, len(edges), rows), -np.inf)
+                for n, (_, logs) in enumerate(edges, 1):
+                    some = logs[:, back : back + own].T
+                    starting[: len(some), n - 1] = some
+                beta = np.full((own + ahead + 1, rows), -np.inf)
+                beta[own:] = after[: ahead + 1]
+                for i in range(own - 1, -1, -1):
+                    k = min(own + ahead - i, len(edges))
+                    inner = self._sum(starting[i, :k] + beta[i + 1 : i + 1 + k])
+                    beta[i] = np.where(lo + i < size, inner, np.where(lo + i == size, 0.0, -np.inf))
+                after = beta
+                for n, (number, logs) in enumerate(edges, 1):
+                    starts = min(own, own + ahead - n + 1)
+                    if starts <= 0:
+                        break
+                    share = alpha[back : back + starts].T + logs[:, back : back + starts] + beta[n : n + starts].T
+                    at = np.nonzero(np.isfinite(share))
+                    p = np.exp(share[at] - total[at[0]]) * weights[owner[at[0]]]
+                    which = number[:, back : back + starts][at]
+                    counts += np.bincount(which, weights=p, minlength=len(counts))
+                    if n == 1 and (lone := which == len(self.pieces)).any():
+                        c = text[:, back : back + starts][at][lone]
+                        in_bytes += float((p[lone] * (1 + (c >= 0x80).astype(int) + (c >= 0x800) + (c >= 0x10000))).sum())
         return counts[:-1], in_bytes
 
 

@@ -1,8 +1,11 @@
 """Operators of ``shopfloor.llm`` on texts and words beyond the usual lengths."""
 
+import math
+
+import numpy as np
 import pytest
 
-from shopfloor.llm import catalog, language_id
+from shopfloor.llm import catalog, language_id, lattice_lm
 
 
 def test_language_margin_does_not_fall_with_length(spark):
@@ -18,3 +21,40 @@ def test_language_margin_does_not_fall_with_length(spark):
         assert long["lang_pred"] == short["lang_pred"] == lang and long["accepted"]
         assert long["margin"] == pytest.approx(short["margin"], rel=0.3)
         assert language_id.accepted_documents(rows, model).count() == 2
+
+
+def test_lattice_of_long_words():
+    """Words of several slices against a plain recursion over every piece."""
+    p = {"▁": 0.1, "a": 0.2, "b": 0.1, "ab": 0.15, "▁a": 0.05, "ba": 0.07, "abbab": 0.02, "éa": 0.03}
+    own = lattice_lm.Lattice(list(p), np.log(np.array(list(p.values()))), math.log(0.001))
+
+    def plain(word):
+        """Log probability and expected piece counts of a word."""
+        s, ways = "▁" + word, []
+        for j in range(len(s) + 1):
+            steps = [(j - n, piece, math.log(p[piece])) for n in range(1, 6) if j >= n and (piece := s[j - n : j]) in p]
+            if j and s[j - 1] not in p:
+                steps.append((j - 1, None, len(s[j - 1].encode()) * math.log(0.001)))
+            ways.append(steps)
+        alpha = [0.0]
+        for steps in ways[1:]:
+            alpha.append(np.logaddexp.reduce([alpha[i] + lp for i, _, lp in steps]))
+        beta, counts = [-math.inf] * len(s) + [0.0], dict.fromkeys(p, 0.0)
+        in_bytes = 0.0
+        for j in range(len(s), 0, -1):
+            for i, piece, lp in ways[j]:
+                beta[i] = np.logaddexp(beta[i], lp + beta[j])
+                share = math.exp(alpha[i] + lp + beta[j] - alpha[-1])
+                if piece is None:
+                    in_bytes += share * len(s[i].encode())
+                else:
+                    counts[piece] += share
+        return alpha[-1], list(counts.values()), in_bytes
+
+    found = ["ab" * 100 + "b", "abbab" * 600, "a" * 254, "b" * 255, "a" * 256, "éab" * 300, "ab", "abba" * 129]
+    wanted = [plain(w) for w in found]
+    assert own.scores(found) == pytest.approx([w[0] for w in wanted], rel=1e-12)
+    weights = np.arange(1.0, len(found) + 1)
+    counts, in_bytes = own.expect(found, weights)
+    assert counts == pytest.approx(weights @ np.array([w[1] for w in wanted]), rel=1e-9)
+    assert in_bytes == pytest.approx(weights @ [w[2] for w in wanted], rel=1e-9)
