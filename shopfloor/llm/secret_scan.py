@@ -50,15 +50,19 @@ _PLACEHOLDER = re.compile(r"(?i)^(?:change_?me|example.*|your[-_ ].*|x{4,}|\*{3,
 
 THRESHOLD = 0.6
 MIN_LITERAL = 8
-#: The longest target (name, quote, type note) that the grammar knows, in characters.
-_LOOK_BACK = 96
+#: Characters of a name, and of the quotes and type notes that may stand between it and the operator.
+_NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
+_NOTE_CHARS = _NAME_CHARS | frozenset("[]\"'`")
 
 _OPERATOR = re.compile(r":=|=>|[:=]")
-_NAME_LEFT = re.compile(r"([A-Za-z_][A-Za-z0-9_.\-]*)(?:[\"'`]?\]?|[ \t]*:[ \t]*[A-Za-z_][\w.\[\]]*)[ \t]*\Z")
+_NAME_LEFT = re.compile(r"(?<![A-Za-z_])([A-Za-z_][A-Za-z0-9_.\-]*)(?:[\"'`]?\]?|[ \t]*:[ \t]*[A-Za-z_][\w.\[\]]*)[ \t]*\Z")
 _ATOM = re.compile(r"[ \t]*(?:([rbuf]{0,2})\"((?:[^\"\\\n]|\\.)*)\"|([rbuf]{0,2})'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z_][A-Za-z0-9_.]*)(?=[ \t]*(?:[+;,)\]}#\n]|\Z))|([^\s\"'`,;#+(){}\[\]]+))")
 _PLUS = re.compile(r"[ \t]*\+")
 _CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-_HINT = re.compile(r"(?i)pass|pwd|secret|token|key|credential|auth|bearer|salt|dsn|private")
+#: Without one of these a text has no sensitive name.
+_HINT = re.compile("|".join(_NAME_WEIGHT), re.IGNORECASE)
+#: Characters kept of either end of a long value; longer than any placeholder's fixed part.
+_ENDS = 32
 
 
 def name_score(name: str) -> float:
@@ -73,19 +77,81 @@ def name_score(name: str) -> float:
     return score * 0.3 if parts[-1] in _NAME_LESS else score
 
 
-def value_score(value: str) -> float:
-    """0 to 1: how much a literal looks like key material or a chosen password."""
-    if len(value) < MIN_LITERAL or _PLACEHOLDER.match(value):
+class _Value:
+    """What a name stands for: spans of the text and references to earlier values.
+
+    Values are never copied, so neither chains of constants nor a constant that
+    is joined with itself again and again grow beyond the text."""
+
+    __slots__ = ("parts", "look")
+
+    def __init__(self, parts: list):
+        self.parts, self.look = parts, None
+
+
+def _joined_look(looks: list[tuple[int, Counter, str, str]]) -> tuple[int, Counter, str, str]:
+    """(length, characters by first place, head, tail) of values joined."""
+    n, counts, head, tail = 0, Counter(), "", ""
+    for m, c, h, t in looks:
+        n += m
+        counts.update(c)
+        head = (head + h)[:_ENDS] if len(head) < _ENDS else head
+        tail = (tail + t)[-_ENDS:]
+    return n, counts, head, tail
+
+
+def _look(text: str, value: _Value) -> tuple[int, Counter, str, str]:
+    todo = [value]
+    while todo:
+        v = todo[-1]
+        missing = [p for p in v.parts if isinstance(p, _Value) and p.look is None]
+        if v.look is None and missing:
+            todo += missing
+            continue
+        if v.look is None:
+            literals = [p if isinstance(p, _Value) else text[p[0] : p[1]] for p in v.parts]
+            v.look = _joined_look([p.look if isinstance(p, _Value) else (len(p), Counter(p), p[:_ENDS], p[-_ENDS:]) for p in literals])
+        todo.pop()
+    return value.look
+
+
+def _look_score(n: int, counts: Counter, head: str, tail: str) -> float:
+    # of a long value, the ends and one of each character decide whether a placeholder's pattern fits
+    shown = head + "".join(counts) + tail if n > 2 * _ENDS else head + tail[max(0, len(head) + len(tail) - n) :]
+    if n < MIN_LITERAL or _PLACEHOLDER.match(shown):
         return 0.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     score = min(1.0, entropy / 3.0)
-    if " " in value:
+    if " " in counts:
         score *= 0.5
-    kinds = (any(c.islower() for c in value), any(c.isupper() for c in value), any(c.isdigit() for c in value), any(not c.isalnum() for c in value))
+    kinds = (any(c.islower() for c in counts), any(c.isupper() for c in counts), any(c.isdigit() for c in counts), any(not c.isalnum() for c in counts))
     return score * (0.55 if sum(kinds) < 2 else 1.0)
 
 
+def value_score(value: str) -> float:
+    """0 to 1: how much a literal looks like key material or a chosen password."""
+    return _look_score(len(value), Counter(value), value[:_ENDS], value[-_ENDS:])
+
+
+def _name_left(text: str, at: int) -> re.Match | None:
+    """The target that ends at ``at``, read from its real start."""
+    lo = at
+    while lo and text[lo - 1] in " \t":
+        lo -= 1
+    while lo and (text[lo - 1] in _NOTE_CHARS or text[lo - 1].isalnum() or text[lo - 1] == "_"):
+        lo -= 1
+    note = lo
+    while note and text[note - 1] in " \t":
+        note -= 1
+    if note and text[note - 1] == ":":
+        lo = note - 1
+        while lo and text[lo - 1] in " \t":
+            lo -= 1
+        while lo and text[lo - 1] in _NAME_CHARS:
+            lo -= 1
+    return _NAME_LEFT.search(text, lo, at)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     out = [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
     if "AKIA" in text:
@@ -99,7 +165,8 @@ def lexed_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans of literals that reach sensitive names, directly or through constants."""
     if ("=" not in text and ":" not in text) or not _HINT.search(text):
         return []
-    constants: dict[str, list[tuple[int, int]]] = {}
+    constants: dict[str, _Value] = {}
+    reached: dict[int, _Value] = {}  # values whose literals are out already
     out = []
     done = 0
     for m in _OPERATOR.finditer(text):
@@ -109,26 +176,24 @@ def lexed_spans(text: str) -> list[tuple[int, int, str]]:
         before, after = text[at - 1 : at], text[end : end + 1]
         if before in ("=", "!", "<", ">", ":", "+") or after in ("=", ":", "/") or (text[at:end] == ":" and after not in (" ", "\t", '"', "'", "`") and before not in ('"', "'")):
             continue  # comparisons, scopes, addresses, clock times
-        left = _NAME_LEFT.search(text, max(0, at - _LOOK_BACK), at)
+        left = _name_left(text, at)
         if not left:
             continue
         name = left[1]
-        pieces: list[tuple[int, int]] = []
-        through = direct = False
+        pieces: list[tuple[int, int] | _Value] = []
+        through = False
         pos = end
         while a := _ATOM.match(text, pos):
             pos = a.end()
             for group in (2, 4, 5, 7):
                 if a[group] is not None:
                     pieces.append(a.span(group))
-                    direct = True
             if a[6] is not None:
                 if a[6] in constants:
-                    pieces += constants[a[6]]
+                    pieces.append(constants[a[6]])
                     through = True
                 elif not _PLUS.match(text, pos) and not pieces and a[6] not in ("None", "null", "true", "false", "True", "False"):
                     pieces.append(a.span(6))  # a bare word as the value of a configuration line
-                    direct = True
             plus = _PLUS.match(text, pos)
             if not plus:
                 break
@@ -136,13 +201,20 @@ def lexed_spans(text: str) -> list[tuple[int, int, str]]:
         done = max(done, pos)
         if not pieces:
             continue
-        value = "".join([text[s:e] for s, e in pieces])
+        value = _Value(pieces)
         if text[at:end] != ":" or through or text[end : end + 2].strip()[:1] in ('"', "'"):
-            constants[name] = pieces[:64]
+            constants[name] = value
         sensitive = name_score(name)
-        if sensitive and sensitive * value_score(value) >= THRESHOLD:
-            own = set(pieces) if direct and not through else {p for p in pieces if p[0] >= end}
-            out += [(s, e, "literal" if (s, e) in own else "propagated") for s, e in pieces if e > s]
+        if sensitive and sensitive * _look_score(*_look(text, value)) >= THRESHOLD:
+            todo = pieces[::-1]
+            while todo:
+                p = todo.pop()
+                if not isinstance(p, _Value):
+                    if p[1] > p[0]:
+                        out.append((*p, "literal" if p[0] >= end else "propagated"))
+                elif id(p) not in reached:
+                    reached[id(p)] = p
+                    todo += p.parts[::-1]
     return list(dict.fromkeys(out))
 
 

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from shopfloor.llm import catalog, language_id, lattice_lm
+from shopfloor.llm import catalog, language_id, lattice_lm, secret_scan
 
 
 def test_language_margin_does_not_fall_with_length(spark):
@@ -58,3 +58,17 @@ def test_lattice_of_long_words():
     counts, in_bytes = own.expect(found, weights)
     assert counts == pytest.approx(weights @ np.array([w[1] for w in wanted]), rel=1e-9)
     assert in_bytes == pytest.approx(weights @ [w[2] for w in wanted], rel=1e-9)
+
+
+def test_secrets_of_many_literals_and_long_names():
+    joined = " + ".join(f'"ab{i:03d}Q"' for i in range(100))
+    assert len(secret_scan.lexed_spans(f"big = {joined}\npassword = big")) == 100
+    assert "Q" not in secret_scan.mask(f"big = {joined}\npassword = big")
+    chain = 'c0 = "ab000Q"\n' + "".join(f'c{i} = c{i - 1} + "ab{i:03d}Q"\n' for i in range(1, 3000)) + "password = c2999"
+    assert len(secret_scan.lexed_spans(chain)) == 3000
+    doubled = 'x = "Zk39fQx81LmP"\n' + "x = x + x\n" * 2000 + "password = x"
+    assert [doubled[s:e] for s, e, _ in secret_scan.lexed_spans(doubled)] == ["Zk39fQx81LmP"]
+    for name in ("api_access", "API_SIGNING", "accessSigning", "signing_encryption", "password_" + "x" * 300, "password : " + "T" * 300, "password" + " " * 200):
+        text = f'{name} = "Zk39fQx81LmP"'
+        assert [text[s:e] for s, e, _ in secret_scan.lexed_spans(text)] == ["Zk39fQx81LmP"]
+    assert secret_scan.value_score("x" * 300) == secret_scan.value_score("example " + "q1Z" * 99) == 0 < secret_scan.value_score("x" * 40 + "Q1" * 40 + "x" * 40)
