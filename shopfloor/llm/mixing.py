@@ -26,6 +26,7 @@ gets its own row; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ BLOCK_WORDS = 32
 SHARD_SLOTS = 8192
 BUCKET_DOCS = 4096
 
+_WORD = re.compile(WORD.encode())
+
 
 def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> list[float]:
     """Words to take of each source, in order: by weight, at most ``most`` times
@@ -176,9 +179,12 @@ def mixed_blocks(docs: DataFrame, keys: list[str] | None = None, **options) -> D
     """The mix itself: (shard, src, slot, block, keys, from_word, words) for every
     stretch of a document in every slot."""
     keys = ["doc_id"] if keys is None else keys
-    placed, plan = packed(docs, **options)
-    parts = segments(placed, keys, options.get("block_words", BLOCK_WORDS)).where("words > 0")
-    return drawn_slots(docs.sparkSession, plan).join(parts, ["src", "block"])
+    inner = [f"__key{i}" for i in range(len(keys))]  # a key may be named as an internal column
+    placed, plan = packed(docs.select("doc_id", "text", "source", *[F.col(k).alias(i) for k, i in zip(keys, inner, strict=True)]), **options)
+    parts = segments(placed, inner, options.get("block_words", BLOCK_WORDS)).where("words > 0")
+    found = drawn_slots(docs.sparkSession, plan).join(parts, ["src", "block"])
+    rest = [c for c in found.columns if c not in inner and c not in keys]
+    return found.select(*rest, *[F.col(i).alias(k) for k, i in zip(keys, inner, strict=True)])
 
 
 def taken_counts(docs: DataFrame, **options) -> DataFrame:
@@ -197,29 +203,50 @@ def taken_counts(docs: DataFrame, **options) -> DataFrame:
     return counted.select(*columns).unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*columns))
 
 
+def cut_out(text: bytes, parts: list[tuple[int, int, int]]) -> bytes:
+    """The words of ``parts`` (from_word, words, times), second takings behind the first.
+
+    Words that stay neighbours keep the white space between them, the text's ends
+    that before its first and behind its last word; elsewhere one space joins."""
+    ends = [m.span() for m in _WORD.finditer(text)]
+    out: list[bytes] = []
+    for k in range(max(t for _, _, t in parts)):
+        runs: list[list[int]] = []
+        for first, n, times in parts:
+            if times <= k:
+                continue
+            if runs and runs[-1][1] == first:
+                runs[-1][1] = first + n
+            else:
+                runs.append([first, first + n])
+        for first, end in runs:
+            piece = text[ends[first][0] if first else 0 : ends[end - 1][1] if end < len(ends) else len(text)]
+            if out and not out[-1][-1:].isspace() and not piece[:1].isspace():
+                out.append(b" ")
+            out.append(piece)
+    return b"".join(out)
+
+
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as mixed: each document's text becomes the words the mix takes of
-    it (second takings behind the first ones); documents of which nothing is
-    taken go.  Columns stay; n_chars follows if there is one."""
+    it (second takings behind the first ones), with the white space between words
+    that stay neighbours; documents of which nothing is taken go.  Columns stay; n_chars follows if there is one."""
     block_words = options.get("block_words", BLOCK_WORDS)
-    schema = docs.schema
-    placed, plan = packed(docs, **options)
+    schema, names, at = docs.schema, docs.columns, docs.columns.index("text")
+    # the other columns under names that no internal column has
+    inner = [c if c in ("doc_id", "text", "source") else f"__col{i}" for i, c in enumerate(names)]
+    placed, plan = packed(docs.toDF(*inner), **options)
     times = drawn_slots(docs.sparkSession, plan).groupBy("src", "block").agg(F.count(F.lit(1)).cast("int").alias("times"))
     parts = segments(placed.where("size > 0").select("src", "start", "size"), [], block_words).join(times, ["src", "block"])
     # a document's blocks: one entry per block_words words, never more than its text holds
     taken = parts.groupBy("src", "start").agg(F.sort_array(F.collect_list(F.struct("from_word", "words", "times"))).alias("__parts"))
-    with_parts = placed.where("size > 0").join(taken, ["src", "start"]).select(*docs.columns, "__parts")
-    names, at = docs.columns, docs.columns.index("text")
+    with_parts = placed.where("size > 0").join(taken, ["src", "start"]).select(*inner, "__parts")
 
     def rebuild(batches):
         for batch in batches:
             texts = []
             for text, parts in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
-                words = text.encode().split()
-                spans = [words[p["from_word"] : p["from_word"] + p["words"]] for p in parts]
-                most = max(p["times"] for p in parts)
-                chosen = [w for k in range(most) for p, s in zip(parts, spans, strict=True) if p["times"] > k for w in s]
-                texts.append(b" ".join(chosen).decode())
+                texts.append(cut_out(text.encode(), [(p["from_word"], p["words"], p["times"]) for p in parts]).decode())
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))], names=names)
 
     out = with_parts.mapInArrow(rebuild, schema)

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from shopfloor.llm import catalog, language_id, lattice_lm, secret_scan
+from shopfloor.llm import catalog, language_id, lattice_lm, mixing, secret_scan
 
 
 def test_language_margin_does_not_fall_with_length(spark):
@@ -72,3 +72,17 @@ def test_secrets_of_many_literals_and_long_names():
         text = f'{name} = "Zk39fQx81LmP"'
         assert [text[s:e] for s, e, _ in secret_scan.lexed_spans(text)] == ["Zk39fQx81LmP"]
     assert secret_scan.value_score("x" * 300) == secret_scan.value_score("example " + "q1Z" * 99) == 0 < secret_scan.value_score("x" * 40 + "Q1" * 40 + "x" * 40)
+
+
+def test_mixing_keeps_white_space_and_foreign_columns(spark):
+    catalog.ship(spark)
+    rows = [(i, f"\tdef f{i}():\n" + "".join(f"    x{j} = {i}\n\n" for j in range(30)), "ab"[i % 2], -5, "s", 9, 0.5) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, src string, start long, target double")
+    # ``most`` and ``share`` of one: every document is taken whole, once
+    got = {r["doc_id"]: r for r in mixing.mix_documents(docs, share=1.0, most=1.0, weights=(1.0,)).collect()}
+    assert {i: tuple(r) for i, r in got.items()} == {r[0]: r for r in rows}
+    words = mixing.mixed_blocks(docs, ["doc_id", "size"], share=1.0, most=1.0, weights=(1.0,)).collect()
+    assert sum(r["words"] for r in words) == sum(len(r[1].split()) for r in rows) and {r["size"] for r in words} == {-5}
+    text = b" a\n\nb\tc  d\n"
+    assert mixing.cut_out(text, [(0, 2, 1), (2, 2, 1)]) == text
+    assert mixing.cut_out(text, [(0, 2, 2), (3, 1, 1)]) == b" a\n\nb d\n a\n\nb"
