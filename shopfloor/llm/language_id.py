@@ -16,11 +16,13 @@ languages share (licences, quotations) are left out of both dictionaries.
 
 Fitting reads a bounded sample: per language the ``SAMPLE_DOCS`` rows with the
 smallest hash of their id (a top-k per language, which Spark limits before the
-shuffle), and ``DICT_BYTES`` bytes of each.  Prediction reads every whole text
+shuffle), each cut to ``SHARES`` equal shares of ``DICT_BYTES`` characters; a
+dictionary takes one line of every row in turn until it has ``DICT_BYTES``.
+More than ``MAX_LANGUAGES`` languages are an error.  Prediction reads every whole text
 and shuffles nothing.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
-ties go to the language with more training rows in the sample, then by name;
+ties go to the language with more labelled training rows, then by name;
 equal texts get equal results; with no labelled row at all every document is
 ``und``; an empty table gives an empty result.  Nulls and clashing names in
 other columns do not matter: only ``keep`` columns are carried.
@@ -31,6 +33,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from functools import lru_cache
+from itertools import zip_longest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -41,6 +44,8 @@ UNKNOWN = "und"
 SAMPLE_DOCS = 300
 DICT_BYTES = 64_000
 MAX_LANGUAGES = 256
+#: Equal shares of a dictionary that a sampled text may hold, as some of its lines may be dropped.
+SHARES = 4
 LEVEL, MIN_MATCH = 6, 3
 #: Largest piece of a text that is encoded at once.
 PIECE_BYTES = 4096
@@ -58,24 +63,32 @@ def letters(text: str | None) -> str:
 
 
 def dictionaries(samples: dict[str, list[str]], dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
-    """Raw-content dictionaries from sample texts per language."""
-    lines = {lang: list(dict.fromkeys(x for t in texts for line in t.split("\n") if (x := letters(line)))) for lang, texts in samples.items()}
+    """Raw-content dictionaries from sample texts per language, lines in turn from all texts."""
+    lines = {}
+    for lang, texts in samples.items():
+        rows = [[x for line in t.split("\n") if (x := letters(line))] for t in texts]
+        lines[lang] = list(dict.fromkeys(x for turn in zip_longest(*rows) for x in turn if x))
     shared = Counter(x for v in lines.values() for x in v)
     return {lang: " ".join(x for x in v if shared[x] == 1).encode()[:dict_bytes] for lang, v in lines.items()}
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> list[tuple[str, bytes]]:
     """Dictionaries from the labelled rows of ``docs`` (doc_id, text, lang)."""
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    ids = docs.where("lang is not null and text is not null").select("doc_id", "lang")
-    ranked = ids.withColumn("__n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("__n") <= sample_docs)
-    chosen = F.broadcast(ranked.limit(sample_docs * MAX_LANGUAGES))  # at most that many ids
-    rows = docs.where("text is not null").join(chosen, ["doc_id", "lang"]).orderBy("lang", "__n").limit(sample_docs * MAX_LANGUAGES).select("lang", "text").collect()
+    labelled = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not counts:
+        return []
+    caps = docs.sparkSession.createDataFrame([(lang, -(-SHARES * dict_bytes // min(n, sample_docs))) for lang, n in counts.items()], "lang string, __cap int")
+    cut = labelled.join(F.broadcast(caps), "lang").select("doc_id", "lang", F.col("text").substr(F.lit(1), F.col("__cap")).alias("text"))
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    rows = cut.withColumn("__n", F.row_number().over(by_hash)).where(F.col("__n") <= sample_docs).collect()  # at most sample_docs a language
     samples: dict[str, list[str]] = {}
-    for r in rows:
+    for r in sorted(rows, key=lambda r: (r["lang"], r["__n"])):
         samples.setdefault(r["lang"], []).append(r["text"])
     found = dictionaries(samples, dict_bytes)
-    return sorted(((lang, d) for lang, d in found.items() if d), key=lambda x: (-len(samples[x[0]]), x[0]))
+    return sorted(((lang, d) for lang, d in found.items() if d), key=lambda x: (-counts[x[0]], x[0]))
 
 
 @lru_cache(maxsize=4)

@@ -86,3 +86,18 @@ def test_mixing_keeps_white_space_and_foreign_columns(spark):
     text = b" a\n\nb\tc  d\n"
     assert mixing.cut_out(text, [(0, 2, 1), (2, 2, 1)]) == text
     assert mixing.cut_out(text, [(0, 2, 2), (3, 1, 1)]) == b" a\n\nb d\n a\n\nb"
+
+
+def test_language_sample_uses_all_rows(spark, monkeypatch):
+    catalog.ship(spark)
+    made = [(i, " ".join(f"{a}{b}{chr(97 + i % 26)}{chr(97 + i // 26)}" for a in "klm" for b in "aeiou"), "aa") for i in range(400)]
+    made += [(1000 + i, " ".join(f"{a}{b}{chr(97 + i % 26)}{chr(97 + i // 26)}" for a in "xyz" for b in "aeiou"), "zz") for i in range(500)]
+    made.append((5000, "wall of text " * 50_000, "aa"))
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, dict_bytes=30_000)
+    assert [lang for lang, _ in model] == ["zz", "aa"]  # by all labelled rows, not by the capped sample
+    held = model[1][1].decode()
+    assert sum(language_id.letters(t).split()[0] in held.split() for i, t, lang in made if lang == "aa") >= 290
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError, match="languages"):
+        language_id.fit(docs)
