@@ -44,7 +44,7 @@ from .common import mix64, partitions, pin
 from .fm_index import FMIndex
 
 WINDOW, SEED = 35, 16
-#: Documented bound of the sample that finds frequent seeds (choice of places only).
+#: About how many texts are sampled to find frequent seeds (four times as many at most; choice of places only).
 ORDER_SAMPLE, FREQUENT, MOST_FREQUENT = 4000, 8, 100_000
 HOT = 32_768
 #: Words of a shard, about.
@@ -116,8 +116,9 @@ def _parts(batches, rows: int = 256):
 
 
 def frequent_seeds(rows: DataFrame, seed: int) -> np.ndarray:
-    """Seeds that stand in several texts of a bounded sample."""
-    sample = rows.where("data is not null").orderBy(F.xxhash64("id", "same"), "id").limit(ORDER_SAMPLE).select("data")
+    """Seeds that stand in several texts of a bounded sample, drawn by hash so that no task gathers rows of all others."""
+    share = max(1, rows.count() // ORDER_SAMPLE)
+    sample = rows.where((F.pmod(F.xxhash64("id", "same"), F.lit(share)) == 0) & F.col("data").isNotNull()).select("data").limit(4 * ORDER_SAMPLE)
 
     def run(batches):
         for part in _parts(batches):
