@@ -145,7 +145,7 @@ def _described(rows: DataFrame, window: int, seed: int, frequent: np.ndarray) ->
 def _repeated(found: DataFrame) -> DataFrame:
     """The places (id, same, seed, piece, first, windows) whose seed stands elsewhere too, with its count and whether its pieces differ."""
     seeds = found.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), (F.min("piece") < F.max("piece")).alias("differ")).where("n > 1")
-    return found.join(seeds, "seed")
+    return found.join(pin(seeds, "substring-seeds"), "seed")  # a written side lets Spark split a seed that is hot on the other
 
 
 def _windows(rows: DataFrame, hot: DataFrame, window: int) -> DataFrame:
