@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopfloor.functions.money import money_ratio, money_sum, ratio
+from shopfloor.functions.money import AMOUNT, money_ratio, money_sum, money_total, ratio
 from shopfloor.functions.periods import year_month
 from shopfloor.operators.events import ORDER_CREATED, ORDER_EVENT_TYPES
 from shopfloor.schemas import METRICS
@@ -198,13 +198,14 @@ def _monthly_revenue_stats(orders_silver: DataFrame) -> DataFrame:
         .agg(money_sum("total_amount").alias("rev"))
     )
     whole = Window.partitionBy(F.lit(0))  # one row per month: bounded
-    s, n = F.sum("rev").over(whole), F.count("rev").over(whole)
+    s, n = F.sum("rev").over(whole).cast(AMOUNT), F.count("rev").over(whole)
     num, den = ANOMALY_DEVIATION
-    # |rev - S/N| > 0.3 * S/N  <=>  den * |rev*N - S| > num * S  (exact)
+    # |rev - S/N| > 0.3 * S/N  <=>  den * |rev*N - S| > num * S, exact at 10 decimals of a month's sum
+    wide, months = "decimal(28,10)", "decimal(4,0)"
     flagged = monthly.withColumns(
         {
             "__mean": money_ratio(s, n),
-            "__anom": F.abs(F.col("rev") * n - s) * den > s * num,
+            "__anom": F.abs(F.col("rev").cast(wide) * n.cast(months) - s.cast(wide)) * den > s.cast(wide) * num,
             "__label": text("anomaly_monthly_revenue_deviation.month", year_month=year_month(),
                             revenue=num_text(F.col("rev"))),
         }
@@ -378,7 +379,7 @@ def gold_checks(
         F.count_if(F.col("is_cancelled")).alias("cancelled_count"),
         F.count_if(F.col("total_amount") < 0).alias("neg_amount"),
         F.count_if(F.col("quantity") < 0).alias("neg_qty"),
-        money_sum(F.when(~F.col("is_cancelled"), F.col("total_amount"))).alias("fact_revenue"),
+        money_total(F.when(~F.col("is_cancelled"), F.col("total_amount"))).alias("fact_revenue"),
     )
     orphan_dates = _count(
         fact.select("date_key").distinct().join(dim_date.select("date_key"), "date_key", "left_anti"), "orphan_dates"
@@ -398,7 +399,7 @@ def gold_checks(
         _dupe_groups(dim_customer, ["customer_id"], "customer_dupes"),
         _count(dim_customer, "dim_customer_count"),
         dim_date.agg(F.min("full_date").alias("min_date"), F.max("full_date").alias("max_date")),
-        revenue_yearly.agg(money_sum("total_revenue").alias("yearly_revenue")),
+        revenue_yearly.agg(money_total("total_revenue").alias("yearly_revenue")),
         revenue_monthly.agg(
             F.count_if(F.col("total_revenue") <= 0).alias("zero_rev_months"),
             F.count_if((F.col("mom_change_pct") > MOM_UPPER) | (F.col("mom_change_pct") < MOM_LOWER)).alias(

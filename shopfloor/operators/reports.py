@@ -1,9 +1,12 @@
 """Gold reporting datasets over the order-line fact.
 
-Inputs are the fact (or its ``sales`` subset: ``is_cancelled = false``) and
-the dimensions.  Conventions shared by every builder:
+Inputs are the fact's ``sales`` subset (``is_cancelled = false``), or a roll-up
+of it (``operators.rollup``) that has the builder's keys, and the dimensions.
+Conventions shared by every builder:
 
-* money is summed exactly as decimal and returned as double;
+* the four measures (``revenue``, ``lines``, ``units``, ...) aggregate order
+  lines, or merge the partial sums of a roll-up; the result is the same;
+* money is summed exactly, rounded once and returned as double;
 * "lines" = ``count(invoice_id)``, "units" = ``sum(quantity)``;
 * averages and percentages are exact half-up roundings (``functions.money``);
 * joins to a dimension happen after aggregating the fact down to the
@@ -20,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopfloor.functions.money import as_double, money_ratio, money_sum, pct_change, ratio
+from shopfloor.functions.money import as_double, merge_sum, money_count, money_ratio, money_sum, pct_change, ratio, to_cents
 from shopfloor.functions.periods import period_index, year_month
 from shopfloor.operators.ranking import global_dense_rank, global_dense_ranks
 
@@ -37,12 +40,49 @@ def confirmed_sales(fact: DataFrame) -> DataFrame:
     return fact.filter(~F.col("is_cancelled"))
 
 
-def _rev_lines_units(rev: str = REV, lines: str = LINES, units: str = UNITS) -> list[F.Column]:
-    return [
-        money_sum("total_amount").alias(rev),
-        F.count("invoice_id").alias(lines),
-        F.sum("quantity").alias(units),
-    ]
+# Partial sums of a roll-up: exact revenue, lines with an invoice, units, lines
+# with a stock code, amounts behind the revenue, first and last event time.
+P_REV, P_LINES, P_UNITS, P_ITEMS, P_AMOUNTS, P_FIRST, P_LAST = (
+    "p_revenue", "p_lines", "p_units", "p_items", "p_amounts", "p_first_time", "p_last_time",
+)
+
+
+def is_rollup(src: DataFrame) -> bool:
+    return P_REV in src.columns
+
+
+def revenue(src: DataFrame) -> F.Column:
+    """Exact, unrounded revenue."""
+    return merge_sum(P_REV) if is_rollup(src) else money_sum("total_amount")
+
+
+def lines(src: DataFrame) -> F.Column:
+    return F.sum(P_LINES) if is_rollup(src) else F.count("invoice_id")
+
+
+def units(src: DataFrame) -> F.Column:
+    return F.sum(P_UNITS) if is_rollup(src) else F.sum("quantity")
+
+
+def items(src: DataFrame) -> F.Column:
+    """Lines with a stock code (not distinct codes)."""
+    return F.sum(P_ITEMS) if is_rollup(src) else F.count("stock_code")
+
+
+def amounts(src: DataFrame) -> F.Column:
+    return F.sum(P_AMOUNTS) if is_rollup(src) else money_count("total_amount")
+
+
+def first_time(src: DataFrame) -> F.Column:
+    return F.min(P_FIRST if is_rollup(src) else "event_time")
+
+
+def last_time(src: DataFrame) -> F.Column:
+    return F.max(P_LAST if is_rollup(src) else "event_time")
+
+
+def _rev_lines_units(src: DataFrame) -> list[F.Column]:
+    return [to_cents(revenue(src)).alias(REV), lines(src).alias(LINES), units(src).alias(UNITS)]
 
 
 # ── revenue & sales ──────────────────────────────────────────────────────────
@@ -51,7 +91,7 @@ def _rev_lines_units(rev: str = REV, lines: str = LINES, units: str = UNITS) ->
 def revenue_daily(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Revenue, lines and units per calendar day with the day's attributes.
     Days without sales are absent."""
-    per_day = sales.groupBy("date_key", "year", "month").agg(*_rev_lines_units())
+    per_day = sales.groupBy("date_key", "year", "month").agg(*_rev_lines_units(sales))
     days = dim_date.select("date_key", "full_date", "day", "day_of_week", "is_weekend")
     return per_day.join(days, "date_key").select(
         "full_date", "year", "month", "day", "day_of_week", "is_weekend",
@@ -63,7 +103,7 @@ def revenue_monthly(sales: DataFrame) -> DataFrame:
     """Monthly revenue with the previous *present* month's revenue and the
     change in percent."""
     w = Window.orderBy("year", "month")  # one row per month: bounded
-    monthly = sales.groupBy("year", "month").agg(*_rev_lines_units()).withColumn("__prev", F.lag(REV, 1).over(w))
+    monthly = sales.groupBy("year", "month").agg(*_rev_lines_units(sales)).withColumn("__prev", F.lag(REV, 1).over(w))
     prev = F.col("__prev")  # one window evaluation, referenced twice below
     return monthly.select(
         "year", "month", as_double(REV).alias(REV), LINES, UNITS,
@@ -74,7 +114,7 @@ def revenue_monthly(sales: DataFrame) -> DataFrame:
 
 
 def revenue_yearly(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("year").agg(*_rev_lines_units()).select(
+    return sales.groupBy("year").agg(*_rev_lines_units(sales)).select(
         "year", as_double(REV).alias(REV), LINES, UNITS
     )
 
@@ -82,11 +122,7 @@ def revenue_yearly(sales: DataFrame) -> DataFrame:
 def _product_totals(sales: DataFrame, dim_product: DataFrame, keys: list[str]) -> DataFrame:
     """Revenue/units/lines per ``keys`` (which include stock_code), with the
     product description joined after aggregation."""
-    agg = sales.groupBy(*keys).agg(
-        money_sum("total_amount").alias(REV),
-        F.sum("quantity").alias(UNITS),
-        F.count("invoice_id").alias(LINES),
-    )
+    agg = sales.groupBy(*keys).agg(*_rev_lines_units(sales))
     return agg.join(dim_product.select("stock_code", "description"), "stock_code", "left")
 
 
@@ -111,14 +147,14 @@ def top_products_global(sales: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 
 def _invoice_revenue(sales: DataFrame, keys: list[str]) -> DataFrame:
-    return sales.groupBy(*keys).agg(money_sum("total_amount").alias("invoice_revenue"))
+    return sales.groupBy(*keys).agg(revenue(sales).alias("invoice_revenue"))
 
 
 def _aov_aggs() -> list[F.Column]:
     return [
-        money_ratio(F.sum("invoice_revenue"), F.count("invoice_revenue")).alias("avg_order_value"),
+        money_ratio(merge_sum("invoice_revenue"), F.count("invoice_revenue")).alias("avg_order_value"),
         F.count("invoice_id").alias("total_invoices"),
-        as_double(F.sum("invoice_revenue")).alias("total_revenue"),
+        as_double(to_cents(merge_sum("invoice_revenue"))).alias("total_revenue"),
     ]
 
 
@@ -136,13 +172,13 @@ def aov_overall(sales: DataFrame) -> DataFrame:
 
 
 def revenue_by_country_month(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("country", "year", "month").agg(*_rev_lines_units()).select(
+    return sales.groupBy("country", "year", "month").agg(*_rev_lines_units(sales)).select(
         "country", "year", "month", as_double(REV).alias(REV), LINES, UNITS, year_month().alias("year_month")
     )
 
 
 def revenue_by_country_year(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("country", "year").agg(*_rev_lines_units()).select(
+    return sales.groupBy("country", "year").agg(*_rev_lines_units(sales)).select(
         "country", "year", as_double(REV).alias(REV), LINES, UNITS
     )
 
@@ -150,9 +186,9 @@ def revenue_by_country_year(sales: DataFrame) -> DataFrame:
 def product_demand_trends(sales: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Units per product and month with the previous present month's units."""
     agg = sales.groupBy("stock_code", "year", "month").agg(
-        F.sum("quantity").alias("units_sold"),
-        money_sum("total_amount").alias("revenue"),
-        F.count("invoice_id").alias("order_line_count"),
+        units(sales).alias("units_sold"),
+        to_cents(revenue(sales)).alias("revenue"),
+        lines(sales).alias("order_line_count"),
     ).join(dim_product.select("stock_code", "description"), "stock_code", "left")
     w = Window.partitionBy("stock_code").orderBy("year", "month")  # rows: months of one product
     agg = agg.withColumn("__prev", F.lag("units_sold", 1).over(w))
@@ -192,12 +228,12 @@ def customer_lifetime_value(sales: DataFrame) -> DataFrame:
     per = sales.withColumn("customer_id_clean", F.coalesce(F.col("customer_id"), F.lit(GUEST))).groupBy(
         "customer_id_clean"
     ).agg(
-        money_sum("total_amount").alias("__rev"),
+        to_cents(revenue(sales)).alias("__rev"),
         F.countDistinct("invoice_id").alias("total_orders"),
-        money_ratio(money_sum("total_amount"), F.count("total_amount")).alias("avg_line_item_value"),
-        F.sum("quantity").alias("total_units_purchased"),
-        F.min("event_time").alias("first_order_date"),
-        F.max("event_time").alias("last_order_date"),
+        money_ratio(revenue(sales), amounts(sales)).alias("avg_line_item_value"),
+        units(sales).alias("total_units_purchased"),
+        first_time(sales).alias("first_order_date"),
+        last_time(sales).alias("last_order_date"),
     ).withColumn("lifetime_revenue", as_double("__rev"))
     per = per.withColumn("avg_order_value", money_ratio(F.col("__rev"), F.col("total_orders")))
     ranked = global_dense_rank(per, "lifetime_revenue", "clv_rank")
@@ -211,12 +247,9 @@ def customers_per_country(sales: DataFrame, dim_customer: DataFrame) -> DataFram
     """Registered customers per (first-seen) country with the revenue of
     identified customers' sales in that country."""
     heads = dim_customer.groupBy("country").agg(F.count("customer_id").alias("total_customers"))
-    revenue = (
-        sales.filter(F.col("customer_id").isNotNull())
-        .groupBy("country")
-        .agg(money_sum("total_amount").alias("__rev"))
-    )
-    joined = heads.join(revenue, "country", "left")
+    known = sales.filter(F.col("customer_id").isNotNull())
+    per_country = known.groupBy("country").agg(to_cents(revenue(sales)).alias("__rev"))
+    joined = heads.join(per_country, "country", "left")
     return joined.select(
         "country", "total_customers", as_double("__rev").alias("total_revenue"),
         money_ratio(F.col("__rev"), F.col("total_customers")).alias("revenue_per_customer"),
@@ -230,9 +263,9 @@ def top_customers_by_orders(sales: DataFrame, dim_customer: DataFrame) -> DataFr
         .groupBy("customer_id")
         .agg(
             F.countDistinct("invoice_id").alias("total_orders"),
-            as_double(money_sum("total_amount")).alias("total_revenue"),
-            F.min("event_time").alias("first_order_date"),
-            F.max("event_time").alias("last_order_date"),
+            as_double(to_cents(revenue(sales))).alias("total_revenue"),
+            first_time(sales).alias("first_order_date"),
+            last_time(sales).alias("last_order_date"),
         )
         .join(dim_customer.select("customer_id", "country", "cohort"), "customer_id", "left")
     )
@@ -274,9 +307,9 @@ def _baskets(sales: DataFrame) -> DataFrame:
     """Per invoice and month: line count (``count(stock_code)``, not
     distinct), units and value."""
     return sales.groupBy("invoice_id", "year", "month").agg(
-        F.count("stock_code").alias("line_item_count"),
-        F.sum("quantity").alias("total_units"),
-        money_sum("total_amount").alias("basket_value"),
+        items(sales).alias("line_item_count"),
+        units(sales).alias("total_units"),
+        revenue(sales).alias("basket_value"),
     )
 
 
@@ -284,7 +317,7 @@ def _basket_aggs() -> list[F.Column]:
     return [
         ratio(F.sum("line_item_count"), F.count("line_item_count")).alias("avg_basket_size"),
         ratio(F.sum("total_units"), F.count("total_units")).alias("avg_units_per_order"),
-        money_ratio(F.sum("basket_value"), F.count("basket_value")).alias("avg_basket_value"),
+        money_ratio(merge_sum("basket_value"), F.count("basket_value")).alias("avg_basket_value"),
         F.count("invoice_id").alias("total_invoices"),
     ]
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopfloor.functions.money import as_double, money_sum
+from shopfloor.functions.money import as_double, money_total
 from shopfloor.functions.periods import year_month
 from shopfloor.operators.reports import GUEST
 
@@ -41,7 +41,7 @@ def top_products(top_products_global: DataFrame, n: int = TOP_PRODUCTS) -> DataF
 def revenue_by_country(revenue_by_country_month: DataFrame) -> DataFrame:
     """SRV-04: revenue, lines and units per country over all months."""
     return revenue_by_country_month.groupBy("country").agg(
-        as_double(money_sum("total_revenue")).alias("total_revenue"),
+        as_double(money_total("total_revenue")).alias("total_revenue"),
         F.sum("total_line_items").alias("total_line_items"),
         F.sum("total_units_sold").alias("total_units_sold"),
     )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
 from shopfloor.operators import dimensions as dims
 from shopfloor.operators import facts
 from shopfloor.operators import reports as rep
+from shopfloor.operators import rollup
+from shopfloor.session import pin
 
 DIMENSIONS = ("dim_date", "dim_product", "dim_customer", "dim_geography")
 REPORTS = (
@@ -35,30 +37,44 @@ def dimensions(silver_orders: DataFrame, silver_customers: DataFrame,
     }
 
 
-def reports(fact: DataFrame, d: dict[str, DataFrame], names: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """The reports in ``names`` (all 17 by default).  Only requested reports
-    are built: the ranked ones pin their value ranges when built."""
-    sales = rep.confirmed_sales(fact)
+def rollups(fact: DataFrame, store: Callable[[DataFrame, str], DataFrame],
+            names: Sequence[str] = REPORTS) -> dict[str, DataFrame]:
+    """The roll-ups behind the reports in ``names``; ``store`` writes one and
+    returns what reads it back, so each is made once."""
+    made: dict[str, DataFrame] = {}
+    for name in rollup.needed(names):
+        parent = rollup.PARENT[name]
+        src = made[parent] if parent else rep.confirmed_sales(fact)
+        made[name] = store(rollup.roll_up(src, name), name)
+    return made
+
+
+def reports(source: DataFrame | Mapping[str, DataFrame], d: Mapping[str, DataFrame],
+            names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The reports in ``names`` (all 17 by default) from the fact, or from its
+    roll-ups by name.  Only requested reports are built: the ranked ones pin
+    their value ranges when built."""
     builders = {
-        "revenue_daily": lambda: rep.revenue_daily(sales, d["dim_date"]),
-        "revenue_monthly": lambda: rep.revenue_monthly(sales),
-        "revenue_yearly": lambda: rep.revenue_yearly(sales),
-        "top_products_by_country": lambda: rep.top_products_by_country(sales, d["dim_product"]),
-        "top_products_global": lambda: rep.top_products_global(sales, d["dim_product"]),
-        "aov_monthly": lambda: rep.aov_monthly(sales),
-        "aov_overall": lambda: rep.aov_overall(sales),
-        "revenue_by_country_month": lambda: rep.revenue_by_country_month(sales),
-        "revenue_by_country_year": lambda: rep.revenue_by_country_year(sales),
-        "product_demand_trends": lambda: rep.product_demand_trends(sales, d["dim_product"]),
-        "new_vs_returning": lambda: rep.new_vs_returning(sales),
-        "customer_lifetime_value": lambda: rep.customer_lifetime_value(sales),
-        "customers_per_country": lambda: rep.customers_per_country(sales, d["dim_customer"]),
-        "top_customers_by_orders": lambda: rep.top_customers_by_orders(sales, d["dim_customer"]),
-        "retention_rate": lambda: rep.retention_rate(sales),
-        "basket_size_monthly": lambda: rep.basket_size_monthly(sales),
-        "basket_size_overall": lambda: rep.basket_size_overall(sales),
+        "revenue_daily": lambda s: rep.revenue_daily(s, d["dim_date"]),
+        "revenue_monthly": rep.revenue_monthly,
+        "revenue_yearly": rep.revenue_yearly,
+        "top_products_by_country": lambda s: rep.top_products_by_country(s, d["dim_product"]),
+        "top_products_global": lambda s: rep.top_products_global(s, d["dim_product"]),
+        "aov_monthly": rep.aov_monthly,
+        "aov_overall": rep.aov_overall,
+        "revenue_by_country_month": rep.revenue_by_country_month,
+        "revenue_by_country_year": rep.revenue_by_country_year,
+        "product_demand_trends": lambda s: rep.product_demand_trends(s, d["dim_product"]),
+        "new_vs_returning": rep.new_vs_returning,
+        "customer_lifetime_value": rep.customer_lifetime_value,
+        "customers_per_country": lambda s: rep.customers_per_country(s, d["dim_customer"]),
+        "top_customers_by_orders": lambda s: rep.top_customers_by_orders(s, d["dim_customer"]),
+        "retention_rate": rep.retention_rate,
+        "basket_size_monthly": rep.basket_size_monthly,
+        "basket_size_overall": rep.basket_size_overall,
     }
-    return {name: builders[name]() for name in (names or REPORTS)}
+    lines = rep.confirmed_sales(source) if isinstance(source, DataFrame) else None
+    return {n: builders[n](lines if lines is not None else source[rollup.SOURCE[n]]) for n in (names or REPORTS)}
 
 
 def gold_from_silver(silver_orders: DataFrame, silver_customers: DataFrame,
@@ -66,4 +82,5 @@ def gold_from_silver(silver_orders: DataFrame, silver_customers: DataFrame,
                      report_names: Sequence[str] | None = None) -> dict[str, DataFrame]:
     d = dimensions(silver_orders, silver_customers, cohort_years)
     fact = facts.fact_order_items(silver_orders)
-    return {**d, "fact_order_items": fact, **reports(fact, d, report_names)}
+    made = rollups(fact, lambda df, name: pin(df, f"rollup_{name}"), report_names or REPORTS)
+    return {**d, "fact_order_items": fact, **reports(made, d, report_names)}

@@ -84,8 +84,22 @@ dim_customer AS (
 
 
 def msum(x: str) -> str:
-    """Exact money sum."""
-    return f"SUM(CAST({x} AS DECIMAL(18,2)))"
+    """Exact money sum, unrounded: each double as the shortest decimal that denotes it."""
+    return f"SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)))"
+
+
+def cents(x: str) -> str:
+    return f"CAST(round({x}, 2) AS DECIMAL(38,2))"
+
+
+def mtotal(x: str) -> str:
+    """Exact money sum, rounded once."""
+    return cents(msum(x))
+
+
+def money_units(x: str) -> str:
+    """An exact amount as a whole number of 10**-18."""
+    return f"CAST(replace(CAST(CAST({x} AS DECIMAL(38,18)) AS VARCHAR), '.', '') AS HUGEINT)"
 
 
 def dbl(x: str) -> str:
@@ -104,7 +118,12 @@ def ratio(num: str, den: str, scale: int = 2, num_scale: int = 0, den_scale: int
 
 
 def money_ratio(num: str, den: str) -> str:
-    return ratio(num, den, num_scale=2)
+    """An exact amount by a count, rounded to 2 decimals, half away from zero; null on 0."""
+    x, d = money_units(num), f"(CAST({den} AS HUGEINT) * {10**16})"
+    return (
+        f"(CASE WHEN {d} = 0 THEN NULL ELSE "
+        f"CAST(sign({x}) * ((2 * abs({x}) + {d}) // (2 * {d})) AS DOUBLE) / 100.0 END)"
+    )
 
 
 def pct_change(curr: str, prev: str, value_scale: int = 0) -> str:
@@ -123,7 +142,7 @@ def with_(*ctes: str) -> str:
 
 
 RLU = (
-    f"{dbl(msum('total_amount'))} AS total_revenue, count(invoice_id) AS total_line_items, "
+    f"{dbl(mtotal('total_amount'))} AS total_revenue, count(invoice_id) AS total_line_items, "
     "CAST(sum(quantity) AS BIGINT) AS total_units_sold"
 )
 
@@ -144,7 +163,7 @@ SELECT d.full_date, s.year, s.month, d.day, d.day_of_week, d.is_weekend, {RLU}
 FROM sales s JOIN dim_date d ON s.date_key = d.date_key
 GROUP BY d.full_date, s.year, s.month, d.day, d.day_of_week, d.is_weekend"""
     q["revenue_monthly"] = base + f""",
-m AS (SELECT year, month, {msum('total_amount')} AS rev, count(invoice_id) AS total_line_items,
+m AS (SELECT year, month, {mtotal('total_amount')} AS rev, count(invoice_id) AS total_line_items,
              CAST(sum(quantity) AS BIGINT) AS total_units_sold FROM sales GROUP BY year, month),
 l AS (SELECT *, lag(rev) OVER (ORDER BY year, month) AS prev FROM m)
 SELECT year, month, {dbl('rev')} AS total_revenue, total_line_items, total_units_sold, {ym()} AS year_month,
@@ -153,7 +172,7 @@ FROM l"""
     q["revenue_yearly"] = base + f" SELECT year, {RLU} FROM sales GROUP BY year"
     prod = f"""
 SELECT {{keys}}, p.description, {dbl('rev')} AS total_revenue, total_units_sold, total_line_items{{extra}}
-FROM (SELECT {{keys}}, {msum('total_amount')} AS rev, CAST(sum(quantity) AS BIGINT) AS total_units_sold,
+FROM (SELECT {{keys}}, {mtotal('total_amount')} AS rev, CAST(sum(quantity) AS BIGINT) AS total_units_sold,
              count(invoice_id) AS total_line_items FROM sales GROUP BY {{keys}}) a
 LEFT JOIN dim_product p USING (stock_code)"""
     q["top_products_by_country"] = with_(lines, DIM_PRODUCT) + """
@@ -168,7 +187,7 @@ SELECT * FROM (""" + prod.format(
     )
     aov = (
         f"{money_ratio('sum(invoice_revenue)', 'count(invoice_revenue)')} AS avg_order_value, "
-        f"count(invoice_id) AS total_invoices, {dbl('sum(invoice_revenue)')} AS total_revenue"
+        f"count(invoice_id) AS total_invoices, {dbl(cents('sum(invoice_revenue)'))} AS total_revenue"
     )
     q["aov_monthly"] = base + f"""
 SELECT year, month, {aov}, {ym()} AS year_month
@@ -181,7 +200,7 @@ SELECT country, year, month, {RLU}, {ym()} AS year_month FROM sales GROUP BY cou
     q["revenue_by_country_year"] = base + f" SELECT country, year, {RLU} FROM sales GROUP BY country, year"
     q["product_demand_trends"] = with_(lines, DIM_PRODUCT) + f""",
 a AS (SELECT stock_code, year, month, CAST(sum(quantity) AS BIGINT) AS units_sold,
-             {msum('total_amount')} AS rev, count(invoice_id) AS order_line_count
+             {mtotal('total_amount')} AS rev, count(invoice_id) AS order_line_count
       FROM sales GROUP BY stock_code, year, month),
 l AS (SELECT a.*, p.description,
              lag(units_sold) OVER (PARTITION BY stock_code ORDER BY year, month) AS prev_month_units
@@ -201,7 +220,7 @@ FROM (SELECT a.year, a.month, a.customer_id,
       FROM active a JOIN firsts f USING (customer_id))
 GROUP BY year, month, customer_type"""
     q["customer_lifetime_value"] = base + f""",
-c AS (SELECT coalesce(customer_id, 'guest') AS customer_id_clean, {msum('total_amount')} AS rev,
+c AS (SELECT coalesce(customer_id, 'guest') AS customer_id_clean, {mtotal('total_amount')} AS rev,
              count(DISTINCT invoice_id) AS total_orders,
              {money_ratio(msum('total_amount'), 'count(total_amount)')} AS avg_line_item_value,
              CAST(sum(quantity) AS BIGINT) AS total_units_purchased,
@@ -214,13 +233,13 @@ SELECT customer_id_clean, {dbl('rev')} AS lifetime_revenue, total_orders, avg_li
 FROM c"""
     q["customers_per_country"] = with_(lines, dim_customer_cte()) + f""",
 h AS (SELECT country, count(customer_id) AS total_customers FROM dim_customer GROUP BY country),
-r AS (SELECT country, {msum('total_amount')} AS rev FROM sales WHERE customer_id IS NOT NULL GROUP BY country)
+r AS (SELECT country, {mtotal('total_amount')} AS rev FROM sales WHERE customer_id IS NOT NULL GROUP BY country)
 SELECT h.country, h.total_customers, {dbl('r.rev')} AS total_revenue,
        {money_ratio('r.rev', 'h.total_customers')} AS revenue_per_customer
 FROM h LEFT JOIN r ON h.country = r.country"""
     q["top_customers_by_orders"] = with_(lines, dim_customer_cte()) + f""",
 a AS (SELECT customer_id, count(DISTINCT invoice_id) AS total_orders,
-             {dbl(msum('total_amount'))} AS total_revenue,
+             {dbl(mtotal('total_amount'))} AS total_revenue,
              min(event_time) AS first_order_date, max(event_time) AS last_order_date
       FROM sales WHERE customer_id IS NOT NULL GROUP BY customer_id)
 SELECT a.customer_id, total_orders, total_revenue, first_order_date, last_order_date, d.country, d.cohort,
@@ -333,7 +352,7 @@ SELECT CAST(customer_id AS VARCHAR) AS kafka_key, 'retail_customer_events' AS to
 FROM customer_events"""
     q["silver_fact_order_items"] = with_(SALES_LINES, ORDER_EVENTS, SILVER_ORDERS) + " SELECT * FROM silver_fact"
     q["revenue_monthly_from_events"] = with_(SALES_LINES, ORDER_EVENTS, SILVER_ORDERS) + f""",
-m AS (SELECT year, month, {msum('total_amount')} AS rev, count(invoice_id) AS total_line_items,
+m AS (SELECT year, month, {mtotal('total_amount')} AS rev, count(invoice_id) AS total_line_items,
              CAST(sum(quantity) AS BIGINT) AS total_units_sold
       FROM silver_fact WHERE NOT is_cancelled GROUP BY year, month),
 l AS (SELECT *, lag(rev) OVER (ORDER BY year, month) AS prev FROM m)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from shopfloor.operators import quality as dq
 from shopfloor.plans.oracle import (
     CUSTOMER_EVENTS, DIM_DATE, DIM_PRODUCT, GOLD_LINES, ORDER_EVENTS, SALES_LINES, SILVER_ORDERS,
-    _reports, dim_customer_cte, money_ratio, msum, ratio, with_, ym,
+    _reports, dim_customer_cte, money_ratio, money_units, msum, mtotal, ratio, with_, ym,
 )
 
 
@@ -50,8 +50,9 @@ silver_customers AS (SELECT CAST(customer_id AS VARCHAR) AS customer_id, country
 monthly AS (SELECT year, month, """ + msum("total_amount") + """ AS rev FROM silver_orders
             WHERE event_type = 'order_item_created' GROUP BY year, month),
 mstats AS (SELECT sum(rev) AS s_rev, count(rev) AS n_rev FROM monthly),
-mflag AS (SELECT *, 10 * abs(rev * count(rev) OVER () - sum(rev) OVER ()) > 3 * sum(rev) OVER () AS anom
-          FROM monthly),
+munits AS (SELECT *, """ + money_units("rev") + """ AS u FROM monthly),
+mflag AS (SELECT *, 10 * abs(u * count(u) OVER () - sum(u) OVER ()) > 3 * sum(u) OVER () AS anom
+          FROM munits),
 s AS (SELECT
   (SELECT count(*) FROM sales_lines) AS raw_orders,
   (SELECT count(DISTINCT customer_id) FROM sales_lines) AS raw_customers,
@@ -161,7 +162,7 @@ s AS (SELECT
   (SELECT count(*) FROM sales_lines WHERE is_cancelled) AS cancelled_count,
   (SELECT count(*) FROM sales_lines WHERE total_amount < 0) AS neg_amount,
   (SELECT count(*) FROM sales_lines WHERE quantity < 0) AS neg_qty,
-  (SELECT """ + msum("total_amount") + """ FROM sales_lines WHERE NOT is_cancelled) AS fact_revenue,
+  (SELECT """ + mtotal("total_amount") + """ FROM sales_lines WHERE NOT is_cancelled) AS fact_revenue,
   (SELECT count(*) FROM (SELECT DISTINCT date_key FROM sales_lines) f
      WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_key = f.date_key)) AS orphan_dates,
   (SELECT count(*) FROM (SELECT DISTINCT stock_code FROM sales_lines) f
@@ -172,7 +173,7 @@ s AS (SELECT
   (SELECT count(*) FROM dim_customer) AS dim_customer_count,
   (SELECT min(full_date) FROM dim_date) AS min_date,
   (SELECT max(full_date) FROM dim_date) AS max_date,
-  (SELECT """ + msum("total_revenue") + """ FROM r_yearly) AS yearly_revenue,
+  (SELECT """ + mtotal("total_revenue") + """ FROM r_yearly) AS yearly_revenue,
   (SELECT count(*) FROM r_monthly WHERE total_revenue <= 0) AS zero_rev_months,
   (SELECT count(*) FROM r_monthly WHERE mom_change_pct > 200 OR mom_change_pct < -80) AS extreme_mom,
   (SELECT min(avg_order_value) FROM r_aov) AS min_aov,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shopfloor.plans.oracle import _reports, dbl, msum, with_, ym
+from shopfloor.plans.oracle import _reports, dbl, mtotal, with_, ym
 
 
 def serving_sql() -> dict[str, str]:
@@ -22,7 +22,7 @@ def serving_sql() -> dict[str, str]:
         " SELECT * FROM r ORDER BY revenue_rank, stock_code LIMIT 10"
     )
     q["srv_revenue_by_country"] = w(("r", "revenue_by_country_month")) + f"""
-SELECT country, {dbl(msum('total_revenue'))} AS total_revenue,
+SELECT country, {dbl(mtotal('total_revenue'))} AS total_revenue,
        CAST(sum(total_line_items) AS BIGINT) AS total_line_items,
        CAST(sum(total_units_sold) AS BIGINT) AS total_units_sold
 FROM r GROUP BY country"""
