@@ -41,20 +41,22 @@ def dim_date(orders: DataFrame, time_col: str = "event_time") -> DataFrame:
     )
 
 
-def most_frequent_per_key(df: DataFrame, key: str, value: str, freq_col: str = "freq") -> DataFrame:
+def most_frequent_per_key(df: DataFrame, key: str, value: str, freq_col: str = "freq", counted: str | None = None) -> DataFrame:
     """Mode of ``value`` per ``key`` among non-null values.
 
     Ties go to the smallest value, so the result is deterministic.  The window
     runs on (key, value) counts, so a hot key costs one row per distinct value.
+    ``counted`` names a column of rows that stand for that many.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias(freq_col))
+    freq = F.sum(counted) if counted else F.count(F.lit(1))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(freq.alias(freq_col))
     w = Window.partitionBy(key).orderBy(F.col(freq_col).desc(), F.col(value).asc())
     return counts.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).select(key, value)
 
 
-def dim_product(orders: DataFrame) -> DataFrame:
+def dim_product(orders: DataFrame, counted: str | None = None) -> DataFrame:
     """One row per stock code with its most frequent non-null description."""
-    return most_frequent_per_key(orders, "stock_code", "description")
+    return most_frequent_per_key(orders, "stock_code", "description", counted=counted)
 
 
 def cohort_label(year_col: F.Column, cohort_years: Sequence[int] | None) -> F.Column:

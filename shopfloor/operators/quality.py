@@ -3,13 +3,15 @@
 Each check result is a row ``(pipeline, layer, check_name, expected, actual,
 status, details)``; ``with_run`` adds ``run_id`` and ``run_timestamp``.
 
-How it runs: the row-level checks of one table are folded into one
-aggregate (one scan per table); duplicate counts, anti-joins and the monthly
-anomaly stats are their own small aggregates.  All of these one-row results
-are stacked with ``unionByName`` and collapsed into a single row of named
-scalars (``scalar_row``) -- no cross join, nothing computed on the driver --
-and the check rows are expressions over that row.  The whole check suite is
-one Spark job whose output is a few dozen rows.
+How it runs: row-level checks are named metrics (``order_metrics``,
+``customer_metrics``, ``fact_metrics``).  A run that writes the tables observes
+them while writing, in the tasks that write, so checking costs no second scan;
+without observed values the same metrics are one aggregate over the stored
+table.  Grouped questions (orphans, months, days, codes) are read from two side
+tables of counts, ``customer_days`` and ``code_descriptions``, each made by one
+pass.  The one-row results are stacked with ``unionByName`` and collapsed
+into a single row of named scalars (``scalar_row``) -- no cross join, nothing
+computed on the driver -- and the check rows are expressions over that row.
 
 Statuses: PASS, WARN, FAIL.  A ratio whose denominator is 0 is null and the
 check is WARN (or FAIL where the rule says so), never an error.
@@ -19,14 +21,14 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopfloor.functions.money import AMOUNT, money_ratio, money_sum, money_total, ratio
-from shopfloor.functions.periods import year_month
+from shopfloor.functions.money import AMOUNT, merge_sum, money_ratio, money_sum, money_total, ratio
+from shopfloor.functions.periods import date_key, year_month
 from shopfloor.operators.events import ORDER_CREATED, ORDER_EVENT_TYPES
 from shopfloor.schemas import METRICS
 
@@ -121,10 +123,9 @@ def text(key: str, **values: Column) -> Column:
     return cols[0] if len(cols) == 1 else F.concat(*cols)
 
 
-# Reports read by the gold checks.
+# Reports read by the gold checks, besides the customers' lifetime values (ranks are not).
 GOLD_CHECK_REPORTS = (
-    "revenue_yearly", "revenue_monthly", "aov_monthly", "customer_lifetime_value", "retention_rate",
-    "basket_size_monthly", "new_vs_returning",
+    "revenue_yearly", "revenue_monthly", "aov_monthly", "retention_rate", "basket_size_monthly", "new_vs_returning",
 )
 
 
@@ -182,6 +183,12 @@ def _dupe_groups(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return _count(df.groupBy(*keys).count().filter(F.col("count") > 1), name)
 
 
+def _keyed_stats(df: DataFrame, key: str, dupes: str, name: str, other: Column) -> DataFrame:
+    """Keys that occur more than once and ``other`` over all rows, in one pass."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), other.alias("__other"))
+    return per_key.agg(F.count_if(F.col("__n") > 1).alias(dupes), F.coalesce(F.sum("__other"), F.lit(0)).alias(name))
+
+
 def _float_text(v: float) -> str:
     return str(float(v))
 
@@ -189,13 +196,82 @@ def _float_text(v: float) -> str:
 # ── silver checks (20 results) ───────────────────────────────────────────────
 
 
-def _monthly_revenue_stats(orders_silver: DataFrame) -> DataFrame:
+def order_metrics() -> list[Column]:
+    """Row-level checks of silver orders, as aggregates to observe or run."""
+    return [
+        F.count(F.lit(1)).alias("silver_orders"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_o_{c}") for c, _ in ORDER_NULL_THRESHOLDS],
+        F.count_if(F.col("quantity") == 0).alias("zero_qty"),
+        F.count_if(F.col("unit_price") < 0).alias("neg_price"),
+        F.count_if(~F.col("event_type").isin(*ORDER_EVENT_TYPES)).alias("bad_event_type"),
+    ]
+
+
+def customer_metrics() -> list[Column]:
+    """Row-level checks of silver customers."""
+    return [
+        F.count(F.lit(1)).alias("silver_customers"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_c_{c}") for c, _ in CUSTOMER_NULL_THRESHOLDS],
+    ]
+
+
+def fact_metrics() -> list[Column]:
+    """Row-level checks of the fact, and its revenue."""
+    return [
+        F.count(F.lit(1)).alias("fact_count"),
+        *[F.count_if(F.col(k).isNull()).alias(f"null_f_{k}") for k in FACT_KEY_COLUMNS],
+        F.count_if(~F.col("is_cancelled")).alias("created_count"),
+        F.count_if(F.col("is_cancelled")).alias("cancelled_count"),
+        F.count_if(F.col("total_amount") < 0).alias("neg_amount"),
+        F.count_if(F.col("quantity") < 0).alias("neg_qty"),
+        money_total(F.when(~F.col("is_cancelled"), F.col("total_amount"))).alias("fact_revenue"),
+    ]
+
+
+def customer_days(orders: DataFrame) -> DataFrame:
+    """Side table: per customer and day the lines, created lines and their exact revenue."""
+    created = F.col("event_type") == ORDER_CREATED
+    return orders.groupBy("customer_id", "year", "month", F.to_date("event_time").alias("day")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(created).alias("created_lines"),
+        money_sum(F.when(created, F.col("total_amount"))).alias("created_revenue"),
+    )
+
+
+def code_descriptions(orders: DataFrame) -> DataFrame:
+    """Side table: lines per stock code and description."""
+    return orders.groupBy("stock_code", "description").agg(F.count(F.lit(1)).alias("lines"))
+
+
+#: Side tables of silver orders by name.
+SIDES: dict[str, Callable[[DataFrame], DataFrame]] = {"customer_days": customer_days, "code_descriptions": code_descriptions}
+
+
+def _known(like: DataFrame, observed: Mapping[str, object] | None, metrics: Sequence[str]) -> DataFrame | None:
+    """One row of observed values, or None unless all of them were observed."""
+    if observed is None or any(m not in observed for m in metrics):
+        return None
+    types = {"fact_revenue": "decimal(28,2)"}
+    return like.sparkSession.range(1).select(*[F.lit(observed[m]).cast(types.get(m, "bigint")).alias(m) for m in metrics])
+
+
+ORDER_METRICS = ("silver_orders", *(f"null_o_{c}" for c, _ in ORDER_NULL_THRESHOLDS), "zero_qty", "neg_price", "bad_event_type")
+CUSTOMER_METRICS = ("silver_customers", *(f"null_c_{c}" for c, _ in CUSTOMER_NULL_THRESHOLDS))
+FACT_METRICS = ("fact_count", *(f"null_f_{k}" for k in FACT_KEY_COLUMNS), "created_count", "cancelled_count", "neg_amount", "neg_qty", "fact_revenue")
+
+
+def _measured(df: DataFrame, observed: Mapping[str, object] | None, metrics: Sequence[Column], names: Sequence[str]) -> DataFrame:
+    known = _known(df, observed, names)
+    return df.agg(*metrics) if known is None else known
+
+
+def _monthly_revenue_stats(days: DataFrame) -> DataFrame:
     """Zero-revenue months and months more than 30 % away from the mean of
     the created-order revenue per month (bounded: one row per month)."""
     monthly = (
-        orders_silver.filter(F.col("event_type") == ORDER_CREATED)
+        days.filter(F.col("created_lines") > 0)
         .groupBy("year", "month")
-        .agg(money_sum("total_amount").alias("rev"))
+        .agg(merge_sum("created_revenue").alias("rev"))
     )
     whole = Window.partitionBy(F.lit(0))  # one row per month: bounded
     s, n = F.sum("rev").over(whole).cast(AMOUNT), F.count("rev").over(whole)
@@ -225,20 +301,24 @@ def _monthly_revenue_stats(orders_silver: DataFrame) -> DataFrame:
 
 
 def silver_checks(
-    orders_bronze: DataFrame,
-    customers_bronze: DataFrame,
+    orders_bronze: DataFrame | None,
+    customers_bronze: DataFrame | None,
     orders_silver: DataFrame,
     customers_silver: DataFrame,
     raw: DataFrame | None = None,
     raw_counts: tuple[int, int] | None = None,
+    observed: Mapping[str, object] | None = None,
+    sides: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Bronze-vs-raw, silver-vs-bronze, nulls, duplicates, business rules,
     referential integrity and revenue anomalies.  The expected raw counts
     (lines, distinct customers) come from ``raw_counts`` when known (e.g.
     observed while publishing), else from a scan of ``raw`` (the raw sales
-    lines), else the fixed counts of the original run."""
+    lines), else the fixed counts of the original run.  ``observed`` holds
+    metrics measured while the tables were written (with the bronze counts among
+    them the bronze tables are not read), ``sides`` stored side tables."""
     if raw_counts is not None:
-        raw_part = orders_bronze.sparkSession.range(1).select(
+        raw_part = orders_silver.sparkSession.range(1).select(
             F.lit(raw_counts[0]).cast("long").alias("raw_orders"),
             F.lit(raw_counts[1]).cast("long").alias("raw_customers"),
         )
@@ -247,40 +327,31 @@ def silver_checks(
             F.count(F.lit(1)).alias("raw_orders"), F.countDistinct("Customer ID").alias("raw_customers")
         )
     else:
-        raw_part = orders_bronze.sparkSession.range(1).select(
+        raw_part = orders_silver.sparkSession.range(1).select(
             F.lit(RAW_ORDERS_COUNT).cast("long").alias("raw_orders"),
             F.lit(RAW_CUSTOMERS_COUNT).cast("long").alias("raw_customers"),
         )
     o = orders_silver
-    order_part = o.agg(
-        F.count(F.lit(1)).alias("silver_orders"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_o_{c}") for c, _ in ORDER_NULL_THRESHOLDS],
-        F.count_if(F.col("quantity") == 0).alias("zero_qty"),
-        F.count_if(F.col("unit_price") < 0).alias("neg_price"),
-        F.count_if(~F.col("event_type").isin(*ORDER_EVENT_TYPES)).alias("bad_event_type"),
-    )
-    cust_part = customers_silver.agg(
-        F.count(F.lit(1)).alias("silver_customers"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_c_{c}") for c, _ in CUSTOMER_NULL_THRESHOLDS],
-    )
+    days = (sides or {}).get("customer_days") or customer_days(o)
     known = customers_silver.select(F.col("customer_id").cast("string").alias("__cid")).distinct()
-    orphans = _count(
-        o.filter(F.col("customer_id").isNotNull()).join(
-            known, o["customer_id"].cast("string") == known["__cid"], "left_anti"
-        ),
-        "orphans",
-    )
+    orphans = days.filter(F.col("customer_id").isNotNull()).join(
+        known, days["customer_id"].cast("string") == known["__cid"], "left_anti"
+    ).agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("orphans"))
+    bronze_parts = [
+        _count(df, name) if known_count is None else known_count
+        for df, name in ((orders_bronze, "bronze_orders"), (customers_bronze, "bronze_customers"))
+        for known_count in (_known(o, observed, [name]),)
+    ]
     s = scalar_row(
         [
             raw_part,
-            _count(orders_bronze, "bronze_orders"),
-            _count(customers_bronze, "bronze_customers"),
-            order_part,
-            cust_part,
+            *bronze_parts,
+            _measured(o, observed, order_metrics(), ORDER_METRICS),
+            _measured(customers_silver, observed, customer_metrics(), CUSTOMER_METRICS),
             _dupe_groups(o, ["invoice_id", "stock_code", "event_time", "quantity"], "order_dupes"),
             _dupe_groups(customers_silver, ["customer_id"], "customer_dupes"),
             orphans,
-            _monthly_revenue_stats(o),
+            _monthly_revenue_stats(days),
         ]
     )
     c = F.col
@@ -366,38 +437,35 @@ def gold_checks(
     date_min: str = DATE_RANGE_MIN,
     date_max_expected: str = DATE_RANGE_MAX_EXPECTED,
     date_max_required: str = DATE_RANGE_MAX_REQUIRED,
+    observed: Mapping[str, object] | None = None,
+    sides: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
+    """Fact against silver, key and sign rules, referential integrity,
+    dimensions, and the reports' plausibility (``observed`` and ``sides`` as in
+    ``silver_checks``)."""
     spark = fact.sparkSession
-    if silver_orders is not None:
+    if observed and "silver_orders" in observed:
+        silver_part = _known(fact, observed, ["silver_orders"]).withColumnRenamed("silver_orders", "silver_count")
+    elif silver_orders is not None:
         silver_part = _count(silver_orders, "silver_count")
     else:
         silver_part = spark.range(1).select(F.lit(SILVER_ORDERS_COUNT).cast("long").alias("silver_count"))
-    fact_part = fact.agg(
-        F.count(F.lit(1)).alias("fact_count"),
-        *[F.count_if(F.col(k).isNull()).alias(f"null_f_{k}") for k in FACT_KEY_COLUMNS],
-        F.count_if(~F.col("is_cancelled")).alias("created_count"),
-        F.count_if(F.col("is_cancelled")).alias("cancelled_count"),
-        F.count_if(F.col("total_amount") < 0).alias("neg_amount"),
-        F.count_if(F.col("quantity") < 0).alias("neg_qty"),
-        money_total(F.when(~F.col("is_cancelled"), F.col("total_amount"))).alias("fact_revenue"),
-    )
-    orphan_dates = _count(
-        fact.select("date_key").distinct().join(dim_date.select("date_key"), "date_key", "left_anti"), "orphan_dates"
-    )
-    orphan_products = _count(
-        fact.select("stock_code").distinct().join(dim_product.select("stock_code"), "stock_code", "left_anti"),
-        "orphan_products",
-    )
+    fact_part = _measured(fact, observed, fact_metrics(), FACT_METRICS)
+    if sides:
+        dates = sides["customer_days"].select(date_key("day").alias("date_key")).distinct()
+        codes = sides["code_descriptions"].select("stock_code").distinct()
+    else:
+        dates, codes = fact.select("date_key").distinct(), fact.select("stock_code").distinct()
+    orphan_dates = _count(dates.join(dim_date.select("date_key"), "date_key", "left_anti"), "orphan_dates")
+    orphan_products = _count(codes.join(dim_product.select("stock_code"), "stock_code", "left_anti"), "orphan_products")
     nvr = new_vs_returning
     parts = [
         silver_part,
         fact_part,
         orphan_dates,
         orphan_products,
-        _dupe_groups(dim_product, ["stock_code"], "product_dupes"),
-        dim_product.agg(F.count_if(F.col("description").isNull()).alias("null_desc")),
-        _dupe_groups(dim_customer, ["customer_id"], "customer_dupes"),
-        _count(dim_customer, "dim_customer_count"),
+        _keyed_stats(dim_product, "stock_code", "product_dupes", "null_desc", F.count_if(F.col("description").isNull())),
+        _keyed_stats(dim_customer, "customer_id", "customer_dupes", "dim_customer_count", F.count(F.lit(1))),
         dim_date.agg(F.min("full_date").alias("min_date"), F.max("full_date").alias("max_date")),
         revenue_yearly.agg(money_total("total_revenue").alias("yearly_revenue")),
         revenue_monthly.agg(
@@ -414,8 +482,9 @@ def gold_checks(
             )
         ),
         basket_size_monthly.agg(F.min("avg_basket_size").alias("min_basket")),
-        _count(nvr.select("year", "month").distinct(), "months_total"),
-        _count(nvr.filter(F.col("customer_type") == "new").select("year", "month").distinct(), "months_with_new"),
+        nvr.groupBy("year", "month").agg(F.max(F.col("customer_type") == "new").alias("__new")).agg(
+            F.count(F.lit(1)).alias("months_total"), F.count_if("__new").alias("months_with_new")
+        ),
     ]
     s = scalar_row(parts)
     c = F.col

@@ -222,9 +222,9 @@ def new_vs_returning(sales: DataFrame) -> DataFrame:
     ).select("year", "month", "customer_type", "customer_count", year_month().alias("year_month"))
 
 
-def customer_lifetime_value(sales: DataFrame) -> DataFrame:
+def customer_values(sales: DataFrame) -> DataFrame:
     """Per customer (all guests as one ``guest`` row): revenue, orders, mean
-    line value, units, first/last order time, order value and rank."""
+    line value, units, first/last order time and order value."""
     per = sales.withColumn("customer_id_clean", F.coalesce(F.col("customer_id"), F.lit(GUEST))).groupBy(
         "customer_id_clean"
     ).agg(
@@ -234,13 +234,17 @@ def customer_lifetime_value(sales: DataFrame) -> DataFrame:
         units(sales).alias("total_units_purchased"),
         first_time(sales).alias("first_order_date"),
         last_time(sales).alias("last_order_date"),
-    ).withColumn("lifetime_revenue", as_double("__rev"))
-    per = per.withColumn("avg_order_value", money_ratio(F.col("__rev"), F.col("total_orders")))
-    ranked = global_dense_rank(per, "lifetime_revenue", "clv_rank")
-    return ranked.select(
-        "customer_id_clean", "lifetime_revenue", "total_orders", "avg_line_item_value",
-        "total_units_purchased", "first_order_date", "last_order_date", "avg_order_value", "clv_rank",
     )
+    return per.select(
+        "customer_id_clean", as_double("__rev").alias("lifetime_revenue"), "total_orders", "avg_line_item_value",
+        "total_units_purchased", "first_order_date", "last_order_date",
+        money_ratio(F.col("__rev"), F.col("total_orders")).alias("avg_order_value"),
+    )
+
+
+def customer_lifetime_value(sales: DataFrame) -> DataFrame:
+    """``customer_values`` with the rank by lifetime revenue."""
+    return global_dense_rank(customer_values(sales), "lifetime_revenue", "clv_rank")
 
 
 def customers_per_country(sales: DataFrame, dim_customer: DataFrame) -> DataFrame:

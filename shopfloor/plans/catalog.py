@@ -8,14 +8,17 @@ columns the builder needs, so unneeded lookups are never joined.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopfloor.operators import dimensions as dims
 from shopfloor.operators import events as evt
 from shopfloor.operators import facts, silver
 from shopfloor.operators import quality as dq
 from shopfloor.operators import reports as rep
+from shopfloor.session import pin, pin_observed
 from shopfloor.sources import adapter, streams
 from shopfloor.sources.tables import TableSet
 
@@ -235,60 +238,76 @@ def q_revenue_monthly_from_events(spark, sf_dir):
 # ── data-quality checks ──────────────────────────────────────────────────────
 
 
-def _silver_pair(t: TableSet, pin: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(order bronze, customer bronze, silver orders, silver customers).
-    ``pin`` writes the silver tables to the shared checkpoint folder so the
-    many consumers of a check suite read them instead of re-parsing."""
-    ob, cb = order_bronze(t), customer_bronze(t)
-    so, sc = silver.silver_orders(ob), silver.silver_customers(cb)
-    if pin:
-        from shopfloor.session import pin as pin_table
+@dataclass(frozen=True)
+class SilverRun:
+    """Silver written once, with what was observed while writing and its side tables."""
 
-        so, sc = pin_table(so, "silver_orders"), pin_table(sc, "silver_customers")
-    return ob, cb, so, sc
+    orders: DataFrame
+    customers: DataFrame
+    observed: dict
+    sides: dict
 
 
-def _silver_checks(t: TableSet, pinned) -> DataFrame:
-    ob, cb, so, sc = pinned
-    return dq.silver_checks(ob, cb, so, sc, raw=adapter.raw_sales_lines(t))
+def _silver_run(t: TableSet) -> SilverRun:
+    so, seen_o = pin_observed(silver.silver_orders(order_bronze(t)), "silver_orders", dq.order_metrics())
+    sc, seen_c = pin_observed(silver.silver_customers(customer_bronze(t)), "silver_customers", dq.customer_metrics())
+    return SilverRun(so, sc, seen_o | seen_c, {name: pin(side(so), name) for name, side in dq.SIDES.items()})
 
 
-def _gold_checks(pinned) -> DataFrame:
-    from shopfloor.plans.gold import gold_from_silver
+def _upstream_counts(t: TableSet) -> dict:
+    """Raw lines and customers, and the events made of them (every line with a
+    quantity other than 0; one per identified customer), from the columns that decide it."""
+    raw = adapter.raw_sales_lines(t, ["Quantity", "Customer ID"])
+    row = raw.agg(
+        F.count(F.lit(1)).alias("raw_orders"), F.countDistinct("Customer ID").alias("raw_customers"),
+        F.count_if(F.col("Quantity") != 0).alias("bronze_orders"),
+    ).first()
+    return row.asDict() | {"bronze_customers": row["raw_customers"]}
 
-    _, _, so, sc = pinned
-    g = gold_from_silver(so, sc, COHORT_YEARS, report_names=dq.GOLD_CHECK_REPORTS)
+
+def _silver_checks(t: TableSet, run: SilverRun) -> DataFrame:
+    up = _upstream_counts(t)
+    return dq.silver_checks(None, None, run.orders, run.customers, sides=run.sides,
+                            raw_counts=(up["raw_orders"], up["raw_customers"]), observed=run.observed | up)
+
+
+def _gold_checks(run: SilverRun) -> DataFrame:
+    from shopfloor.plans import gold
+
+    fact, seen = pin_observed(facts.fact_order_items(run.orders), "fact_order_items", dq.fact_metrics())
+    d = gold.dimensions(run.orders, run.customers, COHORT_YEARS, run.sides)
+    made = gold.rollups(fact, lambda df, name: pin(df, f"rollup_{name}"), dq.GOLD_CHECK_REPORTS)
+    r = gold.reports(made, d, dq.GOLD_CHECK_REPORTS)
     return dq.gold_checks(
-        g["fact_order_items"], g["dim_product"], g["dim_customer"], g["dim_date"], g["revenue_yearly"],
-        g["revenue_monthly"], g["aov_monthly"], g["customer_lifetime_value"], g["retention_rate"],
-        g["basket_size_monthly"], g["new_vs_returning"], silver_orders=so,
+        fact, d["dim_product"], d["dim_customer"], d["dim_date"], r["revenue_yearly"], r["revenue_monthly"],
+        r["aov_monthly"], rep.customer_values(made["invoice_day"]), r["retention_rate"], r["basket_size_monthly"],
+        r["new_vs_returning"], observed=run.observed | seen, sides=run.sides,
     )
 
 
 def q_dq_silver_checks(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return _silver_checks(t, _silver_pair(t, pin=True))
+    return _silver_checks(t, _silver_run(t))
 
 
 def q_dq_gold_checks(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return _gold_checks(_silver_pair(t, pin=True))
+    return _gold_checks(_silver_run(_tables(spark, sf_dir)))
 
 
 def q_dq_orphan_orders(spark, sf_dir):
     """DQ-10 quarantine content: silver orders whose customer is not among
     silver customers (anti-join on the string form of the id)."""
     t = _tables(spark, sf_dir)
-    _, _, so, sc = _silver_pair(t)
+    so, sc = silver.silver_orders(order_bronze(t)), silver.silver_customers(customer_bronze(t))
     return dq.orphan_orders(so, sc).select("invoice_id", "stock_code", "customer_id", "event_time", "quantity")
 
 
 def q_dq_summary(spark, sf_dir):
     """DQ-32: totals by status over both check suites of one run (silver is
-    pinned once and shared by both suites)."""
+    written and observed once and shared by both suites)."""
     t = _tables(spark, sf_dir)
-    pinned = _silver_pair(t, pin=True)
-    return dq.summary(_silver_checks(t, pinned).unionByName(_gold_checks(pinned)))
+    run = _silver_run(t)
+    return dq.summary(_silver_checks(t, run).unionByName(_gold_checks(run)))
 
 
 def queries() -> dict[str, Query]:

@@ -28,10 +28,17 @@ REPORT_GROUPS = {
 
 
 def dimensions(silver_orders: DataFrame, silver_customers: DataFrame,
-               cohort_years: Sequence[int] | None = dims.DEFAULT_COHORT_YEARS) -> dict[str, DataFrame]:
+               cohort_years: Sequence[int] | None = dims.DEFAULT_COHORT_YEARS,
+               sides: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The dimensions; dates and products from the side tables where given."""
+    if sides:
+        date = dims.dim_date(sides["customer_days"], "day")
+        product = dims.dim_product(sides["code_descriptions"], counted="lines")
+    else:
+        date, product = dims.dim_date(silver_orders), dims.dim_product(silver_orders)
     return {
-        "dim_date": dims.dim_date(silver_orders),
-        "dim_product": dims.dim_product(silver_orders),
+        "dim_date": date,
+        "dim_product": product,
         "dim_customer": dims.dim_customer(silver_customers, cohort_years),
         "dim_geography": dims.dim_geography(silver_orders),
     }
@@ -79,8 +86,9 @@ def reports(source: DataFrame | Mapping[str, DataFrame], d: Mapping[str, DataFra
 
 def gold_from_silver(silver_orders: DataFrame, silver_customers: DataFrame,
                      cohort_years: Sequence[int] | None = dims.DEFAULT_COHORT_YEARS,
-                     report_names: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    d = dimensions(silver_orders, silver_customers, cohort_years)
-    fact = facts.fact_order_items(silver_orders)
+                     report_names: Sequence[str] | None = None, fact: DataFrame | None = None,
+                     sides: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    d = dimensions(silver_orders, silver_customers, cohort_years, sides)
+    fact = facts.fact_order_items(silver_orders) if fact is None else fact
     made = rollups(fact, lambda df, name: pin(df, f"rollup_{name}"), report_names or REPORTS)
     return {**d, "fact_order_items": fact, **reports(made, d, report_names)}

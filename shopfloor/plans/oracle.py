@@ -26,7 +26,7 @@ ADAPTER_SELECT = f"""
          CAST(month(o.o_orderdate) AS INTEGER) AS month,
          l.l_linenumber AS line_number
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""

@@ -85,6 +85,18 @@ def pin(df, name: str):
     return spark.read.parquet(path)
 
 
+def pin_observed(df, name: str, metrics) -> tuple:
+    """``pin``, and the values of named aggregates over the rows written.
+
+    They are observed in the tasks that write, whose results Spark counts once
+    each, so a lost executor does not change them."""
+    from pyspark.sql import Observation
+
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    stored = pin(df.observe(seen, *metrics), name)
+    return stored, dict(seen.get)
+
+
 def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 256 * 1024**2,
                max_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
     """Suggested settings for a job that shuffles about ``shuffle_bytes``.

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -19,9 +19,12 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK-02: (over)write an unpartitioned Parquet table."""
-    df.write.mode(mode).parquet(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", metrics: Sequence[Column] = ()) -> dict:
+    """SNK-02: (over)write an unpartitioned Parquet table; returns the values of
+    ``metrics`` (named aggregates) over the rows written."""
+    seen = Observation() if metrics else None
+    (df.observe(seen, *metrics) if metrics else df).write.mode(mode).parquet(path)
+    return dict(seen.get) if metrics else {}
 
 
 def write_partitioned(
@@ -31,7 +34,8 @@ def write_partitioned(
     mode: str = "overwrite",
     dynamic: bool = False,
     files_per_partition: int | None = None,
-) -> None:
+    metrics: Sequence[Column] = (),
+) -> dict:
     """SNK-03 / SNK-08: Parquet partitioned by ``partition_cols``.
 
     Rows are clustered by the partition columns first (SNK-08), so each task
@@ -42,6 +46,11 @@ def write_partitioned(
     ``files_per_partition`` a fixed, deterministic salt (a hash of the whole
     row) spreads every directory over exactly that many tasks.  ``dynamic``
     replaces only the partitions present in ``df`` (incremental rebuilds).
+
+    Returns the values of ``metrics`` (named aggregates).  They are observed
+    after the clustering, in the tasks that write: Spark counts each of these
+    once, whereas a task before a shuffle is counted anew when it runs again
+    after a lost executor.
     """
     cols = list(partition_cols)
     if files_per_partition and files_per_partition > 1:
@@ -49,10 +58,14 @@ def write_partitioned(
         df = df.repartition(*[F.col(c) for c in cols], salt)
     else:
         df = df.hint("rebalance", *cols)
+    seen = Observation() if metrics else None
+    if metrics:
+        df = df.observe(seen, *metrics)
     writer = df.write.mode(mode).partitionBy(*cols)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
+    return dict(seen.get) if metrics else {}
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:

@@ -10,10 +10,10 @@ cancellations, so the mapping supplies them while keeping every line:
   of 5; country = the customer's nation name
 * a line with return flag ``R`` is a cancellation
 
-Every line of ``lineitem`` is kept.  Lines need their order (for the date);
-part, customer and nation are looked up with left joins on their primary
-keys, so a lookup whose columns are not requested is skipped without changing
-the row set.  At scale that saves whole shuffles of the line table.
+Every line of ``lineitem`` is kept: order, part, customer and nation are looked
+up with left joins on their primary keys (a line without an order has no date
+and no customer), so a lookup whose columns are not requested is skipped without
+changing the row set.  At scale that saves whole shuffles of the line table.
 """
 
 from __future__ import annotations
@@ -50,6 +50,7 @@ SALES_COLUMNS = [
 
 _PART_COLUMNS = {"stock_code", "description", "unit_price"}
 _COUNTRY_COLUMNS = {"country"}
+_ORDER_COLUMNS = {"customer_id", "event_time", "date_key", "year", "month"} | _COUNTRY_COLUMNS
 
 
 def _orders_with_country(tables: TableSet, with_country: bool) -> DataFrame:
@@ -81,22 +82,24 @@ def sales_lines(tables: TableSet, columns: Iterable[str] | None = None) -> DataF
     li = tables["lineitem"].select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"
     )
-    orders = _orders_with_country(tables, bool(need & _COUNTRY_COLUMNS))
-    df = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
+    df = li
+    if need & _ORDER_COLUMNS:
+        orders = _orders_with_country(tables, bool(need & _COUNTRY_COLUMNS))
+        df = df.join(orders, li.l_orderkey == orders.o_orderkey, "left")
     if need & _PART_COLUMNS:
         part = tables["part"].select("p_partkey", "p_brand", "p_name", "p_retailprice")
         df = df.join(part, df.l_partkey == part.p_partkey, "left")
 
     guest = F.col("o_custkey") % GUEST_MODULUS == 0
+    described = F.when(F.col("l_partkey") % MISSING_DESCRIPTION_MODULUS == 0, F.lit(None).cast("string"))
     exprs = {
         "invoice_id": F.col("l_orderkey").cast("string"),
-        "stock_code": F.col("p_brand") if need & _PART_COLUMNS else None,
-        "description": F.when(F.col("l_partkey") % MISSING_DESCRIPTION_MODULUS == 0, F.lit(None).cast("string"))
-        .otherwise(F.col("p_name")) if need & _PART_COLUMNS else None,
+        "stock_code": F.col("p_brand"),
+        "description": described.otherwise(F.col("p_name")),
         "quantity": F.col("l_quantity").cast("int"),
-        "unit_price": F.col("p_retailprice") if need & _PART_COLUMNS else None,
+        "unit_price": F.col("p_retailprice"),
         "total_amount": F.col("l_extendedprice"),
-        "country": F.col("country") if need & _COUNTRY_COLUMNS else None,
+        "country": F.col("country"),
         "customer_id": F.when(guest, F.lit(None).cast("string")).otherwise(F.col("o_custkey").cast("string")),
         "event_time": F.col("o_orderdate"),
         "is_cancelled": F.col("l_returnflag") == CANCEL_FLAG,
@@ -115,20 +118,29 @@ def sales(tables: TableSet, columns: Iterable[str] | None = None) -> DataFrame:
     return sales_lines(tables, cols + extra).filter(~F.col("is_cancelled")).select(*cols)
 
 
-def raw_sales_lines(tables: TableSet) -> DataFrame:
+RAW_COLUMNS = {
+    "Invoice": ("invoice_id",),
+    "StockCode": ("stock_code",),
+    "Description": ("description",),
+    "Quantity": ("quantity", "is_cancelled"),
+    "InvoiceDate": ("event_time",),
+    "Price": ("unit_price",),
+    "Customer ID": ("customer_id",),
+    "Country": ("country",),
+    "LineNumber": ("line_number",),
+}
+
+
+def raw_sales_lines(tables: TableSet, columns: Iterable[str] | None = None) -> DataFrame:
     """The 8-column raw sales table (quantity negative for cancellations),
     plus ``LineNumber``: the line's position in its invoice, which a replay
-    uses as the arrival order of the invoice's events.
+    uses as the arrival order of the invoice's events.  With ``columns`` only
+    these, and only the lookups they need.
     """
-    df = sales_lines(tables, SALES_COLUMNS)
-    return df.select(
-        F.col("invoice_id").alias("Invoice"),
-        F.col("stock_code").alias("StockCode"),
-        F.col("description").alias("Description"),
-        F.when(F.col("is_cancelled"), -F.col("quantity")).otherwise(F.col("quantity")).alias("Quantity"),
-        F.col("event_time").alias("InvoiceDate"),
-        F.col("unit_price").alias("Price"),
-        F.col("customer_id").cast("long").alias("Customer ID"),
-        F.col("country").alias("Country"),
-        F.col("line_number").alias("LineNumber"),
-    )
+    wanted = list(RAW_COLUMNS if columns is None else columns)
+    df = sales_lines(tables, dict.fromkeys(c for w in wanted for c in RAW_COLUMNS[w]))
+    exprs = {
+        "Quantity": lambda: F.when(F.col("is_cancelled"), -F.col("quantity")).otherwise(F.col("quantity")),
+        "Customer ID": lambda: F.col("customer_id").cast("long"),
+    }
+    return df.select(*[exprs.get(w, lambda w=w: F.col(RAW_COLUMNS[w][0]))().alias(w) for w in wanted])
