@@ -27,14 +27,24 @@ def parse_orders(bronze: DataFrame, strict_nan: bool = False, typed: bool = Fals
     return flat
 
 
+#: Text after a time of day that can only be a zone (``Z``, ``+05:00``, ``Europe/Paris``).
+ZONED = r"\d:\d{1,2}(:\d{1,2}(\.\d*)?)?\s*[A-Za-z+-].*$"
+
+
+def utc_wall_clock(instant: Column) -> Column:
+    """The UTC wall-clock time of an instant, whatever the session time zone."""
+    seconds = (F.unix_micros(instant).cast("decimal(18,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
 def wall_clock(text: Column | str, fmt: str | None = None) -> Column:
-    """Event-time text -> ``timestamp_ntz`` (a wall-clock time, as written by
-    the producer), null when unreadable.  Unlike a zone-bound timestamp, the
-    value, its date key and its month do not depend on the session time
-    zone."""
+    """Event-time text -> ``timestamp_ntz``, null when unreadable: the time as the
+    producer wrote it or, where the text names a zone, that instant's time in UTC.
+    Unlike a zone-bound timestamp, the value, its date key and its month do not
+    depend on the session time zone."""
     c = F.col(text) if isinstance(text, str) else text
     if fmt is None:
-        return c.try_cast("timestamp_ntz")
+        return F.when(c.rlike(ZONED), utc_wall_clock(c.try_cast("timestamp"))).otherwise(c.try_cast("timestamp_ntz"))
     return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
 
 

@@ -118,3 +118,24 @@ def test_silver_customers(spark):
     payloads = [mk(12, "2010-12-01 08:26:00"), mk(12, "2010-12-01 08:26:00"), mk(13, "bad"), mk(None, "x")]
     out = silver.silver_customers(_bronze(spark, payloads)).collect()
     assert sorted((r.customer_id, r.first_seen_time) for r in out) == [("12", T0), ("13", None)]
+
+
+def test_zoned_event_times_become_utc_wall_clock(spark):
+    import datetime as dt
+
+    texts = {
+        "2010-12-01 10:00:00": dt.datetime(2010, 12, 1, 10), "2010-12-01 10:00:00+05:00": dt.datetime(2010, 12, 1, 5),
+        "2010-12-01T10:00:00Z": dt.datetime(2010, 12, 1, 10), "2010-12-01 01:30:00.25-03:00": dt.datetime(2010, 12, 1, 4, 30, 0, 250000),
+        "2010-12-01 00:30:00 Europe/Paris": dt.datetime(2010, 11, 30, 23, 30), "2010-11-07T06:30:00Z": dt.datetime(2010, 11, 7, 6, 30),
+        "2010-12-01": dt.datetime(2010, 12, 1), "1960-01-01 00:00:00Z": dt.datetime(1960, 1, 1),
+        "bad": None, "2010-12-01 10:00:00 nowhere": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = {r.t: r.w for r in df.select("t", silver.wall_clock("t").alias("w")).collect()}
+            assert got == texts, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
