@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopfloor.functions.json import json_field
+from shopfloor.functions.json import json_field, repair_nan
 from shopfloor.operators import events as evt
 from shopfloor.operators import profile as pro
 from shopfloor.operators import silver
@@ -15,14 +15,15 @@ from shopfloor.sources.tables import TableSet
 RAW8 = ["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price", "Customer ID", "Country"]
 KEY3 = ["Invoice", "StockCode", "InvoiceDate"]
 KEY4 = KEY3 + ["Quantity"]
+LOOKUP_COUNTRY = "NATION_7"
 
 
 def _t(spark, sf_dir) -> TableSet:
     return TableSet(spark, sf_dir)
 
 
-def _raw(t: TableSet) -> DataFrame:
-    return adapter.raw_sales_lines(t)
+def _raw(t: TableSet, *columns: str) -> DataFrame:
+    return adapter.raw_sales_lines(t, columns or None)
 
 
 def nan_order_bronze(t: TableSet) -> DataFrame:
@@ -49,7 +50,7 @@ def q_event_type_counts(spark, sf_dir):
 
 
 def q_describe(spark, sf_dir):
-    return pro.describe_numeric(_raw(_t(spark, sf_dir)), ["Quantity", "Price"])
+    return pro.describe_numeric(_raw(_t(spark, sf_dir), "Quantity", "Price"), ["Quantity", "Price"])
 
 
 def q_unreadable_json(spark, sf_dir):
@@ -83,8 +84,9 @@ def q_duplicate_excess(spark, sf_dir):
 
 def q_stage_funnel(spark, sf_dir):
     b = nan_order_bronze(_t(spark, sf_dir))
-    parsed = _parsed_orders(b)
-    timed = parsed.filter(F.col("event_time").isNotNull())
+    typed = _parsed_orders(b)
+    parsed = b.filter(json_field(repair_nan("raw_json"), "$.event_type").isNotNull())
+    timed = typed.filter(F.col("event_time").isNotNull())
     return pro.stage_funnel(
         [("bronze", b), ("parsed", parsed), ("event_time_present", timed), ("deduplicated", silver.silver_orders(b))]
     )
@@ -111,19 +113,19 @@ def q_conflicting_lines(spark, sf_dir):
 
 
 def q_sign_split(spark, sf_dir):
-    return pro.sign_split(_raw(_t(spark, sf_dir)))
+    return pro.sign_split(_raw(_t(spark, sf_dir), "Quantity", "Price"))
 
 
 def q_first_seen_years(spark, sf_dir):
-    return pro.first_seen_years(_raw(_t(spark, sf_dir)))
+    return pro.first_seen_years(_raw(_t(spark, sf_dir), "Customer ID", "InvoiceDate"))
 
 
 def q_customer_counts(spark, sf_dir):
-    return pro.customer_counts(_raw(_t(spark, sf_dir)))
+    return pro.customer_counts(_raw(_t(spark, sf_dir), "Customer ID"))
 
 
 def q_rows_per_year(spark, sf_dir):
-    return pro.rows_per_year(_raw(_t(spark, sf_dir)))
+    return pro.rows_per_year(_raw(_t(spark, sf_dir), "InvoiceDate"))
 
 
 def q_missing_customer_lines(spark, sf_dir):
@@ -136,11 +138,26 @@ def q_missing_customer_lines(spark, sf_dir):
 def q_invoice_lookup(spark, sf_dir):
     """All lines of the invoice with the most lines (ties: smallest id) – a
     lookup whose key comes from the data, not from the driver."""
-    raw = _raw(_t(spark, sf_dir))
-    top = raw.groupBy("Invoice").count().orderBy(F.col("count").desc(), F.col("Invoice")).limit(1)
+    t = _t(spark, sf_dir)
+    raw = _raw(t)
+    top = _raw(t, "Invoice").groupBy("Invoice").count().orderBy(F.col("count").desc(), F.col("Invoice")).limit(1)
     return raw.join(top.select("Invoice"), "Invoice", "left_semi")
 
 
+def q_description_totals(spark, sf_dir):
+    return pro.description_totals(adapter.sales_lines(_t(spark, sf_dir), ["stock_code", "description"]))
+
+
+def q_files(spark, sf_dir):
+    """Files and rows behind the line table as it is stored."""
+    return pro.file_count(_t(spark, sf_dir)["lineitem"])
+
+
+def q_country_lookup(spark, sf_dir):
+    """PRO-19: the lines of one given country."""
+    return pro.lookup(_raw(_t(spark, sf_dir), *RAW8), "Country", LOOKUP_COUNTRY)
+
+
 def queries() -> dict:
     return {
         "profile_null_counts": q_null_counts,
@@ -163,4 +180,7 @@ def queries() -> dict:
         "profile_rows_per_year": q_rows_per_year,
         "profile_missing_customer_lines": q_missing_customer_lines,
         "profile_invoice_lookup": q_invoice_lookup,
+        "profile_description_totals": q_description_totals,
+        "profile_files": q_files,
+        "profile_country_lookup": q_country_lookup,
     }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shopfloor.operators import profile as pro
-from shopfloor.plans.oracle import ORDER_EVENTS, SALES_LINES, SILVER_ORDERS, ratio, with_
+from shopfloor.plans.oracle import ORDER_EVENTS, SALES_LINES, SILVER_ORDERS, money_units, ratio, with_
 
 RAW = """
 raw AS (
@@ -36,11 +36,14 @@ def profile_sql() -> dict[str, str]:
     )
     parts = []
     for c in ("Quantity", "Price"):
+        exact = f'sum(CAST(CAST(CAST("{c}" AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)))'
+        x = f'CAST("{c}" AS DOUBLE)'
         parts.append(
-            f"""SELECT '{c}' AS "column", count("{c}") AS count,
-       {ratio(f'sum(CAST("{c}" AS DECIMAL(38,4)))', f'count("{c}")', scale=4, num_scale=4)} AS mean,
-       round(stddev_samp(CAST("{c}" AS DOUBLE)), 4) AS stddev,
-       CAST(min("{c}") AS DOUBLE) AS min, CAST(max("{c}") AS DOUBLE) AS max FROM raw"""
+            f"""SELECT '{c}' AS "column", count("{c}") AS count, CAST(0 AS BIGINT) AS left_out,
+       CAST(sign({money_units(exact)}) * ((2 * abs({money_units(exact)}) + CAST(count("{c}") AS HUGEINT) * {10**14})
+            // (2 * CAST(count("{c}") AS HUGEINT) * {10**14})) AS DOUBLE) / 10000.0 AS mean,
+       round(stddev_samp({x}), 4) AS stddev, min({x}) AS min, quantile_cont({x}, 0.25) AS q1,
+       quantile_cont({x}, 0.5) AS median, quantile_cont({x}, 0.75) AS q3, max({x}) AS max FROM raw"""
         )
     q["profile_describe"] = base + " " + " UNION ALL ".join(parts)
     q["profile_unreadable_json"] = with_(SALES_LINES, ORDER_EVENTS) + f"""
@@ -65,7 +68,7 @@ SELECT (SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM (SELECT count(*) AS
     pct = ratio("prev_rows - rows", "prev_rows", factor=100)
     q["profile_stage_funnel"] = with_(SALES_LINES, ORDER_EVENTS, SILVER_ORDERS) + f""",
 c AS (SELECT 0 AS step, 'bronze' AS stage, (SELECT count(*) FROM order_events) AS rows
-      UNION ALL SELECT 1, 'parsed', (SELECT count(*) FROM order_events)
+      UNION ALL SELECT 1, 'parsed', (SELECT count(event_type) FROM order_events)
       UNION ALL SELECT 2, 'event_time_present', (SELECT count(*) FROM order_events WHERE event_time IS NOT NULL)
       UNION ALL SELECT 3, 'deduplicated', (SELECT count(*) FROM silver_orders)),
 l AS (SELECT *, lag(rows) OVER (ORDER BY step) AS prev_rows FROM c)
@@ -112,4 +115,11 @@ SELECT count(*) FILTER (WHERE customer_id IS NULL OR trim(CAST(customer_id AS VA
     q["profile_invoice_lookup"] = base + """,
 top AS (SELECT "Invoice" FROM raw GROUP BY "Invoice" ORDER BY count(*) DESC, "Invoice" LIMIT 1)
 SELECT * FROM raw WHERE "Invoice" IN (SELECT "Invoice" FROM top)"""
+    q["profile_description_totals"] = with_(SALES_LINES) + """
+SELECT (SELECT count(*) FROM (SELECT DISTINCT stock_code FROM sales_lines)) AS codes,
+       (SELECT count(*) FROM (SELECT 1 FROM sales_lines GROUP BY stock_code HAVING count(DISTINCT description) > 1))
+           AS codes_with_several_descriptions,
+       (SELECT count(*) FROM (SELECT DISTINCT stock_code, description FROM sales_lines)) AS distinct_pairs"""
+    q["profile_files"] = "SELECT CAST(1 AS BIGINT) AS files, count(*) AS rows FROM lineitem"
+    q["profile_country_lookup"] = base + f""" SELECT {RAW8} FROM raw WHERE "Country" = 'NATION_7'"""
     return q

@@ -137,7 +137,8 @@ def test_partition_profile(spark, scratch):
     counts = {r.spark_partition: r.rows for r in pro.rows_per_spark_partition(df).collect()}
     assert sum(counts.values()) == 100 and len(counts) == 5
     df.write.parquet(f"{scratch}/f")
-    assert pro.file_count(spark.read.parquet(f"{scratch}/f")) == 5
+    found = pro.file_count(spark.read.parquet(f"{scratch}/f")).first()
+    assert (found.files, found.rows) == (5, 100)
 
 
 def test_counted_write(spark, scratch):
@@ -146,16 +147,80 @@ def test_counted_write(spark, scratch):
     assert obs.get["rows"] == 42
 
 
-def test_describe_with_quartiles(spark):
+def test_describe_with_exact_quartiles(spark, monkeypatch):
     import numpy as np
 
-    vals = [float(v) for v in np.random.default_rng(5).integers(1, 1000, 5000)]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    r = pro.describe_numeric(df, ["x"], quartiles=True).first()
+    rng = np.random.default_rng(5)
+    vals = [float(v) for v in rng.integers(1, 1000, 2000)] + [7.0] * 1500 + [float(v) for v in rng.normal(size=700)]
+    rows = [(v, i) for i, v in enumerate(vals)] + [(None, 1), (float("nan"), 2), (float("inf"), 3), (float("-inf"), None)]
+    df = spark.createDataFrame(rows, "x double, i int").withColumn("none", F.lit(None).cast("double"))
+    out = {r["column"]: r for r in pro.describe_numeric(df, ["x", "i", "none"]).collect()}
+    r = out["x"]
     q1, med, q3 = np.percentile(vals, [25, 50, 75])
-    assert r["count"] == 5000 and abs(r["mean"] - round(float(np.mean(vals)), 4)) < 1e-9
-    for got, want in ((r["q1"], q1), (r["median"], med), (r["q3"], q3)):
-        assert abs(got - want) <= 2.0
+    assert (r["count"], r.left_out, r.min, r.max) == (len(vals), 3, min(vals), max(vals))
+    assert abs(r["mean"] - round(float(np.mean(vals)), 4)) < 1e-9 and abs(r.stddev - np.std(vals, ddof=1)) < 1e-4
+    for got, want in ((r.q1, q1), (r.median, med), (r.q3, q3)):
+        assert abs(got - want) < 1e-9
+    assert (out["none"]["count"], out["none"].left_out, out["none"]["mean"], out["none"].median) == (0, 0, None, None)
+    nan_one = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
+    r = pro.describe_numeric(nan_one, ["x"]).first()
+    assert (r["count"], r.left_out, r["mean"], r.median, r.stddev) == (1, 1, 1.0, 1.0, None)  # the mean of the rows it counts
+
+
+def test_quantiles_over_many_ranges(spark):
+    import numpy as np
+
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        vals = {"a": [float(v % 53) for v in range(401)], "b": [1.5], "c": [2.0, 4.0]}
+        counts = [(c, v, vs.count(v)) for c, vs in vals.items() for v in set(vs)]
+        probabilities = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
+        got = pro.exact_quantiles(spark.createDataFrame(counts, "column string, value double, rows long"), probabilities).collect()
+        assert len(got) == 18
+        assert all(abs(r["quantile"] - np.percentile(vals[r["column"]], 100 * r.probability)) < 1e-9 for r in got)
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+
+
+def test_profiles_read_their_input_once(spark, scratch):
+    rows = [("1", "A", 1, "x"), ("1", "A", 1, "x"), ("1", "A", 1, "y"), ("1", "A", 2, None), ("2", "B", None, "z"), ("2", "B", None, "z"), (None, "C", 1, "w"), (None, "C", 2, "w")]
+    spark.createDataFrame(rows, "k string, s string, q int, d string").coalesce(1).write.parquet(f"{scratch}/in")
+    df = spark.read.parquet(f"{scratch}/in")
+
+    def got(out):
+        return sorted(map(tuple, out.collect()), key=repr)
+
+    assert got(pro.duplicate_members(df, ["k", "s", "q"])) == sorted([r for r in rows if r[1] != "C" and r[2] != 2], key=repr)
+    assert got(pro.conflicting_records(df, ["k", "s"], "q")) == sorted([("1", "A", 2, None), (None, "C", 1, "w"), (None, "C", 2, "w")], key=repr)
+    excess = pro.duplicate_excess(df, {"three": ["k", "s", "q"], "two": ["k", "s"]})
+    assert tuple(excess.first()) == (3, 5)
+    plan = excess._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    for out in (pro.duplicate_members(df, ["k", "s", "q"]), pro.conflicting_records(df, ["k", "s"], "q")):
+        assert f"{scratch}/in" not in out._jdf.queryExecution().executedPlan().toString()  # read once, when counted
+    many = spark.range(1).select(F.lit(25_001).cast("long").alias("__n"))
+    assert pro._repeated(many, "__n").count() == 25_001
+
+
+def test_funnel_counts_parsed_payloads(spark):
+    b = _bronze(spark, [_order(), "garbage", _order(event_time="bad")])
+    from shopfloor.functions.json import json_field, repair_nan
+
+    parsed = b.filter(json_field(repair_nan("raw_json"), "$.event_type").isNotNull())
+    rows = pro.stage_funnel([("bronze", b), ("parsed", parsed)]).orderBy("step").collect()
+    assert [(r.rows, r.dropped) for r in rows] == [(3, None), (2, 1)]
+
+
+def test_seeded_orphans_and_lookup(spark):
+    ob = _bronze(spark, [_order(customer_id=7), _order(invoice_id="2", customer_id=99), _order(invoice_id="3", customer_id=None)])
+    so, sc = silver.silver_orders(ob), silver.silver_customers(_bronze(spark, [_cust(7)]))
+    assert [r.customer_id for r in dq.orphan_orders(so, sc).collect()] == [99]
+    assert [r.invoice_id for r in pro.lookup(so, "customer_id", 7).collect()] == ["1"]
+    totals = pro.description_totals(spark.createDataFrame([("A", "x"), ("A", "y"), ("A", None), ("B", "x")], "stock_code string, description string"))
+    assert tuple(totals.first()) == (2, 1, 4)
 
 
 def test_dynamic_overwrite_replaces_only_given_months(spark, scratch):
