@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -25,9 +26,10 @@ from shopfloor.operators import quality as dq
 from shopfloor.operators import serving
 from shopfloor.operators import silver
 from shopfloor.plans import gold
-from shopfloor.sinks import files, jdbc
+from shopfloor.sinks import files, jdbc, versioned
 from shopfloor.sources import streams
 from shopfloor.streaming import bronze as bronze_stream
+from shopfloor.streaming.silver_incremental import start_incremental_silver, with_first_seen_month
 
 log = logging.getLogger(__name__)
 
@@ -75,6 +77,9 @@ class Layout:
     def fact(self) -> str:
         return self.p("gold", "facts", "fact_order_items")
 
+    def side(self, name: str) -> str:
+        return self.p("silver", "sides", name)
+
     def rollup(self, name: str) -> str:
         return self.p("gold", "rollups", name)
 
@@ -124,23 +129,52 @@ def publish_events(raw: DataFrame, layout: Layout, partitions: int = 8) -> tuple
     return int(raw_obs.get["rows"]), int(cust_obs.get["rows"])
 
 
+@dataclass(frozen=True)
+class KafkaTopics:
+    """SRC-01/02: the two topics of a broker; ``max_offsets_per_trigger`` bounds a micro-batch."""
+
+    bootstrap_servers: str
+    orders: str = evt.ORDER_TOPIC
+    customers: str = evt.CUSTOMER_TOPIC
+    starting_offsets: str = "earliest"
+    max_offsets_per_trigger: int | None = None
+    options: Mapping[str, str] | None = None
+
+    def open(self, spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+        return {
+            name: streams.kafka_stream(spark, self.bootstrap_servers, topic, self.starting_offsets,
+                                       self.max_offsets_per_trigger, dict(self.options or {}))
+            for name, topic in (("orders", self.orders), ("customers", self.customers))
+        }
+
+
+@dataclass(frozen=True)
+class FolderTopics:
+    """Topics as folders of Kafka-shaped Parquet records (by default those under
+    the run's root); ``max_files_per_trigger`` bounds a micro-batch."""
+
+    orders: str | None = None
+    customers: str | None = None
+    max_files_per_trigger: int | None = None
+
+    def open(self, spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+        paths = {"orders": self.orders or layout.order_topic, "customers": self.customers or layout.customer_topic}
+        return {name: streams.record_file_stream(spark, p, max_files_per_trigger=self.max_files_per_trigger)
+                for name, p in paths.items()}
+
+
 def ingest_bronze(spark: SparkSession, layout: Layout, trigger: Mapping[str, object] | None = None,
-                  max_files_per_trigger: int | None = None) -> dict[str, int]:
+                  source: KafkaTopics | FolderTopics | None = None) -> dict[str, int]:
     """Both bronze streams in one session; waits for both; returns ingested
     rows per stream."""
     trigger = trigger or bronze_stream.AVAILABLE_NOW
     counter = bronze_stream.IngestCounter()
     spark.streams.addListener(counter)
     try:
+        sinks = {"orders": layout.bronze_orders, "customers": layout.bronze_customers}
         queries = [
-            bronze_stream.start_bronze(
-                streams.record_file_stream(spark, topic, max_files_per_trigger=max_files_per_trigger),
-                sink, layout.checkpoint(name), trigger, query_name=f"bronze_{name}",
-            )
-            for name, topic, sink in (
-                ("orders", layout.order_topic, layout.bronze_orders),
-                ("customers", layout.customer_topic, layout.bronze_customers),
-            )
+            bronze_stream.start_bronze(records, sinks[name], layout.checkpoint(name), trigger, query_name=f"bronze_{name}")
+            for name, records in (source or FolderTopics()).open(spark, layout).items()
         ]
         bronze_stream.await_all(spark, queries)
         counter.wait(queries)
@@ -149,22 +183,31 @@ def ingest_bronze(spark: SparkSession, layout: Layout, trigger: Mapping[str, obj
     return {q.name: counter.rows.get(q.name, 0) for q in queries}
 
 
+def silver_tables(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    """The current silver orders and customers."""
+    so, sc = versioned.read(spark, layout.silver_orders), versioned.read(spark, layout.silver_customers)
+    if so is None or sc is None:
+        raise FileNotFoundError(f"no silver tables under {layout.root}")
+    return so, sc.drop("year", "month")
+
+
 def build_silver(spark: SparkSession, layout: Layout, silver_partitions: int | None = None,
                  parallel: int = 2) -> dict[str, int]:
-    """Silver orders (partitioned by year, month) and customers; returns the
-    rows written per table, observed during the write."""
-    orders, o_obs = files.counted(silver.silver_orders(spark.read.parquet(layout.bronze_orders)), "silver_orders")
-    customers, c_obs = files.counted(
-        silver.silver_customers(spark.read.parquet(layout.bronze_customers)), "silver_customers"
-    )
-    run_concurrently(
+    """Silver orders and customers, both as new versions of all their months;
+    returns the rows written per table and the check metrics, observed by the
+    tasks that write."""
+    orders = silver.silver_orders(spark.read.parquet(layout.bronze_orders))
+    customers = with_first_seen_month(silver.silver_customers(spark.read.parquet(layout.bronze_customers)))
+    batch = f"full-{uuid.uuid4().hex}"
+    seen = run_concurrently(
         [
-            lambda: files.write_partitioned(orders, layout.silver_orders, files_per_partition=silver_partitions),
-            lambda: files.write_table(customers, layout.silver_customers),
+            lambda: versioned.write(orders, layout.silver_orders, batch, True, dq.order_metrics(), silver_partitions),
+            lambda: versioned.write(customers, layout.silver_customers, batch, True, dq.customer_metrics()),
         ],
         parallel,
     )
-    written = {"silver_orders": int(o_obs.get["rows"]), "silver_customers": int(c_obs.get["rows"])}
+    written = seen[0] | seen[1]
+    written.pop("rows")
     log.info("silver written: %s", written)
     return written
 
@@ -173,8 +216,6 @@ def build_silver_incremental(spark: SparkSession, layout: Layout) -> dict[str, i
     """Silver by merging the new bronze files into the months they touch
     (streams with their own checkpoints; a rerun with no new bronze is a
     no-op).  Returns the stored row counts."""
-    from shopfloor.streaming.silver_incremental import start_incremental_silver
-
     queries = [
         start_incremental_silver(spark, layout.bronze_orders, layout.silver_orders,
                                  layout.checkpoint("silver_orders"), bronze_stream.AVAILABLE_NOW, kind="orders"),
@@ -182,21 +223,27 @@ def build_silver_incremental(spark: SparkSession, layout: Layout) -> dict[str, i
                                  layout.checkpoint("silver_customers"), bronze_stream.AVAILABLE_NOW, kind="customers"),
     ]
     bronze_stream.await_all(spark, queries)
-    return {
-        "silver_orders": spark.read.parquet(layout.silver_orders).count(),
-        "silver_customers": spark.read.parquet(layout.silver_customers).count(),
-    }
+    so, sc = silver_tables(spark, layout)
+    return {"silver_orders": so.count(), "silver_customers": sc.count()}
+
+
+def build_sides(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """The side tables of silver orders that checks and dimensions read."""
+    so, _ = silver_tables(spark, layout)
+    run_concurrently([lambda n=n, f=f: files.write_table(f(so), layout.side(n)) for n, f in dq.SIDES.items()])
+    return {n: spark.read.parquet(layout.side(n)) for n in dq.SIDES}
 
 
 def silver_quality(spark: SparkSession, layout: Layout, run_id: str, raw: DataFrame | None = None,
-                   raw_counts: tuple[int, int] | None = None) -> DataFrame:
-    so, sc = spark.read.parquet(layout.silver_orders), spark.read.parquet(layout.silver_customers)
+                   raw_counts: tuple[int, int] | None = None, observed: Mapping[str, object] | None = None,
+                   sides: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    so, sc = silver_tables(spark, layout)
     checks = dq.silver_checks(
         spark.read.parquet(layout.bronze_orders), spark.read.parquet(layout.bronze_customers), so, sc,
-        raw=None if raw_counts else raw, raw_counts=raw_counts,
+        raw=None if raw_counts else raw, raw_counts=raw_counts, observed=observed, sides=sides,
     )
     files.append_metrics(dq.with_run(checks, run_id), layout.metrics)
-    recorded = spark.read.parquet(layout.metrics).filter((F.col("run_id") == run_id) & (F.col("layer") != "gold"))
+    recorded = files.read_metrics(spark, layout.metrics).filter((F.col("run_id") == run_id) & (F.col("layer") != "gold"))
     # Quarantine only when the recorded check found orphans: the common clean
     # run costs no second anti-join over silver.
     orphan_check = recorded.filter(F.col("check_name") == "referential_integrity_customer_id").select("actual")
@@ -206,16 +253,18 @@ def silver_quality(spark: SparkSession, layout: Layout, run_id: str, raw: DataFr
     return recorded
 
 
-def build_gold(spark: SparkSession, layout: Layout, cohort_years: Sequence[int] | None, parallel: int = 8) -> None:
+def build_gold(spark: SparkSession, layout: Layout, cohort_years: Sequence[int] | None, parallel: int = 8,
+               sides: Mapping[str, DataFrame] | None = None) -> dict:
     """Dimensions and fact from silver, then the roll-ups of the stored fact
-    (two scans of it) and every report from the smallest roll-up that holds it."""
+    (two scans of it) and every report from the smallest roll-up that holds it.
+    Returns the fact's check metrics, observed while it is written."""
     from shopfloor.operators import facts
 
-    so, sc = spark.read.parquet(layout.silver_orders), spark.read.parquet(layout.silver_customers)
-    d = gold.dimensions(so, sc, cohort_years)
+    so, sc = silver_tables(spark, layout)
+    d = gold.dimensions(so, sc, cohort_years, sides)
     writes = [lambda n=n, df=df: files.write_table(df, layout.dimension(n)) for n, df in d.items()]
-    writes.append(lambda: files.write_partitioned(facts.fact_order_items(so), layout.fact))
-    run_concurrently(writes, parallel)
+    writes.append(lambda: files.write_partitioned(facts.fact_order_items(so), layout.fact, metrics=dq.fact_metrics()))
+    seen = run_concurrently(writes, parallel)[-1]
     fact = spark.read.parquet(layout.fact)
     stored = {name: spark.read.parquet(layout.dimension(name)) for name in gold.DIMENSIONS}
 
@@ -229,18 +278,21 @@ def build_gold(spark: SparkSession, layout: Layout, cohort_years: Sequence[int]
         files.write_table(gold.reports(made, stored, [name])[name], layout.report(name))
 
     run_concurrently([lambda n=n: write_report(n) for n in gold.REPORTS], parallel)
+    return seen
 
 
-def gold_quality(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
+def gold_quality(spark: SparkSession, layout: Layout, run_id: str, observed: Mapping[str, object] | None = None,
+                 sides: Mapping[str, DataFrame] | None = None) -> DataFrame:
     r = lambda n: spark.read.parquet(layout.report(n))
     d = lambda n: spark.read.parquet(layout.dimension(n))
     checks = dq.gold_checks(
         spark.read.parquet(layout.fact), d("dim_product"), d("dim_customer"), d("dim_date"), r("revenue_yearly"),
         r("revenue_monthly"), r("aov_monthly"), r("customer_lifetime_value"), r("retention_rate"),
-        r("basket_size_monthly"), r("new_vs_returning"), silver_orders=spark.read.parquet(layout.silver_orders),
+        r("basket_size_monthly"), r("new_vs_returning"), silver_orders=silver_tables(spark, layout)[0],
+        observed=observed, sides=sides,
     )
     files.append_metrics(dq.with_run(checks, run_id), layout.metrics)
-    return spark.read.parquet(layout.metrics).filter((F.col("run_id") == run_id) & (F.col("layer") == "gold"))
+    return files.read_metrics(spark, layout.metrics).filter((F.col("run_id") == run_id) & (F.col("layer") == "gold"))
 
 
 def register_views(spark: SparkSession, layout: Layout) -> list[str]:
@@ -250,10 +302,10 @@ def register_views(spark: SparkSession, layout: Layout) -> list[str]:
     tables = {name: layout.dimension(name) for name in gold.DIMENSIONS}
     tables["fact_order_items"] = layout.fact
     tables.update({name: layout.report(name) for name in gold.REPORTS})
-    tables["data_quality_metrics"] = layout.metrics
     for name, path in tables.items():
         spark.read.parquet(path).createOrReplaceTempView(name)
-    return list(tables)
+    files.read_metrics(spark, layout.metrics).createOrReplaceTempView("data_quality_metrics")
+    return [*tables, "data_quality_metrics"]
 
 
 def publish_serving(spark: SparkSession, layout: Layout, url: str, properties: Mapping[str, str] | None = None,
@@ -264,21 +316,26 @@ def publish_serving(spark: SparkSession, layout: Layout, url: str, properties: M
 
 def run(
     spark: SparkSession,
-    raw: DataFrame,
+    raw: DataFrame | None,
     root: str,
     run_id: str | None = None,
     cohort_years: Sequence[int] | None = dims.DEFAULT_COHORT_YEARS,
     jdbc_url: str | None = None,
     jdbc_properties: Mapping[str, str] | None = None,
     fail_on: str | None = None,
-    publish: bool = True,
+    publish: bool = False,
     incremental_silver: bool = False,
+    source: KafkaTopics | FolderTopics | None = None,
+    trigger: Mapping[str, object] | None = None,
 ) -> dict[str, object]:
     """Run every stage; returns ingest counts, check totals by status and
-    serving row counts.  ``fail_on="FAIL"`` raises after the checks if any
-    check failed (off by default, as in the original schedule).
-    ``incremental_silver`` merges only new bronze into silver instead of
-    rebuilding it."""
+    serving row counts.  Events come from ``source`` (a broker's topics, or
+    folders of records; by default the folders under ``root``).  ``publish``
+    replays ``raw`` into those folders first, in place of a producer; without it
+    ``raw``, if given, only supplies the expected counts of the checks.
+    ``fail_on="FAIL"`` raises after the checks if any check failed (off by
+    default, as in the original schedule).  ``incremental_silver`` merges only
+    new bronze into silver instead of rebuilding it."""
     layout = Layout(root)
     run_id = run_id or dq.new_run_id()
     stages: dict[str, float] = {}
@@ -291,22 +348,25 @@ def run(
             stages[name] = round(time.perf_counter() - t0, 3)
 
     raw_counts = timed("publish_events", lambda: publish_events(raw, layout)) if publish else None
-    ingested = timed("bronze_streams", lambda: ingest_bronze(spark, layout))
-    written = timed("silver", lambda: build_silver_incremental(spark, layout) if incremental_silver
-                    else build_silver(spark, layout))
+    ingested = timed("bronze_streams", lambda: ingest_bronze(spark, layout, trigger, source))
+    seen = timed("silver", lambda: build_silver_incremental(spark, layout) if incremental_silver
+                 else build_silver(spark, layout))
+    observed = {} if incremental_silver else seen
+    sides = timed("side_tables", lambda: build_sides(spark, layout))
     # Silver checks and the gold build only read stored silver and do not
     # depend on each other: run them side by side.
-    silver_metrics, _ = timed("silver_checks_and_gold", lambda: run_concurrently(
+    silver_metrics, fact_seen = timed("silver_checks_and_gold", lambda: run_concurrently(
         [
-            lambda: silver_quality(spark, layout, run_id, raw=raw, raw_counts=raw_counts),
-            lambda: build_gold(spark, layout, cohort_years),
+            lambda: silver_quality(spark, layout, run_id, raw, raw_counts, observed, sides),
+            lambda: build_gold(spark, layout, cohort_years, sides=sides),
         ],
         parallel=2,
     ))
-    gold_metrics = timed("gold_checks", lambda: gold_quality(spark, layout, run_id))
+    gold_metrics = timed("gold_checks", lambda: gold_quality(spark, layout, run_id, observed | fact_seen, sides))
     totals = {r["status"]: r["checks"] for r in dq.summary(silver_metrics.unionByName(gold_metrics)).collect()}
     served = timed("serving", lambda: publish_serving(spark, layout, jdbc_url, jdbc_properties)) if jdbc_url else {}
     if fail_on and totals.get(fail_on, 0):
         raise RuntimeError(f"{totals[fail_on]} checks ended {fail_on} in run {run_id}")
+    written = {name: seen[name] for name in ("silver_orders", "silver_customers")}
     return {"run_id": run_id, "ingested": ingested, "written": written, "checks": totals, "served": served,
             "stages": stages, "layout": layout}

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shopfloor.schemas import METRICS
+
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """``df`` instrumented to count the rows that flow through it; read
@@ -69,8 +71,15 @@ def write_partitioned(
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
-    """SNK-04: append check results to the one unified metrics table."""
-    metrics.coalesce(1).write.mode("append").parquet(path)
+    """SNK-04: add check results to the one unified metrics table.  A run that is
+    repeated under its ``run_id`` replaces the rows of the layers it writes."""
+    writer = metrics.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_id", "layer").parquet(path)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The metrics table; run ids stay text, whatever they look like."""
+    return spark.read.schema(METRICS).parquet(path).select(*METRICS.fieldNames())
 
 
 def quarantine(rows: DataFrame, root: str, run_id: str) -> str:

@@ -6,25 +6,24 @@ folded into the (year, month) partitions it touches:
 1. parse, type and fill the batch (no dedup yet) and pin it;
 2. read only the touched months of stored silver: the batch's distinct
    (year, month) list is bounded by the calendar, so it is brought to the
-   driver and applied as a static partition filter that Spark prunes at
-   planning time (a join would not prune: it scans every month);
+   driver and chooses the folders to read;
 3. union, keep the first arrival per (invoice, stock code, quantity, event
-   time) exactly as the full build does, pin the result (a job may not
-   overwrite the folders it reads), and replace just those partitions with
-   dynamic partition overwrite.
+   time) exactly as the full build does, and write the months as a new
+   version that the table's manifest switches to, last (``sinks.versioned``).
 
-Re-running a batch (``foreachBatch`` is at-least-once) yields the same
-partitions: the merge is idempotent.
+A batch that breaks half-way changes nothing that is read; its retry starts
+anew.  A batch that was committed is not folded in again (``foreachBatch`` is
+at-least-once).
 
 Customers use the same merge: the dedup key (customer, first-seen time)
-fixes the first-seen month, so the incremental customers table is
-partitioned by first-seen year and month (rows without a readable time land
-in Spark's default partition) and a batch rewrites only the months it
-touches.
+fixes the first-seen month, so the customers table is partitioned by
+first-seen year and month (rows without a readable time land in Spark's
+default partition) and a batch rewrites only the months it touches.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,67 +34,41 @@ from shopfloor.operators import silver
 from shopfloor.operators.dedup import keep_first
 from shopfloor.schemas import BRONZE_ENVELOPE
 from shopfloor.session import pin
-from shopfloor.sinks import files
+from shopfloor.sinks import versioned
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored silver table, or None before the first batch."""
-    from pyspark.errors import AnalysisException
+def _merge_batch(fresh: DataFrame, path: str, keys, order, batch: str) -> None:
+    """Merge month-tagged ``fresh`` rows into the months they touch."""
+    spark = fresh.sparkSession
+    if versioned.committed(spark, path, batch):
+        return
+    fresh = pin(fresh, "silver_batch")
+    touched = [(r["year"], r["month"]) for r in fresh.select("year", "month").distinct().collect()]
+    stored = versioned.read(spark, path, only=touched)
+    combined = fresh if stored is None else stored.unionByName(fresh)
+    versioned.write(keep_first(combined, keys, order), path, batch)
 
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
 
+def merge_orders_batch(envelopes: DataFrame, silver_path: str, batch: str, strict_nan: bool = False) -> None:
+    """Fold one batch of bronze order envelopes into stored silver orders."""
+    fresh = silver.silver_orders(envelopes, strict_nan, dedup=False)
+    _merge_batch(fresh, silver_path, silver.ORDER_KEYS, silver.ARRIVAL_ORDER, batch)
 
-def touched_months(year_months: list[int | None]):
-    """Partition predicate for ``year * 100 + month`` in the given list (a
-    ``None`` entry selects the partition of rows without a month)."""
-    key = F.col("year") * 100 + F.col("month")
-    known = sorted({m for m in year_months if m is not None})
-    cond = key.isin(known) if known else F.lit(False)
-    if any(m is None for m in year_months):
-        cond = cond | F.col("year").isNull()
-    return cond
 
+def merge_customers_batch(envelopes: DataFrame, customers_path: str, batch: str) -> None:
+    """Fold one batch of bronze customer envelopes into silver customers."""
+    fresh = with_first_seen_month(silver.silver_customers(envelopes))
+    _merge_batch(fresh, customers_path, silver.CUSTOMER_KEYS, silver.ARRIVAL_ORDER, batch)
 
-def _merge_batch(fresh: DataFrame, path: str, keys, order, time_col: str) -> None:
-    """Merge pinned, month-tagged ``fresh`` rows into the months they touch.
 
-    A stored table without month partitions (written by a full rebuild) is
-    migrated on the first batch: tagged with the month of ``time_col`` and
-    rewritten whole, partitioned; later batches touch only their months."""
-    spark = fresh.sparkSession
-    if fresh.isEmpty():
-        return
-    stored = _stored(spark, path)
-    dynamic = True
-    if stored is None:
-        combined = fresh
-    elif not {"year", "month"} <= set(stored.columns):
-        stored = stored.withColumns({"year": F.year(time_col), "month": F.month(time_col)})
-        combined, dynamic = stored.unionByName(fresh), False
-    else:
-        months = [r["ym"] for r in fresh.select((F.col("year") * 100 + F.col("month")).alias("ym")).distinct().collect()]
-        combined = stored.filter(touched_months(months)).unionByName(fresh)
-    merged = keep_first(combined, keys, order)
-    files.write_partitioned(pin(merged, "silver_merged"), path, mode="overwrite", dynamic=dynamic)
-
-
-def merge_orders_batch(batch: DataFrame, silver_path: str, strict_nan: bool = False) -> None:
-    """Fold one batch of bronze order envelopes into stored silver orders."""
-    fresh = pin(silver.silver_orders(batch, strict_nan, dedup=False), "silver_batch")
-    _merge_batch(fresh, silver_path, silver.ORDER_KEYS, silver.ARRIVAL_ORDER, "event_time")
+def with_first_seen_month(customers: DataFrame) -> DataFrame:
+    return customers.withColumns({"year": F.year("first_seen_time"), "month": F.month("first_seen_time")})
 
 
-def merge_customers_batch(batch: DataFrame, customers_path: str) -> None:
-    """Fold one batch of bronze customer envelopes into incremental silver
-    customers (partitioned by first-seen year and month)."""
-    fresh = silver.silver_customers(batch).withColumns(
-        {"year": F.year("first_seen_time"), "month": F.month("first_seen_time")}
-    )
-    _merge_batch(pin(fresh, "customers_batch"), customers_path, silver.CUSTOMER_KEYS, silver.ARRIVAL_ORDER,
-                 "first_seen_time")
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint: a new checkpoint numbers its
+    batches from 0 again, so a batch is known by both."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
 
 
 def start_incremental_silver(
@@ -110,12 +83,16 @@ def start_incremental_silver(
     """Stream a bronze folder (``kind`` = ``orders`` or ``customers``) into
     its incremental silver table, batch by batch."""
     merge = {"orders": merge_orders_batch, "customers": merge_customers_batch}[kind]
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        merge(batch, silver_path, f"{kind}-{_stream_id(batch.sparkSession, checkpoint)}-{batch_id}")
+
     reader = spark.readStream.schema(BRONZE_ENVELOPE).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     writer = (
         reader.load(bronze_path)
-        .writeStream.foreachBatch(lambda df, _batch_id: merge(df, silver_path))
+        .writeStream.foreachBatch(fold)
         .option("checkpointLocation", checkpoint)
     )
     if trigger:
