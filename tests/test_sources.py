@@ -72,3 +72,34 @@ def test_kafka_source_fails_clearly_without_connector(spark):
         streams.kafka_stream(spark, "broker:9092", "retail_order_events", max_offsets_per_trigger=1000,
                              options={"failOnDataLoss": "false"})
     assert "kafka" in str(err.value).lower()
+
+
+def test_jdbc_replace_is_all_or_nothing(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from shopfloor.sinks import jdbc
+
+    url = "jdbc:derby:memory:swaptest;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+
+    def held():
+        return sorted(r.id for r in jdbc.read_table(spark, url, "T", props).collect())
+
+    assert jdbc.write_table(spark.range(3).selectExpr("id", "1 AS v"), url, "T", props, num_partitions=2) == 3
+    new = spark.range(10, 30, 1, 4).selectExpr("id", "2 AS v")
+    broken = new.withColumn("v", F.when(F.col("id") == 29, F.raise_error("partition lost")).otherwise(F.col("v")).cast("int"))
+    with pytest.raises(Exception, match="partition lost"):
+        jdbc.write_table(broken, url, "T", props, num_partitions=4)
+    assert held() == [0, 1, 2]  # the staging table is half full, the table is not touched
+    with pytest.raises(Exception):
+        with jdbc.transaction(spark, url, props) as statement:
+            statement.executeUpdate("DELETE FROM T")
+            statement.executeUpdate("INSERT INTO T SELECT * FROM NO_SUCH_TABLE")
+    assert held() == [0, 1, 2]  # rolled back
+    with pytest.raises(Exception):
+        jdbc.write_table(spark.range(2).selectExpr("id", "'x' AS other"), url, "T", props)
+    assert held() == [0, 1, 2]
+    assert jdbc.write_table(new, url, "T", props, num_partitions=4) == 20 and held() == list(range(10, 30))
+    assert jdbc.write_table(new.limit(0), url, "T", props) == 0 and held() == []
+    assert jdbc.write_table(spark.range(2).selectExpr("id", "'x' AS other"), url, "T", props, recreate=True) == 2
