@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--fail-on", choices=["FAIL", "WARN"], default=None)
     ap.add_argument("--incremental-silver", action="store_true",
                     help="merge only new bronze into silver (months touched) instead of rebuilding it")
+    ap.add_argument("--compact-bronze", action="store_true", help="rewrite the streams' small files before silver is built")
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
 
@@ -74,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
                                ("password", args.jdbc_password)) if v}
     out = flow.run(spark, raw, args.root, run_id=args.run_id, jdbc_url=args.jdbc_url,
                    jdbc_properties=props, fail_on=args.fail_on, incremental_silver=args.incremental_silver,
-                   publish=raw is not None, source=source)
+                   publish=raw is not None, source=source, compact=args.compact_bronze)
     out.pop("layout", None)
     print(json.dumps(out))
     return 0

@@ -26,7 +26,7 @@ from shopfloor.operators import quality as dq
 from shopfloor.operators import serving
 from shopfloor.operators import silver
 from shopfloor.plans import gold
-from shopfloor.sinks import files, jdbc, versioned
+from shopfloor.sinks import compaction, files, jdbc, versioned
 from shopfloor.sources import streams
 from shopfloor.streaming import bronze as bronze_stream
 from shopfloor.streaming.silver_incremental import start_incremental_silver, with_first_seen_month
@@ -59,6 +59,9 @@ class Layout:
     def bronze_customers(self) -> str:
         return self.p("bronze", "customers")
 
+    def compacted(self, name: str) -> str:
+        return self.p("bronze_compacted", name)
+
     def checkpoint(self, name: str) -> str:
         return self.p("checkpoints", name)
 
@@ -183,6 +186,18 @@ def ingest_bronze(spark: SparkSession, layout: Layout, trigger: Mapping[str, obj
     return {q.name: counter.rows.get(q.name, 0) for q in queries}
 
 
+def bronze_tables(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    """Bronze orders and customers, small files through their compacted ones."""
+    return (compaction.read(spark, layout.bronze_orders, layout.compacted("orders")),
+            compaction.read(spark, layout.bronze_customers, layout.compacted("customers")))
+
+
+def compact_bronze(spark: SparkSession, layout: Layout, target_bytes: int = compaction.TARGET_BYTES) -> dict[str, dict]:
+    """Rewrites the small files that the bronze streams have left so far."""
+    sinks = {"orders": layout.bronze_orders, "customers": layout.bronze_customers}
+    return {n: compaction.compact(spark, path, layout.compacted(n), target_bytes) for n, path in sinks.items()}
+
+
 def silver_tables(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataFrame]:
     """The current silver orders and customers."""
     so, sc = versioned.read(spark, layout.silver_orders), versioned.read(spark, layout.silver_customers)
@@ -196,8 +211,9 @@ def build_silver(spark: SparkSession, layout: Layout, silver_partitions: int | N
     """Silver orders and customers, both as new versions of all their months;
     returns the rows written per table and the check metrics, observed by the
     tasks that write."""
-    orders = silver.silver_orders(spark.read.parquet(layout.bronze_orders))
-    customers = with_first_seen_month(silver.silver_customers(spark.read.parquet(layout.bronze_customers)))
+    bronze_orders, bronze_customers = bronze_tables(spark, layout)
+    orders = silver.silver_orders(bronze_orders)
+    customers = with_first_seen_month(silver.silver_customers(bronze_customers))
     batch = f"full-{uuid.uuid4().hex}"
     seen = run_concurrently(
         [
@@ -239,7 +255,7 @@ def silver_quality(spark: SparkSession, layout: Layout, run_id: str, raw: DataFr
                    sides: Mapping[str, DataFrame] | None = None) -> DataFrame:
     so, sc = silver_tables(spark, layout)
     checks = dq.silver_checks(
-        spark.read.parquet(layout.bronze_orders), spark.read.parquet(layout.bronze_customers), so, sc,
+        *bronze_tables(spark, layout), so, sc,
         raw=None if raw_counts else raw, raw_counts=raw_counts, observed=observed, sides=sides,
     )
     files.append_metrics(dq.with_run(checks, run_id), layout.metrics)
@@ -327,6 +343,7 @@ def run(
     incremental_silver: bool = False,
     source: KafkaTopics | FolderTopics | None = None,
     trigger: Mapping[str, object] | None = None,
+    compact: bool = False,
 ) -> dict[str, object]:
     """Run every stage; returns ingest counts, check totals by status and
     serving row counts.  Events come from ``source`` (a broker's topics, or
@@ -335,7 +352,8 @@ def run(
     ``raw``, if given, only supplies the expected counts of the checks.
     ``fail_on="FAIL"`` raises after the checks if any check failed (off by
     default, as in the original schedule).  ``incremental_silver`` merges only
-    new bronze into silver instead of rebuilding it."""
+    new bronze into silver instead of rebuilding it; ``compact`` rewrites the
+    streams' small files before silver is built."""
     layout = Layout(root)
     run_id = run_id or dq.new_run_id()
     stages: dict[str, float] = {}
@@ -349,6 +367,8 @@ def run(
 
     raw_counts = timed("publish_events", lambda: publish_events(raw, layout)) if publish else None
     ingested = timed("bronze_streams", lambda: ingest_bronze(spark, layout, trigger, source))
+    if compact:
+        timed("compaction", lambda: compact_bronze(spark, layout))
     seen = timed("silver", lambda: build_silver_incremental(spark, layout) if incremental_silver
                  else build_silver(spark, layout))
     observed = {} if incremental_silver else seen

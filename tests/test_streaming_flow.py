@@ -247,8 +247,32 @@ def test_switch_root_from_full_to_incremental(spark, scratch):
 
     raw = adapter.raw_sales_lines(TableSet(spark, SF))
     first = flow.run(spark, raw, f"{scratch}/lake", run_id="d1", publish=True)
-    again = flow.run(spark, raw, f"{scratch}/lake", run_id="d2", publish=True)  # every event replayed
+    again = flow.run(spark, raw, f"{scratch}/lake", run_id="d2", publish=True, compact=True)  # every event replayed
     inc = flow.run(spark, raw, f"{scratch}/lake", run_id="d3", incremental_silver=True, publish=True)  # replayed once more
     assert first["written"] == again["written"] == inc["written"]
     a = spark.read.parquet(first["layout"].report("customer_lifetime_value"))
     assert a.count() == first["written"]["silver_customers"] + 1
+
+
+def test_source_is_a_parameter(spark, scratch):
+    layout = flow.Layout(f"{scratch}/lake")
+    _topic(spark, f"{scratch}/elsewhere/o", 3)
+    _topic(spark, f"{scratch}/elsewhere/c", 2)
+    counts = flow.ingest_bronze(spark, layout, source=flow.FolderTopics(f"{scratch}/elsewhere/o", f"{scratch}/elsewhere/c", 1))
+    assert counts == {"bronze_orders": 3, "bronze_customers": 2}
+    with pytest.raises(Exception) as err:  # the connector is not installed here; the options reach the reader
+        flow.KafkaTopics("broker:9092", "o", "c", max_offsets_per_trigger=10).open(spark, layout)
+    assert "kafka" in str(err.value).lower()
+
+
+def test_command_line_runs_from_topic_folders(spark, scratch, capsys):
+    import json
+
+    from shopfloor.__main__ import main
+
+    raw = adapter.raw_sales_lines(TableSet(spark, SF))
+    flow.publish_events(raw, flow.Layout(f"{scratch}/producer"))
+    assert main(["--topics", f"{scratch}/producer/topics", "--root", f"{scratch}/lake", "--run-id", "cli", "--compact-bronze"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["ingested"]["bronze_orders"] == raw.filter("Quantity != 0").count() and "publish_events" not in out["stages"]
+    assert out["written"]["silver_orders"] > 0 and sum(out["checks"].values()) == 45
