@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from shopfloor.plans import catalog  # noqa: E402
 from shopfloor.session import build_session  # noqa: E402
 
 
@@ -33,7 +33,7 @@ def summarise(plan: str) -> dict[str, object]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", shuffle_partitions=16)
-    qs = entry.queries()
+    qs = catalog.queries()  # the optional corpus operators choose most of their plan while they run
     cols = ["shuffles", "single", "bhj", "smj", "partial_agg", "sort_agg", "windows", "group_limit", "scans", "pushed"]
     print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, initial AQE plan)\n")
     print("Generated by `scripts/plan_report.py`. Columns: hash/range shuffles, single-partition exchanges, "
