@@ -16,11 +16,12 @@ Characters outside the vocabulary cost their bytes.
 
 Beside it stands the base model, add-one unigrams over words and end.
 
-At scale: word counts are gathered by block (a bounded run of documents) in
-Python, summed by word in Spark, and every word is scored once; a second pass
-sends each block the counts and scores of just its own distinct words, and the
-documents meet them there.  Nothing that grows with the corpus reaches the
-driver: it sees two totals and one float per piece.
+At scale: a block (a bounded run of documents) numbers its distinct words, so texts
+become word numbers and are not moved again.  The (word, block) rows are exchanged
+once, by word, where their counts are summed over a window that spills; a word has
+at most one row a block.  Each word is then scored once, and its value goes to its
+blocks, packed with others, to meet the documents there.  Nothing that grows with
+the corpus reaches the driver: it sees three totals and one float per piece.
 
 Defined results: a null text is an empty one (its only token is the end); rows
 with a null doc_id count as training rows; repeated rows count as often as they
@@ -30,13 +31,14 @@ stand; texts are read whole; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, mix64, pin
@@ -50,6 +52,9 @@ SLICE = 256
 CHUNK_CHARS = 4_000_000
 #: Text bytes of a block, on average; one document is never split.
 BLOCK_BYTES = 8_000_000
+#: Rows that are scored together, and rows whose values are packed together.
+ROWS = 50_000
+PACK_ROWS = 1_000_000
 LN10 = math.log(10.0)
 
 
@@ -240,86 +245,114 @@ def existing(model: bytes) -> Lattice:
     return Lattice(pieces, -costs - norm, -norm - math.log(256.0))
 
 
-def blocks_of(docs: DataFrame, train: F.Column) -> DataFrame:
-    """(block, doc_id, train, data): neighbouring rows of a task in blocks of about BLOCK_BYTES."""
+def _pack(values: np.ndarray) -> bytes:
+    """An array as its byte planes, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes())
+
+
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return planes.reshape(width, len(planes) // width).T.copy().view(kind).ravel()
+
+
+def numbered(docs: DataFrame, train: F.Column) -> DataFrame:
+    """(block, doc_id, train, numbers, words, counts): blocks of about BLOCK_BYTES of neighbouring rows of a task.
+
+    A row per document holds its tokens as numbers of the block's words; a row per
+    block (numbers null) holds these words in order and their counts in training rows."""
     rows = docs.select("doc_id", F.coalesce(train, F.lit(True)).alias("train"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"))
+    kind = dict(docs.dtypes)["doc_id"]
 
     def number(batches):
         from pyspark import TaskContext
 
-        block, held = TaskContext.get().partitionId() << 32, 0
+        block, held, index, learnt, id_type = TaskContext.get().partitionId() << 32, 0, defaultdict(), [], None
+        index.default_factory = index.__len__
+        names = ["block", "doc_id", "train", "numbers", "words", "counts"]
+
+        def words():
+            counts = np.bincount(np.concatenate([*learnt, np.zeros(0, np.uint32)]), minlength=len(index))
+            columns = [pa.array([block], pa.int64()), pa.nulls(1, id_type), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.binary())]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([zstandard.compress(b"\n".join(index), 1)], pa.binary()), pa.array([_pack(counts)], pa.binary())], names=names)
+
         for batch in batches:
-            ids = []
-            for size in pa.compute.binary_length(batch.column(2)).to_pylist():
+            blocks, numbers, done, id_type = [], [], [], batch.column(0).type
+            for train, data in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if held >= BLOCK_BYTES:
-                    block, held = block + 1, 0
-                ids.append(block)
-                held += size + 64
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *batch.columns], names=["block", "doc_id", "train", "data"])
+                    if index:
+                        done.append(words())
+                    block, held, learnt = block + 1, 0, []
+                    index.clear()
+                found = tokens(data.as_py())
+                own = np.fromiter(map(index.__getitem__, found), np.uint32, len(found))
+                if train:
+                    learnt.append(own)
+                held += len(data.as_buffer()) + 64
+                blocks.append(block)
+                numbers.append(_pack(own))
+            nothing = pa.nulls(len(blocks), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), batch.column(0), batch.column(1), pa.array(numbers, pa.binary()), nothing, nothing], names=names)
+            yield from done
+        if index:
+            yield words()
 
-    return rows.mapInArrow(number, f"block bigint, doc_id {dict(docs.dtypes)['doc_id']}, train boolean, data binary")
+    return rows.mapInArrow(number, f"block bigint, doc_id {kind}, train boolean, numbers binary, words binary, counts binary")
 
 
 def block_words(blocks: DataFrame) -> DataFrame:
-    """(block, word, c): the distinct words of a block with their count in its training
-    rows; the end is the empty word."""
+    """(word, block, number, c): the distinct words of every block."""
 
-    def count(batches):
-        counts: Counter = Counter()
-        now = None
+    def spread(batches):
+        for batch in batches:
+            for block, packed, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                words, c = zstandard.decompress(packed).split(b"\n"), _unpack(counts, np.int64)
+                for i in range(0, len(words), ROWS):
+                    part = words[i : i + ROWS]
+                    columns = [pa.array(part, pa.binary()), pa.array(np.full(len(part), block, np.int64)), pa.array(np.arange(i, i + len(part), dtype=np.int32)), pa.array(c[i : i + ROWS])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["word", "block", "number", "c"])
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array([now] * len(counts), pa.int64()), pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["block", "word", "c"])
+    return blocks.where("words is not null").select("block", "words", "counts").mapInArrow(spread, "word binary, block bigint, number int, c bigint")
 
-        for batch in batches:
-            for block, train, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if block != now:
-                    if counts:
-                        yield out()
-                        counts = Counter()
-                    now = block
-                found = tokens(data)
-                if train:
-                    counts.update(found)
-                    counts[b""] += 1
-                else:
-                    for w in found:
-                        counts.setdefault(w, 0)
-        if counts:
-            yield out()
 
-    return blocks.select("block", "train", "data").mapInArrow(count, "block bigint, word binary, c bigint")
+def _joined(batches, rows: int):
+    """Batches put together to about ``rows`` rows."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
 
 
 def _text(word: bytes) -> str:
     return word.decode("utf-8", errors="replace")
 
 
-def fit(counts: DataFrame, model: bytes) -> Lattice:
-    """Piece probabilities from expected counts over the training words' lattices."""
+def fit(counts: DataFrame, ends: int, model: bytes) -> Lattice:
+    """Piece probabilities from expected counts over the lattices of the training words (word, c)."""
 
     def expect(batches):
         lattice = existing(model)
-        counts, in_bytes, ends = np.zeros(len(lattice.pieces)), 0.0, 0.0
-        for batch in batches:
-            pairs = [(w, c) for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            ends += sum(c for w, c in pairs if not w)
-            pairs = [(w, c) for w, c in pairs if w]
-            if pairs:
-                n, b = lattice.expect([_text(w) for w, _ in pairs], np.array([c for _, c in pairs], float))
-                counts += n
-                in_bytes += b
+        counts, in_bytes = np.zeros(len(lattice.pieces)), 0.0
+        for part in _joined(batches, ROWS):
+            n, b = lattice.expect([_text(w) for w in part.column(0).to_pylist()], part.column(1).to_numpy().astype(float))
+            counts += n
+            in_bytes += b
         some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array([*some.tolist(), -1, -2], pa.int32()), pa.array([*counts[some].tolist(), in_bytes, ends], pa.float64())], names=["piece", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([*some.tolist(), -1], pa.int32()), pa.array([*counts[some].tolist(), in_bytes], pa.float64())], names=["piece", "n"])
 
     # one row per piece of the vocabulary at most
-    gathered = counts.where("c > 0").select("word", "c").mapInArrow(expect, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    gathered = counts.select("word", "c").mapInArrow(expect, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
     n = {r["piece"]: r["n"] for r in gathered}
     own = existing(model)
     each = np.array([n.get(i, 0.0) for i in range(len(own.pieces))]) + SMOOTH
-    in_bytes, ends = n.get(-1, 0.0) + 256 * SMOOTH, n.get(-2, 0.0) + SMOOTH
-    total = each.sum() + in_bytes + ends
-    return Lattice(own.pieces, np.log(each / total), math.log(in_bytes / 256 / total), math.log(ends / total))
+    in_bytes, ended = n.get(-1, 0.0) + 256 * SMOOTH, ends + SMOOTH
+    total = each.sum() + in_bytes + ended
+    return Lattice(own.pieces, np.log(each / total), math.log(in_bytes / 256 / total), math.log(ended / total))
 
 
 def score_documents(docs: DataFrame, train: F.Column, model: bytes) -> DataFrame:
@@ -327,43 +360,69 @@ def score_documents(docs: DataFrame, train: F.Column, model: bytes) -> DataFrame
 
     ``train`` is the boolean column that says which rows to learn from (null: learn)."""
     spark = docs.sparkSession
-    blocks = pin(blocks_of(docs, train), "lm-blocks")
-    found = pin(block_words(blocks), "lm-block-words")
-    counts = pin(found.groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
-    totals = counts.where("c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n, v = totals["n"] or 0, totals["v"] or 0
-    ends = counts.where("word = X''").first()
-    ends = int(ends["c"]) if ends else 0
-    learnt = spark.sparkContext.broadcast(fit(counts, model))  # one float per piece
+    blocks = pin(numbered(docs, train), "lm-blocks")
+    # one exchange: the window's sum and the first of a word's rows need no second one
+    whole = Window.partitionBy("word")
+    first = (F.col("block") == F.min("block").over(whole)).alias("first")
+    placed = pin(block_words(blocks).select("word", "block", "number", F.sum("c").over(whole).alias("c"), first), "lm-words")
+    learn = placed.where("first and c > 0")
+    totals = learn.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    ends = blocks.where("numbers is not null and train").count()
+    n, v = (totals["n"] or 0) + ends, totals["v"] + (ends > 0)
+    learnt = spark.sparkContext.broadcast(fit(learn, ends, model))  # one float per piece
     unit = math.log10(n + v + 1)
 
     def weigh(batches):
-        for batch in batches:
-            words = batch.column(0).to_pylist()
-            scores = learnt.value.scores([_text(w) for w in words]) / LN10
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=["word", "c", "lp"])
+        """Scores each word once, as its rows are neighbours, and packs what goes to a block."""
+        last, value = None, 0.0
+        held, size = [], 0
+
+        def out():
+            block, number, c, lp = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((number, block))
+            block, number, c, lp = block[order], number[order], c[order], lp[order]
+            edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
+            parts = [pa.array([_pack(x[i:j]) for i, j in zip(edge[:-1], edge[1:], strict=True)], pa.binary()) for x in (number, c, lp)]
+            return pa.RecordBatch.from_arrays([pa.array(block[edge[:-1]]), *parts], names=["block", "number", "c", "lp"])
+
+        for part in _joined(batches, ROWS):
+            word = part.column(0).combine_chunks()
+            starts = np.r_[True, pa.compute.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)]
+            if word[0].as_py() == last:
+                starts[0] = False
+            new = word.filter(pa.array(starts)).to_pylist()
+            values = np.r_[value, learnt.value.scores([_text(w) for w in new]) / LN10]
+            lp = values[np.cumsum(starts)]
+            last, value = word[-1].as_py(), float(lp[-1])
+            held.append((*[part.column(k).to_numpy() for k in (1, 2, 3)], lp))
+            size += len(lp)
+            if size >= PACK_ROWS:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
 
-    weighed = counts.where("word <> X''").select("word", "c").mapInArrow(weigh, "word binary, c bigint, lp double")
-    per_block = found.select("block", "word").join(weighed, "word")
+    packed = placed.select("word", "block", "number", "c").mapInArrow(weigh, "block bigint, number binary, c binary, lp binary")
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
     def judge(left, right):
-        logs = {w: (math.log10(c + 1) - unit, lp, c > 0) for w, c, lp in zip(*[right.column(k).to_pylist() for k in ("word", "c", "lp")], strict=True)}
+        number, c, lp = (np.concatenate([np.zeros(0, t), *[_unpack(x, t) for x in right.column(k).to_pylist()]]) for k, t in (("number", np.int32), ("c", np.int64), ("lp", np.float64)))
+        base, score, known = np.zeros(len(number)), np.zeros(len(number)), np.zeros(len(number), bool)
+        base[number], score[number], known[number] = np.log10(c + 1.0) - unit, lp, c > 0
         end = (math.log10(ends + 1) - unit, learnt.value.end / LN10, ends > 0)
         rows = []
-        for data in left.column("data").to_pylist():
-            values = [logs[w] for w in tokens(data)]
-            values.append(end)
-            base, score, known = zip(*values, strict=True)
-            rows.append((len(values), sum(known), n, math.fsum(base), math.fsum(score)))
+        for data in left.column("numbers").to_pylist():
+            own = _unpack(data, np.uint32)
+            rows.append((len(own) + 1, int(known[own].sum()) + end[2], n, math.fsum([*base[own].tolist(), end[0]]), math.fsum([*score[own].tolist(), end[1]])))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
         return pa.table(
             [left.column("doc_id"), pa.compute.invert(left.column("train")), *[pa.array(columns[i], pa.int64() if i < 3 else pa.float64()) for i in range(5)]],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
-    return blocks.groupBy("block").cogroup(per_block.groupBy("block")).applyInArrow(judge, schema)
+    texts = blocks.where("numbers is not null").select("block", "doc_id", "train", "numbers")
+    return texts.groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(judge, schema)
 
 
 def learning_rule(modulus: int = 7, held_out: int = 2) -> F.Column:

@@ -222,6 +222,28 @@ def test_lm_scores(docs, odd):
             assert r["base_score"] == pytest.approx(base, rel=1e-9) and math.isfinite(r["score"]) and r["score"] < 0
 
 
+def test_lm_score_equals_a_plain_fit_and_sum(docs):
+    model = sentencepiece_codec.read_model(catalog.vocabulary_path())
+    rows = docs.collect()
+    count, ends = {}, 0
+    for r in rows:
+        if zlib.crc32(str(r["doc_id"]).encode()) % 7 != 2:
+            ends += 1
+            for w in words(r["text"]):
+                count[w] = count.get(w, 0) + 1
+    plain = lattice_lm.existing(model)
+    each, in_bytes = plain.expect([w.decode(errors="replace") for w in count], np.array(list(count.values()), float))
+    each, in_bytes, ends = each + lattice_lm.SMOOTH, in_bytes + 256 * lattice_lm.SMOOTH, ends + lattice_lm.SMOOTH
+    total = each.sum() + in_bytes + ends
+    own = lattice_lm.Lattice(plain.pieces, np.log(each / total), math.log(in_bytes / 256 / total))
+    distinct = sorted({w for r in rows for w in words(r["text"])})
+    value = dict(zip(distinct, own.scores([w.decode(errors="replace") for w in distinct]), strict=True))
+    got = {r["doc_id"]: r["score"] for r in lattice_lm.score_documents(docs, lattice_lm.learning_rule(), model).collect()}
+    for r in rows:
+        want = (sum(value[w] for w in words(r["text"])) + math.log(ends / total)) / math.log(10)
+        assert got[r["doc_id"]] == pytest.approx(want, rel=1e-9)
+
+
 def test_lattice_sums_all_segmentations():
     own = lattice_lm.Lattice(["▁", "a", "b", "ab", "▁a", "ba"], np.log(np.array([0.1, 0.2, 0.1, 0.15, 0.05, 0.07])), math.log(0.001))
     p = dict(zip(own.pieces, np.exp(own.logs[:-1]), strict=True))
