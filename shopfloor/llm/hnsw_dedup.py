@@ -4,8 +4,9 @@ Equal vectors of a label are one node first.  A label's nodes are dealt to
 shards of about ``SHARD_ROWS``; every shard gets its own graph, and every node
 of the label queries every shard of its label, in blocks of ``QUERY_ROWS``.  A
 beam whose worst member still links is doubled for that query; after a block,
-an audit compares a sample of its queries with an exact scan of the shard and
-doubles the beam for all until nothing is missed, at last up to the whole shard.
+an audit compares as many of its queries with an exact scan of the shard as hold
+a stated number of true links and doubles the beam for all until nothing is
+missed, at last up to the whole shard.
 Pairs found are verified by cosine in double precision, a block gives back a
 spanning forest of its links and each node's number of links, and the forests
 are united by distributed connected components.
@@ -21,14 +22,14 @@ Defined results: vectors that are null, empty, zero or hold null or non-finite
 numbers, and rows with a null label, link with nothing and are their own
 component; so do rows with a null id (component null).  Vectors of different
 dimension never link.  Rows that repeat an id and vector count once per row;
-an empty table gives an empty result.  Other columns do not matter.
+an id with several labels or vectors is as many nodes; an empty table gives an empty result.  Other columns do not matter.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, mix64, partitions, pin
@@ -42,6 +43,10 @@ BEAM_BUILD = 40
 BEAM = 48
 BATCH = 256
 AUDIT = 256
+AUDIT_LINKS = 256
+#: Nodes of one smallest id (it may repeat with other labels or vectors) are told apart by their place.
+PLACES = 1_000_000_000
+NODE = "decimal(28,0)"
 
 
 def _top(owner: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
@@ -192,13 +197,23 @@ class Graph:
 
 
 def audited_links(graph: Graph, q: np.ndarray, own: np.ndarray, threshold: float, width: int = BEAM):
-    """All links of the queries, the beam widened until an audit against an exact scan misses nothing."""
-    sample = np.argsort(mix64(np.arange(len(q), dtype=np.uint64), 99))[:AUDIT]
-    truth = {(int(a), int(b)) for a, b in zip(*np.nonzero(q[sample] @ graph.unit.T >= threshold), strict=True)}
+    """All links of the queries, the beam widened until an audit against an exact scan misses nothing.
+
+    Queries are audited, AUDIT at a time, until AUDIT_LINKS true links other than
+    those of a node with itself have been seen; where there are fewer, all are audited."""
+    order = np.argsort(mix64(np.arange(len(q), dtype=np.uint64), 99))
+    truth, size, seen = set(), 0, 0
+    while size < len(order) and seen < AUDIT_LINKS:
+        part = order[size : size + AUDIT]
+        a, b = np.nonzero(q[part] @ graph.unit.T >= threshold)
+        seen += int((own[part][a] != b).sum())
+        truth.update(zip((a + size).tolist(), b.tolist(), strict=True))
+        size += len(part)
+    sample = order[:size]
     while True:
         a, b = graph.within(q[sample], own[sample], threshold, width)
         if width >= len(graph.unit) or truth <= set(zip(a.tolist(), b.tolist(), strict=True)):
-            return graph.within(q, own, threshold, width)
+            return (sample[a], b) if size == len(order) else graph.within(q, own, threshold, width)
         width *= 2
 
 
@@ -226,7 +241,9 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, id_column: s
     """One row per row: vec_id, n_links, component_id, kept."""
     base = table.select(F.col(id_column).cast("long").alias("id"), F.col(label).alias("label"), F.col(column).alias("embedding"), (usable(column) & F.col(label).isNotNull() & F.col(id_column).isNotNull()).alias("ok"))
     vectors = packed(base.where("ok").drop("ok"), "embedding")
-    nodes = pin(vectors.groupBy("label", "vec").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies")), "hnsw-nodes")
+    grouped = vectors.groupBy("label", "vec").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    place = F.row_number().over(Window.partitionBy("least").orderBy("label", "vec")) - 1
+    nodes = pin(grouped.select("label", "vec", "copies", (F.col("least").cast("decimal(19,0)") * F.lit(PLACES).cast("decimal(10,0)") + place).cast(NODE).alias("node")), "hnsw-nodes")
     per_label = nodes.groupBy("label", F.length("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
     sized = nodes.withColumn("dim", F.length("vec")).join(per_label, ["label", "dim"])
     sized = sized.withColumn("shards", F.expr(f"cast((n + {SHARD_ROWS} - 1) div {SHARD_ROWS} as int)")).withColumn("blocks", F.expr(f"cast((n + {QUERY_ROWS} - 1) div {QUERY_ROWS} as int)"))
@@ -237,9 +254,13 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, id_column: s
     queries = sized.select(*again, F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.col("block_own").alias("block"))
 
     def run(left, right):
-        nodes, copies = left.column("node").to_numpy(), left.column("copies").to_numpy()
-        asked = right.column("node").to_numpy()
-        empty = pa.table([pa.array([], pa.int64())] * 3, names=["a", "b", "n"])
+        kind = pa.decimal128(28, 0)
+        both = [*left.column("node").to_pylist(), *right.column("node").to_pylist()]
+        names = sorted(set(both))  # nodes by their order here
+        code = {x: k for k, x in enumerate(names)}
+        nodes, asked = np.split(np.array([code[x] for x in both], np.int64), [left.num_rows])
+        copies = left.column("copies").to_numpy()
+        empty = pa.table([pa.array([], kind), pa.array([], kind), pa.array([], pa.int64())], names=["a", "b", "n"])
         if not len(nodes) or not len(asked):
             return empty
         order = np.argsort(nodes)
@@ -260,16 +281,17 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, id_column: s
         a, b = forest(asked[i], nodes[j])
         # counts: (node, null, links); forest edges: (node, node, null)
         return pa.table(
-            [pa.array([*asked[some].tolist(), *a], pa.int64()), pa.array([None] * len(some) + b, pa.int64()), pa.array([*links[some].tolist(), *[None] * len(a)], pa.int64())],
+            [pa.array([names[k] for k in [*asked[some].tolist(), *a]], kind), pa.array([None] * len(some) + [names[k] for k in b], kind), pa.array([*links[some].tolist(), *[None] * len(a)], pa.int64())],
             names=["a", "b", "n"],
         )
 
     n = partitions(table)
-    found = pin(data.repartition(n, *key).groupBy(*key).cogroup(queries.repartition(n, *key).groupBy(*key)).applyInArrow(run, "a bigint, b bigint, n bigint"), "hnsw-found")
+    found = pin(data.repartition(n, *key).groupBy(*key).cogroup(queries.repartition(n, *key).groupBy(*key)).applyInArrow(run, f"a {NODE}, b {NODE}, n bigint"), "hnsw-found")
     counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
     components = connected_components(found.where("b is not null").select("a", "b"), "hnsw")
     # back to the rows: by label and vector to the node, from the node to its counts
-    node = nodes.join(counts, "node", "left").join(components, "node", "left").select("label", "vec", "node", "copies", "linked", F.coalesce("component", "node").alias("component"))
+    least = F.floor(F.coalesce("component", "node") / F.lit(PLACES).cast("decimal(10,0)")).cast("long")  # a node's number begins with its smallest id
+    node = nodes.join(counts, "node", "left").join(components, "node", "left").select("label", "vec", "copies", "linked", least.alias("component"))
     whole = vectors.join(node, ["label", "vec"]).select(F.col("id").alias("vec_id"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("component").alias("component_id"))
     rest = base.where("not ok").select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return whole.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

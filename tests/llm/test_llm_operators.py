@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shopfloor.llm import catalog, hnsw_dedup, language_id, lattice_lm, mixing, ngram_join, permutation_ann, secret_scan, sentencepiece_codec, toxicity
+from shopfloor.llm import catalog, common, hnsw_dedup, language_id, lattice_lm, mixing, ngram_join, permutation_ann, secret_scan, sentencepiece_codec, toxicity
 from shopfloor.llm.common import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -147,6 +147,35 @@ def test_permutation_index(spark):
     assert hits / total >= 0.9
 
 
+def test_hnsw_tells_one_id_in_two_labels_apart(spark):
+    v, w = [1.0, 0.0], [0.0, 1.0]
+    rows = [(5, 0, v), (6, 0, v), (7, 0, [0.999, 0.01]), (5, 1, v), (9, 1, [0.999, 0.01]), (8, 1, w), (-3, 2, v), (-3, 2, w)]
+    table = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in hnsw_dedup.near_duplicates(table).collect())
+    assert got == [(-3, 0, -3), (-3, 0, -3), (5, 1, 5), (5, 2, 5), (6, 2, 5), (7, 2, 5), (8, 0, 8), (9, 1, 5)]
+
+
+def test_audit_without_links_scans_the_cell():
+    rng = np.random.default_rng(3)
+    unit = rng.normal(size=(600, 16))
+    unit[1::2] = unit[::2] + 0.01 * rng.normal(size=(300, 16))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    graph, q = hnsw_dedup.Graph(unit[:300]), unit[300:]
+    a, b = hnsw_dedup.audited_links(graph, q, np.full(300, -1), 0.93)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == set(zip(*[x.tolist() for x in np.nonzero(q @ unit[:300].T >= 0.93)], strict=True))
+    a, b = hnsw_dedup.audited_links(hnsw_dedup.Graph(unit), unit, np.arange(600), 0.93, 2)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == set(zip(*[x.tolist() for x in np.nonzero(unit @ unit.T >= 0.93)], strict=True))
+
+
+def test_text_parts_keep_all_rows():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * 3, None, "b" * 9, "", "c"]), pa.array(range(5))], names=["text", "k"])
+    parts = list(common.text_parts(batch, 0, 4))
+    assert len(parts) > 1 and pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    assert [p.num_rows for p in common.text_parts(batch.slice(0, 0), 0)] == [0]
+
+
 def test_hnsw_equals_brute_force(spark):
     catalog.ship(spark)
     data, table = vectors(spark)
