@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopfloor.session import pin
 
-__all__ = ["pin", "table", "map_batches", "crc_mod", "prefix_sums", "connected_components", "mix64", "WORD", "partitions"]
+__all__ = ["pin", "table", "map_batches", "crc_mod", "prefix_sums", "connected_components", "mix64", "WORD", "partitions", "holds", "claim", "text_parts"]
 
 #: A word: a run of anything but the six ASCII white-space characters.
 #: ``bytes.split()`` splits exactly so, and ``bytes.lower()`` lowers A-Z only.
@@ -32,6 +33,33 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable
     return df.mapInArrow(fn, schema)
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def holds(name: str, drop: Callable[[], None]) -> None:
+    """Says how to drop what an operator keeps in a Python worker between tasks."""
+    _held[name] = drop
+
+
+def claim(name: str) -> None:
+    """At a task's start: what other operators have kept in this worker is dropped."""
+    for other, drop in _held.items():
+        if other != name:
+            drop()
+    pa.default_memory_pool().release_unused()
+
+
+def text_parts(batch: pa.RecordBatch, at: int, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows whose texts (column ``at``) hold about ``size`` bytes together."""
+    if not batch.num_rows:
+        yield batch
+        return
+    ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
+    edge = np.flatnonzero(np.r_[True, np.diff(ends // size) != 0, True])
+    for i, j in zip(edge[:-1], edge[1:], strict=True):
+        yield batch.slice(int(i), int(j - i))
+
+
 def crc_mod(column: str, modulus: int) -> Column:
     """crc32 of an id written as text, modulo ``modulus`` (null id: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

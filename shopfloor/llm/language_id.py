@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import claim, holds, text_parts
+
 UNKNOWN = "und"
 #: Documented bounds of the fit: rows a language, dictionary bytes, languages.
 SAMPLE_DOCS = 300
@@ -106,6 +108,9 @@ def _compressors(model: tuple[tuple[str, bytes], ...]):
     return out
 
 
+holds("language_id", _compressors.cache_clear)
+
+
 def pieces(data: bytes) -> list[bytes]:
     """``data`` in as few pieces of at most ``PIECE_BYTES`` as possible, equal but for one byte."""
     n = -(-len(data) // PIECE_BYTES)
@@ -132,7 +137,8 @@ def predict(docs: DataFrame, model: list[tuple[str, bytes]], keep: list[str], mi
     schema = "".join(f"`{c}` {kinds[c]}, " for c in keep) + "lang_pred string, score double, margin double, accepted boolean"
 
     def run(batches):
-        for batch in batches:
+        claim("language_id")
+        for batch in (part for whole in batches for part in text_parts(whole, len(keep))):
             found = [classify(t, fixed) for t in batch.column(len(keep)).to_pylist()]
             columns = [batch.column(i) for i in range(len(keep))]
             columns += [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.float64())]
@@ -147,7 +153,8 @@ def accepted_documents(docs: DataFrame, model: list[tuple[str, bytes]], min_marg
     fixed, at = tuple(model), docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        claim("language_id")
+        for batch in (part for whole in batches for part in text_parts(whole, at)):
             mask = []
             for t in batch.column(at).to_pylist():
                 lang, _, margin = classify(t, fixed)

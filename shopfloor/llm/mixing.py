@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, mix64, pin, prefix_sums
+from .common import WORD, claim, mix64, pin, prefix_sums
 
 # The contract's weights, in turn, and the share of all words to take.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -134,6 +134,7 @@ def drawn_slots(spark, plan: Plan) -> DataFrame:
     shards, per, seed, total = plan.shards, plan.shard_slots, plan.seed, plan.total
 
     def draw(batches):
+        claim("mixing")
         for batch in batches:
             ids = batch.column(0).to_pylist()
             if ids:
@@ -243,6 +244,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     with_parts = placed.where("size > 0").join(taken, ["src", "start"]).select(*inner, "__parts")
 
     def rebuild(batches):
+        claim("mixing")
         for batch in batches:
             texts = []
             for text, parts in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):

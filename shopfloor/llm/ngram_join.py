@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, mix64, partitions, pin
+from .common import claim, connected_components, holds, mix64, partitions, pin
 from .hnsw_dedup import forest
 
 WORDS, PERCENT = 4, 85
@@ -62,6 +62,13 @@ _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32]).astype(np.int8)
 _power = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def _forget() -> None:
+    _power[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+holds("ngram_join", _forget)
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """64-bit hash of every word (A-Z lowered), from running sums over the bytes:
     a word's polynomial is a difference of two sums, moved to the origin."""
@@ -192,6 +199,7 @@ def _frequent(docs: DataFrame, n: int) -> np.ndarray:
     sample = _texts(docs).where("data is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(ORDER_SAMPLE)
 
     def run(batches):
+        claim("ngram_join")
         for batch in batches:
             for data in batch.column(1).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(shingles(data, n).view(np.int64))], names=["t"])
@@ -205,6 +213,7 @@ def _described(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
     """(doc_id, n, f1, f2, prefix, bits): size, fingerprint, prefix in global order, bitmap."""
 
     def run(batches):
+        claim("ngram_join")
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for at in range(0, len(texts), 512):
@@ -227,6 +236,7 @@ def _described(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
 
 def _postings(nodes: DataFrame) -> DataFrame:
     def run(batches):
+        claim("ngram_join")
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
@@ -242,6 +252,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(node, data) of the wanted nodes: whole sets, sorted."""
 
     def run(batches):
+        claim("ngram_join")
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for at in range(0, len(texts), 512):
@@ -311,6 +322,7 @@ def _cell_pairs(rows: DataFrame, percent: int, n_parts: int, likeliest: bool) ->
         return np.minimum(node[a], node[b]), np.maximum(node[a], node[b]), margin(n[a])  # a is the smaller set
 
     def run(batches):
+        claim("ngram_join")
         held: list = []
         seen: Counter = Counter()
 
@@ -351,6 +363,7 @@ def _cell_pairs(rows: DataFrame, percent: int, n_parts: int, likeliest: bool) ->
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches):
+        claim("ngram_join")
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):

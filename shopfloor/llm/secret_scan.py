@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import claim, text_parts
+
 KINDS = ("assign", "access", "hex", "literal", "propagated")
 
 # The base formats.
@@ -238,7 +240,8 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     schema = "".join(f"`{c}` {kinds[c]}, " for c in keep) + "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_lexed bigint"
 
     def run(batches):
-        for batch in batches:
+        claim("secret_scan")
+        for batch in (part for whole in batches for part in text_parts(whole, len(keep))):
             counts, digests, listed = [], [], []
             for text in batch.column(len(keep)).to_pylist():
                 found = spans(text or "")
@@ -272,7 +275,8 @@ def redact(docs: DataFrame) -> DataFrame:
     at = schema.fieldNames().index("text")
 
     def run(batches):
-        for batch in batches:
+        claim("secret_scan")
+        for batch in (part for whole in batches for part in text_parts(whole, at)):
             texts = pa.array([None if t is None else mask(t) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
 

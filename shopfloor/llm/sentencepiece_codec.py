@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import claim, holds
+
 MARK = "▁"
 LONG_UNIT = 64
 KEPT_UNITS = 500_000
@@ -217,6 +219,9 @@ def codec(model: bytes) -> Codec:
     return Codec(model)
 
 
+holds("sentencepiece", codec.cache_clear)
+
+
 def read_model(path: str) -> bytes:
     """A vocabulary file (a few hundred KB, whatever the corpus size)."""
     with open(path, "rb") as f:
@@ -253,6 +258,7 @@ def encode_documents(docs: DataFrame, model_path: str, keep: list[str] | None =
     picked = docs.select(*[F.col(c) for c in keep], F.col("text").alias("__text"))
 
     def run(batches):
+        claim("sentencepiece")
         own = codec(model)
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()

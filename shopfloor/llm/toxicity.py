@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix64
+from .common import holds, mix64
 
 SAMPLE_TOXIC, SAMPLE_OTHER = 1200, 2000
 WINDOW = 24
@@ -236,6 +236,9 @@ def scorer(model: bytes) -> Scorer:
     return Scorer(model)
 
 
+holds("toxicity", scorer.cache_clear)
+
+
 def predict(docs: DataFrame, model: bytes, keep: list[str]) -> DataFrame:
     """``keep`` columns, score and predicted for every row."""
     kinds = dict(docs.dtypes)
