@@ -52,12 +52,13 @@ _PLACEHOLDER = re.compile(r"(?i)^(?:change_?me|example.*|your[-_ ].*|x{4,}|\*{3,
 
 THRESHOLD = 0.6
 MIN_LITERAL = 8
-#: Characters of a name, and of the quotes and type notes that may stand between it and the operator.
+#: Characters of a name, and those it may begin with.
 _NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
-_NOTE_CHARS = _NAME_CHARS | frozenset("[]\"'`")
+_NAME_FIRST = _NAME_CHARS - frozenset("0123456789.-")
+_BLANK = frozenset(" \t")
 
 _OPERATOR = re.compile(r":=|=>|[:=]")
-_NAME_LEFT = re.compile(r"(?<![A-Za-z_])([A-Za-z_][A-Za-z0-9_.\-]*)(?:[\"'`]?\]?|[ \t]*:[ \t]*[A-Za-z_][\w.\[\]]*)[ \t]*\Z")
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.\-]*")
 _ATOM = re.compile(r"[ \t]*(?:([rbuf]{0,2})\"((?:[^\"\\\n]|\\.)*)\"|([rbuf]{0,2})'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z_][A-Za-z0-9_.]*)(?=[ \t]*(?:[+;,)\]}#\n]|\Z))|([^\s\"'`,;#+(){}\[\]]+))")
 _PLUS = re.compile(r"[ \t]*\+")
 _CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -135,23 +136,35 @@ def value_score(value: str) -> float:
     return _look_score(len(value), Counter(value), value[:_ENDS], value[-_ENDS:])
 
 
-def _name_left(text: str, at: int) -> re.Match | None:
-    """The target that ends at ``at``, read from its real start."""
-    lo = at
-    while lo and text[lo - 1] in " \t":
-        lo -= 1
-    while lo and (text[lo - 1] in _NOTE_CHARS or text[lo - 1].isalnum() or text[lo - 1] == "_"):
-        lo -= 1
-    note = lo
-    while note and text[note - 1] in " \t":
+def _back(text: str, at: int, chars: frozenset) -> int:
+    """Where the run of ``chars`` that ends at ``at`` begins."""
+    while at and text[at - 1] in chars:
+        at -= 1
+    return at
+
+
+def _name_ending(text: str, at: int) -> str | None:
+    """The name that ends at ``at``, from the first letter or underscore of its run."""
+    found = _NAME.search(text, _back(text, at, _NAME_CHARS), at)
+    return found and found[0]
+
+
+def _name_left(text: str, at: int) -> str | None:
+    """The target that ends at ``at``: a name with a type note, or a name with a quote or bracket behind it.
+
+    Every run is read backwards once, so the time grows with its length alone."""
+    end = _back(text, at, _BLANK)
+    note = end
+    while note and (text[note - 1] in ".[]_" or text[note - 1].isalnum()):
         note -= 1
-    if note and text[note - 1] == ":":
-        lo = note - 1
-        while lo and text[lo - 1] in " \t":
-            lo -= 1
-        while lo and text[lo - 1] in _NAME_CHARS:
-            lo -= 1
-    return _NAME_LEFT.search(text, lo, at)
+    colon = _back(text, note, _BLANK)
+    if note < end and text[note] in _NAME_FIRST and colon and text[colon - 1] == ":":
+        name = _name_ending(text, _back(text, colon - 1, _BLANK))
+        if name:
+            return name
+    end -= end > 0 and text[end - 1] == "]"
+    end -= end > 0 and text[end - 1] in "\"'`"
+    return _name_ending(text, end)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -178,10 +191,9 @@ def lexed_spans(text: str) -> list[tuple[int, int, str]]:
         before, after = text[at - 1 : at], text[end : end + 1]
         if before in ("=", "!", "<", ">", ":", "+") or after in ("=", ":", "/") or (text[at:end] == ":" and after not in (" ", "\t", '"', "'", "`") and before not in ('"', "'")):
             continue  # comparisons, scopes, addresses, clock times
-        left = _name_left(text, at)
-        if not left:
+        name = _name_left(text, at)
+        if not name:
             continue
-        name = left[1]
         pieces: list[tuple[int, int] | _Value] = []
         through = False
         pos = end
