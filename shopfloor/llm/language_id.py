@@ -30,12 +30,12 @@ other columns do not matter: only ``keep`` columns are carried.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from functools import lru_cache
 from itertools import zip_longest
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +55,8 @@ MIN_MARGIN = 0.01
 #: The margin at which a choice scores one half.
 HALF_MARGIN = 0.02
 
-_OTHER = re.compile(r"[\W\d_]+")
+#: Marks are parts of letters (vowel signs of Indic and Thai scripts).
+_OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters(text: str | None) -> str:

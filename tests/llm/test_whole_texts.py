@@ -101,3 +101,19 @@ def test_language_sample_uses_all_rows(spark, monkeypatch):
     monkeypatch.setattr(language_id, "MAX_LANGUAGES", 1)
     with pytest.raises(ValueError, match="languages"):
         language_id.fit(docs)
+
+
+def test_names_are_read_in_linear_time():
+    import time
+
+    text = "key " + "a-" * 500_000 + "]] = 1"
+    start = time.perf_counter()
+    assert secret_scan.lexed_spans(text) == []
+    assert time.perf_counter() - start < 2
+    for target, name in (("api_key", "api_key"), ("x: str", "x"), ('conf["token"]', "token"), ("9a.b-c'  ", "a.b-c"), ("a : Map[str]\t", "a"), ("]]", None), ("12 : int", "int"), ("'k' : v", "v")):
+        assert secret_scan._name_left(target, len(target)) == name
+
+
+def test_vowel_signs_stay():
+    assert language_id.letters("हिन्दी, भाषा 12_x") == "हिन्दी भाषा x"
+    assert language_id.letters("\u0301 12") == ""
