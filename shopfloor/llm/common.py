@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.session import pin
 
-__all__ = ["pin", "table", "map_batches", "crc_mod", "prefix_sums", "connected_components", "mix64", "WORD", "partitions", "holds", "claim", "text_parts"]
+__all__ = ["pin", "table", "map_batches", "crc_mod", "hash_share", "prefix_sums", "connected_components", "mix64", "WORD", "partitions", "holds", "claim", "text_parts"]
 
 #: A word: a run of anything but the six ASCII white-space characters.
 #: ``bytes.split()`` splits exactly so, and ``bytes.lower()`` lowers A-Z only.
@@ -65,6 +65,14 @@ def crc_mod(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+def hash_share(wanted: int, rows: int | Column) -> Column:
+    """True for about twice ``wanted`` of ``rows`` rows, by the hash of doc_id, and for all
+    rows where there are no more: a sample's sort then sees a bounded number of rows,
+    however many tasks send some."""
+    least = F.lit(float(2 * wanted)) / F.greatest(rows if isinstance(rows, Column) else F.lit(rows), F.lit(1))
+    return F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.lit(float(1 << 40)) * least, F.lit(True))
+
+
 def crc_mod_py(value, modulus: int) -> int | None:
     return None if value is None else zlib.crc32(str(value).encode()) % modulus
 

@@ -39,7 +39,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import claim, holds, text_parts
+from .common import claim, hash_share, holds, text_parts
 
 UNKNOWN = "und"
 #: Documented bounds of the fit: rows a language, dictionary bytes, languages.
@@ -83,8 +83,11 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
         return []
-    caps = docs.sparkSession.createDataFrame([(lang, -(-SHARES * dict_bytes // min(n, sample_docs))) for lang, n in counts.items()], "lang string, __cap int")
-    cut = labelled.join(F.broadcast(caps), "lang").select("doc_id", "lang", F.col("text").substr(F.lit(1), F.col("__cap")).alias("text"))
+    caps = docs.sparkSession.createDataFrame([(lang, n, -(-SHARES * dict_bytes // min(n, sample_docs))) for lang, n in counts.items()], "lang string, __rows long, __cap int")
+    near = labelled.join(F.broadcast(caps), "lang").where(hash_share(sample_docs, F.col("__rows")))
+    # a text's share begins at a place of its own: texts may begin alike
+    start = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.greatest(F.length("text") - F.col("__cap"), F.lit(0)) + 1) + 1
+    cut = near.select("doc_id", "lang", F.col("text").substr(start.cast("int"), F.col("__cap")).alias("text"))
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     rows = cut.withColumn("__n", F.row_number().over(by_hash)).where(F.col("__n") <= sample_docs).collect()  # at most sample_docs a language
     samples: dict[str, list[str]] = {}
