@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, claim, mix64, pin, prefix_sums
+from .common import WORD, claim, mix64, partitions, pin, prefix_sums
 
 # The contract's weights, in turn, and the share of all words to take.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -165,7 +165,9 @@ def drawn_slots(spark, plan: Plan) -> DataFrame:
                     k = len(slot)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(k, shard)), pa.array(np.full(k, src, np.int32)), pa.array(slot), pa.array(block)], names=["shard", "src", "slot", "block"])
 
-    return runs.select(*[c.split()[0] for c in names.split(", ")]).mapInArrow(place, "shard bigint, src int, slot bigint, block bigint")
+    # few short rows become many slots: dealt to all tasks before that
+    runs = runs.select(*[c.split()[0] for c in names.split(", ")])
+    return runs.repartition(partitions(runs), "shard", "src").mapInArrow(place, "shard bigint, src int, slot bigint, block bigint")
 
 
 def segments(placed: DataFrame, keys: list[str], block_words: int = BLOCK_WORDS) -> DataFrame:
