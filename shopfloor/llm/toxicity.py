@@ -31,10 +31,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import holds, mix64
+from .common import hash_share, holds, mix64
 
 SAMPLE_TOXIC, SAMPLE_OTHER = 1200, 2000
 WINDOW = 24
@@ -174,9 +174,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> bytes:
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     with_docs = docs.where("doc_id is not null").select("doc_id").join(known, "doc_id")
-    ranked = with_docs.withColumn("__n", F.row_number().over(Window.partitionBy("toxic").orderBy(*order)))
-    chosen = ranked.where((F.col("__n") <= SAMPLE_OTHER) & ((F.col("toxic") == 0) | (F.col("__n") <= SAMPLE_TOXIC)))
-    chosen = F.broadcast(chosen.select("doc_id", "toxic").distinct().limit(SAMPLE_TOXIC + SAMPLE_OTHER))  # so many ids at most
+    with_docs = with_docs.distinct()
+    counts = {bool(r["c"]): r["n"] for r in with_docs.groupBy((F.col("toxic") == 0).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    clean, toxic = [
+        with_docs.where((F.col("toxic") == 0) == F.lit(c)).where(hash_share(n, counts.get(c, 0))).orderBy(*order).limit(n)
+        for c, n in ((True, SAMPLE_OTHER), (False, SAMPLE_TOXIC))
+    ]
+    chosen = F.broadcast(clean.unionByName(toxic))  # SAMPLE_OTHER + SAMPLE_TOXIC ids at most
     sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic", "doc_id").orderBy("doc_id").limit(SAMPLE_TOXIC + SAMPLE_OTHER)
 
     def run(batches):
