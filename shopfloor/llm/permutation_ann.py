@@ -5,8 +5,9 @@ Per shard, each pivot has an inverted file that posts every vector of the shard
 with the pivot's place in the vector's permutation.  A query reads the files of
 its own nearest pivots, sums the differences between the two places (Spearman's
 footrule; a pivot beyond the posted ones counts as place ``POSTED``), takes the
-share of the shard with the smallest sums, and ranks those by exact inner
-product in double precision.
+share of the shard that promises the largest products (the cosine that a sum stands
+for in this shard, times the vector's length; with equal lengths the smallest sums),
+and ranks those by exact inner product in double precision.
 
 Pivots come from a bounded sample (the ``PIVOT_SAMPLE`` rows with the smallest
 hash, near copies left out).  Every vector is indexed.  Shards hold about
@@ -44,6 +45,8 @@ QUERY_ROWS = 4096
 #: Share of a shard that is ranked exactly, and the least number.
 RERANK_SHARE = 0.25
 RERANK_LEAST = 256
+#: Rows of a shard asked against it, and steps of the sums, to learn which cosine a sum stands for.
+LEARN_ROWS, LEARN_STEPS = 24, 64
 
 
 def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
@@ -69,7 +72,21 @@ class Shard:
         order = np.argsort(ids, kind="stable")
         self.ids, self.rows, self.pivots = ids[order], rows[order], pivots
         self.posted = min(posted, len(pivots), 127)
-        self.files = np.ascontiguousarray(np.minimum(places_of(self.rows, pivots), self.posted).T)
+        places = places_of(self.rows, pivots)
+        self.files = np.ascontiguousarray(np.minimum(places, self.posted).T)
+        self.norm = np.linalg.norm(self.rows, axis=1)
+        self.steps, self.cosine = self.learn(places)
+
+    def learn(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The mean cosine that goes with a footrule sum, never rising: some rows asked against all."""
+        picked = np.unique(np.linspace(0, len(self.ids) - 1, LEARN_ROWS).astype(int))
+        sums = np.concatenate([self.footrule(places[i]) for i in picked]).astype(np.int64)
+        unit = self.rows / self.norm[:, None]
+        cosine = (unit[picked] @ unit.T).ravel()
+        width = max(1, int(sums.max()) // LEARN_STEPS)
+        n = np.bincount(sums // width)
+        mean = np.bincount(sums // width, weights=cosine)[n > 0] / n[n > 0]
+        return np.flatnonzero(n) * width, np.minimum.accumulate(mean)
 
     def footrule(self, own: np.ndarray) -> np.ndarray:
         """Summed differences of places over the query's nearest pivots."""
@@ -82,9 +99,9 @@ class Shard:
         total = self.footrule(own)
         n = len(total)
         want = min(n, max(least, int(np.ceil(share * n))))
-        if want < n:  # ties to the smaller id: rows are in id order
-            key = total.astype(np.int64) * n + np.arange(n)
-            near = np.argpartition(key, want - 1)[:want]
+        if want < n:  # a long vector reaches the same product from further away
+            hoped = self.norm * (np.interp(total, self.steps, self.cosine) - 1e-6 * total)
+            near = np.lexsort((self.ids, -hoped))[:want]
         else:
             near = np.arange(n)
         near = near[self.ids[near] != query_id]
