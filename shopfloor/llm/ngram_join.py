@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, connected_components, holds, mix64, partitions, pin
+from .common import claim, connected_components, hash_share, holds, mix64, partitions, pin
 from .hnsw_dedup import forest
 
 WORDS, PERCENT = 4, 85
@@ -196,15 +196,17 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _frequent(docs: DataFrame, n: int) -> np.ndarray:
-    sample = _texts(docs).where("data is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(ORDER_SAMPLE)
+    near = hash_share(ORDER_SAMPLE, docs.count())
+    sample = _texts(docs).where(near & F.col("data").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(ORDER_SAMPLE)
 
     def run(batches):
         claim("ngram_join")
         for batch in batches:
-            for data in batch.column(1).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(data, n).view(np.int64))], names=["t"])
+            found = [shingles(data, n) for data in batch.column(1).to_pylist()]
+            t, k = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(k.astype(np.int64))], names=["t", "n"])
 
-    rows = sample.repartition(8).mapInArrow(run, "t bigint").groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
+    rows = sample.repartition(8).mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
     rows = rows.orderBy(F.col("n").desc(), "t").limit(MOST_FREQUENT).collect()
     return np.sort(np.array([r["t"] for r in rows], np.int64).view(np.uint64))
 
@@ -248,31 +250,28 @@ def _postings(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "prefix").mapInArrow(run, "t bigint, node bigint")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, data) of the wanted nodes: whole sets, sorted."""
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, data) of the wanted nodes: whole texts, which take half the room of their
+    sets.  Rows that share an id may hold several texts; equal ones are one."""
+    ids = wanted.select(F.col("node").alias("doc_id")).distinct()
+    rows = _texts(docs).join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "data")
+    again = docs.groupBy(F.col("doc_id").cast("long").alias("node")).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("node")
+    once = rows.join(again, "node", "left_anti")
+    return once.unionByName(rows.join(again, "node", "left_semi").dropDuplicates(["node", "data"]))
 
-    def run(batches):
-        claim("ngram_join")
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 512):
-                data = [shingles(t, n).tobytes() for t in texts[at : at + 512]]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(data)), pa.array(data, pa.binary())], names=["node", "data"])
 
-    return _texts(docs).join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(run, "node bigint, data binary").dropDuplicates(["node", "data"])
-
-
-def _block_links(sets: DataFrame, percent: int, frequent) -> DataFrame:
+def _block_links(texts: DataFrame, n: int, percent: int, frequent) -> DataFrame:
     """Forest edges (a, b) of the links inside each (block, chunk)."""
 
     def run(table):
+        claim("ngram_join")
         nodes = table.column("node").to_numpy()
-        sets = [np.frombuffer(d, np.uint64) for d in table.column("data").to_pylist()]
+        sets = [shingles(d.as_py(), n) for d in table.column("data")]
         a, b = trie_join(sets, frequent.value, percent)
         x, y = forest(nodes[a], nodes[b])
         return pa.table([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
 
-    return sets.groupBy("block", "chunk").applyInArrow(run, "a bigint, b bigint")
+    return texts.groupBy("block", "chunk").applyInArrow(run, "a bigint, b bigint")
 
 
 def _cell_pairs(rows: DataFrame, percent: int, n_parts: int, likeliest: bool) -> DataFrame:
@@ -361,19 +360,27 @@ def _cell_pairs(rows: DataFrame, percent: int, n_parts: int, likeliest: bool) ->
     return met.groupBy("a", "b").agg(F.sum("k").alias("k"), F.min("least").alias("least")).where("k >= least").select("a", "b")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The linked ones of ``pairs`` (a written table), by their whole sets."""
+
     def run(batches):
         claim("ngram_join")
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            last, x = None, None
+            for a, s, t in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                s = s.as_py()
+                if (a, s) != last:
+                    last, x = (a, s), shingles(s, n)
+                y = shingles(t.as_py(), n)
                 o = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * o >= percent * (len(x) + len(y) - o))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("a"), F.col("data").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("data").alias("y"))
+    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    used = texts.join(met, "node", "left_semi")
+    left = used.select(F.col("node").alias("a"), F.col("data").alias("x"))
+    right = used.select(F.col("node").alias("b"), F.col("data").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -398,7 +405,7 @@ def classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFram
     suspects = pin(least.join(popular, "node").where(F.col("k") >= demand).select("node", F.col("m.t").alias("block"), F.col("m.df").alias("df")), "ngram-suspects")
 
     # 2. prefix trees
-    sets = pin(_sets_of(docs, suspects, n), "ngram-sets")
+    texts = pin(_texts_of(docs, suspects), "ngram-texts")
     chunks = F.greatest(F.lit(1), F.ceil(F.col("df") / BLOCK_SETS)).cast("int")
     alone = suspects.groupBy("block").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     blocks = suspects.join(alone.select("block"), "block", "left_semi").withColumn("chunks", chunks)
@@ -408,7 +415,7 @@ def classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFram
         dealt = dealt.select("node", "block", F.pmod(F.xxhash64("node", F.lit(turn)), "chunks").cast("int").alias("chunk"))
         if turn and dealt.isEmpty():
             break
-        links = pin(_block_links(sets.join(dealt, "node"), percent, frequent), f"ngram-edges{turn}")
+        links = pin(_block_links(texts.join(dealt, "node"), n, percent, frequent), f"ngram-edges{turn}")
         edges = links if edges is None else edges.unionByName(links)
     components = connected_components(edges, "ngram")
 
@@ -422,7 +429,8 @@ def classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFram
         # a set can link outside its component only under enough n-grams that leave it
         enough = rows.groupBy("node").agg(F.count(F.lit(1)).alias("k")).join(info.where(f"n <= {BITS}") if likeliest else info, "node").where(F.col("k") >= demand).select("node", "n", "bits")
         rows = rows.join(enough, "node").select("t", "df", "node", "comp", "n", "bits")
-        more = pin(_verified(_cell_pairs(rows, percent, parts, likeliest), sets, percent), "ngram-more")
+        pairs = pin(_cell_pairs(rows, percent, parts, likeliest), "ngram-pairs")
+        more = pin(_verified(pairs, texts, n, percent), "ngram-more")
         if not more.isEmpty():
             edges = edges.unionByName(more)
             components = connected_components(edges, "ngram-again")
