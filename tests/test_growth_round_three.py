@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shopfloor.operators import events as evt
 from shopfloor.operators import profile as pro
 from shopfloor.operators import silver
-from shopfloor.plans import catalog, catalog_profile
+from shopfloor.plans import catalog_profile
 from shopfloor.sources.tables import TableSet
 
 
@@ -37,3 +37,18 @@ def test_stage_funnel_parses_once_and_counts_as_stage_by_stage(spark):
     parsed = b.filter(F.get_json_object(F.regexp_replace("raw_json", r":\s*NaN", ": null"), "$.event_type").isNotNull())
     want = pro.stage_funnel([("bronze", b), ("parsed", parsed), ("event_time_present", timed), ("deduplicated", silver.silver_orders(b))])
     assert rows(df) == rows(want)
+
+
+def test_lines_are_dealt_before_they_are_grouped(spark):
+    for q in (catalog_profile.q_full_row_duplicates,):
+        assert "REPARTITION_BY_NUM" in _plan(q(spark, SF_SMALL)), q.__name__
+
+
+def test_copies_of_a_line_are_still_found_after_dealing(spark, scratch):
+    for name in ("orders", "customer", "nation", "part"):
+        os.symlink(f"{SF_SMALL}/{name}.parquet", f"{scratch}/{name}.parquet")
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(40)
+    twice = li.unionByName(li.withColumn("l_linenumber", F.lit(99)))  # same eight raw columns, another line number
+    twice.write.parquet(f"{scratch}/lineitem.parquet")
+    assert catalog_profile.q_full_row_duplicates(spark, scratch).first()[0] >= 40
+    assert catalog_profile.q_duplicate_lines(spark, scratch).count() == 80
