@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shopfloor.operators import events as evt
 from shopfloor.operators import profile as pro
 from shopfloor.operators import silver
-from shopfloor.plans import catalog_profile
+from shopfloor.plans import catalog, catalog_profile
 from shopfloor.sources.tables import TableSet
 
 
@@ -39,8 +39,9 @@ def test_stage_funnel_parses_once_and_counts_as_stage_by_stage(spark):
     assert rows(df) == rows(want)
 
 
-def test_lines_are_dealt_before_they_are_grouped(spark):
-    for q in (catalog_profile.q_full_row_duplicates,):
+def test_lines_are_dealt_before_they_are_parsed_or_grouped(spark):
+    for q in (catalog.q_silver_orders, catalog.q_silver_fact_order_items, catalog.q_revenue_monthly_from_events,
+              catalog_profile.q_full_row_duplicates, catalog_profile.q_duplicate_excess, catalog_profile.q_missing_customer_lines):
         assert "REPARTITION_BY_NUM" in _plan(q(spark, SF_SMALL)), q.__name__
 
 
