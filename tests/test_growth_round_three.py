@@ -53,3 +53,12 @@ def test_copies_of_a_line_are_still_found_after_dealing(spark, scratch):
     twice.write.parquet(f"{scratch}/lineitem.parquet")
     assert catalog_profile.q_full_row_duplicates(spark, scratch).first()[0] >= 40
     assert catalog_profile.q_duplicate_lines(spark, scratch).count() == 80
+
+
+def test_gold_checks_read_the_fact_from_stored_silver(spark, monkeypatch):
+    stored = []
+    real = catalog.pin_observed
+    monkeypatch.setattr(catalog, "pin_observed", lambda df, name, metrics: (stored.append(name), real(df, name, metrics))[1])
+    found = {r.check_name: r for r in catalog.q_dq_gold_checks(spark, SF_SMALL).collect()}
+    assert sorted(stored) == ["silver_customers", "silver_orders"]
+    assert found["row_count_vs_silver"].status == "PASS" and found["revenue_reconciliation_vs_fact"].status == "PASS"
