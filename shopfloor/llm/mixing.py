@@ -30,10 +30,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, claim, mix64, partitions, pin, prefix_sums
+from .common import WORD, claim, mix64, partitions, pin, prefix_sums, text_parts
 
 # The contract's weights, in turn, and the share of all words to take.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -238,19 +238,32 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     schema, names, at = docs.schema, docs.columns, docs.columns.index("text")
     # the other columns under names that no internal column has
     inner = [c if c in ("doc_id", "text", "source") else f"__col{i}" for i, c in enumerate(names)]
-    placed, plan = packed(docs.toDF(*inner), **options)
+    whole = with_size(docs.toDF(*inner))
+    # places are found without the texts, which are shuffled once, to the parts taken of them
+    placed, plan = packed(pin(whole.select("doc_id", "source", "size"), "mix-places"), **options)
     times = drawn_slots(docs.sparkSession, plan).groupBy("src", "block").agg(F.count(F.lit(1)).cast("int").alias("times"))
     parts = segments(placed.where("size > 0").select("src", "start", "size"), [], block_words).join(times, ["src", "block"])
     # a document's blocks: one entry per block_words words, never more than its text holds
     taken = parts.groupBy("src", "start").agg(F.sort_array(F.collect_list(F.struct("from_word", "words", "times"))).alias("__parts"))
-    with_parts = placed.where("size > 0").join(taken, ["src", "start"]).select(*inner, "__parts")
+    places = placed.where("size > 0").join(taken, ["src", "start"], "left").select("doc_id", "source", "size", F.lit(0).alias("__kind"), "start", "__parts")
+    rows = places.unionByName(whole.where("size > 0").withColumn("__kind", F.lit(1)), allowMissingColumns=True)
+    # rows of equal id, source and size have as many places; each text follows a place of its own
+    key = ["doc_id", "source", "size"]
+    rows = rows.repartition(partitions(docs), *key)
+    rows = rows.withColumn("__k", F.row_number().over(Window.partitionBy(*key, "__kind").orderBy("start", "text")))
+    rows = rows.withColumn("__parts", F.lag("__parts").over(Window.partitionBy(*key).orderBy("__k", "__kind")))
+    with_parts = rows.where("__kind = 1 and __parts is not null").select(*inner, "__parts")
 
     def rebuild(batches):
         claim("mixing")
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_parts(whole, at)):
+            lists = batch.column(len(names))
+            edge = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+            first, n, times = (np.asarray(c) for c in lists.flatten().flatten())  # in the order of the struct's fields
             texts = []
-            for text, parts in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
-                texts.append(cut_out(text.encode(), [(p["from_word"], p["words"], p["times"]) for p in parts]).decode())
+            for text, a, b in zip(batch.column(at), edge[:-1], edge[1:], strict=True):
+                parts = list(zip(first[a:b].tolist(), n[a:b].tolist(), times[a:b].tolist(), strict=True))
+                texts.append(cut_out(text.as_buffer().to_pybytes(), parts).decode())
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))], names=names)
 
     out = with_parts.mapInArrow(rebuild, schema)

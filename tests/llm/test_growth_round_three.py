@@ -1,0 +1,41 @@
+"""Work that grew faster than the input: mixing."""
+
+import pytest
+
+from shopfloor.llm import catalog, mixing
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    catalog.ship(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def text_exchanges(df, column: str) -> list:
+    """Exchanges of the plan that move the column, with the nodes below each."""
+
+    def below(plan):
+        kids = plan.children()
+        for i in range(kids.size()):
+            yield kids.apply(i)
+            yield from below(kids.apply(i))
+
+    top = df._jdf.queryExecution().executedPlan().initialPlan()
+    return [[x.nodeName() for x in below(p)] for p in below(top) if p.nodeName() == "Exchange" and f"{column}#" in p.output().toString()]
+
+
+def test_mixing_shuffles_a_text_once(no_broadcast):
+    rows = [(i % 40 if i % 9 else None, " ".join(f"w{i}x{j}" for j in range(20 + i % 3)), "ab"[i % 2]) for i in range(300)]
+    docs = no_broadcast.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_documents(docs)
+    assert len(text_exchanges(mixed, "text")) == 1
+    # rows that share id, source and size have a place each, and keep their own words
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in mixed.collect())
+    assert got == sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in mixing.mix_documents(docs).collect())
+    taken = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["taken"]) for r in mixing.taken_counts(docs).collect() if r["taken"])
+    assert sorted((n, i, len(t.split())) for n, i, t in got) == taken
+    owners = [{w.split("x")[0] for w in t.split()} for _, _, t in got]
+    assert all(len(o) == 1 for o in owners) and len(set.union(*owners)) == len(owners)
