@@ -54,6 +54,8 @@ ORDER_SAMPLE, FREQUENT, MOST_FREQUENT = 4000, 8, 100_000
 BLOCK_SETS = 4096
 CELL_ROWS = 2048
 BITS = 1024
+#: Places of the marks that tell most texts that are not wanted (work only, never the result).
+MARKS = 1 << 24
 _K = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 2**64))
@@ -250,14 +252,25 @@ def _postings(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "prefix").mapInArrow(run, "t bigint, node bigint")
 
 
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose doc_id is not in ``ids``, and without none that
+    is: ids are told by their hash among MARKS, in a table of at most MARKS / 64 rows that
+    every task holds, so that rows that are not wanted are not shuffled."""
+    word, bit = F.expr(f"cast(pmod(xxhash64(doc_id), {MARKS}) div 64 as int)"), F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))")
+    marks = ids.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    met = rows.withColumn("__word", word).join(F.broadcast(marks), "__word")
+    return met.where(F.col("__bits").bitwiseAND(bit) != 0).drop("__word", "__bits")
+
+
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, data) of the wanted nodes: whole texts, which take half the room of their
     sets.  Rows that share an id may hold several texts; equal ones are one."""
     ids = wanted.select(F.col("node").alias("doc_id")).distinct()
-    rows = _texts(docs).join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "data")
-    again = docs.groupBy(F.col("doc_id").cast("long").alias("node")).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("node")
-    once = rows.join(again, "node", "left_anti")
-    return once.unionByName(rows.join(again, "node", "left_semi").dropDuplicates(["node", "data"]))
+    again = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    ids = ids.join(again, "doc_id", "left").select("doc_id", F.col("k").isNotNull().alias("again"))
+    # an inner join by distinct ids: the optimizer would push a semi-join below the marks
+    rows = _marked(_texts(docs), ids).join(ids, "doc_id").select(F.col("doc_id").alias("node"), "data", "again")
+    return rows.where("not again").drop("again").unionByName(rows.where("again").drop("again").dropDuplicates(["node", "data"]))
 
 
 def _block_links(texts: DataFrame, n: int, percent: int, frequent) -> DataFrame:

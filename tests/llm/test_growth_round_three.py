@@ -1,8 +1,9 @@
-"""Work that grew faster than the input: mixing."""
+"""Work that grew faster than the input: mixing, the n-gram join."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from shopfloor.llm import catalog, mixing
+from shopfloor.llm import catalog, mixing, ngram_join
 
 
 @pytest.fixture()
@@ -39,3 +40,14 @@ def test_mixing_shuffles_a_text_once(no_broadcast):
     assert sorted((n, i, len(t.split())) for n, i, t in got) == taken
     owners = [{w.split("x")[0] for w in t.split()} for _, _, t in got]
     assert all(len(o) == 1 for o in owners) and len(set.union(*owners)) == len(owners)
+
+
+def test_texts_that_are_not_wanted_are_not_shuffled(no_broadcast):
+    rows = [(i, f"text {i}") for i in range(400)] + [(3, "another"), (3, "text 3"), (None, "none")]
+    docs = no_broadcast.createDataFrame(rows, "doc_id long, text string")
+    wanted = no_broadcast.createDataFrame([(3,), (7,), (7,), (399,)], "node long")
+    got = ngram_join._texts_of(docs, wanted)
+    assert all("BroadcastHashJoin" in nodes for nodes in text_exchanges(got, "data"))
+    assert sorted((r["node"], bytes(r["data"]).decode()) for r in got.collect()) == [(3, "another"), (3, "text 3"), (7, "text 7"), (399, "text 399")]
+    ids = wanted.select(F.col("node").alias("doc_id")).distinct()
+    assert ngram_join._marked(ngram_join._texts(docs), ids).count() < 20
