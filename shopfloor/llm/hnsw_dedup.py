@@ -1,10 +1,11 @@
 """Near-duplicate embeddings with hierarchical navigable small-world graphs.
 
 Equal vectors of a label are one node first.  A label's nodes are dealt to
-shards of about ``SHARD_ROWS``; every shard gets its own graph, and every node
-of the label queries every shard of its label, in blocks of ``QUERY_ROWS``.  A
-beam whose worst member still links is doubled for that query; after a block,
-an audit compares as many of its queries with an exact scan of the shard as hold
+shards of about ``SHARD_NUMBERS`` vector components; every shard gets its own
+graph, and every node of the label queries every shard of its label, in blocks
+of ``QUERY_ROWS``; in its own shard a search begins at the node itself.  A query
+whose whole beam links is run again with a beam that drops no link; an audit
+compares as many of a block's queries with an exact scan of the shard as hold
 a stated number of true links and doubles the beam for all until nothing is
 missed, at last up to the whole shard.
 Pairs found are verified by cosine in double precision, a block gives back a
@@ -14,6 +15,10 @@ are united by distributed connected components.
 Graphs are built by inserting small batches: a batch searches the graph so far
 (and is compared within itself), keeps diverse neighbours, and links back.
 
+A shard is as large as a task may hold: every node searches all shards of its
+label, so searches grow as nodes times shards, and a graph of four times the
+nodes takes little longer to search than one.
+
 Scale: a hot label has many shards; a group of tasks holds one shard and one
 block; equal vectors, however many, meet only in a partial aggregate; no pair
 is ever a row, only forest edges and counts are.
@@ -36,14 +41,17 @@ from .common import connected_components, mix64, partitions, pin
 from .vectors import matrix, packed, usable
 
 THRESHOLD = 0.93
-SHARD_ROWS = 4096
+SHARD_NUMBERS = 1 << 20
 QUERY_ROWS = 16384
 LINKS = 12
 BEAM_BUILD = 40
-BEAM = 48
+BEAM = 24
 BATCH = 256
 AUDIT = 256
-AUDIT_LINKS = 256
+AUDIT_LINKS = 1024
+#: Bounds of a step: bytes that mark which nodes its queries have seen; neighbours looked at together where no link is dropped.
+SEEN_BYTES = 8_000_000
+PAIRS = 2_500_000
 #: Nodes of one smallest id (it may repeat with other labels or vectors) are told apart by their place.
 PLACES = 1_000_000_000
 NODE = "decimal(28,0)"
@@ -76,8 +84,8 @@ class Graph:
             self._insert(self.order[done : done + size], self.order[:done])
             done += size
 
-    def beam(self, q: np.ndarray, start_q: np.ndarray, start: np.ndarray, layer: int, width: int):
-        """Per query the ``width`` nearest nodes found on a layer: (query, node, score).
+    def beam(self, q: np.ndarray, start_q: np.ndarray, start: np.ndarray, layer: int, width: int, least: float = 2.0):
+        """Per query the ``width`` nearest nodes found on a layer, and all found of at least ``least``: (query, node, score).
 
         All members of a beam that have not been expanded are expanded at once."""
         links, n = self.links[layer], len(self.unit)
@@ -100,9 +108,17 @@ class Graph:
             o, near = key // n, key % n
             seen[o, near] = True
             s = np.einsum("ij,ij->i", self.unit[near], q[o])
+            worst = np.full(len(q), np.inf)  # of a full beam: what is no better does not enter
+            np.minimum.at(worst, owner, score)
+            better = (s > worst[o]) | (np.bincount(owner, minlength=len(q))[o] < width) | (s >= least)
+            o, near, s = o[better], near[better], s[better]
             owner, node, score = np.r_[owner, o], np.r_[node, near], np.r_[score, s]
             fresh = np.r_[np.zeros(len(fresh), bool), np.ones(len(o), bool)]
             keep = _top(owner, score, width)
+            if least <= 1:
+                kept = score >= least
+                kept[keep] = True
+                keep = np.flatnonzero(kept)
             owner, node, score, fresh = owner[keep], node[keep], score[keep], fresh[keep]
         return owner, node, score
 
@@ -170,29 +186,30 @@ class Graph:
     def within(self, q: np.ndarray, own: np.ndarray, threshold: float, width: int):
         """(query, node) pairs of at least ``threshold``; ``own``: each query's node here, or -1.
 
-        A query whose whole beam links is asked again with a beam twice as wide."""
+        A query whose whole beam links is asked again with a beam that drops no link."""
         n = len(self.unit)
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        todo = np.arange(len(q))
+        todo, wide = np.arange(len(q)), False
         while len(todo):
             again = []
-            step = max(16, min(512, 2_000_000 // max(n, width)))
+            step = max(1, PAIRS // (n * 2 * LINKS)) if wide else max(16, min(512, SEEN_BYTES // max(n, width * 4 * LINKS)))
             for i in range(0, len(todo), step):
                 part = todo[i : i + step]
                 if width >= n:
                     o, v = np.nonzero(q[part] @ self.unit.T >= threshold)
                     found.append((part[o], v))
                     continue
-                owner, node = self._descend(q[part], 0)
-                mine = np.flatnonzero(own[part] >= 0)
-                owner, node, score = self.beam(q[part], np.r_[owner, mine], np.r_[node, own[part][mine]], 0, width)
+                # a node of this graph begins at itself, any other query at the layers above
+                mine, far = np.flatnonzero(own[part] >= 0), np.flatnonzero(own[part] < 0)
+                owner, node = self._descend(q[part][far], 0) if len(far) else (far, far)
+                owner, node, score = self.beam(q[part], np.r_[far[owner], mine], np.r_[node, own[part][mine]], 0, width, threshold if wide else 2.0)
                 hit = score >= threshold
-                full = np.bincount(owner[hit], minlength=len(part)) >= width
-                again.append(part[full])
-                hit &= ~full[owner]
+                if not wide:
+                    full = np.bincount(owner[hit], minlength=len(part)) >= width
+                    again.append(part[full])
+                    hit &= ~full[owner]
                 found.append((part[owner[hit]], node[hit]))
-            todo = np.concatenate(again) if again else np.zeros(0, np.int64)
-            width *= 2
+            todo, wide = np.concatenate(again) if again else np.zeros(0, np.int64), True
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
@@ -213,7 +230,9 @@ def audited_links(graph: Graph, q: np.ndarray, own: np.ndarray, threshold: float
     while True:
         a, b = graph.within(q[sample], own[sample], threshold, width)
         if width >= len(graph.unit) or truth <= set(zip(a.tolist(), b.tolist(), strict=True)):
-            return (sample[a], b) if size == len(order) else graph.within(q, own, threshold, width)
+            rest = order[size:]
+            c, d = graph.within(q[rest], own[rest], threshold, width)
+            return np.r_[sample[a], rest[c]], np.r_[b, d]
         width *= 2
 
 
@@ -237,6 +256,14 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return out_a, out_b
 
 
+def _dealt(nodes: DataFrame) -> DataFrame:
+    """Adds dim (bytes of a vector), a label's shards and blocks, and each node's own ones."""
+    per_label = nodes.groupBy("label", F.length("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
+    sized = nodes.withColumn("dim", F.length("vec")).join(per_label, ["label", "dim"])
+    sized = sized.withColumn("shards", F.expr(f"cast(greatest((n * dim div 8 + {SHARD_NUMBERS} - 1) div {SHARD_NUMBERS}, 1) as int)")).withColumn("blocks", F.expr(f"cast((n + {QUERY_ROWS} - 1) div {QUERY_ROWS} as int)"))
+    return sized.withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("shards")).cast("int")).withColumn("block_own", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int"))
+
+
 def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, id_column: str = "vec_id", column: str = "embedding", label: str = "label") -> DataFrame:
     """One row per row: vec_id, n_links, component_id, kept."""
     base = table.select(F.col(id_column).cast("long").alias("id"), F.col(label).alias("label"), F.col(column).alias("embedding"), (usable(column) & F.col(label).isNotNull() & F.col(id_column).isNotNull()).alias("ok"))
@@ -244,10 +271,7 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, id_column: s
     grouped = vectors.groupBy("label", "vec").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
     place = F.row_number().over(Window.partitionBy("least").orderBy("label", "vec")) - 1
     nodes = pin(grouped.select("label", "vec", "copies", (F.col("least").cast("decimal(19,0)") * F.lit(PLACES).cast("decimal(10,0)") + place).cast(NODE).alias("node")), "hnsw-nodes")
-    per_label = nodes.groupBy("label", F.length("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    sized = nodes.withColumn("dim", F.length("vec")).join(per_label, ["label", "dim"])
-    sized = sized.withColumn("shards", F.expr(f"cast((n + {SHARD_ROWS} - 1) div {SHARD_ROWS} as int)")).withColumn("blocks", F.expr(f"cast((n + {QUERY_ROWS} - 1) div {QUERY_ROWS} as int)"))
-    sized = sized.withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("shards")).cast("int")).withColumn("block_own", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int"))
+    sized = _dealt(nodes)
     key = ["label", "dim", "shard", "block"]
     data = sized.select("label", "dim", F.col("own").alias("shard"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", "copies", "vec")
     again = [F.expr(c).alias(c) for c in ("label", "dim", "node", "vec")]  # columns of their own beside those of data

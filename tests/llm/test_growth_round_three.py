@@ -1,9 +1,10 @@
-"""Work that grew faster than the input: mixing, the n-gram join."""
+"""Work that grew faster than the input: mixing, the n-gram join, the graph search."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shopfloor.llm import catalog, mixing, ngram_join
+from shopfloor.llm import catalog, hnsw_dedup, mixing, ngram_join
 
 
 @pytest.fixture()
@@ -51,3 +52,24 @@ def test_texts_that_are_not_wanted_are_not_shuffled(no_broadcast):
     assert sorted((r["node"], bytes(r["data"]).decode()) for r in got.collect()) == [(3, "another"), (3, "text 3"), (7, "text 7"), (399, "text 399")]
     ids = wanted.select(F.col("node").alias("doc_id")).distinct()
     assert ngram_join._marked(ngram_join._texts(docs), ids).count() < 20
+
+
+def test_graph_searches_begin_at_the_node_itself(monkeypatch):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(60, 16))
+    unit = centre[rng.integers(0, 60, 900)] + 0.08 * rng.normal(size=(900, 16))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    graph = hnsw_dedup.Graph(unit)
+    want = set(zip(*[x.tolist() for x in np.nonzero(unit @ unit.T >= 0.93)], strict=True))
+    monkeypatch.setattr(hnsw_dedup.Graph, "_descend", lambda *_: pytest.fail("a node of the graph searched from the top"))
+    a, b = hnsw_dedup.audited_links(graph, unit, np.arange(900), 0.93)
+    assert len(a) == len(set(zip(a.tolist(), b.tolist(), strict=True))) and set(zip(a.tolist(), b.tolist(), strict=True)) == want
+
+
+def test_a_label_of_some_thousands_is_one_graph(spark):
+    def pieces(n):
+        nodes = spark.range(n).select(F.lit(1).alias("label"), F.repeat(F.lit("x"), 512).cast("binary").alias("vec"), F.col("id").cast(hnsw_dedup.NODE).alias("node"))
+        return {tuple(r) for r in hnsw_dedup._dealt(nodes).select("dim", "shards", "blocks").distinct().collect()}
+
+    assert pieces(6000) == {(512, 1, 1)}
+    assert pieces(20000) == {(512, 2, 2)}
