@@ -3,8 +3,10 @@
 Equal vectors of a label are one node first.  A label's nodes are dealt to
 shards of about ``SHARD_NUMBERS`` vector components; every shard gets its own
 graph, and every node of the label queries every shard of its label, in blocks
-of ``QUERY_ROWS``; in its own shard a search begins at the node itself.  A query
-whose whole beam links is run again with a beam that drops no link; an audit
+of ``QUERY_ROWS``; in its own shard a search begins at the node itself.  Queries
+whose whole beams link search on together with all queries that links connect
+them with: the nodes linked with any of them are expanded once for the group, and
+new ones compared with all its queries by one product; an audit
 compares as many of a block's queries with an exact scan of the shard as hold
 a stated number of true links and doubles the beam for all until nothing is
 missed, at last up to the whole shard.
@@ -49,7 +51,7 @@ BEAM = 24
 BATCH = 256
 AUDIT = 256
 AUDIT_LINKS = 1024
-#: Bounds of a step: bytes that mark which nodes its queries have seen; neighbours looked at together where no link is dropped.
+#: Bounds of a step: bytes that mark which nodes its queries have seen; products of a group's queries and nodes at once.
 SEEN_BYTES = 8_000_000
 PAIRS = 2_500_000
 #: Nodes of one smallest id (it may repeat with other labels or vectors) are told apart by their place.
@@ -66,6 +68,26 @@ def _top(owner: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     return order[np.arange(len(o)) - start < k]
 
 
+def _distinct(key: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers (sorting them is several times as fast as np.unique's table)."""
+    key = np.sort(key)
+    return key[np.r_[True, key[1:] != key[:-1]]] if len(key) else key
+
+
+def _groups(count: int, nodes: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per query (0..count-1) the smallest query that links (query, node) connect it with."""
+    group = np.arange(count)
+    while True:
+        least = np.full(nodes, count)
+        np.minimum.at(least, b, group[a])
+        new = group.copy()
+        np.minimum.at(new, a, least[b])
+        new = new[new]
+        if (new == group).all():
+            return group
+        group = new
+
+
 class Graph:
     """A navigable small-world hierarchy over unit vectors."""
 
@@ -84,13 +106,13 @@ class Graph:
             self._insert(self.order[done : done + size], self.order[:done])
             done += size
 
-    def beam(self, q: np.ndarray, start_q: np.ndarray, start: np.ndarray, layer: int, width: int, least: float = 2.0):
-        """Per query the ``width`` nearest nodes found on a layer, and all found of at least ``least``: (query, node, score).
+    def beam(self, q: np.ndarray, start_q: np.ndarray, start: np.ndarray, layer: int, width: int):
+        """Per query the ``width`` nearest nodes found on a layer: (query, node, score).
 
         All members of a beam that have not been expanded are expanded at once."""
         links, n = self.links[layer], len(self.unit)
         seen = np.zeros((len(q), n), bool)
-        key = np.unique(start_q * n + start)
+        key = _distinct(start_q * n + start)
         owner, node = key // n, key % n
         seen[owner, node] = True
         score = np.einsum("ij,ij->i", self.unit[node], q[owner])
@@ -104,21 +126,17 @@ class Graph:
             ok = near >= 0
             o, near = o[ok], near[ok].astype(np.int64)
             ok = ~seen[o, near]
-            key = np.unique(o[ok] * n + near[ok])
+            key = _distinct(o[ok] * n + near[ok])
             o, near = key // n, key % n
             seen[o, near] = True
             s = np.einsum("ij,ij->i", self.unit[near], q[o])
             worst = np.full(len(q), np.inf)  # of a full beam: what is no better does not enter
             np.minimum.at(worst, owner, score)
-            better = (s > worst[o]) | (np.bincount(owner, minlength=len(q))[o] < width) | (s >= least)
+            better = (s > worst[o]) | (np.bincount(owner, minlength=len(q))[o] < width)
             o, near, s = o[better], near[better], s[better]
             owner, node, score = np.r_[owner, o], np.r_[node, near], np.r_[score, s]
             fresh = np.r_[np.zeros(len(fresh), bool), np.ones(len(o), bool)]
             keep = _top(owner, score, width)
-            if least <= 1:
-                kept = score >= least
-                kept[keep] = True
-                keep = np.flatnonzero(kept)
             owner, node, score, fresh = owner[keep], node[keep], score[keep], fresh[keep]
         return owner, node, score
 
@@ -178,7 +196,7 @@ class Graph:
             h_at, h_col = np.nonzero(had >= 0)
             owner = np.r_[h_at, number]
             node = np.r_[had[h_at, h_col].astype(np.int64), source]
-            key = np.unique(owner * len(self.unit) + node)
+            key = _distinct(owner * len(self.unit) + node)
             owner, node = key // len(self.unit), key % len(self.unit)
             score = np.einsum("ij,ij->i", self.unit[nodes[owner]], self.unit[node])
             self.links[layer][nodes] = self._diverse(owner, node, score, len(nodes), self.cap[layer])
@@ -186,53 +204,81 @@ class Graph:
     def within(self, q: np.ndarray, own: np.ndarray, threshold: float, width: int):
         """(query, node) pairs of at least ``threshold``; ``own``: each query's node here, or -1.
 
-        A query whose whole beam links is asked again with a beam that drops no link."""
+        A query whose whole beam links searches on with all queries that links connect it with."""
         n = len(self.unit)
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        todo, wide = np.arange(len(q)), False
-        while len(todo):
-            again = []
-            step = max(1, PAIRS // (n * 2 * LINKS)) if wide else max(16, min(512, SEEN_BYTES // max(n, width * 4 * LINKS)))
-            for i in range(0, len(todo), step):
-                part = todo[i : i + step]
-                if width >= n:
-                    o, v = np.nonzero(q[part] @ self.unit.T >= threshold)
-                    found.append((part[o], v))
-                    continue
-                # a node of this graph begins at itself, any other query at the layers above
-                mine, far = np.flatnonzero(own[part] >= 0), np.flatnonzero(own[part] < 0)
-                owner, node = self._descend(q[part][far], 0) if len(far) else (far, far)
-                owner, node, score = self.beam(q[part], np.r_[far[owner], mine], np.r_[node, own[part][mine]], 0, width, threshold if wide else 2.0)
-                hit = score >= threshold
-                if not wide:
-                    full = np.bincount(owner[hit], minlength=len(part)) >= width
-                    again.append(part[full])
-                    hit &= ~full[owner]
-                found.append((part[owner[hit]], node[hit]))
-            todo, wide = np.concatenate(again) if again else np.zeros(0, np.int64), True
+        full = np.zeros(len(q), bool)
+        step = max(16, min(512, SEEN_BYTES // max(n, width * 4 * LINKS)))
+        for i in range(0, len(q), step):
+            part = np.arange(i, min(i + step, len(q)))
+            if width >= n:
+                o, v = np.nonzero(q[part] @ self.unit.T >= threshold)
+                found.append((part[o], v))
+                continue
+            # a node of this graph begins at itself, any other query at the layers above
+            mine, far = np.flatnonzero(own[part] >= 0), np.flatnonzero(own[part] < 0)
+            owner, node = self._descend(q[part][far], 0) if len(far) else (far, far)
+            owner, node, score = self.beam(q[part], np.r_[far[owner], mine], np.r_[node, own[part][mine]], 0, width)
+            hit = score >= threshold
+            full[part] = np.bincount(owner[hit], minlength=len(part)) >= width
+            found.append((part[owner[hit]], node[hit]))
+        a, b = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        if not full.any():
+            return a, b
+        group = _groups(len(q), n, a, b)
+        dense = np.zeros(len(q), bool)
+        dense[group[full]] = True
+        dense = dense[group]  # queries of a group that holds a full beam
+        members = np.flatnonzero(dense)
+        members = members[np.argsort(group[members], kind="stable")]
+        again = dense[a]
+        seeds, of = b[again], group[a[again]]
+        order = np.argsort(of, kind="stable")
+        seeds, of = seeds[order], of[order]
+        found = [(a[~again], b[~again])]
+        for g in np.split(members, np.flatnonzero(np.diff(group[members])) + 1):
+            lo, hi = np.searchsorted(of, [group[g[0]], group[g[0]] + 1])
+            found += self._spread(q, g, _distinct(seeds[lo:hi]), threshold)
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
+    def _spread(self, q: np.ndarray, group: np.ndarray, start: np.ndarray, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        """All links of a group's queries that are reached from ``start`` over nodes that link with any of them."""
+        asked, found = q[group], []
+        seen = np.zeros(len(self.unit), bool)
+        near = start
+        while len(near):
+            seen[near] = True
+            linked = np.zeros(len(near), bool)
+            step = max(1, PAIRS // len(near))
+            for i in range(0, len(group), step):
+                o, v = np.nonzero(asked[i : i + step] @ self.unit[near].T >= threshold)
+                found.append((group[i : i + step][o], near[v]))
+                linked[v] = True
+            near = self.links[0][near[linked]].ravel()
+            near = near[near >= 0].astype(np.int64)
+            near = _distinct(near[~seen[near]])
+        return found
+
 
 def audited_links(graph: Graph, q: np.ndarray, own: np.ndarray, threshold: float, width: int = BEAM):
     """All links of the queries, the beam widened until an audit against an exact scan misses nothing.
 
     Queries are audited, AUDIT at a time, until AUDIT_LINKS true links other than
     those of a node with itself have been seen; where there are fewer, all are audited."""
+    n = len(graph.unit)
     order = np.argsort(mix64(np.arange(len(q), dtype=np.uint64), 99))
-    truth, size, seen = set(), 0, 0
+    truth, size, seen = [np.zeros(0, np.int64)], 0, 0
     while size < len(order) and seen < AUDIT_LINKS:
         part = order[size : size + AUDIT]
         a, b = np.nonzero(q[part] @ graph.unit.T >= threshold)
         seen += int((own[part][a] != b).sum())
-        truth.update(zip((a + size).tolist(), b.tolist(), strict=True))
+        truth.append(part[a] * n + b)
         size += len(part)
-    sample = order[:size]
+    truth = np.concatenate(truth)
     while True:
-        a, b = graph.within(q[sample], own[sample], threshold, width)
-        if width >= len(graph.unit) or truth <= set(zip(a.tolist(), b.tolist(), strict=True)):
-            rest = order[size:]
-            c, d = graph.within(q[rest], own[rest], threshold, width)
-            return np.r_[sample[a], rest[c]], np.r_[b, d]
+        a, b = graph.within(q, own, threshold, width)
+        if width >= n or np.isin(truth, a * n + b).all():
+            return a, b
         width *= 2
 
 
