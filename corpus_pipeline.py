@@ -16,35 +16,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor.llm import catalog, language_id, mixing, ngram_join, secret_scan, sentencepiece_codec
-from shopfloor.llm.common import crc_mod, pin, table
+from shopfloor.llm.common import bound_batches, crc_mod, pin, table
 
 #: Near duplicates of the pipeline: five words, a similarity of 0.8.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
     catalog.ship(spark)
+    bound_batches(spark)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     learn = F.coalesce(crc_mod("doc_id", 4) != 2, F.lit(True))
     return language_id.accepted_documents(docs, language_id.fit(docs.where(learn)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    catalog.ship(spark)
+    prepare(spark)
     return ngram_join.one_of_each(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    catalog.ship(spark)
+    prepare(spark)
     return secret_scan.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    catalog.ship(spark)
+    prepare(spark)
     return mixing.mix_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    catalog.ship(spark)
+    prepare(spark)
     return sentencepiece_codec.encode_documents(docs, catalog.vocabulary_path(), keep=["doc_id", "source"], with_ids=True)
 
 

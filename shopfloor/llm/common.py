@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.session import pin
 
-__all__ = ["pin", "table", "map_batches", "crc_mod", "hash_share", "prefix_sums", "connected_components", "mix64", "WORD", "partitions", "holds", "claim", "text_parts"]
+__all__ = ["pin", "table", "map_batches", "crc_mod", "hash_share", "prefix_sums", "connected_components", "mix64", "WORD", "partitions", "holds", "claim", "trim", "bound_batches", "text_parts"]
 
 #: A word: a run of anything but the six ASCII white-space characters.
 #: ``bytes.split()`` splits exactly so, and ``bytes.lower()`` lowers A-Z only.
@@ -41,12 +42,30 @@ def holds(name: str, drop: Callable[[], None]) -> None:
     _held[name] = drop
 
 
+def trim() -> None:
+    """Hands freed memory back to the system: Arrow's pool and the C library keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if (give := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # not every C library has it
+        give(0)
+
+
+#: Bytes of an Arrow batch that Spark sends to a Python worker; by rows alone (10,000 of them) it grows with the texts' lengths.
+BATCH_BYTES = 4_000_000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches in bytes, in the executor and in its Python workers, unless the submitter has set a bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def claim(name: str) -> None:
     """At a task's start: what other operators have kept in this worker is dropped."""
     for other, drop in _held.items():
         if other != name:
             drop()
-    pa.default_memory_pool().release_unused()
+    trim()
 
 
 def text_parts(batch: pa.RecordBatch, at: int, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:

@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, holds, text_parts
+from .common import claim, holds, text_parts, trim
 
 MARK = "▁"
 LONG_UNIT = 64
-KEPT_UNITS = 500_000
+KEPT_UNITS = 200_000
 _NONE = float("inf")
 _RUNS = re.compile(r" +[^ ]*")
 
@@ -228,7 +228,9 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-SLICE_CHARS = 2_000_000
+#: Bounds of what is at hand besides the two tables: bytes of texts read at once, characters encoded at once.
+PART_BYTES = 1_000_000
+SLICE_CHARS = 500_000
 
 
 def _slices(texts: list[str | None]) -> Iterator[list[str]]:
@@ -260,7 +262,8 @@ def encode_documents(docs: DataFrame, model_path: str, keep: list[str] | None =
     def run(batches):
         claim("sentencepiece")
         own = codec(model)
-        for batch in (part for whole in batches for part in text_parts(whole, len(keep))):
+        for batch in (part for whole in batches for part in text_parts(whole, len(keep), PART_BYTES)):
+            trim()
             texts = batch.column(len(keep)).to_pylist()
             at = 0
             for part in _slices(texts):
